@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 from skylane.config import ArrivalRules
 from skylane.functions.numeric import round_half_away
 from skylane.functions.timefns import seconds_between, time_bin
-from skylane.operators.fuel import level_key
+from skylane.operators.fuel import fuel_lookup, level_key
 from skylane.operators.sequence import SEG, lag_in_sequence
-from skylane.plans.strategy import FlightBounds, broadcast_within, sized_broadcast
+from skylane.plans.strategy import FlightBounds, broadcast_within
 
 
 def vertical_profile(radar_tma: DataFrame, chart_levels: DataFrame,
-                     rules: ArrivalRules, bounds: FlightBounds | None = None) -> DataFrame:
+                     rules: ArrivalRules, bounds: FlightBounds | None = None,
+                     chart_rows: int | None = None) -> DataFrame:
     """Per terminal-area point of flights with at least ``min_points`` points
     (counted before dropping anything):
 
@@ -37,11 +38,8 @@ def vertical_profile(radar_tma: DataFrame, chart_levels: DataFrame,
     flights = None if bounds is None else bounds.flights
     pts = pts.join(broadcast_within(enough, flights, rules.broadcast_max_rows), "id", "left_semi")
 
-    lookup = (chart_levels
-              .groupBy(F.col("aircraft").alias("aircraft_type"), F.col("fl").alias("_level"))
-              .agg(F.collect_list("fuel_flow_kg_s").alias("_own_fuels")))
     pts = pts.withColumn("_level", level_key(pts)).join(
-        sized_broadcast(lookup, rules.broadcast_max_rows), ["aircraft_type", "_level"], "left")
+        fuel_lookup(chart_levels, rules, chart_rows), ["aircraft_type", "_level"], "left")
 
     seq = lag_in_sequence(pts, keys=["id"], order=["dt_radar", "fl"],
                           segment=time_bin(F.col("dt_radar"), rules.profile_unit),

@@ -19,25 +19,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SEG = "_seg"
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                    how: str) -> DataFrame:
-    renamed = right
-    for k in keys:
-        renamed = renamed.withColumnRenamed(k, f"_r_{k}")
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(renamed[f"_r_{k}"])
-        cond = c if cond is None else cond & c
-    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
-
-
 def lag_in_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     segment: Column, cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
     """Add ``prefix + c`` = previous row's ``c`` in (keys, ascending ``order``).
 
-    ``order`` must be ascending and total within ``keys``; ``segment`` must be
-    non-decreasing along ``order``.  The result keeps the ``_seg`` column and is
-    hash-partitioned by (keys, _seg), so a following window partitioned by
+    ``keys`` must be non-NULL; ``order`` must be ascending and total within
+    ``keys``; ``segment`` must be non-NULL and non-decreasing along ``order``.
+    The carry is joined on exactly (keys, _seg), the partitioning the window
+    already produced, so only the small carry table moves; the result stays
+    hash-partitioned by (keys, _seg) and a following window partitioned by
     (keys, _seg, ...) needs no new shuffle.
     """
     d = df.withColumn(SEG, segment)
@@ -53,7 +43,7 @@ def lag_in_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         *keys, SEG, F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)]).alias("_last"))
     ws = Window.partitionBy(*keys).orderBy(SEG)
     carry = last.select(*keys, SEG, F.lag("_last").over(ws).alias("_carry"))
-    out = _null_safe_join(local, carry, [*keys, SEG], "left")
+    out = local.join(carry, [*keys, SEG], "left")
     for i, c in enumerate(cols):
         out = out.withColumn(
             prefix + c,
@@ -65,7 +55,8 @@ def sweep(df: DataFrame, keys: Sequence[str], order: str, segment: Column,
           value: str, max_summary_rows: int, summary_bound: int | None = None) -> DataFrame:
     """Running total, row number and next value along ``order`` per ``keys``.
 
-    ``df`` holds one row per distinct ``order`` value within ``keys``.  Adds
+    ``df`` holds one row per distinct non-NULL ``order`` value within
+    (non-NULL) ``keys``.  Adds
     ``running`` (sum of ``value`` up to and including the row), ``row_num``
     (1-based position) and ``next_value`` (the next row's ``order``, NULL on
     the last row).  Per-segment offsets come from a summary with one row per
@@ -87,7 +78,7 @@ def sweep(df: DataFrame, keys: Sequence[str], order: str, segment: Column,
         F.lead("_first").over(ws).alias("_next_first"),
     )
     summary = broadcast_within(summary, summary_bound, max_summary_rows)
-    j = _null_safe_join(d, summary, [*keys, SEG], "inner")
+    j = d.join(summary, [*keys, SEG], "inner")
     w = Window.partitionBy(*keys, SEG).orderBy(F.col(order).asc())
     return j.select(
         *[c for c in d.columns if c != SEG],

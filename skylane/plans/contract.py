@@ -32,7 +32,9 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def _layers(spark: SparkSession, sf_dir: str, rules: ArrivalRules = CONTRACT_RULES):
-    return build_layers(fixture_sources(spark, sf_dir), rules)
+    # shared layers (filtered flights, terminal-area radar, profile, occupancy)
+    # are computed once per query and reused by every consumer
+    return build_layers(fixture_sources(spark, sf_dir), rules, materialize="cache")
 
 
 def _secs(name: str, alias: str | None = None):

@@ -8,10 +8,11 @@
                           radar_in_terminal_area -> occupancy      |
     filtered + profile + occupancy -> flight_consumption -> ml_features
 
-With ``materialize_layers`` the layers read by several consumers (filtered
-flights, terminal-area radar, profile, occupancy) are computed once into the
-session's checkpoint folder, which also bounds recomputation after an
-executor loss.
+The layers read by several consumers (filtered flights, interpolated chart,
+terminal-area radar, profile, occupancy) are computed once: ``materialize``
+``"checkpoint"`` writes them into the session's checkpoint folder (lineage
+cut, bounded recomputation after an executor loss), ``"cache"`` keeps them in
+executor storage for one session, ``"none"`` leaves the plan whole.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ from skylane.sources.sinks import export_jdbc, write_table
 class ArrivalLayers:
     """All tables of the pipeline, built on first access and memoised.
 
-    ``layers["vertical_profile"]`` builds only what that table needs.  With
-    ``materialize_layers`` the shared layers are checkpointed once.  The row
+    ``layers["vertical_profile"]`` builds only what that table needs; shared
+    layers are materialised once according to ``materialize``.  The row
     bound of the filtered flights (one aggregate job) is measured on first use
     and drives every flight-level broadcast decision.
     """
@@ -49,12 +50,20 @@ class ArrivalLayers:
         "flight_consumption", "ml_features",
     )
 
-    def __init__(self, sources: Sources, rules: ArrivalRules, materialize_layers: bool = False):
+    def __init__(self, sources: Sources, rules: ArrivalRules, materialize: str = "none"):
         self.sources = sources
         self.rules = rules
-        self.materialize_layers = materialize_layers
+        self.materialize = materialize
         self._memo: dict[str, DataFrame] = {}
         self._bounds: FlightBounds | None = None
+        self._chart_rows: int | None = None
+
+    @property
+    def chart_rows(self) -> int:
+        """Rows of the staged fuel chart (one small count)."""
+        if self._chart_rows is None:
+            self._chart_rows = self["stg_chart"].count()
+        return self._chart_rows
 
     @property
     def bounds(self) -> FlightBounds:
@@ -76,7 +85,7 @@ class ArrivalLayers:
         return self._memo[name]
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        return materialize(df) if self.materialize_layers else df
+        return materialize(df, self.materialize)
 
     # -- layer definitions -------------------------------------------------
     def _stg_flights(self):
@@ -95,7 +104,8 @@ class ArrivalLayers:
         return self._keep(filter_arrivals(self["flights_enriched"], self.rules))
 
     def _fuel_chart_interpolated(self):
-        return self._keep(interpolate_fuel_chart(self["stg_chart"], self.rules))
+        return self._keep(interpolate_fuel_chart(self["stg_chart"], self.rules,
+                                                 chart_rows=self.chart_rows))
 
     def _radar_in_terminal_area(self):
         return self._keep(radar_in_terminal_area(
@@ -103,12 +113,13 @@ class ArrivalLayers:
 
     def _fuel_at_points(self):
         return fuel_flow_at_points(self["radar_in_terminal_area"],
-                                   self["fuel_chart_interpolated"], self.rules)
+                                   self["fuel_chart_interpolated"], self.rules,
+                                   chart_rows=self.chart_rows)
 
     def _vertical_profile(self):
         return self._keep(vertical_profile(
             self["radar_in_terminal_area"], self["fuel_chart_interpolated"], self.rules,
-            bounds=self.bounds))
+            bounds=self.bounds, chart_rows=self.chart_rows))
 
     def _occupancy(self):
         return self._keep(occupancy_intervals(
@@ -124,17 +135,18 @@ class ArrivalLayers:
         return transit_metrics(self["flights_filtered"])
 
     def _flight_consumption(self):
-        return flight_consumption(self["flights_filtered"], self["vertical_profile"],
-                                  self["occupancy"], self.rules, bounds=self.bounds)
+        return self._keep(flight_consumption(
+            self["flights_filtered"], self["vertical_profile"], self["occupancy"], self.rules,
+            bounds=self.bounds))
 
     def _ml_features(self):
         return ml_features(self["flight_consumption"], self.rules, bounds=self.bounds)
 
 
 def build_layers(sources: Sources, rules: ArrivalRules,
-                 materialize_layers: bool = False) -> ArrivalLayers:
+                 materialize: str = "none") -> ArrivalLayers:
     """All tables of the pipeline, keyed by layer name (built lazily)."""
-    return ArrivalLayers(sources, rules, materialize_layers)
+    return ArrivalLayers(sources, rules, materialize)
 
 
 def storable(df: DataFrame) -> DataFrame:
@@ -165,7 +177,7 @@ def run_pipeline(sources: Sources, rules: ArrivalRules, out_dir: str,
                  jdbc: dict | None = None) -> ArrivalLayers:
     """Build every layer, write it under ``out_dir/<name>`` (full rebuild) and,
     if ``jdbc`` = {url, table, properties} is given, export the features."""
-    layers = build_layers(sources, rules, materialize_layers=True)
+    layers = build_layers(sources, rules, materialize="checkpoint")
     for name, parts in OUTPUTS.items():
         write_table(storable(layers[name]), f"{out_dir}/{name}", parts or None)
     if jdbc:

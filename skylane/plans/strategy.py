@@ -20,6 +20,7 @@ from __future__ import annotations
 import tempfile
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skylane.functions.timefns import bin_seconds, seconds_between
@@ -83,11 +84,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
+    """Compute ``df`` once for several consumers.
 
-    A lost executor then re-reads the checkpoint files instead of recomputing
-    the upstream joins.
+    ``checkpoint``: write it into the shared checkpoint folder and cut its
+    lineage; a lost executor re-reads the files instead of recomputing the
+    upstream joins (use for long pipelines).  ``cache``: keep it in executor
+    memory/disk (``MEMORY_AND_DISK``) for reuse within one session; lost
+    blocks are recomputed from lineage.  ``none``: return ``df`` unchanged.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if mode == "checkpoint":
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if mode == "cache":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if mode == "none":
+        return df
+    raise ValueError(f"materialize mode must be checkpoint, cache or none, not {mode!r}")

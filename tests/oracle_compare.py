@@ -33,7 +33,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return ("nan",)
-        return round(v, 9) + 0.0
+        return v + 0.0 if os.environ.get("EXACT") else round(v, 9) + 0.0
     if hasattr(v, "as_tuple"):  # Decimal
         return float(v)
     if isinstance(v, dt.datetime):
