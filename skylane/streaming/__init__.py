@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analytics this package reproduces are a daily full-refresh batch: no
+stream sources, watermarks, event-time windows or stateful operators exist in
+them, so nothing here is a streaming operator.  The batch functions are
+DataFrame -> DataFrame and can be applied inside ``foreachBatch`` of a
+Structured Streaming query by a caller that wants micro-batch scheduling.
+"""
