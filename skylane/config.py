@@ -34,17 +34,22 @@ class ArrivalRules:
       max_level, level_step: fuel chart interpolation grid.
       tie_rule: ``"first"`` or ``"settled"`` occupancy count at shared instants.
 
-    Fidelity flags (default False = reference behaviour):
-      match_level: attach fuel flow of the point's own level only (no fan-out
-        across levels recorded at the same instant).
-      keep_flight_id: consumption rows keep the flight key even without fuel.
-      row_preserving: the moving average is computed per row instead of joined
-        back by (non-unique) flight key.
-      cross_midnight: radar points before midnight of a flight that lands
-        after midnight are kept.
+    Fidelity flags:
+      match_level (False = reference): attach fuel flow of the point's own
+        level only, instead of every level recorded at the same instant.
+      keep_flight_id (False = reference): consumption rows keep the flight
+        key even without fuel.
+      row_preserving (True; False = reference): the moving average is computed
+        per row.  The reference joins it back by the non-unique flight key,
+        which emits k x k rows for k rows sharing a key — quadratic when one
+        key is hot — so the linear form is the default.
+      cross_midnight (False = reference): radar points before midnight of a
+        flight that lands after midnight are kept.
 
     Scale knobs:
-      broadcast_max_rows: a side is broadcast only when counted below this.
+      broadcast_max_rows: a side is broadcast only when bounded below this.
+      group_max_rows: a percentile group is merged in one task only when
+        bounded below this (else range-partitioned ranks).
       sweep_unit: segment of the global occupancy sweep ("day" or "hour").
       profile_unit: segment of the per-flight sequence step ("hour"...).
       interval_unit: bin of the point-in-interval join.
@@ -64,10 +69,11 @@ class ArrivalRules:
 
     match_level: bool = False
     keep_flight_id: bool = False
-    row_preserving: bool = False
+    row_preserving: bool = True
     cross_midnight: bool = False
 
     broadcast_max_rows: int = 2_000_000
+    group_max_rows: int = 1_000_000
     sweep_unit: str = "day"
     profile_unit: str = "hour"
     interval_unit: str = "hour"

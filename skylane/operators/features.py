@@ -8,16 +8,25 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from skylane.config import ArrivalRules
 from skylane.functions.timefns import bin_seconds, epoch_micros, weekday_name
+from skylane.operators.percentile import exact_percentile
 from skylane.plans.strategy import FlightBounds, broadcast_within
 
 FUEL_GROUP = ("adep", "aircraft", "drwy_validado")
 
 
-def fuel_percentile(base: DataFrame, rules: ArrivalRules) -> DataFrame:
+def fuel_percentile(base: DataFrame, rules: ArrivalRules,
+                    bounds: FlightBounds | None = None, method: str | None = None) -> DataFrame:
     """Exact percentile (linear interpolation, NULLs ignored) of the fuel burned
-    per (origin, aircraft type, runway) — ``consumption_20p``."""
-    return base.groupBy(*FUEL_GROUP).agg(
-        F.percentile("consumption_kg", rules.percentile).alias("consumption_20p"))
+    per (origin, aircraft type, runway) — ``consumption_20p``.
+
+    A group has at most one row per flight, so the flight bound decides whether
+    a group may be merged in one task (see ``exact_percentile``).
+    """
+    return exact_percentile(
+        base, FUEL_GROUP, "consumption_kg", rules.percentile, "consumption_20p",
+        group_bound=None if bounds is None else bounds.flights,
+        max_group_rows=rules.group_max_rows, broadcast_max_rows=rules.broadcast_max_rows,
+        method=method)
 
 
 def transit_moving_average(df: DataFrame, rules: ArrivalRules,
@@ -54,8 +63,10 @@ def ml_features(consumption: DataFrame, rules: ArrivalRules,
     percentile of the (origin, type, runway) group, moving transit average
     and ``kpi16 = consumption_kg - consumption_20p``.
 
-    The moving average is matched back by flight key like the reference (keys
-    repeat -> every pairing); ``rules.row_preserving`` keeps one row per input.
+    By default the moving average is computed on each row (one output row per
+    consumption row).  ``rules.row_preserving=False`` matches it back by the
+    non-unique flight key like the reference, which emits every pairing of rows
+    sharing a key (k x k rows for k such rows).
     """
     base = consumption.select(
         "*",
@@ -65,7 +76,7 @@ def ml_features(consumption: DataFrame, rules: ArrivalRules,
     )
     # both sides below have at most one row per consumption row (= per flight)
     flights = None if bounds is None else bounds.flights
-    p20 = broadcast_within(fuel_percentile(base, rules), flights, rules.broadcast_max_rows)
+    p20 = broadcast_within(fuel_percentile(base, rules, bounds), flights, rules.broadcast_max_rows)
     with_p = base.join(p20, list(FUEL_GROUP), "left")
     if rules.row_preserving:
         full = transit_moving_average(with_p, rules)

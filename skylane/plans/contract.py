@@ -179,8 +179,16 @@ def q_flight_consumption_keep_id(spark, sf_dir):
 
 
 def q_fuel_p20(spark, sf_dir):
+    layers = _layers(spark, sf_dir)
+    base = layers["flight_consumption"]
+    return fuel_percentile(base, CONTRACT_RULES, layers.bounds).select(
+        "adep", "aircraft", "drwy_validado", _r("consumption_20p", 4))
+
+
+def q_fuel_p20_ranked(spark, sf_dir):
+    """The percentile by range-partitioned ranks (the plan for unbounded groups)."""
     base = _layers(spark, sf_dir)["flight_consumption"]
-    return fuel_percentile(base, CONTRACT_RULES).select(
+    return fuel_percentile(base, CONTRACT_RULES, method="range").select(
         "adep", "aircraft", "drwy_validado", _r("consumption_20p", 4))
 
 
@@ -203,8 +211,9 @@ def q_ml_features(spark, sf_dir):
     return _features_out(_layers(spark, sf_dir)["ml_features"])
 
 
-def q_ml_features_row_preserving(spark, sf_dir):
-    rules = CONTRACT_RULES.with_(row_preserving=True)
+def q_ml_features_key_join(spark, sf_dir):
+    """The reference's form: moving average joined back by the non-unique key."""
+    rules = CONTRACT_RULES.with_(row_preserving=False)
     layers = _layers(spark, sf_dir, rules)
     return _features_out(ml_features(layers["flight_consumption"], rules, bounds=layers.bounds))
 

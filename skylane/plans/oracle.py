@@ -254,10 +254,10 @@ CTES: list[tuple[str, str]] = [
         SELECT b.*, p.consumption_20p FROM feature_base b
         LEFT JOIN fuel_p20 p
           ON p.adep = b.adep AND p.aircraft = b.aircraft AND p.drwy_validado = b.drwy_validado"""),
-    ("ml_features", """
+    ("ml_features_key_join", """
         SELECT b.*, t.transit_tma_predicted FROM features_with_p20 b
         LEFT JOIN transit_moving_avg t ON t.id = b.id"""),
-    ("ml_features_row_preserving", f"""
+    ("ml_features", f"""
         SELECT b.*, avg(b.transit_tma) OVER (PARTITION BY b.drwy_validado, b.setor ORDER BY b.aldt
             RANGE BETWEEN INTERVAL {_HORIZON} SECOND PRECEDING AND CURRENT ROW)
             AS transit_tma_predicted
@@ -351,10 +351,11 @@ FINAL_SELECTS: dict[str, str] = {
     "flight_consumption": f"SELECT {_CONSUMPTION_OUT} FROM flight_consumption",
     "flight_consumption_keep_id": f"SELECT {_CONSUMPTION_OUT} FROM flight_consumption_keep_id",
     "fuel_p20": f"SELECT adep, aircraft, drwy_validado, {_R4('consumption_20p')} FROM fuel_p20",
+    "fuel_p20_ranked": f"SELECT adep, aircraft, drwy_validado, {_R4('consumption_20p')} FROM fuel_p20",
     "transit_moving_avg": f"""SELECT id, aldt, drwy_validado, setor, transit_tma,
         {_R4('transit_tma_predicted')} FROM transit_moving_avg""",
     "ml_features": f"SELECT {_FEATURES_OUT} FROM ml_features",
-    "ml_features_row_preserving": f"SELECT {_FEATURES_OUT} FROM ml_features_row_preserving",
+    "ml_features_key_join": f"SELECT {_FEATURES_OUT} FROM ml_features_key_join",
     "dq_report": _dq_report_sql(),
     "dq_custom": _DQ_CUSTOM,
 }

@@ -117,3 +117,19 @@ def test_percentile_linear_interpolation_ignores_nulls(spark):  # A4
     df = spark.createDataFrame([("A", "X", "1", v) for v in (1.0, 2.0, None, 10.0)],
                                "adep string, aircraft string, drwy_validado string, consumption_kg double")
     assert fuel_percentile(df, ArrivalRules()).collect()[0].consumption_20p == 1.4
+
+
+def test_range_percentile_equals_hash_percentile(spark):  # A4 at scale
+    from skylane.operators.percentile import exact_percentile
+    rnd = random.Random(5)
+    rows = [("hot", "X", "1", rnd.choice([None, float(rnd.randrange(50))])) for _ in range(3000)]
+    rows += [(f"g{i % 40}", "Y", rnd.choice(["2", None]), float(rnd.randrange(1000)) / 7)
+             for i in range(600)]
+    rows += [("nulls", "Z", "3", None)] * 3 + [("one", "Z", "3", 4.5)]
+    df = spark.createDataFrame(rows, "adep string, aircraft string, drwy_validado string, v double") \
+        .repartition(6)
+    for p in (0.0, 0.2, 0.5, 0.99, 1.0):
+        args = (df, ["adep", "aircraft", "drwy_validado"], "v", p, "q", None, 10, 1000)
+        a = sorted(exact_percentile(*args, method="hash").collect(), key=repr)
+        b = sorted(exact_percentile(*args, method="range").collect(), key=repr)
+        assert a == b, p
