@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
                   app: str = "skylane") -> SparkSession:
     """Local session: AQE on, UI off, UTC session zone, shuffle partitions ~ cores."""
-    parts = shuffle_partitions or max(2 * cores, 4)
+    parts = shuffle_partitions or cores
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.ui.enabled", "false")
