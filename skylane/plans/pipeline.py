@@ -10,9 +10,10 @@
 
 The layers read by several consumers (filtered flights, interpolated chart,
 terminal-area radar, profile, occupancy) are computed once: ``materialize``
-``"checkpoint"`` writes them into the session's checkpoint folder (lineage
-cut, bounded recomputation after an executor loss), ``"cache"`` keeps them in
-executor storage for one session, ``"none"`` leaves the plan whole.
+``"checkpoint"`` (default) writes them into the session's checkpoint folder
+(lineage cut, bounded recomputation after an executor loss), ``"cache"`` keeps
+them in executor storage for one session, ``"none"`` leaves one plan in which
+every consumer re-derives the shared layers (for plan inspection only).
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ class ArrivalLayers:
         "flight_consumption", "ml_features",
     )
 
-    def __init__(self, sources: Sources, rules: ArrivalRules, materialize: str = "none"):
+    def __init__(self, sources: Sources, rules: ArrivalRules, materialize: str = "checkpoint"):
         self.sources = sources
         self.rules = rules
         self.materialize = materialize
@@ -144,7 +145,7 @@ class ArrivalLayers:
 
 
 def build_layers(sources: Sources, rules: ArrivalRules,
-                 materialize: str = "none") -> ArrivalLayers:
+                 materialize: str = "checkpoint") -> ArrivalLayers:
     """All tables of the pipeline, keyed by layer name (built lazily)."""
     return ArrivalLayers(sources, rules, materialize)
 
