@@ -70,7 +70,8 @@ def _plan(df):
 
 
 def test_plans_have_no_nested_loops_or_python(spark):
-    layers = build_layers(fixture_sources(spark, "/root/testdata/sf0.001"), ArrivalRules(min_points=3))
+    layers = build_layers(fixture_sources(spark, "/root/testdata/sf0.001"), ArrivalRules(min_points=3),
+                          materialize="none")  # the whole plan, not checkpoint scans
     for name in ("radar_in_terminal_area", "vertical_profile", "occupancy", "flight_consumption",
                  "ml_features"):
         plan = _plan(layers[name])
@@ -91,7 +92,8 @@ def test_sources_prune_partitions_and_push_filters(spark):
     import datetime as dt
     radar = read_radar_points(spark, os.path.join(base, "radar"), start=dt.date(2024, 1, 2))
     flights = read_flight_records(spark, os.path.join(base, "flights"))
-    layers = build_layers(Sources(flights, radar, src.chart), ArrivalRules(min_points=3))
+    layers = build_layers(Sources(flights, radar, src.chart), ArrivalRules(min_points=3),
+                          materialize="none")
     spark.conf.set("spark.sql.maxMetadataStringLength", "5000")  # untruncated filter lists
     plan = _plan(layers["radar_in_terminal_area"])
     spark.conf.unset("spark.sql.maxMetadataStringLength")
