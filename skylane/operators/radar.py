@@ -16,7 +16,9 @@ def radar_in_terminal_area(filtered: DataFrame, stg_radar: DataFrame,
     1. one flight per key (latest landing);
     2. points with a real callsign, level and speed, equi-joined to the flight
        on (callsign, date) with the time window as a residual — the flights
-       side is broadcast when its counted size allows, so radar is not shuffled;
+       side (one row per flight, bounded by ``bounds.flights``; counted when no
+       bound is given or flights span midnight) is broadcast when within
+       ``broadcast_max_rows``, so radar is not shuffled for the join;
     3. first point per (flight, level): earliest time, ties by lower speed.
        This is a partial-then-final aggregate, so a flight with very many
        points never lands whole in one task.

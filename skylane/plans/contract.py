@@ -15,7 +15,7 @@ from skylane.config import ArrivalRules
 from skylane.functions.intervals import interval_seconds
 from skylane.functions.numeric import round_half_away
 from skylane.operators import (
-    flight_consumption, flight_fuel, fuel_percentile, latest_flight_per_key,
+    flight_fuel, fuel_percentile, latest_flight_per_key,
     ml_features, occupancy_at, occupancy_intervals, transit_moving_average,
 )
 from skylane.operators.quality import (
