@@ -72,7 +72,7 @@ class ArrivalRules:
     row_preserving: bool = True
     cross_midnight: bool = False
 
-    broadcast_max_rows: int = 2_000_000
+    broadcast_max_rows: int = 1_000_000
     group_max_rows: int = 1_000_000
     sweep_unit: str = "day"
     profile_unit: str = "hour"

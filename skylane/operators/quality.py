@@ -114,7 +114,7 @@ def run_checks(tables: Mapping[str, DataFrame],
 
 
 def orphan_keys(fact: DataFrame, dim: DataFrame, key: str = "id",
-                max_broadcast_rows: int = 2_000_000, dim_bound: int | None = None) -> DataFrame:
+                max_broadcast_rows: int = 1_000_000, dim_bound: int | None = None) -> DataFrame:
     """Rows of ``fact`` whose key is missing from ``dim`` (NULL keys count)."""
     keys = broadcast_within(dim.select(key).distinct(), dim_bound, max_broadcast_rows)
     return fact.select(key).join(keys, key, "left_anti").agg(

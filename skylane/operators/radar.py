@@ -23,6 +23,7 @@ def radar_in_terminal_area(filtered: DataFrame, stg_radar: DataFrame,
        This is a partial-then-final aggregate, so a flight with very many
        points never lands whole in one task.
 
+    With ``bounds``, radar is first limited to the flights' overall time span.
     ``rules.cross_midnight`` also matches points dated the day before landing.
     Output: id, dt_radar, nr_speed, fl (decimal), aircraft_type, c_time, aldt.
     """
@@ -33,6 +34,12 @@ def radar_in_terminal_area(filtered: DataFrame, stg_radar: DataFrame,
         & F.col("flight_level").isNotNull()
         & F.col("aircraft_speed").isNotNull()
     )
+    if bounds is not None and bounds.first_time is not None:
+        # implied by every flight's window; reaches the Parquet scan as a data
+        # filter, so row groups outside the flights' time span are skipped
+        radar = radar.where(F.col("radar_timestamp").between(
+            F.lit(bounds.first_time).cast("timestamp_ntz"),
+            F.lit(bounds.last_time).cast("timestamp_ntz")))
     if rules.cross_midnight:
         first_day = F.least(F.col("entry_time").cast("date"), F.col("flight_date"))
         side = flights.select(

@@ -46,10 +46,14 @@ class FlightBounds:
 
     flights: number of flight rows (bounds every per-flight table).
     span_seconds: from the earliest entry/landing to the latest one.
+    first_time, last_time: that earliest and latest instant (None if no flight);
+      every terminal-area window lies inside them.
     """
 
     flights: int
     span_seconds: float
+    first_time: object = None
+    last_time: object = None
 
     def bins(self, unit: str) -> int:
         """Upper bound of the time bins of ``unit`` touched inside the span."""
@@ -60,8 +64,10 @@ class FlightBounds:
         t = filtered.select(F.least("entry_time", "landing_time").alias("lo"),
                             F.greatest("entry_time", "landing_time").alias("hi"))
         row = t.agg(F.count(F.lit(1)).alias("n"),
-                    seconds_between(F.min("lo"), F.max("hi")).alias("span")).collect()[0]
-        return FlightBounds(flights=int(row["n"]), span_seconds=float(row["span"] or 0.0))
+                    seconds_between(F.min("lo"), F.max("hi")).alias("span"),
+                    F.min("lo").alias("first"), F.max("hi").alias("last")).collect()[0]
+        return FlightBounds(flights=int(row["n"]), span_seconds=float(row["span"] or 0.0),
+                            first_time=row["first"], last_time=row["last"])
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -102,6 +102,7 @@ def test_sources_prune_partitions_and_push_filters(spark):
     assert "StringStartsWith(adep,SB)" in plan and "In(type, [" in plan
     assert "IsNotNull(ds_registration)" in plan and "Not(EqualTo(ds_registration,NULL))" in plan
     assert "IsNotNull(nr_flightlevel)" in plan and "IsNotNull(nr_speed)" in plan
+    assert "GreaterThanOrEqual(dt_radar," in plan and "LessThanOrEqual(dt_radar," in plan
     assert layers["radar_in_terminal_area"].count() > 0
 
 
