@@ -158,19 +158,19 @@ def storable(df: DataFrame) -> DataFrame:
         for f in df.schema.fields])
 
 
-# Tables written by run_pipeline and their partition columns.
+# Tables written by run_pipeline: (partition columns, sort columns).
 OUTPUTS = {
-    "flights_filtered": ["flight_date"],
-    "radar_in_terminal_area": [],
-    "fuel_chart_interpolated": [],
-    "fuel_at_points": [],
-    "vertical_profile": [],
-    "occupancy": [],
-    "dim_flight_identifiers": ["date"],
-    "dim_flight_operational_attributes": [],
-    "fct_flight_transit_metrics": [],
-    "flight_consumption": ["date"],
-    "ml_features": ["date"],
+    "flights_filtered": (["flight_date"], None),
+    "radar_in_terminal_area": (None, None),
+    "fuel_chart_interpolated": (None, None),
+    "fuel_at_points": (None, None),
+    "vertical_profile": (None, None),
+    "occupancy": (None, ["dt_valid_from"]),
+    "dim_flight_identifiers": (["date"], None),
+    "dim_flight_operational_attributes": (None, None),
+    "fct_flight_transit_metrics": (None, None),
+    "flight_consumption": (["date"], None),
+    "ml_features": (["date"], None),
 }
 
 
@@ -179,8 +179,8 @@ def run_pipeline(sources: Sources, rules: ArrivalRules, out_dir: str,
     """Build every layer, write it under ``out_dir/<name>`` (full rebuild) and,
     if ``jdbc`` = {url, table, properties} is given, export the features."""
     layers = build_layers(sources, rules, materialize="checkpoint")
-    for name, parts in OUTPUTS.items():
-        write_table(storable(layers[name]), f"{out_dir}/{name}", parts or None)
+    for name, (parts, order) in OUTPUTS.items():
+        write_table(storable(layers[name]), f"{out_dir}/{name}", parts, sort_by=order)
     if jdbc:
         export_jdbc(layers["ml_features"], jdbc["url"], jdbc["table"], jdbc.get("properties"))
     return layers

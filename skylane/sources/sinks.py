@@ -6,9 +6,17 @@ from pyspark.sql import DataFrame
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> None:
-    """Write a layer as Parquet; ``overwrite`` rebuilds it like a full refresh."""
-    w = df.write.mode(mode)
+                mode: str = "overwrite", sort_by: list[str] | None = None,
+                max_records_per_file: int = 5_000_000) -> None:
+    """Write a layer as Parquet; ``overwrite`` rebuilds it like a full refresh.
+
+    ``sort_by`` orders the table globally (range-partitioned sort, files in
+    order) — the place for a final ORDER BY.  Files hold at most
+    ``max_records_per_file`` rows.
+    """
+    if sort_by:
+        df = df.orderBy(*sort_by)
+    w = df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
