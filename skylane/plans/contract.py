@@ -31,10 +31,10 @@ CONTRACT_RULES = ArrivalRules(min_points=15)
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
-def _layers(spark: SparkSession, sf_dir: str, rules: ArrivalRules = CONTRACT_RULES):
+def _layers(spark: SparkSession, sf_dir: str, rules: ArrivalRules | None = None):
     # shared layers (filtered flights, chart, terminal-area radar, profile,
     # occupancy, consumption) are checkpointed once and read by every consumer
-    return build_layers(fixture_sources(spark, sf_dir), rules)
+    return build_layers(fixture_sources(spark, sf_dir), rules or CONTRACT_RULES)
 
 
 def _secs(name: str, alias: str | None = None):
@@ -225,12 +225,12 @@ def q_dq_report(spark, sf_dir):
 def q_dq_custom(spark, sf_dir):
     layers = _layers(spark, sf_dir)
     dim = layers["dim_flight_identifiers"]
-    n = layers.bounds.flights
+    n, cap = layers.bounds.flights, layers.rules.broadcast_max_rows
     return custom_report({
         "transit_metrics_keys_in_dim": orphan_keys(layers["fct_flight_transit_metrics"], dim,
-                                                   dim_bound=n),
+                                                   max_broadcast_rows=cap, dim_bound=n),
         "vertical_profile_keys_in_dim": orphan_keys(layers["vertical_profile"], dim,
-                                                    dim_bound=n),
+                                                    max_broadcast_rows=cap, dim_bound=n),
         "vertical_profile_non_empty": non_empty(layers["vertical_profile"]),
     })
 

@@ -28,3 +28,36 @@ def test_every_query_has_an_oracle():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert len(df.columns) == 19 and df.count() >= 0
+
+
+SCALE_PATH_QUERIES = ["radar_in_terminal_area", "vertical_profile", "vertical_profile_own_level",
+                      "occupancy_first", "occupancy_at_entry", "flight_consumption", "fuel_p20",
+                      "ml_features", "ml_features_key_join", "dq_custom"]
+
+
+@pytest.fixture()
+def scale_paths(spark, monkeypatch):
+    """No broadcast and no in-task percentile anywhere: the plans that run when
+    flight-level tables exceed their bounds; finer sequence segments."""
+    import skylane.plans.contract as contract
+    monkeypatch.setattr(contract, "CONTRACT_RULES", contract.CONTRACT_RULES.with_(
+        broadcast_max_rows=-1, group_max_rows=-1, profile_unit="minute", sweep_unit="hour",
+        interval_unit="minute"))
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", SCALE_PATH_QUERIES)
+def test_scale_paths_match_oracle(spark, con, scale_paths, name):
+    df = E.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "BroadcastHashJoin" not in plan
+    assert compare(spark, con, name, lambda s, d: df, E.oracle_sql()[name], SF)
