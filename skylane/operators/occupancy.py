@@ -32,12 +32,14 @@ def occupancy_intervals(radar_tma: DataFrame, rules: ArrivalRules,
     airport column) give independent sweeps.
     """
     keys = list(keys)
-    pairs = radar_tma.select(*keys, "id", "c_time", "aldt").distinct()
-    entries = (pairs.select(*keys, "id", F.col("c_time").alias("t")).distinct()
-               .withColumn("delta", F.lit(1)))
-    exits = (pairs.select(*keys, "id", F.col("aldt").alias("t")).distinct()
-             .withColumn("delta", F.lit(-1)))
-    events = entries.unionByName(exits).where(F.col("t").isNotNull())
+    # entry (+1) and landing (-1) of every point's flight, distinct per
+    # (flight key, instant, kind): one aggregation, combined map-side
+    both = F.array(F.struct(F.col("c_time").alias("t"), F.lit(1).alias("delta")),
+                   F.struct(F.col("aldt").alias("t"), F.lit(-1).alias("delta")))
+    events = (radar_tma.select(*keys, "id", F.explode(both).alias("e"))
+              .select(*keys, "id", "e.t", "e.delta")
+              .where(F.col("t").isNotNull())
+              .distinct())
     instants = events.groupBy(*keys, "t").agg(
         F.sum("delta").cast("bigint").alias("delta"),
         F.max(F.when(F.col("delta") < 0, 1).otherwise(0)).alias("any_exit"))

@@ -78,15 +78,21 @@ class ArrivalLayers:
     def __iter__(self):
         return iter(self.NAMES)
 
+    # layers read by several consumers: computed once (see ``materialize``)
+    SHARED = ("flights_filtered", "fuel_chart_interpolated", "radar_in_terminal_area",
+              "vertical_profile", "occupancy", "flight_consumption")
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._memo:
-            if name not in self.NAMES:
-                raise KeyError(name)
-            self._memo[name] = getattr(self, "_" + name)()
+            df = self.plan(name)
+            self._memo[name] = materialize(df, self.materialize) if name in self.SHARED else df
         return self._memo[name]
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        return materialize(df, self.materialize)
+    def plan(self, name: str) -> DataFrame:
+        """The layer's own (unmaterialised) plan over its materialised inputs."""
+        if name not in self.NAMES:
+            raise KeyError(name)
+        return getattr(self, "_" + name)()
 
     # -- layer definitions -------------------------------------------------
     def _stg_flights(self):
@@ -102,15 +108,14 @@ class ArrivalLayers:
         return enrich_flights(self["stg_flights"])
 
     def _flights_filtered(self):
-        return self._keep(filter_arrivals(self["flights_enriched"], self.rules))
+        return filter_arrivals(self["flights_enriched"], self.rules)
 
     def _fuel_chart_interpolated(self):
-        return self._keep(interpolate_fuel_chart(self["stg_chart"], self.rules,
-                                                 chart_rows=self.chart_rows))
+        return interpolate_fuel_chart(self["stg_chart"], self.rules, chart_rows=self.chart_rows)
 
     def _radar_in_terminal_area(self):
-        return self._keep(radar_in_terminal_area(
-            self["flights_filtered"], self["stg_radar"], self.rules, bounds=self.bounds))
+        return radar_in_terminal_area(
+            self["flights_filtered"], self["stg_radar"], self.rules, bounds=self.bounds)
 
     def _fuel_at_points(self):
         return fuel_flow_at_points(self["radar_in_terminal_area"],
@@ -118,13 +123,12 @@ class ArrivalLayers:
                                    chart_rows=self.chart_rows)
 
     def _vertical_profile(self):
-        return self._keep(vertical_profile(
+        return vertical_profile(
             self["radar_in_terminal_area"], self["fuel_chart_interpolated"], self.rules,
-            bounds=self.bounds, chart_rows=self.chart_rows))
+            bounds=self.bounds, chart_rows=self.chart_rows)
 
     def _occupancy(self):
-        return self._keep(occupancy_intervals(
-            self["radar_in_terminal_area"], self.rules, bounds=self.bounds))
+        return occupancy_intervals(self["radar_in_terminal_area"], self.rules, bounds=self.bounds)
 
     def _dim_flight_identifiers(self):
         return flight_identifiers(self["flights_filtered"])
@@ -136,9 +140,8 @@ class ArrivalLayers:
         return transit_metrics(self["flights_filtered"])
 
     def _flight_consumption(self):
-        return self._keep(flight_consumption(
-            self["flights_filtered"], self["vertical_profile"], self["occupancy"], self.rules,
-            bounds=self.bounds))
+        return flight_consumption(self["flights_filtered"], self["vertical_profile"],
+                                  self["occupancy"], self.rules, bounds=self.bounds)
 
     def _ml_features(self):
         return ml_features(self["flight_consumption"], self.rules, bounds=self.bounds)

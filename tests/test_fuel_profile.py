@@ -98,3 +98,22 @@ def test_segmented_lag_equals_plain_lag(spark):  # W3 design
     for unit in ("minute", "hour", "day"):
         seg = lag_in_sequence(df, ["id"], ["t", "v"], time_bin(F.col("t"), unit), ["v"]).drop("_seg")
         assert sorted(seg.collect()) == sorted(plain.collect()), unit
+
+
+def test_sequence_step_spreads_the_largest_flight(spark):
+    """The previous-point step runs per (flight, hour), so the flight with the
+    most points is processed by several tasks, not one."""
+    from skylane.plans.pipeline import build_layers
+    from skylane.sources.fixture import fixture_sources
+    layers = build_layers(fixture_sources(spark, "/root/testdata/sf0.01"), ArrivalRules(min_points=15))
+    tma = layers["radar_in_terminal_area"]
+    top = tma.groupBy("id").count().orderBy(F.desc("count"), "id").first().id
+    seq = lag_in_sequence(tma, ["id"], ["dt_radar", "fl"], time_bin(F.col("dt_radar"), "hour"),
+                          ["dt_radar", "fl"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tiny data
+    try:
+        parts = (seq.where(F.col("id") == top).select(F.spark_partition_id().alias("p"))
+                 .distinct().count())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert parts > 1
