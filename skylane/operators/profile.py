@@ -9,7 +9,7 @@ from skylane.functions.numeric import round_half_away
 from skylane.functions.timefns import seconds_between, time_bin
 from skylane.operators.fuel import fuel_lookup, level_key
 from skylane.operators.sequence import SEG, lag_in_sequence
-from skylane.plans.strategy import FlightBounds, broadcast_within
+from skylane.plans.strategy import FlightBounds
 
 
 def vertical_profile(radar_tma: DataFrame, chart_levels: DataFrame,
@@ -28,22 +28,20 @@ def vertical_profile(radar_tma: DataFrame, chart_levels: DataFrame,
 
     Points are ordered by time, then level.  The previous point is found per
     (flight, time segment) with a carry across segments, so one long or
-    dense flight is spread over several tasks.
+    dense flight is spread over several tasks; the same step counts each
+    flight's points for the ``min_points`` rule.  ``bounds`` is accepted for a
+    uniform signature (the profile needs no flight-level broadcast).
     Output: id, aircraft_type, c_time, dt_radar, nr_speed, fl, avg_rocd,
     elapsed, fuel_flow.
     """
     pts = radar_tma.select("id", "aircraft_type", "c_time", "dt_radar", "nr_speed", "fl")
-    enough = (pts.groupBy("id").agg(F.count(F.lit(1)).alias("_n"))
-              .where(F.col("_n") >= F.lit(rules.min_points)).select("id"))
-    flights = None if bounds is None else bounds.flights
-    pts = pts.join(broadcast_within(enough, flights, rules.broadcast_max_rows), "id", "left_semi")
-
     pts = pts.withColumn("_level", level_key(pts)).join(
         fuel_lookup(chart_levels, rules, chart_rows), ["aircraft_type", "_level"], "left")
 
+    # the step also counts each flight's points (all of them, before any drop)
     seq = lag_in_sequence(pts, keys=["id"], order=["dt_radar", "fl"],
                           segment=time_bin(F.col("dt_radar"), rules.profile_unit),
-                          cols=["dt_radar", "fl"])
+                          cols=["dt_radar", "fl"], count_col="_n")
     if rules.match_level:
         fuels = F.col("_own_fuels")
     else:
@@ -58,7 +56,7 @@ def vertical_profile(radar_tma: DataFrame, chart_levels: DataFrame,
         "id", "aircraft_type", "c_time", "dt_radar", "nr_speed", "fl",
         round_half_away(climb / seconds_ms, 2).alias("avg_rocd"),
         F.coalesce(delta, F.lit(0.0)).alias("elapsed"),
-        fuels.alias("_fuels"),
-    ).where(F.col("elapsed") != 0)
+        fuels.alias("_fuels"), "_n",
+    ).where((F.col("elapsed") != 0) & (F.col("_n") >= F.lit(rules.min_points)))
     return out.select("id", "aircraft_type", "c_time", "dt_radar", "nr_speed", "fl",
                       "avg_rocd", "elapsed", F.explode_outer("_fuels").alias("fuel_flow"))

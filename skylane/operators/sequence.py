@@ -20,9 +20,13 @@ SEG = "_seg"
 
 
 def lag_in_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                    segment: Column, cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
+                    segment: Column, cols: Sequence[str], prefix: str = "prev_",
+                    count_col: str | None = None) -> DataFrame:
     """Add ``prefix + c`` = previous row's ``c`` in (keys, ascending ``order``).
 
+    ``count_col``: also add the number of rows of the row's keys (summed from
+    the per-segment row counts in the carry step, no extra aggregation).
+
     ``keys`` must be non-NULL; ``order`` must be ascending and total within
     ``keys``; ``segment`` must be non-NULL and non-decreasing along ``order``.
     The carry is joined on exactly (keys, _seg), the partitioning the window
@@ -40,9 +44,12 @@ def lag_in_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     )
     # last row of every segment, taken from the same window (the exchange is reused)
     last = local.where(F.col("_is_last")).select(
-        *keys, SEG, F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)]).alias("_last"))
+        *keys, SEG, F.col("_pos").alias("_seg_rows"),
+        F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)]).alias("_last"))
     ws = Window.partitionBy(*keys).orderBy(SEG)
-    carry = last.select(*keys, SEG, F.lag("_last").over(ws).alias("_carry"))
+    extra = ([F.sum("_seg_rows").over(Window.partitionBy(*keys)).alias(count_col)]
+             if count_col else [])
+    carry = last.select(*keys, SEG, F.lag("_last").over(ws).alias("_carry"), *extra)
     out = local.join(carry, [*keys, SEG], "left")
     for i, c in enumerate(cols):
         out = out.withColumn(

@@ -94,9 +94,12 @@ def test_segmented_lag_equals_plain_lag(spark):  # W3 design
             t += dt.timedelta(seconds=rnd.choice([0, 4, 30, 600, 3700]))
             rows.append((f"f{f}", t, float(rnd.randrange(400))))
     df = spark.createDataFrame(rows, "id string, t timestamp_ntz, v double").dropDuplicates(["id", "t", "v"])
-    plain = df.withColumn("prev_v", F.lag("v").over(Window.partitionBy("id").orderBy("t", "v")))
+    plain = (df.withColumn("prev_v", F.lag("v").over(Window.partitionBy("id").orderBy("t", "v")))
+             .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("id"))))
     for unit in ("minute", "hour", "day"):
-        seg = lag_in_sequence(df, ["id"], ["t", "v"], time_bin(F.col("t"), unit), ["v"]).drop("_seg")
+        seg = lag_in_sequence(df, ["id"], ["t", "v"], time_bin(F.col("t"), unit), ["v"],
+                              count_col="n").select("id", "t", "v", "prev_v", "n")
+        plain = plain.select("id", "t", "v", "prev_v", "n")
         assert sorted(seg.collect()) == sorted(plain.collect()), unit
 
 
