@@ -37,9 +37,10 @@ def radar_in_terminal_area(filtered: DataFrame, stg_radar: DataFrame,
     if bounds is not None and bounds.first_time is not None:
         # implied by every flight's window; reaches the Parquet scan as a data
         # filter, so row groups outside the flights' time span are skipped
+        # literals from ISO text: no session time zone is involved
         radar = radar.where(F.col("radar_timestamp").between(
-            F.lit(bounds.first_time).cast("timestamp_ntz"),
-            F.lit(bounds.last_time).cast("timestamp_ntz")))
+            F.lit(bounds.first_time.isoformat(sep=" ")).cast("timestamp_ntz"),
+            F.lit(bounds.last_time.isoformat(sep=" ")).cast("timestamp_ntz")))
     if rules.cross_midnight:
         first_day = F.least(F.col("entry_time").cast("date"), F.col("flight_date"))
         side = flights.select(

@@ -61,3 +61,14 @@ def test_scale_paths_match_oracle(spark, con, scale_paths, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" not in plan and "BroadcastHashJoin" not in plan
     assert compare(spark, con, name, lambda s, d: df, E.oracle_sql()[name], SF)
+
+
+@pytest.mark.parametrize("name", ["radar_in_terminal_area", "occupancy_first", "ml_features"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    """Zone-less timestamps throughout: a DST session zone changes nothing."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
