@@ -32,7 +32,8 @@ def fuel_percentile(base: DataFrame, rules: ArrivalRules,
 def transit_moving_average(df: DataFrame, rules: ArrivalRules,
                            partition: Sequence[str] = ("drwy_validado", "setor"),
                            time_col: str = "aldt", value: str = "transit_tma",
-                           out: str = "transit_tma_predicted") -> DataFrame:
+                           out: str = "transit_tma_predicted",
+                           bounds: FlightBounds | None = None) -> DataFrame:
     """Average of ``value`` over rows of the same partition whose time lies in
     [t - horizon, t] (rows at the same instant included; NULL times average
     among themselves).
@@ -40,21 +41,33 @@ def transit_moving_average(df: DataFrame, rules: ArrivalRules,
     The window is partitioned by time bins (``rules.moving_avg_unit``) as well,
     so a busy runway/sector is split across tasks.  Rows within the horizon
     of the next bin are copied there as context and dropped after the window.
+    Rows without a time are all peers of each other, so their value is the
+    plain average of their partition: a map-side-combined aggregate joined
+    back (on a NULL-safe struct key), not a one-task window.
     """
     horizon = rules.horizon_seconds * 1_000_000
     width = bin_seconds(rules.moving_avg_unit) * 1_000_000
     if horizon >= width:
         raise ValueError("moving_avg_unit must be longer than the horizon")
+    partition = list(partition)
+    timed = df.where(F.col(time_col).isNotNull())
     t = epoch_micros(F.col(time_col))
     own = F.floor(t / F.lit(width)).cast("bigint")
     bins = F.when(t >= (own + 1) * F.lit(width) - F.lit(horizon),
                   F.array(own, own + 1)).otherwise(F.array(own))
-    rows = df.select("*", t.alias("_t"), own.alias("_own"), F.explode(bins).alias("_bin"))
+    rows = timed.select("*", t.alias("_t"), own.alias("_own"), F.explode(bins).alias("_bin"))
     w = (Window.partitionBy(*partition, "_bin").orderBy(F.col("_t"))
          .rangeBetween(-horizon, Window.currentRow))
-    return (rows.withColumn(out, F.avg(value).over(w))
-            .where(F.col("_bin").eqNullSafe(F.col("_own")))
-            .drop("_t", "_own", "_bin"))
+    with_time = (rows.withColumn(out, F.avg(value).over(w))
+                 .where(F.col("_bin") == F.col("_own"))
+                 .drop("_t", "_own", "_bin"))
+
+    untimed = df.where(F.col(time_col).isNull()).withColumn("_pk", F.struct(*partition))
+    peers = untimed.groupBy("_pk").agg(F.avg(value).alias(out))
+    peers = broadcast_within(peers, None if bounds is None else bounds.flights,
+                             rules.broadcast_max_rows)
+    without_time = untimed.join(peers, "_pk", "left").drop("_pk")
+    return with_time.unionByName(without_time)
 
 
 def ml_features(consumption: DataFrame, rules: ArrivalRules,
@@ -79,9 +92,9 @@ def ml_features(consumption: DataFrame, rules: ArrivalRules,
     p20 = broadcast_within(fuel_percentile(base, rules, bounds), flights, rules.broadcast_max_rows)
     with_p = base.join(p20, list(FUEL_GROUP), "left")
     if rules.row_preserving:
-        full = transit_moving_average(with_p, rules)
+        full = transit_moving_average(with_p, rules, bounds=bounds)
     else:
-        moving = transit_moving_average(base, rules).select(
+        moving = transit_moving_average(base, rules, bounds=bounds).select(
             F.col("id").alias("_mid"), "transit_tma_predicted")
         moving = broadcast_within(moving, flights, rules.broadcast_max_rows)
         full = with_p.join(moving, with_p["id"] == moving["_mid"], "left").drop("_mid")

@@ -193,8 +193,9 @@ def q_fuel_p20_ranked(spark, sf_dir):
 
 
 def q_transit_moving_avg(spark, sf_dir):
-    base = _layers(spark, sf_dir)["flight_consumption"]
-    m = transit_moving_average(base, CONTRACT_RULES)
+    layers = _layers(spark, sf_dir)
+    base = layers["flight_consumption"]
+    m = transit_moving_average(base, CONTRACT_RULES, bounds=layers.bounds)
     return m.select("id", "aldt", "drwy_validado", "setor", "transit_tma",
                     _r("transit_tma_predicted", 4))
 
