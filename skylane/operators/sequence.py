@@ -39,13 +39,15 @@ def lag_in_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     local = d.select(
         "*",
         F.row_number().over(w).alias("_pos"),
-        F.lead(F.lit(1)).over(w).isNull().alias("_is_last"),
         *[F.lag(c).over(w).alias(f"_lag{i}") for i, c in enumerate(cols)],
     )
-    # last row of every segment, taken from the same window (the exchange is reused)
-    last = local.where(F.col("_is_last")).select(
-        *keys, SEG, F.col("_pos").alias("_seg_rows"),
-        F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)]).alias("_last"))
+    # last row and row count of every segment: an aggregate combined map-side,
+    # so only ~one row per segment and task is shuffled (the window's exchange
+    # above carries the rows themselves)
+    last = d.groupBy(*keys, SEG).agg(
+        F.max(F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],
+                       *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])).alias("_last"),
+        F.count(F.lit(1)).alias("_seg_rows"))
     ws = Window.partitionBy(*keys).orderBy(SEG)
     extra = ([F.sum("_seg_rows").over(Window.partitionBy(*keys)).alias(count_col)]
              if count_col else [])
@@ -55,7 +57,7 @@ def lag_in_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         out = out.withColumn(
             prefix + c,
             F.when(F.col("_pos") == 1, F.col(f"_carry.v{i}")).otherwise(F.col(f"_lag{i}")))
-    return out.drop("_pos", "_is_last", "_carry", *[f"_lag{i}" for i in range(len(cols))])
+    return out.drop("_pos", "_carry", *[f"_lag{i}" for i in range(len(cols))])
 
 
 def sweep(df: DataFrame, keys: Sequence[str], order: str, segment: Column,

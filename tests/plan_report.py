@@ -21,7 +21,7 @@ PATTERNS = [
     (r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin) \[([^\]]*)\], \[([^\]]*)\], (\w+)", "join"),
     (r"Window \[.*?\], \[([^\]]*)\]", "window"),
     (r"WindowGroupLimit \[([^\]]*)\].*?(Partial|Final)", "top1"),
-    (r"(HashAggregate|SortAggregate|ObjectHashAggregate)\(keys=\[([^\]]*)\]", "agg"),
+    (r"(HashAggregate|SortAggregate|ObjectHashAggregate)\(keys?=\[([^\]]*)\]", "agg"),
     (r"Scan (parquet|ExistingRDD|In-memory)", "scan"),
     (r"Generate (explode\w*)", "generate"),
 ]
