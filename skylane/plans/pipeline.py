@@ -10,10 +10,12 @@
 
 The layers read by several consumers (filtered flights, interpolated chart,
 terminal-area radar, profile, occupancy) are computed once: ``materialize``
-``"checkpoint"`` (default) writes them into the session's checkpoint folder
-(lineage cut, bounded recomputation after an executor loss), ``"cache"`` keeps
-them in executor storage for one session, ``"none"`` leaves one plan in which
-every consumer re-derives the shared layers (for plan inspection only).
+``"table"`` (default) writes them as Parquet into the session's checkpoint
+folder and reads them back (lineage cut, bounded recomputation after an
+executor loss, column pruning for each consumer), ``"checkpoint"`` uses Spark's
+reliable checkpoint there, ``"cache"`` keeps them in executor storage for one
+session, ``"none"`` leaves one plan in which every consumer re-derives the
+shared layers (for plan inspection only).
 """
 
 from __future__ import annotations
@@ -51,7 +53,7 @@ class ArrivalLayers:
         "flight_consumption", "ml_features",
     )
 
-    def __init__(self, sources: Sources, rules: ArrivalRules, materialize: str = "checkpoint"):
+    def __init__(self, sources: Sources, rules: ArrivalRules, materialize: str = "table"):
         self.sources = sources
         self.rules = rules
         self.materialize = materialize
@@ -85,7 +87,8 @@ class ArrivalLayers:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._memo:
             df = self.plan(name)
-            self._memo[name] = materialize(df, self.materialize) if name in self.SHARED else df
+            self._memo[name] = (materialize(df, self.materialize, name)
+                                if name in self.SHARED else df)
         return self._memo[name]
 
     def plan(self, name: str) -> DataFrame:
@@ -148,7 +151,7 @@ class ArrivalLayers:
 
 
 def build_layers(sources: Sources, rules: ArrivalRules,
-                 materialize: str = "checkpoint") -> ArrivalLayers:
+                 materialize: str = "table") -> ArrivalLayers:
     """All tables of the pipeline, keyed by layer name (built lazily)."""
     return ArrivalLayers(sources, rules, materialize)
 
@@ -181,7 +184,7 @@ def run_pipeline(sources: Sources, rules: ArrivalRules, out_dir: str,
                  jdbc: dict | None = None) -> ArrivalLayers:
     """Build every layer, write it under ``out_dir/<name>`` (full rebuild) and,
     if ``jdbc`` = {url, table, properties} is given, export the features."""
-    layers = build_layers(sources, rules, materialize="checkpoint")
+    layers = build_layers(sources, rules, materialize="table")
     for name, (parts, order) in OUTPUTS.items():
         write_table(storable(layers[name]), f"{out_dir}/{name}", parts, sort_by=order)
     if jdbc:

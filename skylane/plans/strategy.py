@@ -18,10 +18,12 @@ folder the session names in ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DayTimeIntervalType
 
 from skylane.functions.timefns import bin_seconds, seconds_between
 
@@ -90,15 +92,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
+def materialize(df: DataFrame, mode: str = "table", name: str = "layer") -> DataFrame:
     """Compute ``df`` once for several consumers.
 
-    ``checkpoint``: write it into the shared checkpoint folder and cut its
-    lineage; a lost executor re-reads the files instead of recomputing the
-    upstream joins (use for long pipelines).  ``cache``: keep it in executor
-    memory/disk (``MEMORY_AND_DISK``) for reuse within one session; lost
-    blocks are recomputed from lineage.  ``none``: return ``df`` unchanged.
+    ``table``: write it as Parquet under the shared checkpoint folder and read
+    it back — lineage cut, columnar and compressed, and each consumer reads
+    only the columns it needs (layers with interval columns, which Parquet
+    cannot store, use ``checkpoint``).  ``checkpoint``: Spark's reliable
+    checkpoint into the same folder.  Either way a lost executor re-reads
+    files instead of recomputing the upstream joins.  ``cache``: keep it in
+    executor memory/disk (``MEMORY_AND_DISK``) for one session; lost blocks are
+    recomputed from lineage.  ``none``: return ``df`` unchanged.
     """
+    if mode == "table":
+        if any(isinstance(f.dataType, DayTimeIntervalType) for f in df.schema.fields):
+            return materialize(df, "checkpoint")
+        folder = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+        path = f"{folder}/skylane-tables/{name}-{uuid.uuid4().hex}"
+        df.write.mode("error").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
@@ -106,4 +118,4 @@ def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     if mode == "none":
         return df
-    raise ValueError(f"materialize mode must be checkpoint, cache or none, not {mode!r}")
+    raise ValueError(f"materialize mode must be table, checkpoint, cache or none, not {mode!r}")
