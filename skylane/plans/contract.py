@@ -19,7 +19,7 @@ from skylane.operators import (
     ml_features, occupancy_at, occupancy_intervals, transit_moving_average,
 )
 from skylane.operators.quality import (
-    REFERENCE_CHECKS, custom_report, non_empty, orphan_keys, run_checks,
+    ENTRY_BEFORE_LANDING, REFERENCE_CHECKS, custom_report, non_empty, orphan_keys, run_checks,
 )
 from skylane.plans.pipeline import build_layers
 from skylane.sources.fixture import fixture_sources
@@ -78,6 +78,11 @@ def q_stg_radar(spark, sf_dir):
                     "radar_timestamp")
 
 
+def q_stg_chart(spark, sf_dir):
+    s = _layers(spark, sf_dir)["stg_chart"]
+    return s.select("aircraft", "tas_ms", _big("fl"), "fuel_flow_kg_s")
+
+
 def q_flights_enriched(spark, sf_dir):
     return _flights_out(_layers(spark, sf_dir)["flights_enriched"])
 
@@ -223,6 +228,11 @@ def q_dq_report(spark, sf_dir):
     return run_checks(_layers(spark, sf_dir), REFERENCE_CHECKS)
 
 
+def q_dq_entry_before_landing(spark, sf_dir):
+    """The documented (not declared) rule: entry is not after landing."""
+    return run_checks(_layers(spark, sf_dir), [ENTRY_BEFORE_LANDING])
+
+
 def q_dq_custom(spark, sf_dir):
     layers = _layers(spark, sf_dir)
     dim = layers["dim_flight_identifiers"]

@@ -327,6 +327,8 @@ FINAL_SELECTS: dict[str, str] = {
         epoch(desimp_raw) AS desimp_s, epoch(kpi08_interval) AS kpi08_s FROM stg_flights""",
     "stg_radar": """SELECT radar_date, CAST(aircraft_speed AS BIGINT) AS aircraft_speed,
         CAST(flight_level AS DOUBLE) AS flight_level, flight_id, radar_timestamp FROM stg_radar""",
+    "stg_chart": """SELECT aircraft, tas_ms, CAST(fl AS BIGINT) AS fl, fuel_flow_kg_s
+        FROM stg_chart""",
     "flights_enriched": f"SELECT {_FLIGHT_OUT} FROM flights_enriched",
     "flights_filtered": f"SELECT {_FLIGHT_OUT} FROM flights_filtered",
     "dim_flight_identifiers": "SELECT * FROM dim_flight_identifiers",
@@ -358,6 +360,11 @@ FINAL_SELECTS: dict[str, str] = {
     "ml_features_key_join": f"SELECT {_FEATURES_OUT} FROM ml_features_key_join",
     "dq_report": _dq_report_sql(),
     "dq_custom": _DQ_CUSTOM,
+    "dq_entry_before_landing": """SELECT 'flights_filtered' AS table_name,
+        'entry_time' AS column_name, 'row_rule' AS check_name, failed_rows,
+        failed_rows = 0 AS passed
+        FROM (SELECT CAST(count(*) FILTER (WHERE NOT coalesce(entry_time <= landing_time, true))
+                          AS BIGINT) AS failed_rows FROM flights_filtered)""",
 }
 
 
