@@ -91,6 +91,15 @@ class ArrivalLayers:
                                 if name in self.SHARED else df)
         return self._memo[name]
 
+    def register_views(self, names=None, prefix: str = "") -> list[str]:
+        """Register layers as temporary views for ad-hoc ``spark.sql`` queries
+        (built lazily; nothing runs until a query reads a view)."""
+        registered = []
+        for name in names or self.NAMES:
+            self[name].createOrReplaceTempView(prefix + name)
+            registered.append(prefix + name)
+        return registered
+
     def plan(self, name: str) -> DataFrame:
         """The layer's own (unmaterialised) plan over its materialised inputs."""
         if name not in self.NAMES:

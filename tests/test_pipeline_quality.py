@@ -136,3 +136,10 @@ def test_jdbc_export_replaces_table(spark, monkeypatch):  # S6
     url, table, mode, props = calls[0]
     assert (url, table, mode) == ("jdbc:postgresql://db/x", "flight_consumption_ml_ready", "overwrite")
     assert props == {"user": "u", "batchsize": "10000", "truncate": "false", "numPartitions": "4"}
+
+
+def test_layers_as_sql_views(spark):  # ad-hoc queries on the tables
+    layers = build_layers(fixture_sources(spark, "/root/testdata/sf0.001"), ArrivalRules(min_points=3))
+    assert layers.register_views(["ml_features"], prefix="t_") == ["t_ml_features"]
+    n = spark.sql("SELECT count(*) AS n FROM t_ml_features").first().n
+    assert n == layers["ml_features"].count() > 0
