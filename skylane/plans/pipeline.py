@@ -32,7 +32,7 @@ from skylane.operators import (
     stage_radar, transit_metrics, vertical_profile,
 )
 from skylane.plans.strategy import FlightBounds, materialize
-from skylane.sources.fixture import Sources
+from skylane.sources.readers import Sources
 from skylane.sources.sinks import export_jdbc, write_table
 
 

@@ -9,23 +9,16 @@ Expressions are timezone-free (timestamp_ntz arithmetic only).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from skylane.sources.readers import Sources
+
 # Fixed values of the fixture: aircraft type per callsign digit (index = digit).
 FIXTURE_TYPES = ("A320", "A321", "B738", "B38M", "A20N", "A319", "A21N", "E195", "B737")
 FIXTURE_FLIGHT_OTHER_TYPE = "C172"
 FIXTURE_CHART_OTHER_TYPE = "B734"
 
 
-@dataclass(frozen=True)
-class Sources:
-    flights: DataFrame
-    radar: DataFrame
-    chart: DataFrame
-
-
 def _trunc_minute(ts: Column) -> Column:
     return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts),
                                 F.hour(ts), F.minute(ts), F.lit(0))

@@ -8,6 +8,7 @@ a date range on that column prunes whole directories before any file is opened.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -17,6 +18,15 @@ from skylane.sources.schemas import (
 )
 
 
+@dataclass(frozen=True)
+class Sources:
+    """The three inputs of the pipeline, in the source schemas."""
+
+    flights: DataFrame
+    radar: DataFrame
+    chart: DataFrame
+
+
 def _read_parquet(spark: SparkSession, path: str, schema: StructType,
                   partitioned: bool, start: dt.date | None, end: dt.date | None) -> DataFrame:
     full = StructType(schema.fields + [PARTITION_COLUMN]) if partitioned else schema

@@ -8,7 +8,8 @@ from skylane.operators.quality import (
     ENTRY_BEFORE_LANDING, ColumnCheck, custom_report, non_empty, orphan_keys, run_checks,
 )
 from skylane.plans.pipeline import build_layers, run_pipeline
-from skylane.sources.fixture import Sources, fixture_sources
+from skylane.sources import Sources
+from skylane.sources.fixture import fixture_sources
 from skylane.sources.readers import read_flight_records, read_radar_points
 from tests.helpers import T, chart_df, flight, flights_df, radar, radar_df
 
