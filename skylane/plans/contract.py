@@ -18,10 +18,8 @@ from skylane.operators import (
     flight_fuel, fuel_percentile, latest_flight_per_key,
     ml_features, occupancy_at, occupancy_intervals, transit_moving_average,
 )
-from skylane.operators.quality import (
-    ENTRY_BEFORE_LANDING, REFERENCE_CHECKS, custom_report, non_empty, orphan_keys, run_checks,
-)
-from skylane.plans.pipeline import build_layers
+from skylane.operators.quality import ENTRY_BEFORE_LANDING, run_checks
+from skylane.plans.pipeline import build_layers, quality_report
 from skylane.sources.fixture import fixture_sources
 
 # Parameters of the contract queries (the driver tables are small: a flight
@@ -225,7 +223,7 @@ def q_ml_features_key_join(spark, sf_dir):
 
 
 def q_dq_report(spark, sf_dir):
-    return run_checks(_layers(spark, sf_dir), REFERENCE_CHECKS)
+    return quality_report(_layers(spark, sf_dir))[0]
 
 
 def q_dq_entry_before_landing(spark, sf_dir):
@@ -234,16 +232,7 @@ def q_dq_entry_before_landing(spark, sf_dir):
 
 
 def q_dq_custom(spark, sf_dir):
-    layers = _layers(spark, sf_dir)
-    dim = layers["dim_flight_identifiers"]
-    n, cap = layers.bounds.flights, layers.rules.broadcast_max_rows
-    return custom_report({
-        "transit_metrics_keys_in_dim": orphan_keys(layers["fct_flight_transit_metrics"], dim,
-                                                   max_broadcast_rows=cap, dim_bound=n),
-        "vertical_profile_keys_in_dim": orphan_keys(layers["vertical_profile"], dim,
-                                                    max_broadcast_rows=cap, dim_bound=n),
-        "vertical_profile_non_empty": non_empty(layers["vertical_profile"]),
-    })
+    return quality_report(_layers(spark, sf_dir))[1]
 
 
 QUERIES: dict[str, QueryFn] = {

@@ -31,6 +31,9 @@ from skylane.operators import (
     operational_attributes, radar_in_terminal_area, stage_chart, stage_flights,
     stage_radar, transit_metrics, vertical_profile,
 )
+from skylane.operators.quality import (
+    REFERENCE_CHECKS, custom_report, non_empty, orphan_keys, run_checks,
+)
 from skylane.plans.strategy import FlightBounds, materialize
 from skylane.sources.readers import Sources
 from skylane.sources.sinks import export_jdbc, write_table
@@ -165,6 +168,26 @@ def build_layers(sources: Sources, rules: ArrivalRules,
     return ArrivalLayers(sources, rules, materialize)
 
 
+def quality_report(layers: ArrivalLayers) -> tuple[DataFrame, DataFrame]:
+    """The declared checks: column checks of every layer (one aggregate per
+    table) and the custom checks (no orphan flight keys, non-empty profile)."""
+    columns = run_checks(layers, REFERENCE_CHECKS)
+    dim = layers["dim_flight_identifiers"]
+    n, cap = layers.bounds.flights, layers.rules.broadcast_max_rows
+    custom = custom_report({
+        "transit_metrics_keys_in_dim": orphan_keys(layers["fct_flight_transit_metrics"], dim,
+                                                   max_broadcast_rows=cap, dim_bound=n),
+        "vertical_profile_keys_in_dim": orphan_keys(layers["vertical_profile"], dim,
+                                                    max_broadcast_rows=cap, dim_bound=n),
+        "vertical_profile_non_empty": non_empty(layers["vertical_profile"]),
+    })
+    return columns, custom
+
+
+class DataQualityError(RuntimeError):
+    """Raised by ``run_pipeline(fail_on_check=True)`` when a check fails."""
+
+
 def storable(df: DataFrame) -> DataFrame:
     """Replace day-time interval columns by seconds (Parquet has no interval)."""
     return df.select(*[
@@ -190,12 +213,28 @@ OUTPUTS = {
 
 
 def run_pipeline(sources: Sources, rules: ArrivalRules, out_dir: str,
-                 jdbc: dict | None = None) -> ArrivalLayers:
-    """Build every layer, write it under ``out_dir/<name>`` (full rebuild) and,
-    if ``jdbc`` = {url, table, properties} is given, export the features."""
+                 jdbc: dict | None = None, fail_on_check: bool = False) -> ArrivalLayers:
+    """Build every layer, write it under ``out_dir/<name>`` (full rebuild),
+    write the check results to ``dq_columns`` and ``dq_custom`` and, if
+    ``jdbc`` = {url, table, properties} is given, export the features.
+
+    With ``fail_on_check`` a failing check raises ``DataQualityError`` before
+    the export (the check rows are small: one per declared check).
+    """
     layers = build_layers(sources, rules, materialize="table")
     for name, (parts, order) in OUTPUTS.items():
         write_table(storable(layers[name]), f"{out_dir}/{name}", parts, sort_by=order)
+    columns, custom = quality_report(layers)
+    write_table(columns, f"{out_dir}/dq_columns")
+    write_table(custom, f"{out_dir}/dq_custom")
+    if fail_on_check:
+        spark = layers["flights_filtered"].sparkSession
+        failed = [tuple(r) for r in spark.read.parquet(f"{out_dir}/dq_columns")
+                  .where("NOT passed").collect()]
+        failed += [tuple(r) for r in spark.read.parquet(f"{out_dir}/dq_custom")
+                   .where("NOT passed").collect()]
+        if failed:
+            raise DataQualityError(f"{len(failed)} failing check(s): {failed}")
     if jdbc:
         export_jdbc(layers["ml_features"], jdbc["url"], jdbc["table"], jdbc.get("properties"))
     return layers

@@ -144,3 +144,17 @@ def test_layers_as_sql_views(spark):  # ad-hoc queries on the tables
     assert layers.register_views(["ml_features"], prefix="t_") == ["t_ml_features"]
     n = spark.sql("SELECT count(*) AS n FROM t_ml_features").first().n
     assert n == layers["ml_features"].count() > 0
+
+
+def test_run_pipeline_writes_and_enforces_checks(spark):
+    from skylane.plans.pipeline import DataQualityError
+    out = tempfile.mkdtemp(prefix="skylane-out-")
+    src = fixture_sources(spark, "/root/testdata/sf0.001")
+    run_pipeline(src, ArrivalRules(min_points=3), out)
+    cols = spark.read.parquet(os.path.join(out, "dq_columns"))
+    assert cols.count() == 70 and spark.read.parquet(os.path.join(out, "dq_custom")).count() == 3
+    if cols.where("NOT passed").count():  # the driver tables do fail some checks
+        import pytest
+        with pytest.raises(DataQualityError):
+            run_pipeline(src, ArrivalRules(min_points=3), tempfile.mkdtemp(prefix="skylane-out-"),
+                         fail_on_check=True)
