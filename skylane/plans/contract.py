@@ -31,7 +31,9 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 def _layers(spark: SparkSession, sf_dir: str, rules: ArrivalRules | None = None):
     # shared layers (filtered flights, chart, terminal-area radar, profile,
-    # occupancy, consumption) are checkpointed once and read by every consumer
+    # occupancy, consumption) are materialised once and read by every consumer;
+    # a query whose result is such a layer takes its plan (``.plan(name)``)
+    # over materialised inputs, so the result is not written twice
     return build_layers(fixture_sources(spark, sf_dir), rules or CONTRACT_RULES)
 
 
@@ -86,7 +88,7 @@ def q_flights_enriched(spark, sf_dir):
 
 
 def q_flights_filtered(spark, sf_dir):
-    return _flights_out(_layers(spark, sf_dir)["flights_filtered"])
+    return _flights_out(_layers(spark, sf_dir).plan("flights_filtered"))
 
 
 def q_dim_flight_identifiers(spark, sf_dir):
@@ -112,16 +114,16 @@ def _radar_out(df: DataFrame) -> DataFrame:
 
 
 def q_radar_in_terminal_area(spark, sf_dir):
-    return _radar_out(_layers(spark, sf_dir)["radar_in_terminal_area"])
+    return _radar_out(_layers(spark, sf_dir).plan("radar_in_terminal_area"))
 
 
 def q_radar_cross_midnight(spark, sf_dir):
     rules = CONTRACT_RULES.with_(cross_midnight=True)
-    return _radar_out(_layers(spark, sf_dir, rules)["radar_in_terminal_area"])
+    return _radar_out(_layers(spark, sf_dir, rules).plan("radar_in_terminal_area"))
 
 
 def q_fuel_chart_interpolated(spark, sf_dir):
-    c = _layers(spark, sf_dir)["fuel_chart_interpolated"]
+    c = _layers(spark, sf_dir).plan("fuel_chart_interpolated")
     return c.select("aircraft", _big("fl"), _r("tas_ms", 6), _r("fuel_flow_kg_s", 6))
 
 
@@ -136,16 +138,16 @@ def _profile_out(df: DataFrame) -> DataFrame:
 
 
 def q_vertical_profile(spark, sf_dir):
-    return _profile_out(_layers(spark, sf_dir)["vertical_profile"])
+    return _profile_out(_layers(spark, sf_dir).plan("vertical_profile"))
 
 
 def q_vertical_profile_own_level(spark, sf_dir):
     rules = CONTRACT_RULES.with_(match_level=True)
-    return _profile_out(_layers(spark, sf_dir, rules)["vertical_profile"])
+    return _profile_out(_layers(spark, sf_dir, rules).plan("vertical_profile"))
 
 
 def q_occupancy_first(spark, sf_dir):
-    return _layers(spark, sf_dir)["occupancy"]
+    return _layers(spark, sf_dir).plan("occupancy")
 
 
 def q_occupancy_settled(spark, sf_dir):
@@ -173,12 +175,12 @@ def _consumption_out(df: DataFrame) -> DataFrame:
 
 
 def q_flight_consumption(spark, sf_dir):
-    return _consumption_out(_layers(spark, sf_dir)["flight_consumption"])
+    return _consumption_out(_layers(spark, sf_dir).plan("flight_consumption"))
 
 
 def q_flight_consumption_keep_id(spark, sf_dir):
     rules = CONTRACT_RULES.with_(keep_flight_id=True)
-    return _consumption_out(_layers(spark, sf_dir, rules)["flight_consumption"])
+    return _consumption_out(_layers(spark, sf_dir, rules).plan("flight_consumption"))
 
 
 def q_fuel_p20(spark, sf_dir):
