@@ -133,3 +133,23 @@ def test_range_percentile_equals_hash_percentile(spark):  # A4 at scale
         a = sorted(exact_percentile(*args, method="hash").collect(), key=repr)
         b = sorted(exact_percentile(*args, method="range").collect(), key=repr)
         assert a == b, p
+
+
+def test_ranked_percentile_spreads_a_hot_group(spark):
+    """Range partitioning splits one group holding most rows over several tasks."""
+    rows = [("hot", "X", "1", float(i)) for i in range(4000)] + [("cold", "X", "1", 1.0)]
+    df = spark.createDataFrame(rows, "adep string, aircraft string, drwy_validado string, v double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # planned placement, no coalescing
+    try:
+        placed = (df.select(F.struct("adep", "aircraft", "drwy_validado").alias("_g"), "v")
+                  .repartitionByRange("_g", "v")
+                  .where(F.col("_g.adep") == "hot")
+                  .select(F.spark_partition_id().alias("p")).distinct().count())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert placed > 1
+    from skylane.operators.percentile import exact_percentile
+    got = {r.adep: r.q for r in exact_percentile(
+        df, ["adep", "aircraft", "drwy_validado"], "v", 0.2, "q", None, 10, 1000,
+        method="range").collect()}
+    assert got == {"hot": 0.2 * 3999, "cold": 1.0}
