@@ -158,3 +158,16 @@ def test_run_pipeline_writes_and_enforces_checks(spark):
         with pytest.raises(DataQualityError):
             run_pipeline(src, ArrivalRules(min_points=3), tempfile.mkdtemp(prefix="skylane-out-"),
                          fail_on_check=True)
+
+
+def test_single_partition_only_over_the_day_table(spark):
+    layers = build_layers(fixture_sources(spark, "/root/testdata/sf0.001"), ArrivalRules(min_points=3))
+    occ = layers.plan("occupancy")._jdf.queryExecution().executedPlan().toString()
+    lines = occ.split("\n")
+    single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert len(single) == 1
+    # directly below it: the per-segment summary aggregate (one row per day)
+    below = "\n".join(lines[single[0]:single[0] + 4])
+    assert "_seg" in below and "Aggregate" in below
+    for name in ("vertical_profile", "ml_features", "radar_in_terminal_area"):
+        assert "SinglePartition" not in layers.plan(name)._jdf.queryExecution().executedPlan().toString()
