@@ -171,3 +171,21 @@ def test_single_partition_only_over_the_day_table(spark):
     assert "_seg" in below and "Aggregate" in below
     for name in ("vertical_profile", "ml_features", "radar_in_terminal_area"):
         assert "SinglePartition" not in layers.plan(name)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_command_line_run(spark):
+    """The entry point reads real Parquet/CSV sources and writes every table."""
+    from skylane.__main__ import main
+    src = fixture_sources(spark, "/root/testdata/sf0.001")
+    base = tempfile.mkdtemp(prefix="skylane-cli-")
+    src.flights.withColumn("ingestion_date", F.to_date("aldt")).write.partitionBy(
+        "ingestion_date").parquet(os.path.join(base, "kpi"))
+    src.radar.withColumn("ingestion_date", F.to_date("dt_radar")).write.partitionBy(
+        "ingestion_date").parquet(os.path.join(base, "radar"))
+    src.chart.coalesce(1).write.option("header", True).csv(os.path.join(base, "chart"))
+    out = os.path.join(base, "out")
+    main(["--flights", os.path.join(base, "kpi"), "--radar", os.path.join(base, "radar"),
+          "--chart", os.path.join(base, "chart"), "--out", out, "--min-points", "3"], spark)
+    want = run_pipeline(src, ArrivalRules(min_points=3),
+                        tempfile.mkdtemp(prefix="skylane-out-"))["ml_features"].count()
+    assert spark.read.parquet(os.path.join(out, "ml_features")).count() == want > 0
