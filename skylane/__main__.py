@@ -1,5 +1,6 @@
-"""Run the whole arrival pipeline: ``spark-submit -m skylane`` or
-``python -m skylane --flights ... --radar ... --chart ... --out ...``.
+"""Run the whole arrival pipeline:
+``python -m skylane --flights ... --radar ... --chart ... --out ...`` (or
+``spark-submit --py-files skylane.zip skylane/__main__.py ...``).
 
 Reads the three sources, builds every layer, writes the tables and the check
 reports under ``--out`` (full rebuild) and optionally exports the feature
