@@ -124,3 +124,16 @@ def test_sequence_step_spreads_the_largest_flight(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert parts > 1
+
+
+def test_duplicate_chart_rows_multiply_like_joins(spark):  # D2, D3, D4 join semantics
+    lv = _levels(spark, [("X", 10.0, 0, 1.0), ("X", 12.0, 0, 1.2), ("X", 20.0, 10, 2.0)])
+    at5 = sorted(round(r.fuel_flow_kg_s, 6) for r in lv.where("fl = 5").collect())
+    assert at5 == [1.5, 1.6]  # two lower rows x one upper row
+    t0 = T(2024, 1, 1, 10, 0)
+    tma = _tma(spark, [("f", t0, 200, 4.0, "X"), ("f", t0 + dt.timedelta(minutes=1), 200, 5.0, "X")])
+    pts = sorted(round(r.fuel_flow, 6) for r in fuel_flow_at_points(tma, lv).collect()
+                 if float(r.fl) == 5.0)
+    assert pts == [1.5, 1.6]
+    prof = vertical_profile(tma, lv, ArrivalRules(min_points=1)).collect()
+    assert sorted(round(r.fuel_flow, 6) for r in prof) == [1.5, 1.6]
