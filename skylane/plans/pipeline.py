@@ -56,10 +56,13 @@ class ArrivalLayers:
         "flight_consumption", "ml_features",
     )
 
-    def __init__(self, sources: Sources, rules: ArrivalRules, materialize: str = "table"):
+    def __init__(self, sources: Sources, rules: ArrivalRules, materialize: str = "table",
+                 table_dir: str | None = None):
         self.sources = sources
         self.rules = rules
         self.materialize = materialize
+        self.table_dir = table_dir      # shared layers written here as final tables
+        self.written: set[str] = set()  # layers already stored under table_dir
         self._memo: dict[str, DataFrame] = {}
         self._bounds: FlightBounds | None = None
         self._chart_rows: int | None = None
@@ -90,8 +93,16 @@ class ArrivalLayers:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._memo:
             df = self.plan(name)
-            self._memo[name] = (materialize(df, self.materialize, name)
-                                if name in self.SHARED else df)
+            if name not in self.SHARED:
+                self._memo[name] = df
+            elif self.table_dir and self.materialize == "table" and name in OUTPUTS and not any(
+                    isinstance(f.dataType, DayTimeIntervalType) for f in df.schema.fields):
+                parts, order = OUTPUTS[name]
+                self._memo[name] = materialize(df, "table", name, f"{self.table_dir}/{name}",
+                                               parts, order)
+                self.written.add(name)
+            else:
+                self._memo[name] = materialize(df, self.materialize, name)
         return self._memo[name]
 
     def register_views(self, names=None, prefix: str = "") -> list[str]:
@@ -221,9 +232,11 @@ def run_pipeline(sources: Sources, rules: ArrivalRules, out_dir: str,
     With ``fail_on_check`` a failing check raises ``DataQualityError`` before
     the export (the check rows are small: one per declared check).
     """
-    layers = build_layers(sources, rules, materialize="table")
+    layers = ArrivalLayers(sources, rules, materialize="table", table_dir=out_dir)
     for name, (parts, order) in OUTPUTS.items():
-        write_table(storable(layers[name]), f"{out_dir}/{name}", parts, sort_by=order)
+        df = layers[name]  # shared layers are written here once, as the output itself
+        if name not in layers.written:
+            write_table(storable(df), f"{out_dir}/{name}", parts, sort_by=order)
     columns, custom = quality_report(layers)
     write_table(columns, f"{out_dir}/dq_columns")
     write_table(custom, f"{out_dir}/dq_custom")
