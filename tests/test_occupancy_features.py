@@ -153,3 +153,32 @@ def test_ranked_percentile_spreads_a_hot_group(spark):
         df, ["adep", "aircraft", "drwy_validado"], "v", 0.2, "q", None, 10, 1000,
         method="range").collect()}
     assert got == {"hot": 0.2 * 3999, "cold": 1.0}
+
+
+def test_keyed_sweeps_and_lookups_are_independent(spark):
+    """``keys`` (e.g. an airport column) give one sweep and one lookup per key."""
+    rnd = random.Random(21)
+    rows = []
+    for i in range(90):
+        ap = rnd.choice(["AAAA", "BBBB"])
+        c = T(2024, 1, 1) + dt.timedelta(minutes=10 * rnd.randrange(3 * 24 * 6))
+        rows.append((ap, f"f{i}", c, c + dt.timedelta(minutes=rnd.choice([10, 40, 300]))))
+    tma = spark.createDataFrame(
+        [(ap, i, c, 1, None, "X", c, a) for ap, i, c, a in rows],
+        "ap string, " + TMA)
+    rules = ArrivalRules(tie_rule="settled")
+    occ = occupancy_intervals(tma, rules, keys=["ap"])
+    got = sorted(tuple(r) for r in occ.collect())
+    for ap in ("AAAA", "BBBB"):
+        one = occupancy_intervals(tma.where(F.col("ap") == ap).drop("ap"), rules)
+        assert [g[1:] for g in got if g[0] == ap] == sorted(tuple(r) for r in one.collect())
+    probes = [(rnd.choice(["AAAA", "BBBB"]),
+               T(2024, 1, 1) + dt.timedelta(minutes=rnd.randrange(4 * 24 * 60))) for _ in range(200)]
+    pr = spark.createDataFrame([(ap, f"p{i}", t) for i, (ap, t) in enumerate(probes)],
+                               "ap string, pid string, c_time timestamp_ntz")
+    res = {r.pid: r.nr_aircraft_in_tma
+           for r in occupancy_at(pr, occ, "c_time", rules, keys=["ap"]).collect()}
+    iv = [(r.ap, r.dt_valid_from, r.dt_valid_to, r.nr_aircraft_in_tma) for r in occ.collect()]
+    for i, (ap, t) in enumerate(probes):
+        want = [n for (k, a, b, n) in iv if k == ap and b is not None and a <= t < b]
+        assert res[f"p{i}"] == (want[0] if want else None)
