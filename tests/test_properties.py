@@ -33,3 +33,29 @@ def test_sweep_equals_single_window(spark, fl, unit, tie_rule):
     ref = ev.select(F.row_number().over(w), n.cast("bigint"), "t", F.lead("t").over(w),
                     F.lead("t").over(w).isNull())
     assert got == sorted(tuple(r) for r in ref.collect())
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.booleans(), st.integers(0, 99), st.integers(0, 59),
+                          st.integers(0, 59)), min_size=1, max_size=50))
+def test_interval_text_parsing(spark, parts):
+    from skylane.functions import interval_seconds, parse_interval
+    texts = [f"{'-' if neg else ''}{h:02d}:{m:02d}:{s:02d}" for neg, h, m, s in parts]
+    want = [(-1 if neg else 1) * (h * 3600 + m * 60 + s) for neg, h, m, s in parts]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r[0] for r in df.select(interval_seconds(parse_interval(F.col("s")))).collect()]
+    assert got == [float(w) for w in want]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=50))
+def test_rounding_matches_the_reference_engine(spark, xs):
+    """``round_half_away(x, 2)`` equals DuckDB's ``round(x, 2)`` (trap T8)."""
+    import duckdb
+    from skylane.functions import round_half_away
+    xs = xs + [1.005, 0.285, -0.125, 2.675]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r[0] for r in df.select(round_half_away(F.col("x"), 2)).collect()]
+    con = duckdb.connect()
+    want = [con.execute("SELECT round(?::DOUBLE, 2)", [x]).fetchone()[0] for x in xs]
+    assert got == want
