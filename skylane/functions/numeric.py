@@ -22,6 +22,20 @@ def round_half_away(c: Column, digits: int) -> Column:
     return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
+def to_decimal(c: Column, source_type: DataType, precision: int = 18, scale: int = 3) -> Column:
+    """Cast to ``decimal(precision, scale)`` rounding like the reference.
+
+    A double is rounded half away from zero on its binary value times
+    10^scale (0.5005 -> 0.500, whose binary value lies below the tie;
+    0.0005 -> 0.001); Spark's own cast rounds the shortest decimal text
+    instead.  Other types are cast directly.
+    """
+    target = f"decimal({precision},{scale})"
+    if isinstance(source_type, (DoubleType, FloatType)):
+        return round_half_away(c, scale).cast(target)
+    return c.cast(target)
+
+
 def to_int_nearest(c: Column, source_type: DataType) -> Column:
     """Cast to int rounding to nearest like the reference.
 

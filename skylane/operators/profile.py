@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType
 
 from skylane.config import ArrivalRules
-from skylane.functions.numeric import round_half_away
+from skylane.functions.numeric import round_half_away, to_decimal
 from skylane.functions.timefns import seconds_between, time_bin
 from skylane.operators.fuel import fuel_lookup, level_key
 from skylane.operators.sequence import SEG, lag_in_sequence
@@ -50,7 +51,7 @@ def vertical_profile(radar_tma: DataFrame, chart_levels: DataFrame,
             Window.partitionBy("id", SEG, "dt_radar")))
 
     delta = seconds_between(F.col("prev_dt_radar"), F.col("dt_radar"))
-    seconds_ms = F.nullif(delta.cast("decimal(18,3)"), F.lit(0)).cast("double")
+    seconds_ms = F.nullif(to_decimal(delta, DoubleType()), F.lit(0)).cast("double")
     climb = (F.lit(100) * (F.col("fl") - F.col("prev_fl"))).cast("double")
     out = seq.select(
         "id", "aircraft_type", "c_time", "dt_radar", "nr_speed", "fl",

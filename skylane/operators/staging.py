@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from skylane.functions.intervals import parse_interval
+from skylane.functions.numeric import to_decimal
 
 
 def stage_flights(raw: DataFrame) -> DataFrame:
@@ -31,10 +32,11 @@ def stage_flights(raw: DataFrame) -> DataFrame:
 
 def stage_radar(raw: DataFrame) -> DataFrame:
     """Radar points -> typed points; the callsign column is renamed flight_id."""
+    level_type = raw.schema["nr_flightlevel"].dataType
     return raw.select(
         F.col("dt_radar").cast("date").alias("radar_date"),
         F.col("nr_speed").alias("aircraft_speed"),
-        F.col("nr_flightlevel").cast("decimal(18,3)").alias("flight_level"),
+        to_decimal(F.col("nr_flightlevel"), level_type).alias("flight_level"),
         F.col("ds_registration").alias("flight_id"),
         F.col("dt_radar").cast("timestamp_ntz").alias("radar_timestamp"),
     )

@@ -59,3 +59,20 @@ def test_rounding_matches_the_reference_engine(spark, xs):
     con = duckdb.connect()
     want = [con.execute("SELECT round(?::DOUBLE, 2)", [x]).fetchone()[0] for x in xs]
     assert got == want
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.floats(-1e6, 1e6, allow_nan=False),
+                          st.integers(-10**9, 10**9).map(lambda us: us / 1e6)),
+                min_size=1, max_size=50))
+def test_decimal_cast_matches_the_reference_engine(spark, xs):
+    """``to_decimal`` equals DuckDB's ``CAST(x AS DECIMAL(18,3))`` (levels, ROCD seconds)."""
+    import duckdb
+    from pyspark.sql.types import DoubleType
+    from skylane.functions import to_decimal
+    xs = xs + [0.5005, 0.0005, 0.0025, -0.0025, 12.3445]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r[0] for r in df.select(to_decimal(F.col("x"), DoubleType())).collect()]
+    con = duckdb.connect()
+    want = [con.execute("SELECT CAST(?::DOUBLE AS DECIMAL(18,3))", [x]).fetchone()[0] for x in xs]
+    assert got == want
