@@ -30,9 +30,11 @@ def test_entry_smoke(spark):
     assert len(df.columns) == 19 and df.count() >= 0
 
 
-SCALE_PATH_QUERIES = ["radar_in_terminal_area", "vertical_profile", "vertical_profile_own_level",
-                      "occupancy_first", "occupancy_at_entry", "flight_consumption", "fuel_p20",
-                      "ml_features", "ml_features_key_join", "dq_custom"]
+SCALE_PATH_QUERIES = ["radar_in_terminal_area", "radar_cross_midnight", "vertical_profile",
+                      "vertical_profile_own_level", "flight_fuel", "occupancy_first",
+                      "occupancy_settled", "occupancy_at_entry", "flight_consumption",
+                      "fuel_p20", "transit_moving_avg", "ml_features", "ml_features_key_join",
+                      "dq_custom"]
 
 
 @pytest.fixture()
