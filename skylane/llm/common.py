@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -63,3 +66,21 @@ def word_array(text: Column) -> Column:
 
 def sha256_hex(text: Column) -> Column:
     return F.sha2(text, 256)
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the Python workers this package (once per application), so that
+    its functions run where the package is not installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="skylane-code-")) / "skylane.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)

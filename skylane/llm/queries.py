@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
-from skylane.llm import decontamination
+from collections.abc import Callable
 
-QUERIES = {
-    "op1_decontamination": decontamination.op1_decontamination,
-}
+from pyspark.sql import DataFrame, SparkSession
+
+from skylane.llm import decontamination, packing
+from skylane.llm.common import ship_code
+
+
+def _with_code(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_code(spark)
+        return query(spark, sf_dir)
+    run.__name__, run.__doc__ = query.__name__, query.__doc__
+    return run
+
+
+QUERIES = {query.__name__: _with_code(query) for query in (
+    decontamination.op1_decontamination,
+    packing.op8_packing,
+)}
 
+#: Queries without an entry have no SQL form; tests/llm holds them against
+#: brute force.
 ORACLE_SQL = {
     "op1_decontamination": decontamination.ORACLE_SQL,
 }
