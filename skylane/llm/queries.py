@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylane.llm import decontamination, packing
+from skylane.llm import decontamination, html_extract, packing
 from skylane.llm.common import ship_code
 
 
@@ -21,6 +21,7 @@ def _with_code(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spa
 QUERIES = {query.__name__: _with_code(query) for query in (
     decontamination.op1_decontamination,
     packing.op8_packing,
+    html_extract.op10_html_extraction,
 )}
 
 #: Queries without an entry have no SQL form; tests/llm holds them against
