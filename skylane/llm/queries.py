@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylane.llm import decontamination, html_extract, packing
+from skylane.llm import chat, decontamination, html_extract, packing
 from skylane.llm.common import ship_code
 
 
@@ -20,6 +20,7 @@ def _with_code(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spa
 
 QUERIES = {query.__name__: _with_code(query) for query in (
     decontamination.op1_decontamination,
+    chat.op4_chat_formatting,
     packing.op8_packing,
     html_extract.op10_html_extraction,
 )}
@@ -28,4 +29,5 @@ QUERIES = {query.__name__: _with_code(query) for query in (
 #: brute force.
 ORACLE_SQL = {
     "op1_decontamination": decontamination.ORACLE_SQL,
+    "op4_chat_formatting": chat.ORACLE_SQL,
 }
