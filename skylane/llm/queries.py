@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylane.llm import chat, decontamination, html_extract, packing
+from skylane.llm import chat, decontamination, html_extract, packing, toxicity
 from skylane.llm.common import ship_code
 
 
@@ -22,6 +22,7 @@ QUERIES = {query.__name__: _with_code(query) for query in (
     decontamination.op1_decontamination,
     chat.op4_chat_formatting,
     packing.op8_packing,
+    toxicity.op9_toxicity,
     html_extract.op10_html_extraction,
 )}
 
