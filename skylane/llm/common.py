@@ -61,7 +61,8 @@ def normalised_words(text: Column) -> Column:
 
 def word_array(text: Column) -> Column:
     """The words of a text as an array ([] for NULL or no words)."""
-    return F.filter(F.split(normalised_words(text), " "), lambda w: w != "")
+    return let(normalised_words(text), lambda norm: F.when(
+        norm == "", F.array().cast("array<string>")).otherwise(F.split(norm, " ")))
 
 
 def sha256_hex(text: Column) -> Column:

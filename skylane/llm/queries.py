@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylane.llm import chat, decontamination, html_extract, packing, toxicity
+from skylane.llm import chat, decontamination, html_extract, licenses, packing, toxicity
 from skylane.llm.common import ship_code
 
 
@@ -20,6 +20,7 @@ def _with_code(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spa
 
 QUERIES = {query.__name__: _with_code(query) for query in (
     decontamination.op1_decontamination,
+    licenses.op2_license_scan,
     chat.op4_chat_formatting,
     packing.op8_packing,
     toxicity.op9_toxicity,
@@ -30,5 +31,6 @@ QUERIES = {query.__name__: _with_code(query) for query in (
 #: brute force.
 ORACLE_SQL = {
     "op1_decontamination": decontamination.ORACLE_SQL,
+    "op2_license_scan": licenses.oracle_sql(),
     "op4_chat_formatting": chat.ORACLE_SQL,
 }
