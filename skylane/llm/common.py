@@ -85,3 +85,29 @@ def ship_code(spark: SparkSession) -> None:
             z.write(source, source.relative_to(package.parent))
     sc.addPyFile(str(archive))
     _shipped.add(sc.applicationId)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(id, component): the smallest id that each end of the links (a, b)
+    reaches.  Large-star and small-star steps by turns: every step replaces
+    links by links to the smallest neighbour, so a chain shortens quickly and
+    no node's neighbours are ever gathered."""
+    links = shared_table(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                         .where("a <> b").distinct(), "links")
+    state = None
+    while True:
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        down = large.where("a <> b").distinct()
+        least = down.groupBy("a").agg(F.min("b").alias("m"))
+        small = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
+            .unionByName(least.select("a", F.col("m").alias("b")))
+        links = shared_table(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                             .where("a <> b").distinct(), "links")
+        now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+        if now == state:
+            break
+        state = now
+    return links.select(F.col("a").alias("id"), F.col("b").alias("component")) \
+        .unionByName(links.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
