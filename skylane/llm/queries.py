@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylane.llm import chat, decontamination, html_extract, licenses, packing, toxicity
+from skylane.llm import (chat, decontamination, html_extract, licenses, neardup, packing, quality, suffix_dedup,
+                         toxicity)
 from skylane.llm.common import ship_code
 
 
@@ -21,7 +22,10 @@ def _with_code(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spa
 QUERIES = {query.__name__: _with_code(query) for query in (
     decontamination.op1_decontamination,
     licenses.op2_license_scan,
+    quality.op3_quality_classifier,
     chat.op4_chat_formatting,
+    neardup.op5_minhash_near_dedup,
+    suffix_dedup.op6_suffix_dedup,
     packing.op8_packing,
     toxicity.op9_toxicity,
     html_extract.op10_html_extraction,
