@@ -6,20 +6,53 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylane.llm.common import read_table, shared_table
+from skylane.llm.common import read_table, shared_table, ship_code
 from skylane.llm.decontamination import decontaminate
+from skylane.llm.neardup import drop_near_duplicates
+from skylane.llm.packing import pack
+from skylane.llm.quality import keep_good
+from skylane.llm.suffix_dedup import remove_repeats
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model of trusted text accepts."""
+    ship_code(spark)
+    return keep_good(docs, read_table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (shingles of five words, 0.8)."""
+    ship_code(spark)
+    return drop_near_duplicates(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that also stand earlier."""
+    ship_code(spark)
+    return remove_repeats(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents contaminated by the benchmark."""
+    """Documents that the benchmark does not contaminate."""
     return decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences of at most 2048."""
+    import public_tokenizers
+    ship_code(spark)
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("packing", packing),
 ]
 
-#: Two stages have no SQL form (a language model, a packing order).
+#: A language model, a MinHash forest and a random packing have no SQL form.
 ORACLE_SQL = None
 
 
