@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylane.llm import (chat, decontamination, html_extract, licenses, neardup, packing, quality, suffix_dedup,
-                         toxicity)
+from skylane.llm import (ann, chat, decontamination, html_extract, licenses, neardup, packing, quality,
+                         suffix_dedup, toxicity)
 from skylane.llm.common import ship_code
 
 
@@ -26,6 +26,7 @@ QUERIES = {query.__name__: _with_code(query) for query in (
     chat.op4_chat_formatting,
     neardup.op5_minhash_near_dedup,
     suffix_dedup.op6_suffix_dedup,
+    ann.op7_nearest_neighbours,
     packing.op8_packing,
     toxicity.op9_toxicity,
     html_extract.op10_html_extraction,
