@@ -168,9 +168,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
     same = docs["doc_id"].eqNullSafe(found["_hit_id"]) & (F.xxhash64(docs["text"]) == found["_hit_text"])
     if mode == "documents":
         return docs.join(found, same, "left_anti")
-    joined = docs.join(found.withColumnRenamed("spans", "_hit_spans"), same, "left")
-    return joined.withColumn("text", F.when(F.col("_hit_spans").isNull(), docs["text"]).otherwise(
-        without_words(docs["text"], F.col("_hit_spans")))).select(*docs.columns)
+    text = F.when(found["spans"].isNull(), docs["text"]).otherwise(without_words(docs["text"], found["spans"]))
+    return docs.join(found, same, "left").select(
+        *[text.alias("text") if c == "text" else docs[f"`{c}`"] for c in docs.columns])
 
 
 def without_words(text: Column, spans: Column) -> Column:

@@ -271,8 +271,9 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -
     """``docs`` (all its columns) with one document of each group of copies:
     the one of the smallest id; of rows with that id, one."""
     found = near_duplicates(docs, width, threshold)
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    gone = found.where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = broadcast_if_small(shared_table(gone, "copies"), BROADCAST_ROWS)
+    left = docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
     repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     if repeated.isEmpty():
         return left

@@ -63,7 +63,7 @@ class ChunkEncoder:
         return found
 
     def chunk(self, chunk: str) -> bytes:
-        if len(chunk) > 1 and chunk[-1] in ".,;:!?" and chunk[-2].isalpha():
+        if len(chunk) > 1 and chunk[-1] in ".,;:!?" and chunk[-2].lower().isalpha():
             return self.stem(chunk[:-1]) + self.stem(chunk[-1])
         return self.stem(chunk)
 

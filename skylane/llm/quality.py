@@ -237,10 +237,10 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, mar
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` (all its columns) without the rejected documents."""
-    bad = shared_table(classify(docs, labels).where("NOT kept").select(
-        F.col("doc_id").alias("_bad"), F.col("text_hash").alias("_bad_text")).distinct(), "rejected")
-    return docs.join(broadcast_if_small(bad, BROADCAST_ROWS), docs["doc_id"].eqNullSafe(F.col("_bad"))
-                     & (F.xxhash64(docs["text"]) == F.col("_bad_text")), "left_anti")
+    bad = broadcast_if_small(shared_table(classify(docs, labels).where("NOT kept").select(
+        F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_text")).distinct(), "rejected"), BROADCAST_ROWS)
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"])
+                     & (F.xxhash64(docs["text"]) == bad["bad_text"]), "left_anti")
 
 
 def op3_quality_classifier(spark, sf_dir: str) -> DataFrame:
