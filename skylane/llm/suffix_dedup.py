@@ -11,16 +11,18 @@ smallest.  Equal strings have the same anchor, so no repeat is missed.
 1. Scan: the hashes of the anchors' leading bytes are counted; those that
    occur once cannot repeat.  The others set bits in a bitmap of bounded size
    (a false bit only costs work).
-2. Scan: each anchor in the bitmap becomes a row with its text around (the
-   strings that share the anchor lie within 168 bytes).  Of equal rows of one
-   batch only the earliest goes on; the others are repeats already, so a
-   passage that a third of all documents share crosses the shuffle once per
-   batch.
-3. The rows are range-partitioned by leading bytes (Spark samples the
-   splitters); equal leading bytes never part, so no match crosses a boundary.
-   Each bucket is sorted by several keys (leading 8 bytes, leading 32 bytes,
-   the whole string; the last two as 64-bit hashes) and neighbours are
-   compared: all but the first of equal strings are repeats.
+2. Scan: each anchor in the bitmap becomes a row with a hash of its context,
+   the at most 168 bytes of the strings that share the anchor.  All but the
+   earliest of equal contexts repeat as a whole.  Within a batch they are left
+   out before the shuffle, so a passage that a third of all documents share
+   crosses it once per batch.
+3. Scan: leading bytes with several contexts are the ends of repeats.  Only
+   their anchors come with the context's text.  These suffixes are
+   range-partitioned by leading bytes (Spark samples the splitters); equal
+   leading bytes never part, so no match crosses a boundary.  Each bucket is
+   sorted by several keys (leading 8 bytes, leading 32 bytes, the whole string;
+   the last two as 64-bit hashes) and neighbours are compared: all but the
+   first of equal strings are repeats.
 4. The repeats of a document are merged into spans and cut out.
 
 Defined results: a NULL text is empty; a NULL ``doc_id`` counts as the
@@ -37,7 +39,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from skylane.llm.common import shared_table
 
@@ -61,18 +63,29 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
-def rolling_hashes(data: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit hash of each ``width`` consecutive bytes."""
-    up, down = _powers(SEGMENT + 4 * MATCH)
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of all beginnings."""
+    up, _ = _powers(SEGMENT + 4 * MATCH)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(data.astype(np.uint64) * up[:len(data)] + up[:len(data)], out=sums[1:])
-    h = (sums[width:] - sums[:-width]) * down[:len(data) - width + 1]
+    return sums
+
+
+def string_hashes(sums: np.ndarray, first, last) -> np.ndarray:
+    """A 64-bit hash of the bytes [first, last), from the beginnings' hashes."""
+    _, down = _powers(SEGMENT + 4 * MATCH)
+    h = (sums[last] - sums[first]) * down[first]
     h ^= h >> np.uint64(32)
     h *= _MIX
     h ^= h >> np.uint64(29)
     return h
 
 
+def rolling_hashes(sums: np.ndarray, width: int) -> np.ndarray:
+    """The hash of each ``width`` consecutive bytes."""
+    return string_hashes(sums, slice(0, len(sums) - width), slice(width, None))
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     have = 1
     while 2 * have <= width:
@@ -82,12 +95,15 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchor_runs(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """For texts that end at ``ends`` in ``data``: (anchor, first, last, hash)
-    of each run of strings [first, last] (by start) with the same anchor."""
+    """For texts that end at ``ends`` in ``data``: (anchor, first, stop, lead,
+    whole) of each run of strings with the same anchor: together they are the
+    bytes [first, stop); lead and whole are the hashes of the anchor's leading
+    bytes and of the context with the anchor's place in it."""
     n = len(data)
     for base in range(0, max(0, n - MATCH + 1), SEGMENT):
         part = data[base:base + SEGMENT + MATCH - 1]
-        leads = rolling_hashes(part, LEAD)
+        sums = prefix_sums(part)
+        leads = rolling_hashes(sums, LEAD)
         order = (leads >> np.uint64(32) << np.uint64(32)) | np.arange(len(leads), dtype=np.uint64)
         anchor = (sliding_min(order, MATCH - LEAD + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         starts = np.arange(base, base + len(anchor))
@@ -96,9 +112,10 @@ def anchor_runs(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray
         first = np.concatenate(([0], cut))
         last = np.concatenate((cut, [len(anchor)])) - 1
         keep = inside[first]
-        first, last = first[keep], last[keep]
+        first, stop = first[keep], last[keep] + MATCH
         at = anchor[first]
-        yield at + base, first + base, last + base, leads[at]
+        whole = string_hashes(sums, first, stop) ^ ((at - first).astype(np.uint64) * _MIX)
+        yield at + base, first + base, stop + base, leads[at], whole
 
 
 def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, bytes]:
@@ -120,7 +137,7 @@ def repeated_leads(source: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, ends, _ = _texts(batch["text"])
-            found = [leads for _, _, _, leads in anchor_runs(data, ends)]
+            found = [leads for _, _, _, leads, _ in anchor_runs(data, ends)]
             leads, counts = np.unique(np.concatenate(found), return_counts=True) if found else (
                 np.zeros(0, np.uint64), np.zeros(0, np.int64))
             yield pa.record_batch([pa.array(leads.view(np.int64)), pa.array(np.minimum(counts, 2).astype(np.int8))],
@@ -141,46 +158,101 @@ def lead_bitmap(leads: DataFrame) -> tuple[np.ndarray, int]:
     return bitmap, bits
 
 
-_ROW = "key long, lead long, at int, context binary, doc long, version long, start long, length int"
-
+class _Hits:
+    """The anchors of a batch that are in a bitmap, oldest document first, as
+    arrays; ``again`` marks contexts that an earlier row of the batch has (rows
+    of the same place, from repeated documents, are left out)."""
+
+    def __init__(self, batch: pa.RecordBatch, held: np.ndarray, bits: int):
+        doc, version = batch["doc"].to_numpy(), batch["version"].to_numpy()
+        by_age = np.lexsort((version, doc))
+        doc, version = doc[by_age], version[by_age]
+        data, ends, self.raw = _texts(batch["text"].take(pa.array(by_age)))
+        shift, six, low = np.uint64(64 - bits), np.uint64(6), np.uint64(63)
+        parts = []
+        for run in anchor_runs(data, ends):
+            place = run[3] >> shift
+            hit = np.flatnonzero((held[place >> six] >> (place & low)) & np.uint64(1))
+            parts.append([column[hit] for column in run])
+        if not parts:
+            parts = [[np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2]
+        self.at, self.first, self.stop, self.lead, self.whole = (np.concatenate(c) for c in zip(*parts))
+        owner = np.searchsorted(ends, self.first, side="right")
+        self.doc, self.version = doc[owner], version[owner]
+        self.start = self.first - np.concatenate(([0], ends[:-1]))[owner]
+        _, earliest, which = np.unique(self.whole, return_index=True, return_inverse=True)
+        earliest = earliest[which]
+        self.again = earliest != np.arange(len(earliest))
+        same = self.again & (self.doc[earliest] == self.doc) & (self.version[earliest] == self.version) \
+            & (self.start[earliest] == self.start)
+        self.new, self.again = ~self.again, self.again & ~same
+
+    def repeats(self) -> tuple[np.ndarray, ...]:
+        """(doc, version, start, stop) of the contexts met again, merged."""
+        doc, version, start = (x[self.again] for x in (self.doc, self.version, self.start))
+        stop = start + (self.stop - self.first)[self.again]
+        if not len(doc):
+            return doc, version, start, stop
+        opens = np.concatenate(([True], (doc[1:] != doc[:-1]) | (version[1:] != version[:-1])
+                                | (start[1:] > stop[:-1]) | (start[1:] < start[:-1])))
+        begin = np.flatnonzero(opens)
+        return doc[begin], version[begin], start[begin], np.maximum.reduceat(stop, begin)
+
+
+def _spans(columns) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["doc", "version", "start", "stop"])
+
+
+def whole_repeats(source: DataFrame, bitmap: np.ndarray, bits: int) -> DataFrame:
+    """Rows (lead, several, again, doc, version, start, stop): ``again`` marks
+    contexts that an earlier row has as a whole, ``several`` leading bytes with
+    different contexts; rows that are neither are left out.  Repeats within
+    one batch have no lead."""
+    shared = source.sparkSession.sparkContext.broadcast(bitmap)
 
-def _rows(columns: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
-    names = [c.split()[0] for c in _ROW.split(", ")]
-    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*columns) if columns else [()] * 8, kinds)], names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["lead", "whole", "doc", "version", "start", "stop"]
+        for batch in batches:
+            hits = _Hits(batch, shared.value, bits)
+            new = hits.new
+            yield pa.record_batch([pa.array(c) for c in (
+                hits.lead[new].view(np.int64), hits.whole[new].view(np.int64), hits.doc[new], hits.version[new],
+                hits.start[new], hits.start[new] + (hits.stop - hits.first)[new])], names)
+            repeats = hits.repeats()
+            none = pa.nulls(len(repeats[0]), pa.int64())
+            yield pa.record_batch([pa.array(repeats[0]), none, *(pa.array(c) for c in repeats)], names)
+    # repeats within a batch carry their document's id as lead, to be spread
+    rows = source.mapInArrow(run, "lead long, whole long, doc long, version long, start long, stop long") \
+        .repartition("lead")
+    by_lead, by_whole = Window.partitionBy("lead"), Window.partitionBy("lead", "whole")
+    age = F.struct("doc", "version", "start")
+    known = F.col("whole").isNotNull()
+    return rows.select(
+        F.when(known, F.col("lead")).alias("lead"),
+        (known & (F.min("whole").over(by_lead) != F.max("whole").over(by_lead))).alias("several"),
+        (~known | (F.min(F.when(known, age)).over(by_whole) < age)).alias("again"),
+        "doc", "version", "start", "stop").where("several OR again")
+
+
+_ROW = "key long, lead long, at int, context binary, doc long, version long, start long"
 
 
 def anchored_suffixes(source: DataFrame, bitmap: np.ndarray, bits: int) -> DataFrame:
-    """Rows of the anchors in the bitmap; those without a context repeat an
-    earlier row of their batch as a whole."""
+    """Rows of the anchors in the bitmap with their contexts, each context once
+    per batch (the others are known as repeats)."""
     shared = source.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, shift = shared.value, np.uint64(64 - bits)
+        names = [c.split()[0] for c in _ROW.split(", ")]
         for batch in batches:
-            doc, version = batch["doc"].to_numpy(), batch["version"].to_numpy()
-            by_age = np.lexsort((version, doc))
-            doc, version = doc[by_age], version[by_age]
-            data, ends, raw = _texts(batch["text"].take(pa.array(by_age)))
-            begins = np.concatenate(([0], ends[:-1]))
-            seen: dict[tuple[int, bytes], tuple] = {}
-            for at, first, last, leads in anchor_runs(data, ends):
-                place = leads >> shift
-                hit = np.flatnonzero((held[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1))
-                at, first, last, leads = at[hit], first[hit], last[hit], leads[hit]
-                owner = np.searchsorted(ends, first, side="right")
-                out = []
-                for a, f, e, lead, d, v, s in zip(at.tolist(), first.tolist(), (last + MATCH).tolist(),
-                                                  leads.view(np.int64).tolist(), doc[owner].tolist(),
-                                                  version[owner].tolist(), (first - begins[owner]).tolist()):
-                    context = raw[f:e]
-                    mine = (d, v, s)
-                    if seen.setdefault((a - f, context), mine) == mine:
-                        key = int.from_bytes(raw[a:a + 8], "big") - (1 << 63)
-                        out.append((key, lead, a - f, context, d, v, s, e - f))
-                    else:
-                        out.append((None, None, None, None, d, v, s, e - f))
-                yield _rows(out)
+            hits = _Hits(batch, shared.value, bits)
+            new, raw = hits.new, hits.raw
+            at, first, stop = hits.at[new], hits.first[new], hits.stop[new]
+            yield pa.record_batch([
+                pa.array([int.from_bytes(raw[a:a + 8], "big") - (1 << 63) for a in at.tolist()], pa.int64()),
+                pa.array(hits.lead[new].view(np.int64)), pa.array((at - first).astype(np.int32)),
+                pa.array([raw[f:e] for f, e in zip(first.tolist(), stop.tolist())], pa.binary()),
+                pa.array(hits.doc[new]), pa.array(hits.version[new]), pa.array(hits.start[new])], names)
     return source.mapInArrow(run, _ROW)
 
 
@@ -207,7 +279,7 @@ def _bucket(rows: pa.Table) -> Iterator[tuple[int, int, int, int]]:
         begins = np.cumsum(lengths) - lengths
         owner = np.repeat(np.arange(row, stop), strings)
         place = np.arange(strings.sum()) - np.repeat(np.cumsum(strings) - strings, strings)
-        hashes.append(rolling_hashes(data, MATCH)[np.repeat(begins, strings) + place])
+        hashes.append(rolling_hashes(prefix_sums(data), MATCH)[np.repeat(begins, strings) + place])
         owners.append(owner)
         places.append(place)
         row = stop
@@ -244,14 +316,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc, version, spans): the merged [start, stop) byte ranges to remove
     from each document that has any; NO_ID stands for a NULL id."""
     source = _source(docs)
-    leads = shared_table(repeated_leads(source.where(F.octet_length("text") >= MATCH)), "repeated-leads")
-    bitmap, bits = lead_bitmap(leads)
-    rows = shared_table(anchored_suffixes(source.where(F.octet_length("text") >= MATCH), bitmap, bits), "suffixes")
+    long = source.where(F.octet_length("text") >= MATCH)
+    rows = shared_table(whole_repeats(long, *lead_bitmap(shared_table(repeated_leads(long), "repeated-leads"))),
+                        "whole-repeats")
+    ends = rows.where("several").select("lead").distinct()
+    suffixes = shared_table(anchored_suffixes(long, *lead_bitmap(shared_table(ends, "several-contexts"))), "suffixes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(spans) -> pa.RecordBatch:
-            columns = list(zip(*spans)) or [()] * 4
-            return pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["doc", "version", "start", "stop"])
+            return _spans(list(zip(*spans)) or [()] * 4)
         carried = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
@@ -270,11 +343,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 yield out(spans)
         if carried is not None and carried.num_rows:
             yield out(_bucket(carried))
-    buckets = rows.where("context IS NOT NULL").repartitionByRange("key", "lead").sortWithinPartitions("key", "lead")
+    buckets = suffixes.repartitionByRange("key", "lead").sortWithinPartitions("key", "lead")
     found = buckets.select("lead", "at", "context", "doc", "version", "start") \
         .mapInArrow(run, "doc long, version long, start long, stop long")
-    at_once = rows.where("context IS NULL").select("doc", "version", "start", (F.col("start") + F.col("length")).alias("stop"))
-    spans = found.unionByName(at_once)
+    spans = found.unionByName(rows.where("again").select("doc", "version", "start", "stop"))
     # a document's spans are at most its bytes
     return spans.groupBy("doc", "version").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
 
@@ -296,12 +368,13 @@ def _kept(text: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
     return b"".join(parts), runs
 
 
-def _with_spans(docs: DataFrame, extra: list[Column]) -> DataFrame:
+def _with_spans(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as one column each, beside their spans."""
     found = repeated_spans(docs)
-    doc = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID))
-    return docs.select("*", doc.alias("_doc"), F.xxhash64(docs["text"]).alias("_version")).join(
-        found.select(F.col("doc").alias("_doc"), F.col("version").alias("_version"), F.col("spans").alias("_spans")),
-        ["_doc", "_version"], "left").select(*extra, "_spans")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+                       F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("doc"),
+                       F.xxhash64(docs["text"]).alias("version"))
+    return rows.join(found, ["doc", "version"], "left").select("row", "spans")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -310,14 +383,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     if there, counts anew.  Every document stays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            row = batch["row"]
+            columns = dict(zip((f.name for f in row.type), row.flatten()))
+            cut = [s is not None for s in batch["spans"].to_pylist()]
             texts = [t if s is None else _kept(t.encode(), s)[0].decode("utf-8", "ignore")
-                     for t, s in zip(batch["text"].to_pylist(), batch["_spans"].to_pylist())]
-            at = batch.schema.names.index("text")
-            yield batch.set_column(at, "text", pa.array(texts, pa.string())).drop_columns(["_spans"])
-    out = _with_spans(docs, [docs[c] for c in docs.columns]).mapInArrow(run, docs.schema)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out
+                     for t, s in zip(columns["text"].to_pylist(), batch["spans"].to_pylist())]
+            columns["text"] = pa.array(texts, pa.string())
+            if "n_chars" in columns:
+                columns["n_chars"] = pa.array([len(t) if c else n for t, c, n in zip(
+                    texts, cut, columns["n_chars"].to_pylist())], columns["n_chars"].type)
+            yield pa.record_batch(list(columns.values()), list(columns))
+    return _with_spans(docs).mapInArrow(run, docs.schema)
 
 
 def removal_digest(docs: DataFrame) -> DataFrame:
@@ -325,15 +401,16 @@ def removal_digest(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, spans in zip(batch["text"].to_pylist(), batch["_spans"].to_pylist()):
+            for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist()):
                 kept, runs = _kept(text, spans)
                 rows.append((len(text), len(text) - len(kept), runs, hashlib.sha256(kept).hexdigest()))
             columns = list(zip(*rows)) or [()] * 4
-            yield pa.record_batch([batch["doc_id"].cast(pa.int64()), *(pa.array(c, pa.int64()) for c in columns[:3]),
+            yield pa.record_batch([batch["doc_id"], *(pa.array(c, pa.int64()) for c in columns[:3]),
                                    pa.array(columns[3], pa.string())],
                                   ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    return _with_spans(docs.select("doc_id", "text"), [F.col("doc_id"), F.coalesce(F.col("text"), F.lit(""))
-                                                       .cast("binary").alias("text")]) \
+    return _with_spans(docs.select("doc_id", "text")).select(
+        F.col("row.doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("row.text"), F.lit("")).cast("binary").alias("text"), "spans") \
         .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
