@@ -6,7 +6,7 @@ reference is a parameter here, so the same code serves other airports.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # --- Fixed values taken from the reference (arrival rules for one airport) ---
 DESTINATION = "SBGR"
@@ -78,7 +78,6 @@ class ArrivalRules:
     profile_unit: str = "hour"
     interval_unit: str = "hour"
     moving_avg_unit: str = "day"
-    extra: dict = field(default_factory=dict, compare=False)
 
     def with_(self, **kw) -> "ArrivalRules":
         return replace(self, **kw)

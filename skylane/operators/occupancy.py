@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from skylane.config import ArrivalRules
 from skylane.functions.timefns import time_bin
 from skylane.operators.sequence import sweep
-from skylane.plans.strategy import FlightBounds, broadcast_within
+from skylane.plans.strategy import FlightBounds, broadcast_within, materialize
 
 
 def occupancy_intervals(radar_tma: DataFrame, rules: ArrivalRules,
@@ -32,17 +32,19 @@ def occupancy_intervals(radar_tma: DataFrame, rules: ArrivalRules,
     airport column) give independent sweeps.
     """
     keys = list(keys)
-    # entry (+1) and landing (-1) of every point's flight, distinct per
-    # (flight key, instant, kind): one aggregation, combined map-side
+    # one row per flight first, then entry (+1) and landing (-1), distinct per
+    # (flight key, instant, kind); the few instants are written once, since the
+    # sweep reads them twice
+    flights = radar_tma.select(*keys, "id", "c_time", "aldt").distinct()
     both = F.array(F.struct(F.col("c_time").alias("t"), F.lit(1).alias("delta")),
                    F.struct(F.col("aldt").alias("t"), F.lit(-1).alias("delta")))
-    events = (radar_tma.select(*keys, "id", F.explode(both).alias("e"))
+    events = (flights.select(*keys, "id", F.explode(both).alias("e"))
               .select(*keys, "id", "e.t", "e.delta")
               .where(F.col("t").isNotNull())
               .distinct())
-    instants = events.groupBy(*keys, "t").agg(
+    instants = materialize(events.groupBy(*keys, "t").agg(
         F.sum("delta").cast("bigint").alias("delta"),
-        F.max(F.when(F.col("delta") < 0, 1).otherwise(0)).alias("any_exit"))
+        F.max(F.when(F.col("delta") < 0, 1).otherwise(0)).alias("any_exit")), name="instants")
     # segments with an instant: at most 2 per flight and at most the bins in the span
     seg_bound = (None if bounds is None or keys
                  else min(2 * bounds.flights, bounds.bins(rules.sweep_unit)))
@@ -71,24 +73,37 @@ def occupancy_at(rows: DataFrame, occupancy: DataFrame, time_col: str,
     """Add ``nr_aircraft_in_tma`` of the interval with from <= t < to.
 
     Intervals do not overlap, so at most one matches; the open last interval
-    never matches.  Each closed interval is listed under every time bin it
-    touches, and rows join on (keys, bin) with the range as a residual — an
-    equi-join instead of a nested loop.  The bin list has at most
-    #intervals + #bins-in-span rows, since intervals tile time.
+    never matches.  An interval is listed under the time bin in which it
+    starts; a summary with one row per bin carries the last interval that
+    started in an earlier bin.  A row is matched with the intervals of its own
+    bin (equi-join, range as a residual) and with its bin's carried one, so an
+    interval of any length takes one row.
     """
     keys = list(keys)
+    names = [f"_k{i}" for i in range(len(keys))]
     t0, t1 = F.col("dt_valid_from"), F.col("dt_valid_to")
-    iv = occupancy.where(t1.isNotNull() & t0.isNotNull()).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        t0.alias("_from"), t1.alias("_to"), F.col("nr_aircraft_in_tma"),
-        F.explode(F.sequence(time_bin(t0, rules.interval_unit),
-                             time_bin(t1, rules.interval_unit))).alias("_ibin"))
-    iv_bound = (None if bounds is None or keys
-                else 2 * bounds.flights + bounds.bins(rules.interval_unit))
-    iv = broadcast_within(iv, iv_bound, rules.broadcast_max_rows)
-    r = rows.withColumn("_bin", time_bin(F.col(time_col), rules.interval_unit))
-    cond = ((r["_bin"] == iv["_ibin"]) & (r[time_col] >= iv["_from"]) & (r[time_col] < iv["_to"]))
-    for k in keys:
-        cond = cond & (r[k] == iv[f"_k_{k}"])
-    j = r.join(iv, cond, "left")
-    return j.drop("_bin", "_ibin", "_from", "_to", *[f"_k_{k}" for k in keys])
+    starts = occupancy.where(t1.isNotNull() & t0.isNotNull()).select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)], time_bin(t0, rules.interval_unit).alias("_ibin"),
+        F.struct(t0.alias("from"), t1.alias("to"), F.col("nr_aircraft_in_tma").alias("n")).alias("_iv"))
+    bin_of = time_bin(F.col(time_col), rules.interval_unit)
+    bins = rows.where(F.col(time_col).isNotNull()).select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)], bin_of.alias("_ibin")).distinct()
+    bins = starts.unionByName(bins.withColumn("_iv", F.lit(None).cast(starts.schema["_iv"].dataType)))
+    before = Window.partitionBy(*names).orderBy("_ibin").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (bins.groupBy(*names, "_ibin").agg(F.max("_iv").alias("_last"))
+               .select(*names, "_ibin", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+               .where(F.col("_carry").isNotNull()))
+    flights = None if bounds is None or keys else bounds.flights
+    starts = broadcast_within(starts, None if flights is None else 2 * flights, rules.broadcast_max_rows)
+    carried = broadcast_within(carried, None if flights is None else 3 * flights, rules.broadcast_max_rows)
+    r = rows.withColumn("_bin", bin_of)
+
+    def matched(left: DataFrame, right: DataFrame, interval: str) -> DataFrame:
+        t = left[time_col]
+        cond = (left["_bin"] == right["_ibin"]) & (t >= right[interval]["from"]) & (t < right[interval]["to"])
+        for k, n in zip(keys, names):
+            cond = cond & (left[k] == right[n])
+        return left.join(right, cond, "left").drop("_ibin", *names)
+    j = matched(matched(r, starts, "_iv"), carried, "_carry")
+    return j.withColumn("nr_aircraft_in_tma", F.coalesce(F.col("_iv.n"), F.col("_carry.n"))) \
+        .drop("_bin", "_iv", "_carry")

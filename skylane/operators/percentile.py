@@ -10,7 +10,9 @@ Two plans give the same numbers:
   tasks — and sorted inside each partition.  A row's rank in its group is the
   number of the group's rows in earlier partitions (a small per-(group,
   partition) table) plus its position in its own partition.  Only the two rows
-  at the interpolation ranks of each group are kept.
+  at the interpolation ranks of each group are kept.  The ranked rows are
+  written once and read by both uses: partition and position numbers are only
+  comparable within one execution of the sort.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from skylane.plans.strategy import broadcast_within
+from skylane.plans.strategy import broadcast_within, materialize
 
 
 def exact_percentile(df: DataFrame, groups: Sequence[str], value: str, p: float, out: str,
@@ -49,6 +51,7 @@ def exact_percentile(df: DataFrame, groups: Sequence[str], value: str, p: float,
               .sortWithinPartitions("_g", "_v")
               .select("*", F.spark_partition_id().alias("_pid"),
                       F.monotonically_increasing_id().alias("_mid")))
+    ranked = materialize(ranked, name="ranked-values")
     # rows of each group in each partition; a group spans a run of partitions,
     # so this has at most #groups + #partitions rows
     blocks = ranked.groupBy("_g", "_pid").agg(

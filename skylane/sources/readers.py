@@ -27,9 +27,18 @@ class Sources:
     chart: DataFrame
 
 
+def _require(columns: list[str], schema: StructType, path: str) -> None:
+    """Raise if a declared column is missing (read as declared, it would be
+    NULL in every row)."""
+    missing = [f.name for f in schema.fields if f.name.lower() not in {c.lower() for c in columns}]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}; it has {', '.join(columns)}")
+
+
 def _read_parquet(spark: SparkSession, path: str, schema: StructType,
                   partitioned: bool, start: dt.date | None, end: dt.date | None) -> DataFrame:
     full = StructType(schema.fields + [PARTITION_COLUMN]) if partitioned else schema
+    _require(spark.read.parquet(path).columns, full, path)
     df = spark.read.schema(full).parquet(path)
     if partitioned and start is not None:
         df = df.where(F.col(PARTITION_COLUMN.name) >= F.lit(start))
@@ -51,5 +60,8 @@ def read_radar_points(spark: SparkSession, path: str, partitioned: bool = True,
 
 
 def read_fuel_chart(spark: SparkSession, path: str) -> DataFrame:
-    """Fuel chart seed: CSV with a header and the declared four columns."""
-    return spark.read.schema(FUEL_CHART).option("header", True).csv(path)
+    """Fuel chart seed: CSV whose header names at least the four declared
+    columns, in any order; a value that is not of its column's type raises."""
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    _require(raw.columns, FUEL_CHART, path)
+    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in FUEL_CHART.fields])
