@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from skylane.config import ArrivalRules
 from skylane.plans.pipeline import run_pipeline
+from skylane.plans.strategy import release_tables
 from skylane.sources import Sources, read_flight_records, read_fuel_chart, read_radar_points
 
 
@@ -39,7 +41,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-table", default="flight_consumption_ml_ready")
     p.add_argument("--jdbc-user")
-    p.add_argument("--jdbc-password")
+    p.add_argument("--jdbc-password-file", help="file with the password (an argument is visible to other users)")
     p.add_argument("--fail-on-check", action="store_true")
     a = p.parse_args(argv)
 
@@ -52,9 +54,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     rules = ArrivalRules(destination=a.destination, min_points=a.min_points)
     jdbc = None
     if a.jdbc_url:
-        props = {k: v for k, v in (("user", a.jdbc_user), ("password", a.jdbc_password)) if v}
+        password = Path(a.jdbc_password_file).read_text().strip() if a.jdbc_password_file else None
+        props = {k: v for k, v in (("user", a.jdbc_user), ("password", password)) if v}
         jdbc = {"url": a.jdbc_url, "table": a.jdbc_table, "properties": props}
     run_pipeline(sources, rules, a.out, jdbc=jdbc, fail_on_check=a.fail_on_check)
+    release_tables(spark)
 
 
 if __name__ == "__main__":

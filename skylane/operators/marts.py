@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from skylane.functions.intervals import interval_seconds
-
 
 def flight_identifiers(filtered: DataFrame) -> DataFrame:
     return filtered.select(
@@ -20,11 +18,6 @@ def operational_attributes(filtered: DataFrame) -> DataFrame:
         "setor", F.col("entry_time").alias("c_time"), F.col("landing_time").alias("aldt"))
 
 
-def transit_metrics(filtered: DataFrame, as_seconds: bool = False) -> DataFrame:
-    """id, transito and the three durations (intervals, or seconds as double)."""
-    conv = interval_seconds if as_seconds else (lambda c: c)
-    return filtered.select(
-        "id", "transito",
-        conv(F.col("desimp")).alias("desimp"),
-        conv(F.col("kpi08")).alias("kpi08"),
-        conv(F.col("transit_tma")).alias("transit_tma"))
+def transit_metrics(filtered: DataFrame) -> DataFrame:
+    """id, transito and the three durations (intervals)."""
+    return filtered.select("id", "transito", "desimp", "kpi08", "transit_tma")

@@ -92,6 +92,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_written: dict[str, list[str]] = {}
+
+
+def new_table_path(spark: SparkSession, name: str) -> str:
+    """Path of a new intermediate table in the shared checkpoint folder;
+    ``release_tables`` removes it."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/skylane-tables/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this application has written so far
+    and return how many there were.  Results that still read them (lazy
+    DataFrames) must have been written before."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
+
+
 def materialize(df: DataFrame, mode: str = "table", name: str = "layer",
                 path: str | None = None, partition_by: list[str] | None = None,
                 sort_by: list[str] | None = None) -> DataFrame:
@@ -114,8 +136,7 @@ def materialize(df: DataFrame, mode: str = "table", name: str = "layer",
             return materialize(df, "checkpoint")
         from skylane.sources.sinks import write_table
         if path is None:
-            folder = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-            path = f"{folder}/skylane-tables/{name}-{uuid.uuid4().hex}"
+            path = new_table_path(df.sparkSession, name)
         write_table(df, path, partition_by, sort_by=sort_by)
         # read back in the original column order (partition columns come last)
         return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -1,4 +1,4 @@
-"""Declared source schemas (a missing column fails at read time, not mid-job)."""
+"""Declared source schemas; the readers raise when a declared column is missing."""
 
 from pyspark.sql.types import (
     DateType, DoubleType, IntegerType, LongType, StringType, StructField,

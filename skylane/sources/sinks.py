@@ -11,11 +11,16 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     """Write a layer as Parquet; ``overwrite`` rebuilds it like a full refresh.
 
     ``sort_by`` orders the table globally (range-partitioned sort, files in
-    order) — the place for a final ORDER BY.  Files hold at most
+    order) — the place for a final ORDER BY.  With ``partition_by`` the rows are
+    rebalanced by those columns first, so a partition directory gets a few full
+    files and not one from every task; adaptive execution splits a partition
+    that is too large for one task.  Files hold at most
     ``max_records_per_file`` rows.
     """
     if sort_by:
         df = df.orderBy(*sort_by)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
