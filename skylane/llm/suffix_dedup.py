@@ -320,7 +320,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     rows = shared_table(whole_repeats(long, *lead_bitmap(shared_table(repeated_leads(long), "repeated-leads"))),
                         "whole-repeats")
     ends = rows.where("several").select("lead").distinct()
-    suffixes = shared_table(anchored_suffixes(long, *lead_bitmap(shared_table(ends, "several-contexts"))), "suffixes")
+    # sampling the splitters scans once more; a written table would double the disk
+    suffixes = anchored_suffixes(long, *lead_bitmap(shared_table(ends, "several-contexts")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(spans) -> pa.RecordBatch:
