@@ -39,22 +39,20 @@ def transit_moving_average(df: DataFrame, rules: ArrivalRules,
     among themselves).
 
     The window is partitioned by time bins (``rules.moving_avg_unit``) as well,
-    so a busy runway/sector is split across tasks.  Rows within the horizon
-    of the next bin are copied there as context and dropped after the window.
+    so a busy runway/sector is split across tasks.  Rows are
+    copied as context into the later bins within the horizon and dropped after the window.
     Rows without a time are all peers of each other, so their value is the
     plain average of their partition: a map-side-combined aggregate joined
     back (on a NULL-safe struct key), not a one-task window.
     """
     horizon = rules.horizon_seconds * 1_000_000
     width = bin_seconds(rules.moving_avg_unit) * 1_000_000
-    if horizon >= width:
-        raise ValueError("moving_avg_unit must be longer than the horizon")
     partition = list(partition)
     timed = df.where(F.col(time_col).isNotNull())
     t = epoch_micros(F.col(time_col))
     own = F.floor(t / F.lit(width)).cast("bigint")
-    bins = F.when(t >= (own + 1) * F.lit(width) - F.lit(horizon),
-                  F.array(own, own + 1)).otherwise(F.array(own))
+    # every bin that the row's horizon reaches, however long it is
+    bins = F.sequence(own, F.floor((t + F.lit(horizon)) / F.lit(width)).cast("bigint"))
     rows = timed.select("*", t.alias("_t"), own.alias("_own"), F.explode(bins).alias("_bin"))
     w = (Window.partitionBy(*partition, "_bin").orderBy(F.col("_t"))
          .rangeBetween(-horizon, Window.currentRow))
@@ -64,12 +62,19 @@ def transit_moving_average(df: DataFrame, rules: ArrivalRules,
 
     untimed = df.where(F.col(time_col).isNull()).withColumn("_pk", F.struct(*partition))
     peers = untimed.groupBy("_pk").agg(F.avg(value).alias(out))
-    peers = broadcast_within(peers, None if bounds is None else bounds.flights,
-                             rules.broadcast_max_rows)
+    peers = broadcast_within(peers, _group_bound(bounds, rules), rules.broadcast_max_rows)
     without_time = untimed.join(peers, "_pk", "left").drop("_pk")
     return with_time.unionByName(without_time)
 
 
+def _group_bound(bounds: FlightBounds | None, rules: ArrivalRules) -> int | None:
+    """Bound of a table with one row per group: the number of flights where
+    that is small enough, else unknown, so that the groups are counted."""
+    if bounds is None or bounds.flights > rules.broadcast_max_rows:
+        return None
+    return bounds.flights
+
+
 def ml_features(consumption: DataFrame, rules: ArrivalRules,
                 bounds: FlightBounds | None = None) -> DataFrame:
     """Feature table: calendar parts of the landing, weekday name, fuel
@@ -87,9 +92,10 @@ def ml_features(consumption: DataFrame, rules: ArrivalRules,
         F.month("aldt").cast("int").alias("month"),
         weekday_name(F.col("aldt")).alias("dow"),
     )
-    # both sides below have at most one row per consumption row (= per flight)
+    # the moving average has at most one row per consumption row (= per flight)
     flights = None if bounds is None else bounds.flights
-    p20 = broadcast_within(fuel_percentile(base, rules, bounds), flights, rules.broadcast_max_rows)
+    p20 = broadcast_within(fuel_percentile(base, rules, bounds), _group_bound(bounds, rules),
+                           rules.broadcast_max_rows)
     with_p = base.join(p20, list(FUEL_GROUP), "left")
     if rules.row_preserving:
         full = transit_moving_average(with_p, rules, bounds=bounds)

@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import Window, functions as F
 
 from skylane.config import ArrivalRules
@@ -94,7 +96,8 @@ def test_moving_average_peers_and_horizon(spark):  # W8
     assert got == {"a": 1.0, "b": 3.0, "c": 3.0, "d": 7.0, "n1": 3.0, "n2": 3.0}
 
 
-def test_day_binned_moving_average_equals_plain(spark):  # W8 design
+@pytest.mark.parametrize("hours", [1, 50])
+def test_day_binned_moving_average_equals_plain(spark, hours):  # W8 design
     rnd = random.Random(11)
     rows = []
     for i in range(400):
@@ -104,10 +107,10 @@ def test_day_binned_moving_average_equals_plain(spark):  # W8 design
     df = spark.createDataFrame(rows, "id string, aldt timestamp_ntz, transit_tma double, "
                                      "drwy_validado string, setor string")
     got = sorted((r.id, r.transit_tma_predicted)
-                 for r in transit_moving_average(df, ArrivalRules()).collect())
+                 for r in transit_moving_average(df, ArrivalRules(horizon_seconds=hours * 3600)).collect())
     df.createOrReplaceTempView("mv")
-    ref = spark.sql("""SELECT id, avg(transit_tma) OVER (PARTITION BY drwy_validado, setor
-                       ORDER BY aldt RANGE BETWEEN INTERVAL '1' HOUR PRECEDING AND CURRENT ROW) AS p
+    ref = spark.sql(f"""SELECT id, avg(transit_tma) OVER (PARTITION BY drwy_validado, setor
+                       ORDER BY aldt RANGE BETWEEN INTERVAL '{hours}' HOUR PRECEDING AND CURRENT ROW) AS p
                        FROM mv""").collect()
     ref = sorted((r.id, r.p) for r in ref)
     assert [(a, round(b, 9)) for a, b in got] == [(a, round(b, 9)) for a, b in ref]
