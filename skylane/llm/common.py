@@ -87,27 +87,48 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(links: DataFrame, known: DataFrame | None = None, broadcast_rows: int = 1_000_000) -> DataFrame:
     """(id, component): the smallest id that each end of the links (a, b)
-    reaches.  Large-star and small-star steps by turns: every step replaces
-    links by links to the smallest neighbour, so a chain shortens quickly and
-    no node's neighbours are ever gathered."""
-    links = shared_table(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                         .where("a <> b").distinct(), "links")
-    state = None
+    reaches, with the links behind the components ``known``.
+
+    Hooking and pointer jumping: each root takes its smallest neighbouring root
+    as parent, chains of parents are shortened to their ends, and the links are
+    carried over to the roots, until none joins two of them.  No node's
+    neighbours are ever gathered.
+    """
+    def at_roots(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+        """The pairs between the components of their ends, larger first."""
+        for side in ("a", "b"):
+            named = roots.select(F.col("id").alias(side), F.col("component").alias("root"))
+            pairs = pairs.join(named, side, "left").withColumn(side, F.coalesce("root", side)).drop("root")
+        return pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+    links = links.select("a", "b")
+    labels = known
+    if labels is not None:
+        links = at_roots(links, broadcast_if_small(labels, broadcast_rows))
+    else:
+        links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     while True:
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        down = large.where("a <> b").distinct()
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
-            .unionByName(least.select("a", F.col("m").alias("b")))
-        links = shared_table(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                             .where("a <> b").distinct(), "links")
-        now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == state:
+        links = shared_table(links.distinct(), "links")
+        if links.isEmpty():
             break
-        state = now
-    return links.select(F.col("a").alias("id"), F.col("b").alias("component")) \
-        .unionByName(links.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+        hooks = shared_table(links.groupBy("a").agg(F.min("b").alias("b")), "hooks")
+        moved = True
+        while moved:  # each step halves the chains of parents
+            up = broadcast_if_small(hooks, broadcast_rows).select(F.col("a").alias("b"), F.col("b").alias("over"))
+            jumped = shared_table(hooks.join(up, "b", "left").select(
+                "a", F.coalesce("over", "b").alias("b"), F.col("over").isNotNull().alias("moved")), "hooks")
+            hooks, moved = jumped.select("a", "b"), not jumped.where("moved").isEmpty()
+        found = hooks.select(F.col("a").alias("id"), F.col("b").alias("component"))
+        roots = broadcast_if_small(found, broadcast_rows)
+        if labels is None:
+            labels = found
+        else:
+            over = roots.select(F.col("id").alias("component"), F.col("component").alias("root"))
+            labels = shared_table(labels.join(over, "component", "left").select(
+                "id", F.coalesce("root", "component").alias("component")).unionByName(found), "labels")
+        links = at_roots(links, roots)
+    if labels is None:
+        return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    return labels

@@ -10,16 +10,19 @@ components are the groups of copies.
 2. Forest: each tree sorts the classes by its own ``DEPTH`` values (a range
    partition, so a crowded region spreads over tasks).  Neighbours in that
    order with a common prefix of at least ``MIN_PREFIX`` values are candidates,
-   up to ``NEAR`` places away.
+   up to ``NEAR`` places away, unless one bit of each MinHash value rules a
+   link out (more than five standard deviations below the threshold; a class
+   carries these bits along as two numbers).
 3. Each class is confirmed against the candidate that most trees name, on the
    full sets; confirmed links give first components.  Then the candidates
-   across components are confirmed, unless their MinHash values rule a link
-   out (more than five standard deviations below the threshold).
-4. Regions with more than ``NEAR`` classes: depth adapts to the region (4, 6 or
-   8 values); every class outside the region's main component is compared with
-   all classes of its region that are not in its component yet.  So places
-   further away in a crowd are not lost, and a crowd of copies, one component
-   already, costs nothing.
+   across components are confirmed, unless their whole MinHash values rule a
+   link out, in the same way.
+4. Regions with more than ``NEAR`` classes that are not yet one component: there
+   a link may lie further away than any neighbour.  All their classes go
+   through an exact prefix filter (the depth of comparison adapts to the
+   region: neighbours where it is sparse, whole sets where it is crowded), so
+   no place in a crowd is lost, and a crowd of copies, one component already,
+   costs nothing.
 
 At the threshold 0.85 a pair shares a prefix in none of the 16 trees with
 probability 8e-6; at 0.9 with 4e-8.
@@ -44,9 +47,9 @@ from skylane.llm.common import broadcast_if_small, components, shared_table
 
 TREES, DEPTH = 16, 8
 MIN_PREFIX, NEAR = 4, 8
-#: Regions of more classes than this use the next depth.
-CROWDED = 64
+#: Members of a star that one task compares, and buckets of shingle counts.
 STAR = 2000
+BUCKET_BITS = 18
 BROADCAST_ROWS = 1_000_000
 
 _U = np.uint64
@@ -100,34 +103,46 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, hash_a, hash_b, sig) per row; hashes and sig are
-    NULL for an empty set."""
+    """(doc_id, n_shingles, hash_a, hash_b, sig, bits_a, bits_b) per row; the
+    hash of the set, its MinHash values and one bit of each; NULL for an empty
+    set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t.as_py(), width) for t in batch["text"]]
             full = [i for i, s in enumerate(sets) if len(s)]
-            hashes, sigs = [(None, None)] * len(sets), [None] * len(sets)
+            numbers, sigs = [(None,) * 4] * len(sets), [None] * len(sets)
             for i, row in zip(full, minhashes([sets[i] for i in full])):
-                whole = xxhash.xxh3_128_digest(sets[i].tobytes())
-                hashes[i] = tuple(int.from_bytes(h, "little", signed=True) for h in (whole[:8], whole[8:]))
+                whole = xxhash.xxh3_128_digest(sets[i].tobytes()) + np.packbits((row & 1).astype(np.uint8)).tobytes()
+                numbers[i] = tuple(int.from_bytes(whole[k:k + 8], "little", signed=True) for k in range(0, 32, 8))
                 sigs[i] = row.tobytes()
             yield pa.record_batch([
                 batch["doc_id"].cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([h[0] for h in hashes], pa.int64()), pa.array([h[1] for h in hashes], pa.int64()),
-                pa.array(sigs, pa.binary())], ["doc_id", "n_shingles", "hash_a", "hash_b", "sig"])
+                *(pa.array([x[k] for x in numbers], pa.int64()) for k in range(4)), pa.array(sigs, pa.binary())],
+                ["doc_id", "n_shingles", "hash_a", "hash_b", "bits_a", "bits_b", "sig"])
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, hash_a long, hash_b long, sig binary")
+        run, "doc_id long, n_shingles long, hash_a long, hash_b long, bits_a long, bits_b long, sig binary")
+
+
+def most_differing(threshold: int) -> int:
+    """Most differing bits, of one bit per MinHash value, that do not rule a
+    link out: at similarity s a bit agrees with probability (1 + s) / 2."""
+    values, agree = TREES * DEPTH, (1 + threshold / 100) / 2
+    return int(values * (1 - agree) + 5 * (values * agree * (1 - agree)) ** 0.5)
 
 
 def forest(classes: DataFrame) -> DataFrame:
-    """(tree, key, id, n): each class once per tree, with its values there."""
-    return classes.select("id", "n", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")) \
-        .select("tree", F.expr(f"substring(sig, tree * {4 * DEPTH} + 1, {4 * DEPTH})").alias("key"), "id", "n")
+    """(tree, key, id, n, bits_a, bits_b): each class once per tree, with its
+    values there."""
+    return classes.select("id", "n", "sig", "bits_a", "bits_b", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")) \
+        .select("tree", F.expr(f"substring(sig, tree * {4 * DEPTH} + 1, {4 * DEPTH})").alias("key"), "id", "n",
+                "bits_a", "bits_b")
 
 
 def candidates(trees: DataFrame, threshold: int) -> DataFrame:
     """(a, b, trees): neighbours in the trees' orders, a < b, with the number of
     times that a tree brings them together."""
+    differing = most_differing(threshold)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
         for batch in batches:
@@ -135,16 +150,18 @@ def candidates(trees: DataFrame, threshold: int) -> DataFrame:
                 continue
             key = np.frombuffer(b"".join(batch["key"].to_pylist()), ">u8").reshape(batch.num_rows, DEPTH // 2)
             rows = np.column_stack([batch["tree"].to_numpy().astype(np.int64), key[:, :MIN_PREFIX // 2].astype(np.uint64)
-                                    .view(np.int64), batch["id"].to_numpy(), batch["n"].to_numpy()])
+                                    .view(np.int64), *(batch[c].to_numpy() for c in ("id", "n", "bits_a", "bits_b"))])
             fresh = len(kept) if kept is not None else 0
             rows = np.concatenate([kept, rows]) if fresh else rows
             pairs = []
             for step in range(1, min(NEAR, len(rows) - 1) + 1):
                 x, y = rows[:-step], rows[step:]
-                near = (x[:, :-2] == y[:, :-2]).all(axis=1)
-                near &= 100 * np.minimum(x[:, -1], y[:, -1]) >= threshold * np.maximum(x[:, -1], y[:, -1])
+                near = (x[:, :-4] == y[:, :-4]).all(axis=1)
+                near &= 100 * np.minimum(x[:, -3], y[:, -3]) >= threshold * np.maximum(x[:, -3], y[:, -3])
                 near[:max(0, fresh - step)] = False  # met in the batch before
-                pairs.append(np.sort(np.column_stack([x[near, -2], y[near, -2]]), axis=1))
+                x, y = x[near], y[near]
+                near = np.bitwise_count((x[:, -2:] ^ y[:, -2:]).view(np.uint64)).sum(axis=1, dtype=np.int64) <= differing
+                pairs.append(np.sort(np.column_stack([x[near, -4], y[near, -4]]), axis=1))
             kept = rows[-NEAR:]
             found = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
             yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
@@ -158,12 +175,14 @@ def confirmed(docs: DataFrame, pairs: DataFrame, width: int, threshold: int) ->
     Each pair is a member b of the star of a; a large star is dealt into parts
     that each get a's text, so no task gets all of it."""
     pairs = shared_table(pairs.select("a", "b"), "pairs")
-    stars = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("parts"))
+    if pairs.isEmpty():
+        return pairs
+    stars = shared_table(pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("parts")), "stars")
     members = pairs.join(broadcast_if_small(stars, BROADCAST_ROWS), "a").select(
         F.col("b").alias("id"), F.col("a").alias("star"), F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
     centres = stars.select(F.col("a").alias("id"), F.col("a").alias("star"),
                            F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    wanted = members.unionByName(centres)
+    wanted = shared_table(members.unionByName(centres), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text") \
         .join(broadcast_if_small(wanted, BROADCAST_ROWS), "id")
 
@@ -211,33 +230,77 @@ def possible(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
 
 def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose ends are in different components so far."""
+    labels = broadcast_if_small(labels, BROADCAST_ROWS)
+
     def of(side: str) -> DataFrame:
         return labels.select(F.col("id").alias(side), F.col("component").alias(f"c{side}"))
     named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
     return named.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def crowded_pairs(trees: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) within regions of more than NEAR classes, of a class outside
-    the region's main component with those of other components."""
-    rows, found = trees, None
-    for depth in (MIN_PREFIX, 6, DEPTH):
-        named = rows.withColumn("region", F.xxhash64("tree", F.expr(f"substring(key, 1, {4 * depth})")))
-        sizes = named.groupBy("region").agg(F.count("*").alias("size")).where(F.col("size") > NEAR)
-        named = named.join(sizes, "region")
-        use = named if depth == DEPTH else named.where(F.col("size") <= CROWDED)
-        use = use.select("region", "id", "n").join(labels, "id", "left") \
-            .select("region", "id", "n", F.coalesce("component", "id").alias("component"))
-        main = use.groupBy("region", "component").agg(F.count("*").alias("size")) \
-            .groupBy("region").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
-        outside = use.join(main, "region").where("component <> main").alias("x")
-        more = outside.join(use.alias("y"), (F.col("x.region") == F.col("y.region"))
-                            & (F.col("x.component") != F.col("y.component"))
-                            & (100 * F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n"))) \
-            .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        found = more if found is None else found.unionByName(more)
-        rows = named.where(F.col("size") > CROWDED).select("tree", "key", "id", "n")
-    return found.distinct()
+def crowded_ids(trees: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id): the classes in regions of more than NEAR classes that are not one
+    component."""
+    rows = trees.join(broadcast_if_small(labels, BROADCAST_ROWS), "id", "left").select(
+        "id", F.coalesce("component", "id").alias("component"),
+        F.xxhash64("tree", F.expr(f"substring(key, 1, {4 * MIN_PREFIX})")).alias("region"))
+    mixed = shared_table(rows.groupBy("region").agg(
+        F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .where((F.col("size") > NEAR) & (F.col("lo") != F.col("hi"))).select("region"), "regions")
+    if mixed.isEmpty():
+        return mixed.select(F.col("region").alias("id"))
+    return shared_table(rows.join(broadcast_if_small(mixed, BROADCAST_ROWS), "region", "left_semi")
+                        .select("id").distinct(), "crowded")
+
+
+def crowded_pairs(docs: DataFrame, crowd: DataFrame, labels: DataFrame, width: int, threshold: int) -> DataFrame:
+    """(a, b): by an exact prefix filter, all pairs of the crowd that may be
+    linked across components.
+
+    The shingles are put in one order, those of crowded buckets (of 2**18 by
+    hash, counted over the crowd) last.  Sets of similarity t share one of the
+    first ``n - ceil(t * n) + 1`` shingles of both.  A copy that differs from
+    the others in more than that has only its own shingles there, and meets
+    nobody, however large the crowd."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text") \
+        .join(broadcast_if_small(crowd, BROADCAST_ROWS), "id", "left_semi")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << BUCKET_BITS, np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                np.add.at(total, (shingles(text.as_py(), width) >> _U(64 - BUCKET_BITS)).astype(np.int64), 1)
+        held = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(held), pa.array(total[held])], ["bucket", "n"])
+    counts = texts.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    load = np.zeros(1 << BUCKET_BITS, np.int64)  # at most 2**BUCKET_BITS rows come to the driver
+    load[counts["bucket"].to_numpy()] = counts["n"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(load)
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, sizes, tokens = [], [], []
+            for id_, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist()):
+                items = shingles(text, width)
+                order = np.argsort(shared.value[(items >> _U(64 - BUCKET_BITS)).astype(np.int64)], kind="stable")
+                first = items[order[:len(items) - (threshold * len(items) + 99) // 100 + 1]]
+                tokens.append(first.view(np.int64))
+                ids += [id_] * len(first)
+                sizes += [len(items)] * len(first)
+            yield pa.record_batch([pa.array(np.concatenate(tokens) if tokens else [], pa.int64()), pa.array(ids, pa.int64()),
+                                   pa.array(sizes, pa.int64())], ["token", "id", "n"])
+    rows = texts.mapInArrow(prefixes, "token long, id long, n long") \
+        .join(broadcast_if_small(labels, BROADCAST_ROWS), "id", "left") \
+        .select("token", "id", "n", F.coalesce("component", "id").alias("component"))
+    rows = shared_table(rows, "prefixes")
+    tokens = rows.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
+        F.count("*").alias("components"), F.max_by("component", F.struct("n", "component")).alias("main")) \
+        .where("components > 1").select("token", "main")
+    mixed = shared_table(rows.join(tokens, "token"), "mixed-prefixes")
+    x, y = mixed.where("component <> main").alias("x"), mixed.alias("y")
+    return x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component"))
+                  & (100 * F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n"))) \
+        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
@@ -246,22 +309,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> Dat
     signed = shared_table(signatures(docs, width), "signatures")
     known = signed.where("doc_id IS NOT NULL AND hash_a IS NOT NULL")
     classes = shared_table(known.groupBy("hash_a", "hash_b").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "classes")
+        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bits_a").alias("bits_a"),
+        F.first("bits_b").alias("bits_b"), F.first("sig").alias("sig")), "classes")
     trees = forest(classes)
     pairs = shared_table(candidates(trees, threshold), "candidates")
     # one id may stand for several texts, hence for several classes
     same_id = known.join(classes.select("hash_a", "hash_b", "id"), ["hash_a", "hash_b"]) \
         .select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     best = pairs.where("a <> b").groupBy("b").agg(F.max_by("a", F.struct("trees", -F.col("a"))).alias("a"))
-    links = confirmed(docs, best.select("a", "b"), width, threshold)
-    labels = components(links)
-    rest = possible(across(pairs.select("a", "b"), labels), classes, threshold)
-    links = shared_table(links.unionByName(confirmed(docs, rest, width, threshold)), "links-near")
-    labels = components(links)
-    tried = pairs.select("a", "b")
-    crowd = possible(crowded_pairs(trees, labels, threshold).join(tried, ["a", "b"], "left_anti"), classes, threshold)
-    links = links.unionByName(confirmed(docs, crowd, width, threshold))
-    labels = shared_table(components(links.unionByName(same_id.where("a <> b"))), "components")
+    labels = components(confirmed(docs, best, width, threshold))
+    rest = across(pairs.select("a", "b"), labels)
+    crowd = crowded_ids(trees, labels)
+    if not crowd.isEmpty():  # these meet by the exact filter instead
+        few = broadcast_if_small(crowd, BROADCAST_ROWS)
+        inside = few.select(F.col("id").alias("a")).withColumn("_a", F.lit(True))
+        rest = rest.join(inside, "a", "left").join(inside.select(F.col("a").alias("b"), F.col("_a").alias("_b")), "b", "left") \
+            .where("_a IS NULL OR _b IS NULL").select("a", "b") \
+            .unionByName(crowded_pairs(docs, crowd, labels, width, threshold))
+    rest = shared_table(rest, "untried")
+    if not rest.isEmpty():
+        labels = components(confirmed(docs, possible(rest, classes, threshold), width, threshold), labels)
+    labels = components(same_id.where("a <> b"), labels)
     return signed.join(labels, signed["doc_id"] == labels["id"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         (F.coalesce("component", "doc_id").eqNullSafe(F.col("doc_id"))).alias("kept"))
@@ -285,3 +353,19 @@ def op5_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Groups of near copies among all documents: 3-word shingles, 0.85."""
     from skylane.llm.common import read_table
     return near_duplicates(read_table(spark, sf_dir, "documents"), width=3, threshold=85)
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS shingle
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT d.doc_id, count(s.shingle) AS n FROM d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT p.a, p.b FROM p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * shared >= 85 * (na.n + nb.n - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id),
+g AS (SELECT id, min(c) AS c FROM r GROUP BY id)
+SELECT n.doc_id, n.n AS n_shingles, g.c AS component_id, g.c = n.doc_id AS kept FROM n JOIN g ON g.id = n.doc_id
+"""

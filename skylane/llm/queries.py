@@ -38,4 +38,6 @@ ORACLE_SQL = {
     "op1_decontamination": decontamination.ORACLE_SQL,
     "op2_license_scan": licenses.oracle_sql(),
     "op4_chat_formatting": chat.ORACLE_SQL,
+    "op5_minhash_near_dedup": neardup.ORACLE_SQL,
+    "op6_suffix_dedup": suffix_dedup.ORACLE_SQL,
 }

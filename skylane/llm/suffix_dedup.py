@@ -419,3 +419,20 @@ def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     """Repeated passages of all documents, removed."""
     from skylane.llm.common import read_table
     return removal_digest(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, h, unnest(range(CAST(length(h) / 2 AS BIGINT))) AS i FROM d),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS byte,
+             CASE WHEN 2 * i + 200 <= length(h) THEN md5_number(substr(h, 2 * i + 1, 200)) END AS string FROM b),
+f AS (SELECT doc_id, i, byte,
+             string IS NOT NULL AND row_number() OVER (PARTITION BY string ORDER BY doc_id, i) > 1 AS again FROM w),
+c AS (SELECT doc_id, i, byte, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM f),
+o AS (SELECT doc_id, i, byte, gone, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM c),
+a AS (SELECT doc_id, count(*) AS n, sum(gone::INT) AS removed, sum(opens::INT) AS spans,
+             string_agg(byte, '' ORDER BY i) FILTER (NOT gone) AS kept FROM o GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN a ON a.doc_id = d.doc_id
+"""

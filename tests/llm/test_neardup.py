@@ -54,10 +54,9 @@ def fixture(seed=3):
     return docs
 
 
-@pytest.mark.parametrize("near,crowded", [(8, 64), (2, 4)])
-def test_against_brute_force(spark, monkeypatch, near, crowded):
+@pytest.mark.parametrize("near", [8, 2])
+def test_against_brute_force(spark, monkeypatch, near):
     monkeypatch.setattr(neardup, "NEAR", near)
-    monkeypatch.setattr(neardup, "CROWDED", crowded)
     monkeypatch.setattr(neardup, "STAR", 5)
     docs = fixture()
     want = brute(docs, 3, 85)
