@@ -36,7 +36,7 @@ from skylane.llm.common import broadcast_if_small, shared_table
 NEIGHBOURS = 24
 TREES, LEAF, PER_LEAF = 10, 1024, 12
 ROUNDS = 2
-BEAM, EXPANDED, STEPS = 256, 48, 24
+BEAM, EXPANDED, STEPS = 256, 96, 24
 MEASURED = 64
 SAMPLE = 4096
 SEEDS = 32
@@ -105,6 +105,35 @@ def _link_frame(u: np.ndarray, v: np.ndarray, sim: np.ndarray) -> pd.DataFrame:
 _LINK = "u long, v long, sim float"
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
+    """Of batches sorted by ``key``: tables of whole groups, and each group's
+    rows [first, last)."""
+    carried = None
+    for batch in _and_end(batches):
+        if batch is not None:
+            table = pa.Table.from_batches([batch])
+            if carried is not None:
+                table = pa.concat_tables([carried, table])
+            if not table.num_rows:
+                continue
+            keys = table[key].to_numpy()
+            own = np.flatnonzero(keys != keys[-1])
+            whole = int(own[-1]) + 1 if len(own) else 0  # the last group may go on
+            carried, table, keys = table.slice(whole), table.slice(0, whole), keys[:whole]
+        elif carried is not None:
+            table, keys = carried, carried[key].to_numpy()
+        else:
+            return
+        if table.num_rows:
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            yield table.combine_chunks(), list(zip(cuts[:-1], cuts[1:]))
+
+
+def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
 def best_links(links: DataFrame, k: int) -> DataFrame:
     """The ``k`` nearest neighbours of each u."""
     rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v"))
@@ -159,9 +188,14 @@ def descend(nodes: DataFrame, links: DataFrame, k: int = NEIGHBOURS, learned: in
     """One NN-descent round: neighbours of a node meet as candidates."""
     met = both_ways(links, k).join(nodes.select(F.col("node").alias("other"), "code"), "other")
 
-    def meet(group: pd.DataFrame) -> pd.DataFrame:  # at most 2 * k rows
-        return _link_frame(*_nearest(_decoded(group["code"].tolist()), group["other"].to_numpy(), learned))
-    return best_links(met.groupBy("node").applyInPandas(meet, _LINK).unionByName(links), k)
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, groups in whole_groups(batches, "node"):  # at most 2 * k rows each
+            vectors, ids = _decoded(table["code"].to_pylist()), table["other"].to_numpy()
+            parts = [_nearest(vectors[a:b], ids[a:b], learned) for a, b in groups]
+            u, v, sim = (np.concatenate(c) for c in zip(*parts))
+            yield pa.record_batch([pa.array(u), pa.array(v), pa.array(sim.astype(np.float32))], ["u", "v", "sim"])
+    brought = met.select("node", "other", "code").repartition("node").sortWithinPartitions("node").mapInArrow(meet, _LINK)
+    return best_links(brought.unionByName(links), k)
 
 
 def neighbour_graph(nodes: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
@@ -226,19 +260,22 @@ def greedy_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, beam:
                              [True] + [False] * len(near)))
             yield _beam_batch(rows)
 
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        ids = np.concatenate(group["ids"].tolist())
-        sims = np.concatenate(group["sims"].tolist())
-        done = np.concatenate(group["done"].tolist()).astype(bool)
-        nodes_, at = np.unique(ids, return_inverse=True)
-        best = np.full(len(nodes_), -np.inf, np.float32)
-        np.maximum.at(best, at, sims.astype(np.float32))
-        was = np.zeros(len(nodes_), bool)
-        np.logical_or.at(was, at, done)
-        order = np.lexsort((nodes_, -best))[:beam]
-        code = next(c for c in group["code"] if c is not None)
-        return pd.DataFrame({"query": [group["query"].iloc[0]], "code": [code], "ids": [nodes_[order]],
-                             "sims": [best[order]], "done": [was[order]]})
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, groups in whole_groups(batches, "query"):
+            query, code, ids, sims, done = (table[c].to_pylist() for c in ("query", "code", "ids", "sims", "done"))
+            rows = []
+            for lo, hi in groups:
+                found = np.concatenate([np.array(x, np.int64) for x in ids[lo:hi]])
+                near = np.concatenate([np.array(x, np.float32) for x in sims[lo:hi]])
+                was = np.concatenate([np.array(x, bool) for x in done[lo:hi]])
+                order = np.lexsort((~was, -near, found))  # of one node the known similarity first
+                found, near, was = found[order], near[order], was[order]
+                first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+                was = np.logical_or.reduceat(was, first)
+                found, near = found[first], near[first]
+                order = np.lexsort((found, -near))[:beam]
+                rows.append((query[lo], next(c for c in code[lo:hi] if c is not None), found[order], near[order], was[order]))
+            yield _beam_batch(rows)
     for step in range(steps):
         todo = shared_table(beams.mapInArrow(frontier, "query long, qcode binary, node long, bound float"), "frontier")
         if todo.isEmpty():
@@ -249,8 +286,8 @@ def greedy_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, beam:
         lone = todo.join(graph.select("node"), "node", "left_anti").select(
             "query", F.lit(None).cast("binary").alias("code"), F.array("node").alias("ids"),
             F.array(F.lit(-math.inf).cast("float")).alias("sims"), F.array(F.lit(True)).alias("done"))
-        beams = shared_table(beams.unionByName(found).unionByName(lone).groupBy("query").applyInPandas(merge, _BEAM),
-                             f"beam-{step + 1}")
+        beams = shared_table(beams.unionByName(found).unionByName(lone).repartition("query")
+                             .sortWithinPartitions("query").mapInArrow(merge, _BEAM), f"beam-{step + 1}")
     return beams.select("query", F.explode(F.arrays_zip("ids", "sims")).alias("x")) \
         .select("query", F.col("x.ids").alias("node"), F.col("x.sims").alias("sim"))
 
