@@ -61,7 +61,7 @@ class _WordHashes(dict):
     """Hash of each word, kept while there are not too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 250_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value

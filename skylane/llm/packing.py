@@ -25,8 +25,9 @@ from pyspark.sql import DataFrame, functions as F
 SEQUENCE = 2048
 GROUP_DOCS = 4096
 END_ID = 1
-#: Entries of a worker's memory of encoded chunks; beyond, it starts anew.
-CHUNKS_KEPT = 1_000_000
+#: Entries of a worker's memory of chunks and of encoded stems; beyond, it
+#: starts anew.
+CHUNKS_KEPT, STEMS_KEPT = 200_000, 700_000
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
@@ -80,7 +81,7 @@ class ChunkEncoder:
             out.append(found)
         if len(known) > CHUNKS_KEPT:
             known.clear()
-        if len(self.stems) > CHUNKS_KEPT:
+        if len(self.stems) > STEMS_KEPT:
             self.stems.clear()
         return b"".join(out)
 

@@ -41,7 +41,7 @@ START = 63
 QUANTILE = 0.99
 MARGIN = 1.1
 BROADCAST_ROWS = 1_000_000
-PIECE = 1 << 21
+PIECE = 1 << 20
 
 
 @lru_cache(maxsize=1)
@@ -86,6 +86,18 @@ def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, lengths
 
 
+def pieces(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in turn, about ``PIECE`` characters at once."""
+    lo = 0
+    while lo < len(texts):
+        hi, size = lo, 0
+        while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= PIECE):
+            size += len(texts[hi])
+            hi += 1
+        yield texts[lo:hi]
+        lo = hi
+
+
 def runs(kinds: np.ndarray) -> np.ndarray:
     """The run of ``ORDER`` symbols that ends at each symbol from the
     ``ORDER``-th on, as one number."""
@@ -100,10 +112,11 @@ def run_counts(docs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SYMBOLS ** ORDER, np.int32)
         for batch in batches:
-            kinds, _ = symbols([t for t in batch["text"].to_pylist() if t])
-            for lo in range(0, len(kinds) - ORDER + 1, PIECE):
-                found, n = np.unique(runs(kinds[lo:lo + PIECE + ORDER - 1]), return_counts=True)
-                total[found] += n.astype(np.int32)
+            for texts in pieces([t for t in batch["text"].to_pylist() if t]):
+                kinds, _ = symbols(texts)
+                for lo in range(0, len(kinds) - ORDER + 1, PIECE):  # one text may be longer than a piece
+                    found, n = np.unique(runs(kinds[lo:lo + PIECE + ORDER - 1]), return_counts=True)
+                    total[found] += n.astype(np.int32)
         found = np.flatnonzero(total)
         found = found[found % SYMBOLS != START]  # a start symbol is never predicted
         yield pa.record_batch([pa.array(found.astype(np.int64)), pa.array(total[found].astype(np.int64))], ["run", "n"])
@@ -188,15 +201,9 @@ def perplexities(docs: DataFrame, model: LanguageModel, keep: list[Column]) -> D
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = _bits(shared.value)
         for batch in batches:
-            texts = [t or "" for t in batch["_scored"].to_pylist()]
             values: list[float | None] = []
-            lo = 0
-            while lo < len(texts):
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= PIECE):
-                    size += len(texts[hi])
-                    hi += 1
-                kinds, lengths = symbols(texts[lo:hi])
+            for texts in pieces([t or "" for t in batch["_scored"].to_pylist()]):
+                kinds, lengths = symbols(texts)
                 sums = np.zeros(max(0, len(kinds) - ORDER + 1) + 1)
                 if len(sums) > 1:
                     each = bits[runs(kinds)]
@@ -205,7 +212,6 @@ def perplexities(docs: DataFrame, model: LanguageModel, keep: list[Column]) -> D
                 ends = np.cumsum(lengths + ORDER - 1) - (ORDER - 1)
                 for end, n in zip(ends.tolist(), lengths.tolist()):
                     values.append(float(2 ** ((sums[end] - sums[end - n]) / n)) if n else None)
-                lo = hi
             yield batch.drop_columns(["_scored"]).append_column("perplexity", pa.array(values, pa.float64()))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", perplexity double"
     return docs.select(*keep, F.col("text").alias("_scored")).mapInArrow(score, schema)
