@@ -1,16 +1,27 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text.
 
-The model's tokens are character classes (``SYMBOLS`` of them: letters by case,
-digits, kinds of punctuation and of other characters), in runs of ``ORDER``.
-So its tables have a proven bound (``SYMBOLS ** ORDER`` cells) in every
-language, while the counts come from all trusted documents: each task sums the
-runs that it reads, and the sums are merged by run.
-
-The Kneser-Ney statistics are joins of those counts, sharded by run: counts
-with their contexts' totals and numbers of followers, and continuation counts
-for the lower orders.  Every document gets the perplexity of its whole text.  A
-document is rejected when its perplexity is above its language's quantile over
-all trusted documents, with a margin for texts that the model has not seen.
+The model's tokens are words (runs of letters, runs of digits, every other
+character alone; characters of scripts without spaces alone), and its runs are
+pairs of words.  All pairs and words of all trusted documents are counted in
+DataFrames that grow with the corpus.  A word that the model lacks is spelled:
+a Kneser-Ney model of character classes (``SYMBOLS`` of them, in runs of
+``ORDER``, so its tables are at most ``SYMBOLS ** ORDER`` cells) and the number
+of characters of each class give every string a probability.
+
+A text starts and ends with the same empty word, so each of its words is
+predicted once and a context once.  Its bits are then a sum over its distinct
+words and pairs: what spelling each word would take (known where the text is
+read), a difference for each word that the model knows, and a difference for
+each pair that it knows.  Differences of frequent words and pairs (``HOT``) are
+sent to the tasks; the others meet the documents' words and pairs, summed per
+document, in a join.
+
+Every document gets the perplexity per character of its whole text.  A document
+is rejected when its perplexity is above its language's quantile over all
+trusted documents, with a margin.  Trusted documents are scored by the model of
+the half of the trusted texts that they are not in (halves by the text's hash):
+their own words would otherwise look likelier than those of any new text.  All
+others are scored by the model of all trusted texts.
 
 Defined results: a NULL or empty text has no perplexity and is rejected; a NULL
 language is a language of its own; a language without trusted documents takes
@@ -22,6 +33,8 @@ doc_id, text, lang, and the labels' doc_id and quality are read.
 
 from __future__ import annotations
 
+import math
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -30,6 +43,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skylane.llm.common import broadcast_if_small, shared_table
@@ -42,6 +56,19 @@ QUANTILE = 0.99
 MARGIN = 1.1
 BROADCAST_ROWS = 1_000_000
 PIECE = 1 << 20
+#: Words and pairs with at least this part of a model's tokens go to the tasks
+#: (at most so many words and pairs of each model).
+HOT = 100_000
+
+# The models (of either half of the trusted texts, and of all).
+ALL, MODELS = 2, 3
+MODEL_MASKS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0], np.uint64)
+
+# The word rule.  Scripts without spaces between words.
+SPACELESS = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]"
+WORD = re.compile(r"[^\W\d_]+|\d+|  +|[^\w ]|_")
+MIXED_WORD = re.compile(rf"{SPACELESS}|(?:(?!{SPACELESS})[^\W\d_])+|\d+|  +|[^\w ]|_")
+HAS_SPACELESS = re.compile(SPACELESS)
 
 
 @lru_cache(maxsize=1)
@@ -193,8 +220,24 @@ def train(trusted: DataFrame) -> LanguageModel:
     return LanguageModel(shares, weights)
 
 
+def text_bits(texts: list[str], bits: np.ndarray, members: np.ndarray | None = None) -> np.ndarray:
+    """Bits of each text's symbols and, with ``members`` (bits per symbol), of
+    its characters among those of the same symbol."""
+    kinds, lengths = symbols(texts)
+    sums = np.zeros(max(0, len(kinds) - ORDER + 1) + 1)
+    if len(sums) > 1:
+        each = bits[runs(kinds)]
+        if members is not None:
+            each = each + members[kinds[ORDER - 1:]]
+        each[kinds[ORDER - 1:] == START] = 0
+        np.cumsum(each, out=sums[1:])
+    ends = np.cumsum(lengths + ORDER - 1) - (ORDER - 1)
+    return sums[np.maximum(ends, 0)] - sums[np.maximum(ends - lengths, 0)]
+
+
 def perplexities(docs: DataFrame, model: LanguageModel, keep: list[Column]) -> DataFrame:
-    """The columns ``keep`` and each text's perplexity per character."""
+    """The columns ``keep`` and each text's perplexity per character, by
+    character classes alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.select(*keep)
 
@@ -203,20 +246,226 @@ def perplexities(docs: DataFrame, model: LanguageModel, keep: list[Column]) -> D
         for batch in batches:
             values: list[float | None] = []
             for texts in pieces([t or "" for t in batch["_scored"].to_pylist()]):
-                kinds, lengths = symbols(texts)
-                sums = np.zeros(max(0, len(kinds) - ORDER + 1) + 1)
-                if len(sums) > 1:
-                    each = bits[runs(kinds)]
-                    each[kinds[ORDER - 1:] == START] = 0
-                    np.cumsum(each, out=sums[1:])
-                ends = np.cumsum(lengths + ORDER - 1) - (ORDER - 1)
-                for end, n in zip(ends.tolist(), lengths.tolist()):
-                    values.append(float(2 ** ((sums[end] - sums[end - n]) / n)) if n else None)
+                values += [float(2 ** (b / len(t))) if t else None for t, b in zip(texts, text_bits(texts, bits).tolist())]
             yield batch.drop_columns(["_scored"]).append_column("perplexity", pa.array(values, pa.float64()))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", perplexity double"
     return docs.select(*keep, F.col("text").alias("_scored")).mapInArrow(score, schema)
 
 
+def words(text: str) -> list[str]:
+    """The words of a text."""
+    return (MIXED_WORD if HAS_SPACELESS.search(text) else WORD).findall(text)
+
+
+@lru_cache(maxsize=1)
+def member_bits() -> np.ndarray:
+    """Per symbol, bits that tell its characters apart."""
+    counts = np.bincount(symbol_table()[:-1], minlength=SYMBOLS)
+    return np.log2(np.maximum(counts, 1)).astype(np.float32)
+
+
+def pair_keys(contexts: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """The hashes of pairs of word hashes."""
+    x = contexts * np.uint64(0x9FB21C651E98DF25)
+    x ^= x >> np.uint64(29)
+    x += following * np.uint64(0xD6E8FEB86659FD93)
+    x *= np.uint64(0xA0761D6478BD642F)
+    return x ^ (x >> np.uint64(32))
+
+
+class WordPiece:
+    """The words of some texts: ``ids`` (numbers of distinct words, each text's
+    after the empty word's 0), ``following`` (the id after each), ``place`` (the
+    text of each), and the distinct words' hashes and bits of spelling."""
+
+    def __init__(self, texts: list[str], bits: np.ndarray):
+        index = {"": 0}
+        ids: list[int] = []
+        sizes = []
+        for text in texts:
+            before = len(ids)
+            ids.append(0)
+            ids += [index.setdefault(w, len(index)) for w in words(text)]
+            sizes.append(len(ids) - before)
+        self.size = len(index)
+        self.ids = np.array(ids, np.int64)
+        self.following = np.append(self.ids[1:], 0)
+        self.place = np.repeat(np.arange(len(texts)), sizes)
+        self.hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in index), np.uint64, self.size)
+        self.spelled = text_bits([w + " " for w in index], bits, member_bits())
+
+    def pairs(self, group: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(group, context, word, n) of the distinct pairs of each group."""
+        code, n = np.unique((group * self.size + self.ids) * self.size + self.following, return_counts=True)
+        rest, word = np.divmod(code, self.size)
+        group, context = np.divmod(rest, self.size)
+        return group, context, word, n
+
+    def counts(self, group: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(group, word, n) of the distinct words of each group."""
+        code, n = np.unique(group * self.size + self.ids, return_counts=True)
+        group, word = np.divmod(code, self.size)
+        return group, word, n
+
+
+def text_half() -> Column:
+    return F.pmod(F.xxhash64("text"), F.lit(2)).cast("int")
+
+
+def pair_counts(trusted: DataFrame, spelling: LanguageModel) -> DataFrame:
+    """(model, u, w, key, spelled, n): the pairs of words of all texts of
+    ``trusted``, in the model of their half and in that of all."""
+    shared = trusted.sparkSession.sparkContext.broadcast(spelling)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = _bits(shared.value)
+        for batch in batches:
+            rows = [(t, h) for t, h in zip(batch["text"].to_pylist(), batch["half"].to_pylist()) if t]
+            at = 0
+            for texts in pieces([t for t, _ in rows]):
+                piece = WordPiece(texts, bits)
+                half = np.array([h for _, h in rows[at:at + len(texts)]], np.int64)[piece.place]
+                at += len(texts)
+                for group in (half, np.full_like(half, ALL)):
+                    model, context, word, n = piece.pairs(group)
+                    u, w = (piece.hashes[x] ^ MODEL_MASKS[model] for x in (context, word))
+                    yield pa.record_batch([
+                        pa.array(model.astype(np.int32)), *(pa.array(x.view(np.int64)) for x in (u, w, pair_keys(u, w))),
+                        pa.array(piece.spelled[word]), pa.array(n)], ["model", "u", "w", "key", "spelled", "n"])
+    return trusted.select("text", text_half().alias("half")) \
+        .mapInArrow(count, "model int, u long, w long, key long, spelled double, n long") \
+        .groupBy("model", "u", "w").agg(F.first("key").alias("key"), F.first("spelled").alias("spelled"), F.sum("n").alias("n"))
+
+
+def discounted(counted: DataFrame) -> Column:
+    """The discount of each count ``n`` (of each model)."""
+    of = {(r["model"], r["n"]): r["runs"] for r in
+          counted.where("n <= 4").groupBy("model", "n").agg(F.count("*").alias("runs")).collect()}
+    out = F.lit(0.5)
+    for model in range(MODELS):
+        d1, d2, d3 = discounts([of.get((model, k), 0) for k in (1, 2, 3, 4)])
+        out = F.when(F.col("model") == model, F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)).otherwise(out)
+    return out
+
+
+@dataclass(frozen=True)
+class WordModel:
+    """``rare``: (key, delta) of the words and pairs that are joined; ``keys``
+    (sorted) and ``deltas`` of the others; ``unknown``: per model, the bits
+    before a word is spelled."""
+
+    spelling: LanguageModel
+    unknown: np.ndarray
+    keys: np.ndarray
+    deltas: np.ndarray
+    rare: DataFrame
+
+
+def train_words(trusted: DataFrame, hot: int = HOT) -> WordModel:
+    """The models of all texts of ``trusted``."""
+    spelling = train(trusted)
+    pairs = shared_table(pair_counts(trusted, spelling), "word-pairs")
+    cut = discounted(pairs)
+    contexts = pairs.groupBy("model", F.col("u").alias("w")).agg(
+        F.sum("n").alias("total"), (F.sum(cut) / F.sum("n")).alias("left"))
+    # every word is predicted somewhere and a context somewhere
+    known = shared_table(pairs.groupBy("model", "w").agg(F.count("*").alias("n"), F.first("spelled").alias("spelled"))
+                         .join(contexts, ["model", "w"]), "words")
+    cut_word = discounted(known)
+    sums = {r["model"]: r for r in known.groupBy("model").agg(
+        F.sum("n").alias("n"), F.sum(cut_word).alias("taken"), F.sum("total").alias("tokens")).collect()}  # three rows
+    unknown = np.array([-math.log2(sums[m]["taken"] / sums[m]["n"]) if m in sums else 0.0 for m in range(MODELS)])
+
+    def of_model(value) -> Column:
+        out = F.lit(1.0)
+        for m in sums:
+            out = F.when(F.col("model") == m, float(value(m))).otherwise(out)
+        return out
+    known = known.withColumn("p", (F.col("n") - cut_word) / of_model(lambda m: sums[m]["n"])
+                             + F.pow(F.lit(2.0), -(F.col("spelled") + of_model(lambda m: unknown[m]))))
+    log = lambda c: F.log2(F.greatest(c, F.lit(1e-300)))
+    of_words = known.select("model", F.col("w").alias("key"), F.col("total").alias("n"), (
+        -log(F.col("left")) - log(F.col("p")) - F.col("spelled") - of_model(lambda m: unknown[m])).alias("delta"))
+    first = known.select(F.col("w").alias("u"), "total", "left")
+    second = known.select("w", "p")
+    of_pairs = pairs.withColumn("own", F.col("n") - cut).select("model", "u", "w", "key", "n", "own") \
+        .join(broadcast_if_small(first, BROADCAST_ROWS), "u").join(broadcast_if_small(second, BROADCAST_ROWS), "w") \
+        .select("model", "key", "n", (
+            -log(F.col("own") / F.col("total") + F.col("left") * F.col("p")) + log(F.col("left")) + log(F.col("p"))).alias("delta"))
+    deltas = shared_table(of_words.unionByName(of_pairs).select(
+        "key", "delta", (F.col("n") >= of_model(lambda m: sums[m]["tokens"] / hot)).alias("hot")), "deltas")
+    often = deltas.where("hot").toArrow()  # at most `hot` words and `hot` pairs of each model
+    keys, values = (often[c].to_numpy() for c in ("key", "delta"))
+    order = np.argsort(keys)
+    return WordModel(spelling, unknown, keys[order], values[order], deltas.where("NOT hot").select("key", "delta"))
+
+
+def word_perplexities(docs: DataFrame, model: WordModel) -> DataFrame:
+    """``docs`` (doc_id, text_hash, lang, model, text) with perplexity for text."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.spelling, model.unknown, model.keys, model.deltas))
+
+    def read(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str], WordPiece, np.ndarray]]:
+        """Per piece: its first row, texts, words and the texts' models."""
+        models = batch["model"].to_numpy()
+        at = 0
+        for texts in pieces([t or "" for t in batch["text"].to_pylist()]):
+            yield at, texts, WordPiece(texts, _bits(shared.value[0])), models[at:at + len(texts)]
+            at += len(texts)
+
+    def keyed(piece: WordPiece, models: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(text, key, n, hot, delta) of the words, then the pairs, of each text."""
+        _, _, keys, deltas = shared.value
+        place, word, n = piece.counts(piece.place)
+        yield (place, *_looked_up((piece.hashes[word] ^ MODEL_MASKS[models[place]]).view(np.int64), n, keys, deltas))
+        place, context, word, n = piece.pairs(piece.place)
+        masks = MODEL_MASKS[models[place]]
+        key = pair_keys(piece.hashes[context] ^ masks, piece.hashes[word] ^ masks).view(np.int64)
+        yield (place, *_looked_up(key, n, keys, deltas))
+
+    def in_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unknown = shared.value[1]
+        for batch in batches:
+            total = np.zeros(batch.num_rows)
+            for at, texts, piece, models in read(batch):
+                each = piece.spelled[piece.ids] + unknown[models[piece.place]]
+                sums = np.bincount(piece.place, each, len(texts))
+                for place, _, n, hot, delta in keyed(piece, models):
+                    sums += np.bincount(place[hot], n[hot] * delta[hot], len(texts))
+                total[at:at + len(texts)] = sums
+            yield batch.drop_columns(["text"]).append_column("bits", pa.array(total)) \
+                .append_column("size", pa.array([len(t or "") for t in batch["text"].to_pylist()], pa.int64()))
+
+    def to_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch["text_hash"].to_numpy(zero_copy_only=False)
+            for at, texts, piece, models in read(batch):
+                for place, key, n, hot, _ in keyed(piece, models):
+                    place, key, n = place[~hot], key[~hot], n[~hot]
+                    yield pa.record_batch([pa.array(hashes[at:at + len(texts)][place]), pa.array(models[place]), pa.array(key),
+                                           pa.array(n)], ["text_hash", "model", "key", "n"])
+    kinds = dict(docs.dtypes)
+    scored = shared_table(docs.mapInArrow(
+        in_tasks, f"doc_id {kinds['doc_id']}, text_hash long, lang {kinds['lang']}, model int, bits double, size long"), "scored")
+    met = docs.where("text <> ''").mapInArrow(to_join, "text_hash long, model int, key long, n long") \
+        .join(broadcast_if_small(model.rare, BROADCAST_ROWS), "key") \
+        .groupBy("text_hash", "model").agg(F.sum(F.col("n") * F.col("delta")).alias("joined"))
+    # copies of a text are read each, and have one sum together
+    copies = scored.groupBy("text_hash", "model").agg(F.count("*").alias("copies"))
+    joined = shared_table(met.join(copies, ["text_hash", "model"]).select(
+        "text_hash", "model", (F.col("joined") / F.col("copies")).alias("joined")), "joined")
+    bits = F.col("bits") + F.coalesce("joined", F.lit(0.0))
+    return scored.join(broadcast_if_small(joined, BROADCAST_ROWS), ["text_hash", "model"], "left").select(
+        "doc_id", "text_hash", "lang", F.when(F.col("size") > 0, F.pow(F.lit(2.0), bits / F.col("size"))).alias("perplexity"))
+
+
+def _looked_up(key: np.ndarray, n: np.ndarray, keys: np.ndarray, deltas: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, n, whether it is among ``keys``, its delta if so)."""
+    if not len(keys):
+        return key, n, np.zeros(len(key), bool), np.zeros(len(key))
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    return key, n, keys[at] == key, deltas[at]
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """(doc_id) of the documents labelled good, without contradiction."""
     return labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id") \
@@ -226,9 +475,12 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
     """Per document row: doc_id, text_hash, lang, perplexity, threshold, kept."""
     good = broadcast_if_small(shared_table(trusted_ids(labels), "trusted"), BROADCAST_ROWS)
-    model = train(docs.select("doc_id", "text").join(good, "doc_id", "left_semi"))
-    scored = shared_table(perplexities(docs, model, [
-        F.col("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("lang")]), "perplexities")
+    model = train_words(docs.select("doc_id", "text").join(good, "doc_id", "left_semi"))
+    read = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "lang", text_half().alias("_half"), "text") \
+        .join(good.withColumn("_good", F.lit(True)), "doc_id", "left") \
+        .select("doc_id", "text_hash", "lang", F.when(F.col("_good") & F.col("_half").isNotNull(), 1 - F.col("_half"))
+                .otherwise(ALL).cast("int").alias("model"), "text")
+    scored = shared_table(word_perplexities(read, model), "perplexities")
     level = F.percentile_approx("perplexity", quantile, 10_000) * margin
     seen = scored.where("perplexity IS NOT NULL").join(good, "doc_id", "left_semi")
     by_lang = seen.groupBy("lang").agg(level.alias("own"))

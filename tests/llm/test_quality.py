@@ -72,3 +72,63 @@ def test_classify_and_edge_cases(spark):
     nothing = classify(docs, labels.limit(0)).collect()
     assert {r.doc_id for r in nothing if not r.kept} == {101, 102} and all(r.threshold is None for r in nothing)
     assert classify(docs.limit(0), labels).count() == 0
+
+
+def test_letters_of_every_script_count(spark):
+    """Strings of a script's letters that are no words of it are rejected, new
+    text of its words is kept."""
+    rng = random.Random(3)
+    scripts = {"ru": ("абвгдежзиклмнопрстуя", " "), "el": ("αβγδεζηθικλμνξοπρστυ", " "),
+               "zh": ("的一是不了人我在有他这中大来上国个到说们", ""), "en": ("abcdefghijklmnopqrst", " ")}
+    rows = []
+    for k, (lang, (letters, gap)) in enumerate(scripts.items()):
+        known = ["".join(rng.choice(letters[:12]) for _ in range(rng.randrange(2, 8))) for _ in range(40)]
+        same = [["".join(rng.choice(letters[8:]) for _ in w) for w in known] for _ in range(20)]
+        rows += [(1000 * k + i, gap.join(rng.choice(known) for _ in range(120)) + ".", lang) for i in range(60)]
+        rows += [(1000 * k + 900 + i, gap.join(rng.choice(s) for _ in range(120)) + ".", lang) for i, s in enumerate(same)]
+    labels = spark.createDataFrame([(1000 * k + i, 1) for k in range(4) for i in range(50)], "doc_id long, quality int")
+    got = classify(documents(spark, rows, "doc_id long, text string, lang string"), labels).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id for r in got if not r.kept and r.doc_id % 1000 >= 900} == {r[0] for r in rows if r[0] % 1000 >= 900}
+    assert sum(not r.kept for r in got if 50 <= r.doc_id % 1000 < 900) <= 2
+
+
+def test_words_against_brute_force(spark, monkeypatch):
+    """The joined sums are the Kneser-Ney bits of the words, whatever goes to
+    the tasks and whatever is broadcast."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["the", "cat", "sat", "on", "é1", "."]) for _ in range(rng.randrange(1, 30))) for _ in range(25)]
+    trusted = documents(spark, list(enumerate(texts)))
+    scored = [texts[0], texts[0], "the dog sat on   mats", "  \n", "東京 the", "", None]
+    spelling = train(trusted).bits()
+    spelled = lambda w: float(quality.text_bits([w + " "], spelling, quality.member_bits())[0])
+    pairs = Counter(p for t in texts for s in [["", *quality.words(t), ""]] for p in zip(s, s[1:]))
+    follow = Counter(w for _, w in pairs)
+    cuts = [discounts([list(c.values()).count(k) for k in (1, 2, 3, 4)]) for c in (follow, pairs)]
+    cut = lambda c, n: c[min(n, 3) - 1]
+    total, taken = Counter(), defaultdict(float)
+    for (u, _), n in pairs.items():
+        total[u] += n
+        taken[u] += cut(cuts[1], n)
+    types, left = sum(follow.values()), sum(cut(cuts[0], n) for n in follow.values()) / sum(follow.values())
+
+    def bits(text):
+        out, s = 0.0, ["", *quality.words(text), ""]
+        for u, w in zip(s, s[1:]):
+            n = follow[w]
+            p = (n - cut(cuts[0], n) if n else 0) / types + left * 2 ** -spelled(w)
+            if total[u]:
+                n = pairs[u, w]
+                p = ((n - cut(cuts[1], n) if n else 0) + taken[u] * p) / total[u]
+            out -= math.log2(p)
+        return out
+    docs = documents(spark, list(enumerate(scored))).selectExpr(
+        "doc_id", "xxhash64(text) text_hash", "'x' lang", f"{quality.ALL} model", "text")
+    for hot, rows in ((quality.HOT, quality.BROADCAST_ROWS), (5, 0), (1, 0)):
+        monkeypatch.setattr(quality, "BROADCAST_ROWS", rows)
+        for r in quality.word_perplexities(docs, quality.train_words(trusted, hot)).collect():
+            text = scored[r.doc_id]
+            if not text:
+                assert r.perplexity is None
+            else:
+                assert abs(math.log2(r.perplexity) * len(text) - bits(text)) < 1e-2 * len(text)
