@@ -1,6 +1,6 @@
 """Licence scans.
 
-Two kinds of marks are found in one pass over the documents' words.
+Three kinds of marks are found in one pass over the documents' words.
 
 * Phrases: places where a licence phrase's words stand consecutively.
 * Templates: text blocks (lines) that hold at least ``threshold`` of a
@@ -11,6 +11,14 @@ Two kinds of marks are found in one pass over the documents' words.
   template words at all (length filter), and if the first word they share
   stands early enough in the template for ``need`` shared words to remain
   (positional filter).  What is left is compared word by word.
+* Windows: runs of as many words as a template has, over any line breaks, that
+  hold at least ``threshold`` of its distinct words, so that wrapped and
+  commented licence texts are found; of each template the best window of a
+  document, the first of equals.  A document is looked at for a template if it
+  holds one of its prefix words and ``need`` distinct words of it at all; a
+  window begins at a template word (a later begin loses nothing), and its
+  ``need``-th template word must stand within the window before its words are
+  compared.
 
 A phrase is a template with threshold 1: its one prefix word is its rarest
 word, and the places of that word are the candidates.
@@ -71,6 +79,11 @@ def template_words(text: str) -> list[str]:
     return list(dict.fromkeys(w for w in re.split(SEPARATORS, text.translate(str.maketrans(UPPER, LOWER))) if w))
 
 
+def window_length(text: str) -> int:
+    """How many words a template has, repeated ones each."""
+    return sum(bool(w) for w in re.split(SEPARATORS, text.translate(str.maketrans(UPPER, LOWER))))
+
+
 def needed(size: int, threshold: float) -> int:
     """Fewest shared words that reach the threshold."""
     return math.ceil(round(threshold * size, 9))
@@ -102,7 +115,8 @@ def prefix_index(spark: SparkSession, templates: tuple[Template, ...], order: di
 def license_marks(docs: DataFrame, phrases: tuple[tuple[str, str], ...] = PHRASES,
                   templates: tuple[Template, ...] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Per document row: doc_id, n_words, places (array of (start, label) of
-    the phrases) and blocks (array of (line, label, containment))."""
+    the phrases), blocks (array of (line, label, containment)) and windows
+    (array of (start, label, containment), one of each template met)."""
     spark = docs.sparkSession
     phrase_words = [p.split() for p, _ in phrases]
     by_template = [template_words(t.text) for t in templates]
@@ -113,7 +127,10 @@ def license_marks(docs: DataFrame, phrases: tuple[tuple[str, str], ...] = PHRASE
     # phrases: (rarest word, its place, words, label)
     rare = [min(range(len(p)), key=lambda i, p=p: order[p[i]]) for p in phrase_words]
     index = prefix_index(spark, templates, order, threshold)
-    prefix_words = sorted({r["word"] for r in index.select("word").distinct().collect()})  # words of the fixed templates
+    prefixes: dict[int, list[str]] = {}
+    for r in index.select("template", "word").distinct().collect():  # words of the fixed templates
+        prefixes.setdefault(r["template"], []).append(r["word"])
+    prefix_words = sorted({w for held in prefixes.values() for w in held})
     least = min((needed(len(w), threshold) for w in by_template), default=0)
 
     def phrase_places(words: Column, phrase: list[str], at: int, label: str) -> Column:
@@ -134,17 +151,42 @@ def license_marks(docs: DataFrame, phrases: tuple[tuple[str, str], ...] = PHRASE
         return F.filter(lines, lambda x: (F.size(x["held"]) >= least)
                         & F.arrays_overlap(x["held"], _literal(prefix_words)))
 
+    def best_window(words: Column, number: int) -> Column:
+        """The window of a template; NULL without one."""
+        template, length = by_template[number], window_length(templates[number].text)
+        need = needed(len(template), threshold)
+
+        def best(held: Column) -> Column:
+            first = lambda i: F.element_at(held, i + 1)["at"]
+            starts = F.filter(F.sequence(F.lit(0), F.size(held) - need),
+                              lambda i: F.element_at(held, i + need)["at"] < first(i) + length)
+            counted = F.transform(starts, lambda i: let(first(i), lambda at: F.struct(
+                F.size(F.array_distinct(F.transform(F.filter(F.slice(held, i + 1, length), lambda x: x["at"] < at + length),
+                                                    lambda x: x["word"]))).alias("shared"), (-at).alias("before"))))
+            return let(F.array_max(counted), lambda b: F.when(b["shared"] >= need, F.struct(
+                (-b["before"]).alias("start"), F.lit(templates[number].label).alias("label"),
+                (b["shared"] / len(template)).alias("containment"))))
+        held = F.filter(F.transform(words, lambda w, i: F.struct(i.alias("at"), w.alias("word"))),
+                        lambda x: F.array_contains(_literal(template), x["word"]))
+        return F.when(F.arrays_overlap(words, _literal(sorted(prefixes[number])))
+                      & (F.size(F.array_intersect(words, _literal(template))) >= need), let(held, best))
+
+    def windows(words: Column) -> Column:
+        return F.filter(F.array(*[best_window(words, n) for n in range(len(templates))]), lambda w: w.isNotNull())
+
     def marks(words: Column) -> Column:
         maybe = F.arrays_overlap(words, _literal(prefix_words))
         none = F.expr("cast(array() as array<struct<line:int,held:array<string>>>)")
+        no_windows = F.expr("cast(array() as array<struct<start:int,label:string,containment:double>>)")
         return F.struct(F.size(words).alias("n_words"), places(words).alias("places"),
+                        F.when(maybe, windows(words)).otherwise(no_windows).alias("windows"),
                         F.when(maybe, candidate_lines(F.coalesce("text", F.lit("")))).otherwise(none).alias("lines"))
     scanned = docs.select("doc_id", F.xxhash64("text").alias("_text"), F.monotonically_increasing_id().alias("_row"),
                           let(word_array(F.col("text")), marks).alias("m")) \
-        .select("doc_id", "_text", "_row", "m.n_words", "m.places", F.explode_outer("m.lines").alias("l"))
+        .select("doc_id", "_text", "_row", "m.n_words", "m.places", "m.windows", F.explode_outer("m.lines").alias("l"))
     # prefix filter: an equi-join on the words of the line with the index of
     # the templates' prefix words (a fixed, small table)
-    met = scanned.select("doc_id", "_text", "_row", "n_words", "places", "l.line", "l.held",
+    met = scanned.select("doc_id", "_text", "_row", "n_words", "places", "windows", "l.line", "l.held",
                          F.explode_outer("l.held").alias("word")) \
         .join(F.broadcast(index), "word", "left")
     shared = F.size(F.array_intersect("held", "words"))
@@ -155,7 +197,7 @@ def license_marks(docs: DataFrame, phrases: tuple[tuple[str, str], ...] = PHRASE
     # one row per document: what stays of the lines is a handful of marks
     return met.groupBy("doc_id", "_text", "_row").agg(
         F.first("n_words").alias("n_words"), F.first("places").alias("places"),
-        F.collect_set(reached).alias("blocks")).drop("_text", "_row")
+        F.collect_set(reached).alias("blocks"), F.first("windows").alias("windows")).drop("_text", "_row")
 
 
 def op2_license_scan(spark, sf_dir: str) -> DataFrame:
@@ -164,8 +206,8 @@ def op2_license_scan(spark, sf_dir: str) -> DataFrame:
     found = license_marks(read_table(spark, sf_dir, "documents"))
     starts = F.transform("places", lambda p: p["start"])
     base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
-    more = F.transform("blocks", lambda b: b["label"])
-    best = F.array_max(F.transform("blocks", lambda b: b["containment"]))
+    more = F.concat(*[F.transform(c, lambda b: b["label"]) for c in ("blocks", "windows")])
+    best = F.array_max(F.concat(*[F.transform(c, lambda b: b["containment"]) for c in ("blocks", "windows")]))
     return found.select(
         "doc_id", F.col("n_words").cast("long"), F.size("places").cast("long").alias("n_base"),
         F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
