@@ -6,6 +6,8 @@ articles each hash stands; a subtree on many of them is part of the site's
 template.  The second pass writes the text of the article without those
 subtrees and without the elements whose tag, role or class names them as
 menus, headers, footers, sidebars, notices, adverts, forms, code or comments.
+Class and id name an element by whole names (``left-sidebar``, not
+``has-sidebar``), never an article, and never the wrapper of the page's text.
 
 The article is the page's ``article`` elements, else its ``main`` element,
 else its body.  Paragraphs and headings are never judged by recurrence: a
@@ -22,6 +24,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -46,20 +49,33 @@ ENDS_ITSELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": (
 # What names an element that is no part of the article.
 DROPPED_TAGS = frozenset("nav footer aside form head dialog menu".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
-DROPPED_NAMES = re.compile(
-    r"(?:^|[-_\s])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo|banner|nav|navbar|navigation|menu|"
-    r"breadcrumbs?|sidebar|footer|masthead|comments?|commentlist|cookies?|consent|gdpr|notice|popup|modal|newsletter|"
-    r"subscribe|share|sharing|social|related|widget|pagination|pager|toolbar|disqus|respond)(?:$|[-_\s])")
+DROPPED_NAMES = ("ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo|banner|nav|navbar|navigation|menu|"
+                 "breadcrumbs?|sidebar|footer|masthead|comments?|commentlist|cookies?|consent|gdpr|notice|popup|modal|newsletter|"
+                 "subscribe|share|sharing|social|related|widget|pagination|pager|toolbar|disqus|respond")
+#: A whole class or id that has such a part, but not one that only says whether
+#: there is such an element (has-sidebar, no-comments, sidebar-left-enabled).
+DROPPED_TOKEN = re.compile(rf"(?:.*[-_])?(?:{DROPPED_NAMES})(?:[-_].*)?", re.S)
+QUALIFIED_TOKEN = re.compile(r"(?:(?:.*[-_])?(?:has|have|no|non|not|with|without|hide|show|enable|disable)[-_].*|"
+                             r".*[-_](?:enabled|disabled|open|opened|closed|active|inactive|hidden|visible))", re.S)
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>|<[!?/][^>]*>", re.S)
 NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
+def named_as_dropped(names: str) -> bool:
+    """Whether a class or id names an element that is no part of the article."""
+    return any(DROPPED_TOKEN.fullmatch(n) and not QUALIFIED_TOKEN.fullmatch(n) for n in names.split())
+
+
 class _Element:
-    __slots__ = ("tag", "block", "hashed", "dropped", "first")
+    """``named``: dropped for its class or id, unless it holds the article;
+    ``holds``: an article element stands in it."""
 
-    def __init__(self, tag: str, block: bool, container: bool, dropped: bool, first: int):
-        self.tag, self.block, self.dropped, self.first = tag, block, dropped, first
+    __slots__ = ("tag", "block", "hashed", "dropped", "named", "holds", "first")
+
+    def __init__(self, tag: str, block: bool, container: bool, dropped: bool, named: bool, first: int):
+        self.tag, self.block, self.dropped, self.named, self.first = tag, block, dropped, named, first
+        self.holds = False
         self.hashed = xxhash.xxh3_64() if container else None
 
 
@@ -77,19 +93,37 @@ class Page:
         self.blocks: list[str] = []
         self.line: list[str] = []
         self.open: list[_Element] = []
-        self.found: dict[str, list[tuple[int, int]]] = {"article": [], "main": []}
+        # first and last block, and whether no named element is around it
+        self.found: dict[str, list[tuple[int, int, bool]]] = {"article": [], "main": []}
+        # named elements: first and last block, and whether they hold an article
+        self.named: list[tuple[int, int, bool]] = []
         self._parse(html)
 
     def text(self) -> str:
-        spans = self.found["article"] or self.found["main"]
-        if not spans:
-            return " ".join(self.blocks)
+        gone = self._gone()
+        article, main = ([s for s in spans if s[2] or not all(gone[s[0]:s[1]])] for spans in self.found.values())
+        spans = article or main or [(0, len(self.blocks), True)]
         keep, done = [], 0
-        for first, last in sorted(spans):
-            keep += self.blocks[max(first, done):last]
+        for first, last, _ in sorted(spans):
+            keep += [self.blocks[i] for i in range(max(first, done), last) if not gone[i]]
             done = max(done, last)
         return " ".join(keep)
 
+    def _gone(self) -> list[bool]:
+        """Per block, whether a named element takes it away.  One that holds an
+        article and most of the text, or nearly all text, on a page whose
+        articles all stand in named elements, is the page's wrapper."""
+        starts = [0] * (len(self.blocks) + 1)
+        if self.named:
+            sizes = [0, *accumulate(map(len, self.blocks))]
+            outside = any(s[2] for spans in self.found.values() for s in spans)
+            for first, last, holds in self.named:
+                size = sizes[last] - sizes[first]
+                if outside or not ((holds and 2 * size > sizes[-1]) or 10 * size > 9 * sizes[-1]):
+                    starts[first] += 1
+                    starts[last] -= 1
+        return [n > 0 for n in accumulate(starts)]
+
     def _end_line(self) -> None:
         if self.line:
             words = "".join(self.line).split()
@@ -114,12 +148,13 @@ class Page:
         names = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in NAMES.finditer(attributes)} \
             if "=" in attributes else {}
         inside = any(e.tag in ("article", "main") for e in self.open)
-        dropped = (tag in DROPPED_TAGS or (tag == "header" and not inside) or names.get("role") in DROPPED_ROLES
-                   or (tag not in ("body", "html", "main")
-                       and any(DROPPED_NAMES.search(names[k]) for k in ("class", "id") if k in names)))
-        if dropped and not block:
+        dropped = tag in DROPPED_TAGS or (tag == "header" and not inside) or names.get("role") in DROPPED_ROLES
+        named = tag not in ("body", "html", "main", "article") and any(
+            named_as_dropped(names[k]) for k in ("class", "id") if k in names)
+        dropped = dropped or (named and inside)
+        if (dropped or named) and not block:
             self._end_line()
-        element = _Element(tag, block, tag in CONTAINERS, dropped, len(self.blocks))
+        element = _Element(tag, block, tag in CONTAINERS, dropped, named, len(self.blocks))
         if element.hashed:
             element.hashed.update(f"{tag} {names.get('class', '')} {names.get('id', '')}\0".encode("utf-8", "surrogatepass"))
         self.open.append(element)
@@ -147,7 +182,7 @@ class Page:
 
     def _close(self, at: int) -> None:
         """Close the element at that depth and all inside it."""
-        if any(e.block or e.dropped for e in self.open[at:]) or not at:
+        if any(e.block or e.dropped or e.named for e in self.open[at:]) or not at:
             self._end_line()
         while len(self.open) > at:
             element = self.open.pop()
@@ -162,10 +197,15 @@ class Page:
             dropped = element.dropped or digest in self.template
             if dropped:
                 del self.blocks[element.first:]
-                for spans in self.found.values():
+                for spans in (*self.found.values(), self.named):
                     spans[:] = [s for s in spans if s[0] < element.first]
             elif element.tag in self.found:
-                self.found[element.tag].append((element.first, len(self.blocks)))
+                around = [e for e in self.open if e.named]
+                for e in around:
+                    e.holds = True
+                self.found[element.tag].append((element.first, len(self.blocks), not around))
+            elif element.named:
+                self.named.append((element.first, len(self.blocks), element.holds))
 
     def _parse(self, html: str) -> None:
         at = 0

@@ -44,3 +44,18 @@ def test_site_template(spark):
 def test_long_and_deep():
     assert Page("<div>" * 3000 + "x" + "</div>" * 3000).text() == "x"
     assert len(Page("<article>" + "<p>word word</p>" * 50000).text().split()) == 100000
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<div id=page class='site has-sidebar'><article>a <p>b</article></div>", "a b"),
+    ("<div class='content no-sidebar'>a<p>b</div>", "a b"),
+    ("<article class='post has-comments'>a<div class='comments'>no</div></article>", "a"),
+    ("<article class='social'>a</article>", "a"),
+    ("<div class='layout-sidebar'><div class='main-menu'>no</div><main>long text here</main></div>", "long text here"),
+    ("<div class='widget'><p>all the text</p></div>", "all the text"),
+    ("<article>short</article><div class='comment-list' id=comments><article>a far longer comment</article></div>", "short"),
+    ("<p>the page's own text</p><div id=comments><article>c</article></div>", "the page's own text"),
+    ("<div class='left-sidebar wide'>no</div><div class='sidebar-closed'>yes</div>", "yes"),
+])
+def test_wrappers_named_like_boilerplate(html, text):
+    assert Page(html).text() == text
