@@ -2,7 +2,8 @@
 
 Pages are parsed into elements where they are read.  The first pass hashes the
 subtree of every container element and counts, per host, on how many different
-articles each hash stands; a subtree on many of them is part of the site's
+articles each hash stands; a subtree on many of them, and on a share of all of
+the host's articles (within article elements on most), is part of the site's
 template.  The second pass writes the text of the article without those
 subtrees and without the elements whose tag, role or class names them as
 menus, headers, footers, sidebars, notices, adverts, forms, code or comments.
@@ -11,7 +12,8 @@ Class and id name an element by whole names (``left-sidebar``, not
 
 The article is the page's ``article`` elements, else its ``main`` element,
 else its body.  Paragraphs and headings are never judged by recurrence: a
-sentence that many articles repeat stays.  Copies of a page count as one
+sentence that many articles repeat stays, in a container of its own too unless
+most of them do.  Copies of a page count as one
 article, so a page's own text is never taken for a template.
 
 Defined results: NULL or empty html gives the empty text; a page without a
@@ -32,8 +34,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from skylane.llm.common import broadcast_if_small, shared_table
 
-#: A subtree on at least this many different articles of a host is template.
+#: A subtree on at least this many different articles of a host, and on this
+#: share of them, is template.
 TEMPLATE_ARTICLES = 8
+TEMPLATE_SHARE = 0.1
+#: Within an article element it has to stand on this share.
+ARTICLE_TEMPLATE_SHARE = 0.5
 BROADCAST_ROWS = 200_000
 
 # Element kinds of HTML.
@@ -69,12 +75,12 @@ def named_as_dropped(names: str) -> bool:
 
 class _Element:
     """``named``: dropped for its class or id, unless it holds the article;
-    ``holds``: an article element stands in it."""
+    ``holds``: an article element stands in it; ``inside``: it stands in one or is one."""
 
-    __slots__ = ("tag", "block", "hashed", "dropped", "named", "holds", "first")
+    __slots__ = ("tag", "block", "hashed", "dropped", "named", "holds", "inside", "first")
 
-    def __init__(self, tag: str, block: bool, container: bool, dropped: bool, named: bool, first: int):
-        self.tag, self.block, self.dropped, self.named, self.first = tag, block, dropped, named, first
+    def __init__(self, tag: str, block: bool, container: bool, dropped: bool, named: bool, inside: bool, first: int):
+        self.tag, self.block, self.dropped, self.named, self.inside, self.first = tag, block, dropped, named, inside, first
         self.holds = False
         self.hashed = xxhash.xxh3_64() if container else None
 
@@ -83,13 +89,14 @@ class Page:
     """One pass over a page's tags.
 
     ``blocks`` holds the text so far; an element that turns out to be dropped
-    takes back what it added.  ``subtrees`` lists the container hashes,
+    takes back what it added.  ``subtrees`` lists the container hashes
+    with whether they stand within an article element,
     ``article`` the article's blocks (None when there is no such element).
     """
 
-    def __init__(self, html: str, template: frozenset[int] | None = None):
+    def __init__(self, html: str, template: frozenset[tuple[int, bool]] | None = None):
         self.template = template or frozenset()
-        self.subtrees: set[int] = set()
+        self.subtrees: set[tuple[int, bool]] = set()
         self.blocks: list[str] = []
         self.line: list[str] = []
         self.open: list[_Element] = []
@@ -154,7 +161,8 @@ class Page:
         dropped = dropped or (named and inside)
         if (dropped or named) and not block:
             self._end_line()
-        element = _Element(tag, block, tag in CONTAINERS, dropped, named, len(self.blocks))
+        element = _Element(tag, block, tag in CONTAINERS, dropped, named,
+                           inside or tag in ("article", "main"), len(self.blocks))
         if element.hashed:
             element.hashed.update(f"{tag} {names.get('class', '')} {names.get('id', '')}\0".encode("utf-8", "surrogatepass"))
         self.open.append(element)
@@ -186,15 +194,16 @@ class Page:
             self._end_line()
         while len(self.open) > at:
             element = self.open.pop()
-            digest = None
+            subtree = None
             if element.hashed:
                 digest = element.hashed.intdigest() - (1 << 63)
-                self.subtrees.add(digest)
+                subtree = (digest, element.inside)
+                self.subtrees.add(subtree)
                 for parent in reversed(self.open):
                     if parent.hashed:
                         parent.hashed.update(digest.to_bytes(8, "little", signed=True))
                         break
-            dropped = element.dropped or digest in self.template
+            dropped = element.dropped or subtree in self.template
             if dropped:
                 del self.blocks[element.first:]
                 for spans in (*self.found.values(), self.named):
@@ -240,24 +249,32 @@ def host_of(url) -> F.Column:
 
 
 def template_subtrees(pages: DataFrame, min_articles: int = TEMPLATE_ARTICLES) -> DataFrame:
-    """(host, digests): the container subtrees on at least ``min_articles``
-    different articles of the host."""
+    """(host, subtrees): the container subtrees (digest, inside) on at least
+    ``min_articles`` different articles of the host and the share that is asked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = set()
             for host, html in zip(batch["host"].to_pylist(), batch["html"].to_pylist()):
                 page = Page(html or "")
                 article = xxhash.xxh3_64_intdigest(page.text().encode("utf-8", "surrogatepass")) - (1 << 63)
-                rows.update((host, digest, article) for digest in page.subtrees)
-            host, digest, article = zip(*rows) if rows else ((), (), ())
-            yield pa.record_batch([pa.array(host, pa.string()), pa.array(digest, pa.int64()),
-                                   pa.array(article, pa.int64())], ["host", "digest", "article"])
+                rows.add((host, None, None, article))
+                rows.update((host, *subtree, article) for subtree in page.subtrees)
+            host, digest, inside, article = zip(*rows) if rows else ((), (), (), ())
+            yield pa.record_batch([pa.array(host, pa.string()), pa.array(digest, pa.int64()), pa.array(inside, pa.bool_()),
+                                   pa.array(article, pa.int64())], ["host", "digest", "inside", "article"])
     seen = pages.select(host_of(F.col("url")).alias("host"), "html").where("host IS NOT NULL") \
-        .mapInArrow(run, "host string, digest long, article long")
+        .mapInArrow(run, "host string, digest long, inside boolean, article long")
     # first by article, so that a hot host's counts are spread and pre-summed
-    counted = seen.groupBy("host", "digest", "article").agg(F.lit(1).alias("one")) \
-        .groupBy("host", "digest").agg(F.count("*").alias("articles"))
-    return counted.where(F.col("articles") >= min_articles).groupBy("host").agg(F.collect_set("digest").alias("digests"))
+    counted = shared_table(
+        seen.groupBy("host", "digest", "inside", "article").agg(F.lit(1).alias("one"))
+        .groupBy("host", "digest", "inside").agg(F.count("*").alias("articles"))
+        .where(F.col("articles") >= min_articles), "subtrees")
+    # the row without a digest counts the host's articles
+    hosts = counted.where("digest IS NULL").select("host", F.col("articles").alias("of"))
+    share = F.when(F.col("inside"), ARTICLE_TEMPLATE_SHARE).otherwise(TEMPLATE_SHARE)
+    return counted.where("digest IS NOT NULL").join(broadcast_if_small(hosts, BROADCAST_ROWS), "host") \
+        .where(F.col("articles") >= share * F.col("of")) \
+        .groupBy("host").agg(F.collect_set(F.struct("digest", "inside")).alias("subtrees"))
 
 
 def extract_text(pages: DataFrame, min_articles: int = TEMPLATE_ARTICLES) -> DataFrame:
@@ -268,8 +285,8 @@ def extract_text(pages: DataFrame, min_articles: int = TEMPLATE_ARTICLES) -> Dat
         for batch in batches:
             sets: dict[tuple, frozenset] = {}
             texts = []
-            for html, digests in zip(batch["html"].to_pylist(), batch["digests"].to_pylist()):
-                key = tuple(digests or ())
+            for html, subtrees in zip(batch["html"].to_pylist(), batch["subtrees"].to_pylist()):
+                key = tuple((s["digest"], s["inside"]) for s in subtrees or ())
                 if key not in sets:
                     sets[key] = frozenset(key)
                 texts.append(Page(html or "", sets[key]).text())
@@ -278,7 +295,7 @@ def extract_text(pages: DataFrame, min_articles: int = TEMPLATE_ARTICLES) -> Dat
     known = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     kinds = dict(known.dtypes)
     return known.join(broadcast_if_small(templates, BROADCAST_ROWS), "host", "left") \
-        .select("page_id", "url", "html", "digests") \
+        .select("page_id", "url", "html", "subtrees") \
         .mapInArrow(run, f"page_id {kinds['page_id']}, url string, text string")
 
 

@@ -59,3 +59,15 @@ def test_long_and_deep():
 ])
 def test_wrappers_named_like_boilerplate(html, text):
     assert Page(html).text() == text
+
+
+def test_template_by_share(spark):
+    """What a few articles of a large host share stays, a menu outside the
+    article on a share of them and a box in most articles go."""
+    shared, menu, box = "<table><tr><td>quoted</table>", "<div>our menu</div>", "<div>read more</div>"
+    rows = [(i, f"http://a.example/{i}", f"<article>{box}<p>Body {i}</p>{shared if i < 30 else ''}</article>") for i in range(90)]
+    rows += [(1000 + i, f"http://b.example/{i}", f"{menu if i < 20 else ''}{shared if i >= 192 else ''}<p>Body {i}</p>")
+             for i in range(200)]
+    text = {r.page_id: r.text for r in extract_text(documents(spark, rows, "page_id long, url string, html string")).collect()}
+    assert text == {i: f"Body {i}{' quoted' if i < 30 else ''}" for i in range(90)} \
+        | {1000 + i: f"{'quoted ' if i >= 192 else ''}Body {i}" for i in range(200)}
