@@ -37,6 +37,26 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str, hot_rows: int = 1000) -> DataFrame:
+    """``rows`` left-joined with ``table``, whose column ``count`` has the number
+    of rows of each (unique) key.  Keys with more than a ``hot_rows``-th of all
+    rows, so at most that many, are broadcast; the others meet by a shuffle in
+    which no key is large.  A NULL key meets nothing."""
+    total = table.agg(F.sum(count)).first()[0] or 0  # one row
+    hot = F.col(count) > total / hot_rows
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    often = table.where(hot).drop(count)
+    marked = rows.join(F.broadcast(often.withColumn("_hot", F.lit(True))), keys, "left")
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in often.schema if f.name not in keys]
+    unknown = rows.where(~known).select(*rows.columns, *empty)
+    few = marked.where("_hot").drop("_hot")
+    rest = marked.where(F.col("_hot").isNull() & known).select(*rows.columns).join(table.where(~hot).drop(count), keys, "left")
+    columns = rows.columns + [e for e in often.columns if e not in keys]
+    return few.select(*columns).unionByName(rest.select(*columns)).unionByName(unknown.select(*columns))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

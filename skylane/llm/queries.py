@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylane.llm import (ann, chat, decontamination, html_extract, licenses, neardup, packing, quality,
-                         suffix_dedup, toxicity)
+from skylane.llm import (ann, chat, decontamination, html_extract, jaccard_join, licenses, neardup, packing, quality,
+                         resampling, suffix_dedup, toxicity, whitening)
 from skylane.llm.common import ship_code
 
 
@@ -30,6 +30,9 @@ QUERIES = {query.__name__: _with_code(query) for query in (
     packing.op8_packing,
     toxicity.op9_toxicity,
     html_extract.op10_html_extraction,
+    jaccard_join.op11_ngram_jaccard_join,
+    whitening.op12_embedding_whitening,
+    resampling.op13_importance_resampling,
 )}
 
 #: Queries without an entry have no SQL form; tests/llm holds them against
@@ -40,4 +43,5 @@ ORACLE_SQL = {
     "op4_chat_formatting": chat.ORACLE_SQL,
     "op5_minhash_near_dedup": neardup.ORACLE_SQL,
     "op6_suffix_dedup": suffix_dedup.ORACLE_SQL,
+    "op11_ngram_jaccard_join": jaccard_join.ORACLE_SQL,
 }
