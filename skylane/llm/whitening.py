@@ -1,7 +1,7 @@
 """Embedding whitening from a covariance of distinct vectors.
 
-A vector's entries are put on a grid (``floor(scale * c) + offset``, whole
-numbers); equal vectors of the grid are one row of the fit list, which carries
+A vector's entries are put on a grid (``floor(scale * c)`` plus an offset,
+whole numbers); equal vectors of the grid are one row of the fit list, which carries
 how often it occurs.  The fit weights are one per distinct vector, or those
 counts.  The weighted covariance comes from one product of matrices per batch of
 vectors that were centred first; its eigenvectors whiten each distinct vector
@@ -35,7 +35,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from skylane.llm.common import join_counted, shared_table
 
-SCALE, OFFSET = 64, 1_000_000
+#: The offset of the grid (1,000,000 in the query's contract) cancels out of
+#: every difference, so vectors are kept without it.
+SCALE = 64
 COMPONENTS = 16
 #: Eigenvalues below this part of the largest are no variance.
 NO_VARIANCE = 1e-12

@@ -49,7 +49,7 @@ def test_against_brute_force(spark, by_counts, d):
     for k in range(1, min(16, d) + 1):
         own, other = (np.array([r[4] for r in x if r[1] == k]) for x in (got, want))
         assert min(np.abs(own - other).max(), np.abs(own + other).max()) < 1e-7
-        assert {r[5] for r in got if r[1] == k} == {pytest.approx(want[k - 1][5], rel=1e-9)}
+        assert all(r[5] == pytest.approx(want[k - 1][5], rel=1e-9) for r in got if r[1] == k)
 
 
 def test_without_variance(spark):
@@ -59,7 +59,7 @@ def test_without_variance(spark):
     first = [r for r in rows if r.component == 1]
     assert all(abs(abs(r.whitened) - 1) < 1e-12 and r.explained == 1 for r in first)
     assert all(r.whitened is None and r.explained == 0 for r in rows if r.component > 1)
-    assert {r.identity_error for r in rows} == {pytest.approx(0, abs=1e-12)}
+    assert all(r.identity_error < 1e-12 for r in rows)
     alone = whiten(table(spark, [(1, [4, 4])])).collect()
     assert [(r.n, r.deviation, r.whitened, r.explained, r.identity_error) for r in alone] == [(1, 0, None, None, None)] * 2
 
