@@ -42,7 +42,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skylane.llm.common import broadcast_if_small, components, join_counted, shared_table
 
@@ -250,14 +250,14 @@ def subset_links(small: DataFrame, threshold: Threshold, boundary: int) -> DataF
 
 def light_pairs(rows: DataFrame, threshold: Threshold, boundary: int) -> DataFrame:
     """(a, b, met): pairs of sets that meet in lists of at most LIGHT sets, that
-    may be linked.  ``rows``: token, cls, n, pos, heavy (places of the set in
-    heavier lists)."""
+    may be linked.  ``rows``: token, cls, n, pos, rank (of the place among the
+    set's shared ones), heavy (places of the set in heavier lists)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            own = np.column_stack([batch[c].to_numpy() for c in ("token", "cls", "n", "pos", "heavy")]).astype(np.int64)
+            own = np.column_stack([batch[c].to_numpy() for c in ("token", "cls", "n", "pos", "heavy", "rank")]).astype(np.int64)
             fresh = len(kept) if kept is not None else 0
             own = np.concatenate([kept, own]) if fresh else own
             pairs = []
@@ -266,15 +266,15 @@ def light_pairs(rows: DataFrame, threshold: Threshold, boundary: int) -> DataFra
                 near[:max(0, fresh - step)] = False  # met in the batch before
                 x, y = own[:-step][near], own[step:][near]
                 (n, p), (m, q) = x[:, 2:4].T, y[:, 2:4].T
-                left = np.minimum(p, q) + 1 + np.minimum(n - p - 1, m - q - 1)
+                left = np.minimum(x[:, 5], y[:, 5]) + 1 + np.minimum(n - p - 1, m - q - 1)
                 near = (np.maximum(n, m) >= boundary) & (np.minimum(n, m) >= threshold.least(np.maximum(n, m))) \
                     & (left >= threshold.overlap(n, m)) & (x[:, 1] != y[:, 1])
                 pairs.append(np.column_stack([x[near], y[near]]))
             kept = own[-LIGHT:]
-            found = np.concatenate(pairs) if pairs else np.zeros((0, 10), np.int64)
-            swap = found[:, 1] > found[:, 6]
-            found[swap] = found[swap][:, [5, 6, 7, 8, 9, 0, 1, 2, 3, 4]]
-            yield pa.record_batch([pa.array(found[:, k]) for k in (1, 6, 2, 7, 3, 8)] + [pa.array(np.minimum(found[:, 4], found[:, 9]))],
+            found = np.concatenate(pairs) if pairs else np.zeros((0, 12), np.int64)
+            swap = found[:, 1] > found[:, 7]
+            found[swap] = np.roll(found[swap], 6, axis=1)
+            yield pa.record_batch([pa.array(found[:, k]) for k in (1, 7, 2, 8, 3, 9)] + [pa.array(np.minimum(found[:, 4], found[:, 10]))],
                                   ["a", "b", "n", "m", "p", "q", "heavy"])
     ordered = rows.repartition("token").sortWithinPartitions("token", "cls")
     n, m = F.col("n"), F.col("m")
@@ -285,26 +285,30 @@ def light_pairs(rows: DataFrame, threshold: Threshold, boundary: int) -> DataFra
 
 
 def rarest_first(sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """(token, cls, n, pos): postings of whole sets, rarest items first by exact
-    counts, under as many as linked sets need to meet once."""
+    """(token, cls, n, pos, rank): postings of whole sets, rarest items first by
+    exact counts, under as many as linked sets need to meet once; rank among
+    the set's items that others have too."""
     rows = sets.select("cls", "n", F.explode("items").alias("token"))
     counts = rows.groupBy("token").agg(F.count("*").alias("df"))
     ordered = rows.join(counts, "token").groupBy("cls", "n").agg(
         F.array_sort(F.collect_list(F.struct("df", "token"))).alias("items"))  # one set's items
     first = F.slice("items", F.lit(1), (F.col("n") - threshold.column("least", F.col("n")) + 1).cast("int"))
-    return ordered.select("cls", "n", F.posexplode(first).alias("pos", "item")).where("item.df > 1") \
-        .select(F.col("item.token").alias("token"), "cls", "n", F.col("pos").cast("long").alias("pos"))
+    placed = F.filter(F.transform(first, lambda x, i: F.struct(x["df"].alias("df"), x["token"].alias("token"), i.cast("long").alias("pos"))),
+                      lambda x: x["df"] > 1)
+    return ordered.select("cls", "n", F.posexplode(placed).alias("rank", "item")) \
+        .select(F.col("item.token").alias("token"), "cls", "n", F.col("item.pos").alias("pos"), F.col("rank").cast("long").alias("rank"))
 
 
 def may_link(x: str, y: str, threshold: Threshold) -> Column:
-    """Whether sets that share the item at these places may be linked."""
+    """Whether sets that share the item at these places may be linked: before
+    it, only items that others have too can be shared."""
     n, m, p, q = (F.col(c) for c in (f"{x}.n", f"{y}.n", f"{x}.pos", f"{y}.pos"))
-    return F.least(p, q) + 1 + F.least(n - p - 1, m - q - 1) >= threshold.column("overlap", n, m)
+    return F.least(f"{x}.rank", f"{y}.rank") + 1 + F.least(n - p - 1, m - q - 1) >= threshold.column("overlap", n, m)
 
 
 def central_pairs(posted: DataFrame, threshold: Threshold) -> DataFrame:
     """(a, b, met): the sets of each list with the one of its rarest place."""
-    centre = posted.groupBy("token").agg(F.min(F.struct("pos", "cls", "n")).alias("c")).select("token", "c.*").alias("x")
+    centre = posted.groupBy("token").agg(F.min(F.struct("pos", "cls", "n", "rank")).alias("c")).select("token", "c.*").alias("x")
     y = posted.alias("y")
     return y.join(centre, (F.col("x.token") == F.col("y.token")) & (F.col("x.cls") != F.col("y.cls")) & may_link("x", "y", threshold)) \
         .groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).agg(F.count("*").alias("met"))
@@ -393,8 +397,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, hundredths: int = 80) ->
     alive = shared_table(posted.groupBy("cls", "n").agg(
         F.count("*").alias("shared"), F.count(F.when(heavy, 1)).alias("heavy"))
         .where(F.col("shared") >= least_met).select("cls", "heavy", (F.col("heavy") >= least_met).alias("again")), "alive")
-    pairs = light_pairs(posted.where(~heavy).join(broadcast_if_small(alive.select("cls", "heavy"), BROADCAST_ROWS), "cls"),
-                        threshold, boundary)
+    of_set = Window.partitionBy("cls").orderBy("pos")  # at most a fifth of one set's items
+    ranked = posted.join(broadcast_if_small(alive.select("cls", "heavy"), BROADCAST_ROWS), "cls") \
+        .withColumn("rank", F.row_number().over(of_set) - 1)
+    pairs = light_pairs(ranked.where(~heavy), threshold, boundary)
     again = classes.join(broadcast_if_small(alive.where("again").select("cls"), BROADCAST_ROWS), "cls", "left_semi")
     dense = shared_table(rarest_first(full_sets(docs, again, width), threshold), "rarest-first")
     pairs = shared_table(pairs.unionByName(central_pairs(dense, threshold)), "met")
