@@ -113,7 +113,7 @@ class Head:
         self.keys, self.states = np.full(slots, -1, np.int64), np.zeros(slots, np.uint32)
         key = (known[:, 0] << 32) | known[:, 1]
         slot = self.slot(key)
-        _, first = np.unique(slot, return_index=True)  # the more frequent pair keeps its place
+        _, first = np.unique(slot, return_index=True)  # of pairs of one slot, the more frequent is kept
         states = np.fromiter((zlib.crc32(words[a] + b" " + words[b]) for a, b in known[first].tolist()), np.uint32, len(first))
         self.keys[slot[first]], self.states[slot[first]] = key[first], states
         self.bucket = (self.states % _U(buckets)).astype(np.int64)
@@ -214,31 +214,59 @@ def pieces(texts: list[str | None]) -> Iterator[list[str | None]]:
 
 def find_head(texts: DataFrame, words: int = WORDS, pairs: int = PAIRS, buckets: int = BUCKETS) -> Head:
     """The most frequent words and pairs of the column text."""
-    def cut(counts: Counter, most: int) -> Counter:
-        return counts if len(counts) <= most else Counter(dict(counts.most_common(most // 2)))
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         single: Counter = Counter()
         double: Counter = Counter()
         for batch in batches:
-            for text in batch["text"].to_pylist():
-                own = words_of(text)
-                single.update(own)
-                double.update(zip(own, own[1:]))
-                if len(single) > COUNTED:
-                    single = cut(single, COUNTED)
-                if len(double) > COUNTED:
-                    double = cut(double, COUNTED)
+            for part in pieces(batch["text"].to_pylist()):
+                found_words, found_pairs = piece_counts(part)
+                single.update(found_words)
+                double.update(found_pairs)
+                for counts in (single, double):
+                    if len(counts) > COUNTED:
+                        kept = counts.most_common(COUNTED // 2)
+                        counts.clear()
+                        counts.update(dict(kept))
         rows = [(w, None, n) for w, n in single.most_common(words) if n > 1]
         rows += [(a, b, n) for (a, b), n in double.most_common(pairs) if n > 1]
         yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.binary(), pa.binary(), pa.int64()))],
                               ["a", "b", "n"])
     found = shared_table(texts.select("text").mapInArrow(count, "a binary, b binary, n long")
                          .groupBy("a", "b").agg(F.sum("n").alias("n")), "head")
-    order = [F.desc("n"), "a", "b"]
-    first = [r["a"] for r in found.where("b IS NULL").orderBy(*order).limit(words).collect()]  # at most `words` rows
-    second = [(r["a"], r["b"]) for r in found.where("b IS NOT NULL").orderBy(*order).limit(pairs).collect()]  # at most `pairs`
-    return Head([bytes(w) for w in first], [(bytes(a), bytes(b)) for a, b in second], buckets)
+    first = most_frequent(found.where("b IS NULL"), words)
+    second = most_frequent(found.where("b IS NOT NULL"), pairs)
+    return Head([bytes(r["a"]) for r in first], [(bytes(r["a"]), bytes(r["b"])) for r in second], buckets)
+
+
+def piece_counts(texts: list[str | None]) -> tuple[dict[bytes, int], dict[tuple[bytes, bytes], int]]:
+    """How often each word stands in the texts, and each pair that stands there
+    twice or more."""
+    index: dict[bytes, int] = {}
+    numbers: list[int] = []
+    for text in texts:
+        numbers += [index.setdefault(w, len(index)) for w in words_of(text)]
+        numbers.append(-1)
+    known, ids = list(index), np.array(numbers, np.int64)
+    counts = np.bincount(ids[ids >= 0], minlength=len(known))
+    inside = (ids[:-1] >= 0) & (ids[1:] >= 0)
+    codes, n = np.unique(ids[:-1][inside] * len(known) + ids[1:][inside], return_counts=True)
+    codes, n = codes[n > 1].tolist(), n[n > 1].tolist()
+    return dict(zip(known, counts.tolist())), {(known[c // len(known)], known[c % len(known)]): k for c, k in zip(codes, n)}
+
+
+def most_frequent(counted: DataFrame, most: int) -> list:
+    """At most ``most`` rows of the highest counts, most frequent first: those
+    above the lowest level (of eight a doubling) that keeps within the bound."""
+    level = F.floor(F.log2("n") * 8)
+    sizes = {r["level"]: r["rows"] for r in counted.groupBy(level.alias("level")).agg(F.count("*").alias("rows")).collect()}  # under 512
+    least, total = None, 0
+    for at in sorted(sizes, reverse=True):
+        total += sizes[at]
+        if total > most:
+            break
+        least = at
+    rows = [] if least is None else counted.where(level >= least).collect()
+    return sorted(rows, key=lambda r: (-r["n"], bytes(r["a"]), bytes(r["b"] or b"")))
 
 
 def bucket_totals(texts: DataFrame, head: Head) -> DataFrame:
