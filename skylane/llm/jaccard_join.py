@@ -331,7 +331,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int,
     pairs = shared_table(pairs.select("a", "b"), "pairs")
     if pairs.isEmpty():
         return pairs
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    ends = shared_table(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "ends")
     sets = shared_table(full_sets(docs, classes.join(broadcast_if_small(ends, BROADCAST_ROWS), "cls", "left_semi"), width), "sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
