@@ -1,13 +1,17 @@
 """Packing documents into token sequences.
 
-Documents are tokenised where they are read, dealt at random into groups, and
-each group is packed on its own: whole sequences are cut off first, the rests
-go first-fit decreasing into bins kept in a tournament tree of free space, and
-what space the bins then have left is filled with ids cut from the emptiest
-bins.  The last bin of a group is cut at powers of two, which need no padding.
+Documents are tokenised where they are read, and whole sequences are cut off
+there; only the rests, shorter than a sequence, are dealt at random into groups,
+so a group's size does not depend on the texts' lengths.  Each group is packed
+on its own: the rests go first-fit decreasing into bins kept in a tournament
+tree of free space, and what space the bins then have left is filled with ids
+cut from the emptiest bins.  The last bin of a group is cut at powers of two,
+which need no padding.
 
 Defined results: a NULL or empty text is one document of just the end id; a
-NULL ``doc_id`` stays NULL; every row is packed, also repeated ones; an empty
+NULL ``doc_id`` stays NULL; every row is packed, also repeated ones; a very long text
+is encoded whole by one task, and sends its group a checksum per whole sequence
+and its rest; rests of equal length are taken in the group's order; an empty
 table gives no rows.  Only the named columns are read.
 """
 
@@ -20,6 +24,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 SEQUENCE = 2048
@@ -28,6 +33,8 @@ END_ID = 1
 #: Entries of a worker's memory of chunks and of encoded stems; beyond, it
 #: starts anew.
 CHUNKS_KEPT, STEMS_KEPT = 200_000, 700_000
+#: Characters that a task encodes at once.
+PIECE = 1 << 20
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
@@ -69,21 +76,37 @@ class ChunkEncoder:
         return self.stem(chunk)
 
     def text(self, text: str) -> bytes:
-        if "<|" in text:
-            return self.ids(text)
-        known, out = self.known, []
-        for chunk in text.replace("\n", " ").split(" "):
-            found = known.get(chunk)
-            if found is None:
-                found = self.chunk(chunk)
-                if len(chunk) <= 64:
-                    known[chunk] = found
-            out.append(found)
-        if len(known) > CHUNKS_KEPT:
-            known.clear()
+        return self.texts([text])[0].tobytes()
+
+    def texts(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text.  Only the distinct chunks are looked up; their
+        ids are laid out by number."""
+        if len(self.known) > CHUNKS_KEPT:
+            self.known.clear()
         if len(self.stems) > STEMS_KEPT:
             self.stems.clear()
-        return b"".join(out)
+        plain = pa.array(["" if "<|" in t else t for t in texts], pa.large_string())
+        chunks = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
+        ends = np.asarray(chunks.offsets) - chunks.offsets[0].as_py()
+        coded = chunks.flatten().dictionary_encode()
+        number = np.asarray(coded.indices)
+        found = [self.chunk_ids(c) for c in coded.dictionary.to_pylist()]
+        flat = np.frombuffer(b"".join(found), self.width)
+        lengths = np.array([len(f) for f in found], np.int64) // np.dtype(self.width).itemsize
+        begins = np.cumsum(lengths) - lengths
+        size = lengths[number]
+        done = np.concatenate([[0], np.cumsum(size)])
+        ids = flat[np.repeat(begins[number] - done[:-1], size) + np.arange(done[-1])]
+        at = done[ends]
+        return [np.frombuffer(self.ids(t), self.width) if "<|" in t else ids[lo:hi] for t, lo, hi in zip(texts, at[:-1], at[1:])]
+
+    def chunk_ids(self, chunk: str) -> bytes:
+        found = self.known.get(chunk)
+        if found is None:
+            found = self.chunk(chunk)
+            if len(chunk) <= 64:
+                self.known[chunk] = found
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -91,19 +114,35 @@ def _encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
-def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """``docs`` (doc_id, part, text) as (doc_id, part, wide, ids): the ids of
-    each text and the end id, little-endian, 2 bytes each (4 if ``wide``)."""
+def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, space: int = SEQUENCE,
+              with_ids: bool = False) -> DataFrame:
+    """``docs`` (doc_id, part, text) as (doc_id, part, wide, n, crcs, ids): the
+    number of ids with the end id, the CRCs of the whole sequences at the front,
+    and the ids after those (all ids if ``with_ids``), little-endian, 2 bytes
+    each (4 if ``wide``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
-        end = np.array([end_id], encoder.width).tobytes()
         for batch in batches:
-            ids = [encoder.text(t.as_py() or "") + end for t in batch["text"]]
-            wide = pa.array([encoder.width is np.uint32] * len(ids), pa.bool_())
-            yield pa.record_batch([batch["doc_id"].cast(pa.int64()), batch["part"], wide,
-                                   pa.array(ids, pa.binary())], ["doc_id", "part", "wide", "ids"])
+            texts, lo = [t or "" for t in batch["text"].to_pylist()], 0
+            while lo < len(texts):
+                hi, size = lo, 0
+                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= PIECE):
+                    size += len(texts[hi])
+                    hi += 1
+                rows = []
+                for ids in encoder.texts(texts[lo:hi]):
+                    ids = np.append(ids, np.array([end_id], encoder.width))
+                    whole = len(ids) - len(ids) % space
+                    crcs = [zlib.crc32(ids[at:at + space].astype("<u4").tobytes()) for at in range(0, whole, space)]
+                    rows.append((len(ids), crcs, (ids if with_ids else ids[whole:]).tobytes()))
+                n, crcs, ids = zip(*rows)
+                yield pa.record_batch([
+                    batch["doc_id"].slice(lo, hi - lo).cast(pa.int64()), batch["part"].slice(lo, hi - lo),
+                    pa.array([encoder.width is np.uint32] * len(n), pa.bool_()), pa.array(n, pa.int64()),
+                    pa.array(crcs, pa.list_(pa.int64())), pa.array(ids, pa.binary())], ["doc_id", "part", "wide", "n", "crcs", "ids"])
+                lo = hi
     return docs.select("doc_id", "part", "text").mapInArrow(
-        run, "doc_id long, part long, wide boolean, ids binary")
+        run, "doc_id long, part long, wide boolean, n long, crcs array<long>, ids binary")
 
 
 class FreeSpace:
@@ -199,21 +238,25 @@ def pack(docs: DataFrame, tokenizer_path: str, space: int = SEQUENCE, end_id: in
     def run(group: pd.DataFrame) -> pd.DataFrame:
         width = "<u4" if group["wide"].iloc[0] else "<u2"
         ids = [np.frombuffer(raw, width) for raw in group["ids"]]
-        doc_ids, part = group["doc_id"].tolist(), int(group["part"].iloc[0])
-        rows = []
-        for number, row in enumerate(pack_lengths([len(x) for x in ids], space)):
+        doc_ids, lengths, crcs = group["doc_id"].tolist(), group["n"].tolist(), group["crcs"].tolist()
+        part, rows = int(group["part"].iloc[0]), []
+        for number, row in enumerate(pack_lengths(lengths, space)):
             offset = 0
             for doc, start, length in row:
-                own = ids[doc][start:start + length].astype("<u4")
-                rows.append((doc_ids[doc], start, length, zlib.crc32(own.tobytes()), len(ids[doc]),
-                             (part << 32) + number, offset) + ((own.astype(np.int32),) if with_ids else ()))
+                behind = 0 if with_ids else lengths[doc] - lengths[doc] % space  # ids that stayed in the scan
+                if start < lengths[doc] - lengths[doc] % space:
+                    crc = crcs[doc][start // space]
+                else:
+                    crc = zlib.crc32(ids[doc][start - behind:start - behind + length].astype("<u4").tobytes())
+                rows.append((doc_ids[doc], start, length, crc, lengths[doc], (part << 32) + number, offset)
+                            + ((ids[doc][start:start + length].astype(np.int32),) if with_ids else ()))
                 offset += length
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         out = pd.DataFrame(rows, columns=names + ["ids"] * with_ids)
         out["doc_id"] = out["doc_id"].astype("Int64")
         return out
 
-    return tokenised(dealt, tokenizer_path, end_id).groupBy("part").applyInPandas(
+    return tokenised(dealt, tokenizer_path, end_id, space, with_ids).groupBy("part").applyInPandas(
         run, PIECES + (", ids array<int>" if with_ids else ""))
 
 

@@ -82,3 +82,22 @@ def test_pack_against_the_tokenizer(spark):
         size = sum(p.length for p in row)
         assert size <= 2048 and (size == 2048 or size & (size - 1) == 0)
     assert pack(documents(spark, []), PATH).count() == 0
+
+
+def test_long_texts_send_their_rests_only(spark):
+    """Texts of a megabyte in one group: every id in one piece, checksums of the
+    tokenizer's ids, and no more than a sequence of each text shipped."""
+    from skylane.llm.packing import SEQUENCE, tokenised
+    rng = random.Random(3)
+    docs = [(i, " ".join(rng.choice(["alpha", "Beta,", "x1y2", "été"]) + str(rng.randrange(50)) for _ in range(120_000)))
+            for i in range(3)] + [(9, "short")]
+    df = documents(spark, docs)
+    shipped = tokenised(df.selectExpr("doc_id", "0L part", "text"), PATH).collect()
+    assert all(len(r.ids) < 2 * SEQUENCE and len(r.crcs) == r.n // SEQUENCE for r in shipped)
+    want = {i: np.array(_shared().tokenizer.encode(t, add_special_tokens=False).ids + [1], "<u4") for i, t in docs}
+    got = defaultdict(int)
+    for r in pack(df, PATH).collect():
+        own = want[r.doc_id][r.start:r.start + r.length]
+        assert r.doc_tokens == len(want[r.doc_id]) and zlib.crc32(own.tobytes()) == r.ids_crc32
+        got[r.doc_id] += r.length
+    assert got == {i: len(x) for i, x in want.items()}
