@@ -32,9 +32,9 @@ GROUP_DOCS = 4096
 END_ID = 1
 #: Entries of a worker's memory of chunks and of encoded stems; beyond, it
 #: starts anew.
-CHUNKS_KEPT, STEMS_KEPT = 200_000, 700_000
+CHUNKS_KEPT, STEMS_KEPT = 300_000, 1_200_000
 #: Characters that a task encodes at once.
-PIECE = 1 << 20
+PIECE = 1 << 22
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
@@ -60,20 +60,30 @@ class ChunkEncoder:
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
 
-    def stem(self, stem: str) -> bytes:
-        if stem.isascii():
-            stem = stem.lower()
-        found = self.stems.get(stem)
-        if found is None:
-            found = self.ids(stem)
-            if len(stem) <= 64:
-                self.stems[stem] = found
-        return found
-
-    def chunk(self, chunk: str) -> bytes:
-        if len(chunk) > 1 and chunk[-1] in ".,;:!?" and chunk[-2].lower().isalpha():
-            return self.stem(chunk[:-1]) + self.stem(chunk[-1])
-        return self.stem(chunk)
+    @staticmethod
+    def stems_of(chunk: str) -> list[str]:
+        """The parts of a chunk that are encoded apart, as they are kept."""
+        parts = [chunk[:-1], chunk[-1]] if len(chunk) > 1 and chunk[-1] in ".,;:!?" and chunk[-2].lower().isalpha() else [chunk]
+        return [p.lower() if p.isascii() else p for p in parts]
+
+    def learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of all ``chunks``; stems not met before are encoded together,
+        a space between them, and told apart by their places."""
+        parts = {c: self.stems_of(c) for c in chunks if c not in self.known}
+        fresh = list(dict.fromkeys(p for ps in parts.values() for p in ps if p and p not in self.stems))
+        found = {}
+        if fresh:
+            coded = self.tokenizer.encode(" ".join(fresh), add_special_tokens=False)
+            ids, starts = np.array(coded.ids, self.width), np.array([o[0] for o in coded.offsets], np.int64)
+            ends = np.cumsum([len(p) + 1 for p in fresh])
+            at = np.searchsorted(starts, np.concatenate([[0], ends])).tolist()
+            found = {p: ids[lo:hi].tobytes() for p, lo, hi in zip(fresh, at, at[1:])}
+            self.stems.update((p, x) for p, x in found.items() if len(p) <= 64)
+        stem = lambda p: found[p] if p in found else self.stems[p] if p else b""
+        new = {c: b"".join(map(stem, ps)) for c, ps in parts.items()}
+        out = {c: new[c] if c in new else self.known[c] for c in chunks}
+        self.known.update((c, x) for c, x in new.items() if len(c) <= 64)
+        return out
 
     def text(self, text: str) -> bytes:
         return self.texts([text])[0].tobytes()
@@ -90,7 +100,7 @@ class ChunkEncoder:
         ends = np.asarray(chunks.offsets) - chunks.offsets[0].as_py()
         coded = chunks.flatten().dictionary_encode()
         number = np.asarray(coded.indices)
-        found = [self.chunk_ids(c) for c in coded.dictionary.to_pylist()]
+        found = list(self.learn(coded.dictionary.to_pylist()).values())
         flat = np.frombuffer(b"".join(found), self.width)
         lengths = np.array([len(f) for f in found], np.int64) // np.dtype(self.width).itemsize
         begins = np.cumsum(lengths) - lengths
@@ -100,14 +110,6 @@ class ChunkEncoder:
         at = done[ends]
         return [np.frombuffer(self.ids(t), self.width) if "<|" in t else ids[lo:hi] for t, lo, hi in zip(texts, at[:-1], at[1:])]
 
-    def chunk_ids(self, chunk: str) -> bytes:
-        found = self.known.get(chunk)
-        if found is None:
-            found = self.chunk(chunk)
-            if len(chunk) <= 64:
-                self.known[chunk] = found
-        return found
-
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> ChunkEncoder:
