@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from skylane.plans.strategy import ensure_checkpoint_dir
+from skylane.plans.strategy import new_table_path
 
 # The word rule of the operators (after lower-casing A-Z).
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -17,18 +17,27 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for an intermediate table, below the session's shared
-    checkpoint folder (``spark.checkpoint.dir``)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/skylane-llm/{name}-{uuid.uuid4().hex}"
-
-
 def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back: the
-    lineage is cut, and a lost executor only re-reads files."""
-    path = shared_folder(df.sparkSession, name)
+    """Write ``df`` once as Parquet in the shared folder (below the session's
+    ``spark.checkpoint.dir``) and read it back: the lineage is cut, and a lost
+    executor only re-reads files.  ``drop_tables`` and ``release_tables`` remove
+    it."""
+    path = new_table_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._shared_path = path
+    return table
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Remove tables of ``shared_table`` whose last reader has been written, and
+    let Spark's cleaner remove the shuffles of plans that nobody holds any more."""
+    spark = tables[0].sparkSession
+    for table in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._shared_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

@@ -27,7 +27,9 @@ Defined results: a NULL or empty text has no perplexity and is rejected; a NULL
 language is a language of its own; a language without trusted documents takes
 the quantile over all of them; without any trusted document nothing with text
 is rejected (threshold NULL); contradicting or NULL labels of an id do not
-count; repeated rows each get a row; an empty table gives no rows.  Only
+count; repeated rows each get a row; documents of one perplexity share a verdict; a
+very long text is read whole by one task, a piece at a time where it is counted;
+an empty table gives no rows.  Only
 doc_id, text, lang, and the labels' doc_id and quality are read.
 """
 
@@ -46,7 +48,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skylane.llm.common import broadcast_if_small, shared_table
+from skylane.llm.common import broadcast_if_small, drop_tables, join_counted, shared_table
 
 ORDER = 4
 BITS = 6
@@ -58,11 +60,14 @@ BROADCAST_ROWS = 1_000_000
 PIECE = 1 << 20
 #: Words and pairs with at least this part of a model's tokens go to the tasks
 #: (at most so many words and pairs of each model).
-HOT = 100_000
+HOT = 200_000
+#: Pairs that a task counts before it passes them on.
+COUNTED = 1 << 20
+#: Words that more than this part of the pairs hold are broadcast to them.
+HOT_WORDS = 100_000
 
 # The models (of either half of the trusted texts, and of all).
 ALL, MODELS = 2, 3
-MODEL_MASKS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0], np.uint64)
 
 # The word rule.  Scripts without spaces between words.
 SPACELESS = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]"
@@ -265,12 +270,13 @@ def member_bits() -> np.ndarray:
 
 
 def pair_keys(contexts: np.ndarray, following: np.ndarray) -> np.ndarray:
-    """The hashes of pairs of word hashes."""
-    x = contexts * np.uint64(0x9FB21C651E98DF25)
-    x ^= x >> np.uint64(29)
-    x += following * np.uint64(0xD6E8FEB86659FD93)
-    x *= np.uint64(0xA0761D6478BD642F)
-    return x ^ (x >> np.uint64(32))
+    """The keys of pairs of word hashes (``pair_key`` as a column)."""
+    return contexts ^ (following << np.uint64(17) | following >> np.uint64(47))
+
+
+def pair_key(context: str, following: str) -> Column:
+    w = F.col(following)
+    return F.col(context).bitwiseXOR(F.shiftleft(w, 17).bitwiseOR(F.shiftrightunsigned(w, 47)))
 
 
 class WordPiece:
@@ -312,92 +318,143 @@ def text_half() -> Column:
     return F.pmod(F.xxhash64("text"), F.lit(2)).cast("int")
 
 
+class PairTable:
+    """Counts of pairs (u, w) by half, bounded by ``COUNTED`` rows."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, u: np.ndarray, w: np.ndarray, half: np.ndarray, n: np.ndarray) -> None:
+        self.parts.append((u, w, np.where(half == 0, n, 0), np.where(half == 1, n, 0)))
+        self.size += len(u)
+        if self.size > COUNTED:
+            self.merge()
+
+    def merge(self) -> None:
+        u, w, n0, n1 = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.lexsort((w, u))
+        u, w = u[order], w[order]
+        first = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (w[1:] != w[:-1])]))
+        self.parts = [(u[first], w[first], np.add.reduceat(n0[order], first), np.add.reduceat(n1[order], first))]
+        self.size = len(first)
+
+    def taken(self) -> tuple[np.ndarray, ...]:
+        """All counts; the table is empty afterwards."""
+        self.merge()
+        found, self.parts, self.size = self.parts[0], [], 0
+        return found
+
+
 def pair_counts(trusted: DataFrame, spelling: LanguageModel) -> DataFrame:
-    """(model, u, w, key, spelled, n): the pairs of words of all texts of
-    ``trusted``, in the model of their half and in that of all."""
+    """(u, w, n0, n1, spelled): the pairs of words of all texts of ``trusted``,
+    counted in either half; and the spelling of each word w, where u is NULL."""
     shared = trusted.sparkSession.sparkContext.broadcast(spelling)
 
+    def rows(u: np.ndarray | None, w: np.ndarray, n0: np.ndarray, n1: np.ndarray, spelled: np.ndarray | None) -> pa.RecordBatch:
+        nothing = [None] * len(w)
+        return pa.record_batch([
+            pa.array(nothing if u is None else u.view(np.int64), pa.int64()), pa.array(w.view(np.int64)), pa.array(n0, pa.int64()),
+            pa.array(n1, pa.int64()), pa.array(nothing if spelled is None else spelled, pa.float64())], ["u", "w", "n0", "n1", "spelled"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = _bits(shared.value)
+        bits, held, told = _bits(shared.value), PairTable(), set()
         for batch in batches:
-            rows = [(t, h) for t, h in zip(batch["text"].to_pylist(), batch["half"].to_pylist()) if t]
+            known = [(t, h) for t, h in zip(batch["text"].to_pylist(), batch["half"].to_pylist()) if t]
             at = 0
-            for texts in pieces([t for t, _ in rows]):
+            for texts in pieces([t for t, _ in known]):
                 piece = WordPiece(texts, bits)
-                half = np.array([h for _, h in rows[at:at + len(texts)]], np.int64)[piece.place]
+                half, context, word, n = piece.pairs(np.array([h for _, h in known[at:at + len(texts)]], np.int64)[piece.place])
                 at += len(texts)
-                for group in (half, np.full_like(half, ALL)):
-                    model, context, word, n = piece.pairs(group)
-                    u, w = (piece.hashes[x] ^ MODEL_MASKS[model] for x in (context, word))
-                    yield pa.record_batch([
-                        pa.array(model.astype(np.int32)), *(pa.array(x.view(np.int64)) for x in (u, w, pair_keys(u, w))),
-                        pa.array(piece.spelled[word]), pa.array(n)], ["model", "u", "w", "key", "spelled", "n"])
+                held.add(piece.hashes[context], piece.hashes[word], half, n)
+                fresh = np.array([i for i, h in enumerate(piece.hashes.tolist()) if h not in told], np.int64)
+                if len(told) > COUNTED:
+                    told.clear()
+                told.update(piece.hashes[fresh].tolist())
+                zero = np.zeros(len(fresh), np.int64)
+                yield rows(None, piece.hashes[fresh], zero, zero, piece.spelled[fresh])
+                if held.size > COUNTED * 3 // 4:
+                    yield rows(*held.taken(), None)
+        if held.size:
+            yield rows(*held.taken(), None)
     return trusted.select("text", text_half().alias("half")) \
-        .mapInArrow(count, "model int, u long, w long, key long, spelled double, n long") \
-        .groupBy("model", "u", "w").agg(F.first("key").alias("key"), F.first("spelled").alias("spelled"), F.sum("n").alias("n"))
-
-
-def discounted(counted: DataFrame) -> Column:
-    """The discount of each count ``n`` (of each model)."""
-    of = {(r["model"], r["n"]): r["runs"] for r in
-          counted.where("n <= 4").groupBy("model", "n").agg(F.count("*").alias("runs")).collect()}
-    out = F.lit(0.5)
-    for model in range(MODELS):
-        d1, d2, d3 = discounts([of.get((model, k), 0) for k in (1, 2, 3, 4)])
-        out = F.when(F.col("model") == model, F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)).otherwise(out)
+        .mapInArrow(count, "u long, w long, n0 long, n1 long, spelled double") \
+        .groupBy("u", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.max("spelled").alias("spelled"))
+
+
+def of_model(model: int) -> Column:
+    """The model's count of a pair."""
+    return F.col("n0") + F.col("n1") if model == ALL else F.col(f"n{model}")
+
+
+def discounted(counted: DataFrame, counts: list[Column]) -> list[Column]:
+    """Each model's discount of its count in ``counts``: 0 of none."""
+    seen = counted.agg(*[F.count(F.when(c == k, 1)).alias(f"c{m}_{k}") for m, c in enumerate(counts) for k in (1, 2, 3, 4)]).first()
+    out = []
+    for m, c in enumerate(counts):
+        d1, d2, d3 = discounts([seen[f"c{m}_{k}"] for k in (1, 2, 3, 4)])
+        out.append(F.when(c > 2, d3).when(c == 2, d2).when(c == 1, d1).otherwise(0.0))
     return out
 
 
 @dataclass(frozen=True)
 class WordModel:
-    """``rare``: (key, delta) of the words and pairs that are joined; ``keys``
-    (sorted) and ``deltas`` of the others; ``unknown``: per model, the bits
-    before a word is spelled."""
+    """``table``: (key, delta of each model, hot) of words and pairs, those not
+    hot to be joined; ``keys`` (sorted) and ``deltas`` of the hot ones;
+    ``unknown``: per model, the bits before a word is spelled."""
 
     spelling: LanguageModel
     unknown: np.ndarray
     keys: np.ndarray
     deltas: np.ndarray
-    rare: DataFrame
+    table: DataFrame
 
 
 def train_words(trusted: DataFrame, hot: int = HOT) -> WordModel:
     """The models of all texts of ``trusted``."""
     spelling = train(trusted)
-    pairs = shared_table(pair_counts(trusted, spelling), "word-pairs")
-    cut = discounted(pairs)
-    contexts = pairs.groupBy("model", F.col("u").alias("w")).agg(
-        F.sum("n").alias("total"), (F.sum(cut) / F.sum("n")).alias("left"))
+    counted = shared_table(pair_counts(trusted, spelling), "word-pairs")
+    pairs, models = counted.where("u IS NOT NULL"), range(MODELS)
+    cut = discounted(pairs, [of_model(m) for m in models])
+    contexts = pairs.groupBy(F.col("u").alias("w")).agg(
+        *[F.sum(of_model(m)).alias(f"total{m}") for m in models], *[F.sum(cut[m]).alias(f"taken{m}") for m in models],
+        F.count("*").alias("as_context"))
     # every word is predicted somewhere and a context somewhere
-    known = shared_table(pairs.groupBy("model", "w").agg(F.count("*").alias("n"), F.first("spelled").alias("spelled"))
-                         .join(contexts, ["model", "w"]), "words")
-    cut_word = discounted(known)
-    sums = {r["model"]: r for r in known.groupBy("model").agg(
-        F.sum("n").alias("n"), F.sum(cut_word).alias("taken"), F.sum("total").alias("tokens")).collect()}  # three rows
-    unknown = np.array([-math.log2(sums[m]["taken"] / sums[m]["n"]) if m in sums else 0.0 for m in range(MODELS)])
-
-    def of_model(value) -> Column:
-        out = F.lit(1.0)
-        for m in sums:
-            out = F.when(F.col("model") == m, float(value(m))).otherwise(out)
-        return out
-    known = known.withColumn("p", (F.col("n") - cut_word) / of_model(lambda m: sums[m]["n"])
-                             + F.pow(F.lit(2.0), -(F.col("spelled") + of_model(lambda m: unknown[m]))))
+    known = counted.groupBy("w").agg(
+        *[F.count(F.when(of_model(m) > 0, 1)).alias(f"follow{m}") for m in models], F.max("spelled").alias("spelled"),
+        F.count("u").alias("as_word")).join(contexts, "w")
+    known = known_table = shared_table(known, "words")
+    cut_word = discounted(known, [F.col(f"follow{m}") for m in models])
+    sums = known.agg(*[F.sum(c).alias(f"{name}{m}") for m in models for name, c in (
+        ("n", F.col(f"follow{m}")), ("cut", cut_word[m]), ("tokens", F.col(f"total{m}")))]).first()  # one row
+    unknown = np.array([-math.log2(sums[f"cut{m}"] / sums[f"n{m}"]) if sums[f"n{m}"] else 0.0 for m in models])
     log = lambda c: F.log2(F.greatest(c, F.lit(1e-300)))
-    of_words = known.select("model", F.col("w").alias("key"), F.col("total").alias("n"), (
-        -log(F.col("left")) - log(F.col("p")) - F.col("spelled") - of_model(lambda m: unknown[m])).alias("delta"))
-    first = known.select(F.col("w").alias("u"), "total", "left")
-    second = known.select("w", "p")
-    of_pairs = pairs.withColumn("own", F.col("n") - cut).select("model", "u", "w", "key", "n", "own") \
-        .join(broadcast_if_small(first, BROADCAST_ROWS), "u").join(broadcast_if_small(second, BROADCAST_ROWS), "w") \
-        .select("model", "key", "n", (
-            -log(F.col("own") / F.col("total") + F.col("left") * F.col("p")) + log(F.col("left")) + log(F.col("p"))).alias("delta"))
-    deltas = shared_table(of_words.unionByName(of_pairs).select(
-        "key", "delta", (F.col("n") >= of_model(lambda m: sums[m]["tokens"] / hot)).alias("hot")), "deltas")
-    often = deltas.where("hot").toArrow()  # at most `hot` words and `hot` pairs of each model
-    keys, values = (often[c].to_numpy() for c in ("key", "delta"))
+    often = [max(1.0, float(sums[f"tokens{m}"] or 0) / hot) for m in models]
+
+    def is_hot(counts: list[Column]) -> Column:
+        return F.greatest(*[(c >= often[m]).cast("int") for m, c in enumerate(counts)]) == 1
+    for m in models:
+        known = known.withColumn(f"left{m}", F.try_divide(f"taken{m}", f"total{m}")).withColumn(
+            f"p{m}", F.when(F.col(f"follow{m}") > 0, (F.col(f"follow{m}") - cut_word[m]) / F.lit(float(sums[f"n{m}"] or 1))
+                            + F.pow(F.lit(2.0), -(F.col("spelled") + float(unknown[m])))))
+    of_words = known.select(F.col("w").alias("key"), *[
+        (-log(F.col(f"left{m}")) - log(F.col(f"p{m}")) - F.col("spelled") - float(unknown[m])).cast("float").alias(f"delta{m}")
+        for m in models], is_hot([F.col(f"total{m}") for m in models]).alias("hot"))
+    first = known.select(F.col("w").alias("u"), *[c for m in models for c in (f"total{m}", f"left{m}")], "as_context")
+    second = known.select("w", *[f"p{m}" for m in models], "as_word")
+    own = pairs.select("u", "w", "n0", "n1", *[(of_model(m) - cut[m]).alias(f"own{m}") for m in models])
+    both = join_counted(join_counted(own, first, ["u"], "as_context", HOT_WORDS), second, ["w"], "as_word", HOT_WORDS)
+    of_pairs = both.select(pair_key("u", "w").alias("key"), *[
+        F.when(of_model(m) > 0, -log(F.col(f"own{m}") / F.col(f"total{m}") + F.col(f"left{m}") * F.col(f"p{m}"))
+               + log(F.col(f"left{m}")) + log(F.col(f"p{m}"))).cast("float").alias(f"delta{m}")
+        for m in models], is_hot([of_model(m) for m in models]).alias("hot"))
+    deltas = shared_table(of_words.unionByName(of_pairs), "deltas")
+    drop_tables(counted, known_table)
+    frequent = deltas.where("hot").drop("hot").toArrow()  # at most `hot` words and `hot` pairs of each model
+    keys = frequent["key"].to_numpy()
     order = np.argsort(keys)
-    return WordModel(spelling, unknown, keys[order], values[order], deltas.where("NOT hot").select("key", "delta"))
+    values = np.column_stack([frequent[f"delta{m}"].to_numpy() for m in models])[order]
+    return WordModel(spelling, unknown, keys[order], values, deltas)
 
 
 def word_perplexities(docs: DataFrame, model: WordModel) -> DataFrame:
@@ -416,11 +473,10 @@ def word_perplexities(docs: DataFrame, model: WordModel) -> DataFrame:
         """(text, key, n, hot, delta) of the words, then the pairs, of each text."""
         _, _, keys, deltas = shared.value
         place, word, n = piece.counts(piece.place)
-        yield (place, *_looked_up((piece.hashes[word] ^ MODEL_MASKS[models[place]]).view(np.int64), n, keys, deltas))
+        yield (place, *_looked_up(piece.hashes[word].view(np.int64), n, keys, deltas, models[place]))
         place, context, word, n = piece.pairs(piece.place)
-        masks = MODEL_MASKS[models[place]]
-        key = pair_keys(piece.hashes[context] ^ masks, piece.hashes[word] ^ masks).view(np.int64)
-        yield (place, *_looked_up(key, n, keys, deltas))
+        key = pair_keys(piece.hashes[context], piece.hashes[word]).view(np.int64)
+        yield (place, *_looked_up(key, n, keys, deltas, models[place]))
 
     def in_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unknown = shared.value[1]
@@ -442,13 +498,16 @@ def word_perplexities(docs: DataFrame, model: WordModel) -> DataFrame:
                 for place, key, n, hot, _ in keyed(piece, models):
                     place, key, n = place[~hot], key[~hot], n[~hot]
                     yield pa.record_batch([pa.array(hashes[at:at + len(texts)][place]), pa.array(models[place]), pa.array(key),
-                                           pa.array(n)], ["text_hash", "model", "key", "n"])
+                                           pa.array(n.astype(np.int32))], ["text_hash", "model", "key", "n"])
     kinds = dict(docs.dtypes)
     scored = shared_table(docs.mapInArrow(
         in_tasks, f"doc_id {kinds['doc_id']}, text_hash long, lang {kinds['lang']}, model int, bits double, size long"), "scored")
-    met = docs.where("text <> ''").mapInArrow(to_join, "text_hash long, model int, key long, n long") \
-        .join(broadcast_if_small(model.rare, BROADCAST_ROWS), "key") \
-        .groupBy("text_hash", "model").agg(F.sum(F.col("n") * F.col("delta")).alias("joined"))
+    rare = model.table.where("NOT hot").drop("hot")
+    delta = F.coalesce(F.when(F.col("model") == 0, F.col("delta0")).when(F.col("model") == 1, F.col("delta1"))
+                       .otherwise(F.col("delta2")), F.lit(0.0))  # the other half alone may know it
+    met = docs.where("text <> ''").mapInArrow(to_join, "text_hash long, model int, key long, n int") \
+        .join(broadcast_if_small(rare, BROADCAST_ROWS), "key") \
+        .groupBy("text_hash", "model").agg(F.sum(F.col("n") * delta.cast("double")).alias("joined"))
     # copies of a text are read each, and have one sum together
     copies = scored.groupBy("text_hash", "model").agg(F.count("*").alias("copies"))
     joined = shared_table(met.join(copies, ["text_hash", "model"]).select(
@@ -458,12 +517,12 @@ def word_perplexities(docs: DataFrame, model: WordModel) -> DataFrame:
         "doc_id", "text_hash", "lang", F.when(F.col("size") > 0, F.pow(F.lit(2.0), bits / F.col("size"))).alias("perplexity"))
 
 
-def _looked_up(key: np.ndarray, n: np.ndarray, keys: np.ndarray, deltas: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(key, n, whether it is among ``keys``, its delta if so)."""
+def _looked_up(key: np.ndarray, n: np.ndarray, keys: np.ndarray, deltas: np.ndarray, models: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, n, whether it is among ``keys``, its model's delta if so)."""
     if not len(keys):
         return key, n, np.zeros(len(key), bool), np.zeros(len(key))
     at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-    return key, n, keys[at] == key, deltas[at]
+    return key, n, keys[at] == key, np.nan_to_num(deltas[at, models].astype(np.float64))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -481,6 +540,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, mar
         .select("doc_id", "text_hash", "lang", F.when(F.col("_good") & F.col("_half").isNotNull(), 1 - F.col("_half"))
                 .otherwise(ALL).cast("int").alias("model"), "text")
     scored = shared_table(word_perplexities(read, model), "perplexities")
+    drop_tables(model.table)
     level = F.percentile_approx("perplexity", quantile, 10_000) * margin
     seen = scored.where("perplexity IS NOT NULL").join(good, "doc_id", "left_semi")
     by_lang = seen.groupBy("lang").agg(level.alias("own"))
