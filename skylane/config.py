@@ -54,6 +54,8 @@ class ArrivalRules:
       profile_unit: segment of the per-flight sequence step ("hour"...).
       interval_unit: bin of the point-in-interval join.
       moving_avg_unit: partition bin of the moving average.
+      window_days: terminal-area windows of at most so many days are matched
+        to points by day, longer ones by callsign (with ``cross_midnight``).
     """
 
     destination: str = DESTINATION
@@ -78,6 +80,7 @@ class ArrivalRules:
     profile_unit: str = "hour"
     interval_unit: str = "hour"
     moving_avg_unit: str = "day"
+    window_days: int = 3
 
     def with_(self, **kw) -> "ArrivalRules":
         return replace(self, **kw)

@@ -17,6 +17,15 @@ def flight_fuel(profile: DataFrame) -> DataFrame:
         F.sum(F.col("elapsed") * F.col("fuel_flow")).alias("consumption_kg"))
 
 
+def flight_fuel_of_steps(steps: DataFrame) -> DataFrame:
+    """The same totals from the factorised profile (``steps_of_flights``): an
+    instant's elapsed seconds times the sum of its flows, so its k flows are
+    summed in their row and never become k rows."""
+    flow = F.aggregate("flows", F.lit(0.0), lambda total, x: total + F.coalesce(x, F.lit(0.0)))
+    known = F.exists("flows", lambda x: x.isNotNull())
+    return steps.groupBy("id").agg(F.sum(F.when(known, F.col("elapsed") * flow)).alias("consumption_kg"))
+
+
 def flight_consumption(filtered: DataFrame, profile: DataFrame, occupancy: DataFrame,
                        rules: ArrivalRules, bounds: FlightBounds | None = None) -> DataFrame:
     """One row per arrival: fuel burned, occupancy at entry, hour of entry,

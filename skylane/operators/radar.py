@@ -2,13 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType
 
 from skylane.config import ArrivalRules
+from skylane.functions.timefns import epoch_micros, epoch_ntz
 from skylane.operators.flights import latest_flight_per_key
 from skylane.plans.strategy import FlightBounds, broadcast_within
 
 
+POINT = ("flight_key", "flight_level", "aircraft_type", "c_time", "aldt", "radar_timestamp", "aircraft_speed")
+
+# A speed takes 64 bits of a packed order, moved above zero.
+_SPEEDS, _LOWEST = "18446744073709551616", "9223372036854775808"  # 2**64, 2**63
+
+
+def packed_order(time: Column, speed: Column) -> Column:
+    """(time, speed) as one whole number of the same order: microseconds times
+    2**64 plus the speed.  Any pair of 64-bit values up to the year 9999 fits
+    decimal(38, 0), whose minimum an aggregate updates in place."""
+    micros = epoch_micros(time).cast("decimal(18,0)")
+    return (micros * F.lit(_SPEEDS).cast("decimal(20,0)") + (speed.cast("decimal(20,0)") + F.lit(_LOWEST).cast("decimal(19,0)"))) \
+        .cast("decimal(38,0)")
+
+
+def unpacked_order(packed: Column, speed_type: DataType) -> tuple[Column, Column]:
+    """The time and speed of ``packed_order``."""
+    below = F.pmod(packed, F.lit(_SPEEDS).cast("decimal(38,0)"))
+    micros = ((packed - below) / F.lit(_SPEEDS).cast("decimal(38,0)")).cast("bigint")
+    time = F.timestamp_add("MICROSECOND", micros, epoch_ntz())
+    return time, (below.cast("decimal(20,0)") - F.lit(_LOWEST).cast("decimal(19,0)")).cast(speed_type)
+
+
 def radar_in_terminal_area(filtered: DataFrame, stg_radar: DataFrame,
                            rules: ArrivalRules, bounds: FlightBounds | None = None) -> DataFrame:
     """Radar points of each flight between entry and landing (inclusive).
@@ -20,11 +45,13 @@ def radar_in_terminal_area(filtered: DataFrame, stg_radar: DataFrame,
        bound is given or flights span midnight) is broadcast when within
        ``broadcast_max_rows``, so radar is not shuffled for the join;
     3. first point per (flight, level): earliest time, ties by lower speed.
-       This is a partial-then-final aggregate, so a flight with very many
-       points never lands whole in one task.
+       This is a partial-then-final hash aggregate over a packed (time, speed),
+       so a flight with very many points never lands whole in one task.
 
     With ``bounds``, radar is first limited to the flights' overall time span.
-    ``rules.cross_midnight`` also matches points dated the day before landing.
+    ``rules.cross_midnight`` also matches points dated before the day of landing:
+    windows of up to ``rules.window_days`` days by (callsign, day), longer ones
+    by callsign, so a window takes a bounded number of rows whatever its length.
     Output: id, dt_radar, nr_speed, fl (decimal), aircraft_type, c_time, aldt.
     """
     flights = latest_flight_per_key(filtered)
@@ -41,32 +68,30 @@ def radar_in_terminal_area(filtered: DataFrame, stg_radar: DataFrame,
         radar = radar.where(F.col("radar_timestamp").between(
             F.lit(bounds.first_time.isoformat(sep=" ")).cast("timestamp_ntz"),
             F.lit(bounds.last_time.isoformat(sep=" ")).cast("timestamp_ntz")))
+    flights = flights.select(
+        "flight_id", "flight_date", F.col("id").alias("flight_key"), "aircraft_type",
+        F.col("entry_time").alias("c_time"), F.col("landing_time").alias("aldt"))
+    # one row per flight (short windows across midnight: one per day)
+    flight_bound = None if bounds is None else bounds.flights
+    inside = (F.col("radar_timestamp") >= F.col("c_time")) & (F.col("radar_timestamp") <= F.col("aldt"))
     if rules.cross_midnight:
-        first_day = F.least(F.col("entry_time").cast("date"), F.col("flight_date"))
-        side = flights.select(
-            "flight_id", "aircraft_type", F.col("id").alias("flight_key"),
-            F.col("entry_time").alias("c_time"), F.col("landing_time").alias("aldt"),
-            F.explode(F.sequence(first_day, F.col("flight_date"))).alias("radar_date"))
+        days = F.datediff(F.col("aldt").cast("date"), F.col("c_time").cast("date")) + 1
+        short = days <= rules.window_days
+        side = flights.where(short).withColumn("radar_date", F.explode(F.sequence(
+            F.col("c_time").cast("date"), F.col("aldt").cast("date"))))
+        side = broadcast_within(side, flight_bound and flight_bound * rules.window_days, rules.broadcast_max_rows)
+        joined = radar.join(side, ["flight_id", "radar_date"]).where(inside)
+        # a window of many days (a wrong entry date, say) is one row, met by callsign
+        long = broadcast_within(flights.where(~short), flight_bound, rules.broadcast_max_rows)
+        joined = joined.select(*POINT).unionByName(radar.join(long, "flight_id").where(inside).select(*POINT))
     else:
-        side = flights.select(
-            "flight_id", F.col("flight_date").alias("radar_date"), "aircraft_type",
-            F.col("entry_time").alias("c_time"), F.col("landing_time").alias("aldt"))
-    # one row per flight (several when crossing midnight: then it is counted)
-    bound = None if (bounds is None or rules.cross_midnight) else bounds.flights
-    side = broadcast_within(side, bound, rules.broadcast_max_rows)
-    joined = radar.join(side, ["flight_id", "radar_date"]).where(
-        (F.col("radar_timestamp") >= F.col("c_time"))
-        & (F.col("radar_timestamp") <= F.col("aldt")))
-    key = (F.col("flight_key") if rules.cross_midnight
-           else F.concat(F.col("radar_date").cast("string"), F.col("flight_id")))
-    first = (
-        joined
-        .select(key.alias("id"), F.col("flight_level").alias("fl"),
-                F.struct(F.col("radar_timestamp").alias("dt_radar"),
-                         F.col("aircraft_speed").alias("nr_speed"),
-                         "aircraft_type", "c_time", "aldt").alias("p"))
-        .groupBy("id", "fl")
-        .agg(F.min("p").alias("p"))
-    )
-    return first.select("id", "p.dt_radar", "p.nr_speed", "fl",
-                        "p.aircraft_type", "p.c_time", "p.aldt")
+        side = broadcast_within(flights.withColumnRenamed("flight_date", "radar_date"), flight_bound, rules.broadcast_max_rows)
+        joined = radar.join(side, ["flight_id", "radar_date"]).where(inside).select(*POINT)
+    # the flight's columns depend on its key; grouping by them keeps them fixed,
+    # and time and speed are one whole number, so the minimum has a fixed width
+    # and the hash aggregate can hold it
+    first = joined.groupBy("flight_key", F.col("flight_level").alias("fl"), "aircraft_type", "c_time", "aldt") \
+        .agg(F.min(packed_order(F.col("radar_timestamp"), F.col("aircraft_speed"))).alias("_first"))
+    dt_radar, speed = unpacked_order(F.col("_first"), joined.schema["aircraft_speed"].dataType)
+    return first.select(F.col("flight_key").alias("id"), dt_radar.alias("dt_radar"), speed.alias("nr_speed"), "fl",
+                        "aircraft_type", "c_time", "aldt")

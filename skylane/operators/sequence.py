@@ -4,10 +4,9 @@ that scale past one task per sequence.
 A plain ``lag`` or running ``sum`` over ``partitionBy(keys)`` puts each whole
 sequence into one task — and with no keys, the whole table.  Here the
 sequence is cut into segments (a time bin of the ordering column): the window
-runs per (keys, segment), and a small per-segment summary (one row per
-segment: last row, totals, first value) carries the state across segment
-boundaries.  The summary window is the only step that sees a whole sequence,
-and it holds one row per segment.
+runs per (keys, segment), and a small table of one row per segment (last row,
+totals, first value) carries the state across segment boundaries.  The window
+over that table is the only step that sees a whole sequence.
 """
 
 from __future__ import annotations
@@ -21,38 +20,42 @@ SEG = "_seg"
 
 def lag_in_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     segment: Column, cols: Sequence[str], prefix: str = "prev_",
-                    count_col: str | None = None) -> DataFrame:
+                    count_col: str | None = None, weight: str | None = None,
+                    mode: str = "table") -> DataFrame:
     """Add ``prefix + c`` = previous row's ``c`` in (keys, ascending ``order``).
 
-    ``count_col``: also add the number of rows of the row's keys (summed from
-    the per-segment row counts in the carry step, no extra aggregation).
+    ``count_col``: also add the number of rows of the row's keys, or the sum of
+    the column ``weight`` over them (from the boundary rows, no extra pass).
 
     ``keys`` must be non-NULL; ``order`` must be ascending and total within
     ``keys``; ``segment`` must be non-NULL and non-decreasing along ``order``.
-    The carry is joined on exactly (keys, _seg), the partitioning the window
-    already produced, so only the small carry table moves; the result stays
-    hash-partitioned by (keys, _seg) and a following window partitioned by
-    (keys, _seg, ...) needs no new shuffle.
+
+    The rows are exchanged once, by (keys, segment), and looked back within
+    their segment.  What crosses a segment's end is one boundary row per
+    segment: its last row and its total.  They are read from the written rows
+    (``mode`` as in ``materialize``), carried to the next segment of the keys
+    and joined to the rows on the partitioning that these have; a broadcast or
+    an exchange moves the boundary rows only.
     """
-    d = df.withColumn(SEG, segment)
+    from skylane.plans.strategy import materialize
+
     w = Window.partitionBy(*keys, SEG).orderBy(*[F.col(o).asc() for o in order])
-    local = d.select(
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = F.lead(F.lit(True)).over(w).isNull()
+    total = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
+    local = materialize(df.withColumn(SEG, segment).select(
         "*",
         F.row_number().over(w).alias("_pos"),
         *[F.lag(c).over(w).alias(f"_lag{i}") for i, c in enumerate(cols)],
-    )
-    # last row and row count of every segment: an aggregate combined map-side,
-    # so only ~one row per segment and task is shuffled (the window's exchange
-    # above carries the rows themselves)
-    last = d.groupBy(*keys, SEG).agg(
-        F.max(F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],
-                       *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])).alias("_last"),
-        F.count(F.lit(1)).alias("_seg_rows"))
+        F.when(last, total.over(whole)).alias("_total"),
+    ), mode, "sequence")
+    boundary = local.where(F.col("_total").isNotNull()).select(
+        *keys, SEG, F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)]).alias("_last"), "_total")
     ws = Window.partitionBy(*keys).orderBy(SEG)
-    extra = ([F.sum("_seg_rows").over(Window.partitionBy(*keys)).alias(count_col)]
+    extra = ([F.sum("_total").over(Window.partitionBy(*keys)).alias(count_col)]
              if count_col else [])
-    carry = last.select(*keys, SEG, F.lag("_last").over(ws).alias("_carry"), *extra)
-    out = local.join(carry, [*keys, SEG], "left")
+    carry = boundary.select(*keys, SEG, F.lag("_last").over(ws).alias("_carry"), *extra)
+    out = local.drop("_total").join(carry, [*keys, SEG], "left")
     for i, c in enumerate(cols):
         out = out.withColumn(
             prefix + c,

@@ -151,7 +151,7 @@ class ArrivalLayers:
     def _vertical_profile(self):
         return vertical_profile(
             self["radar_in_terminal_area"], self["fuel_chart_interpolated"], self.rules,
-            bounds=self.bounds, chart_rows=self.chart_rows)
+            bounds=self.bounds, chart_rows=self.chart_rows, mode=self.materialize)
 
     def _occupancy(self):
         return occupancy_intervals(self["radar_in_terminal_area"], self.rules, bounds=self.bounds)

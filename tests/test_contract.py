@@ -22,7 +22,12 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    """Of the analytics; the optional training-data queries are compared apart."""
+    from skylane.plans.contract import QUERIES
+    from skylane.plans.oracle import oracle_sql
+    assert set(QUERIES) == set(oracle_sql())
+    assert set(QUERIES) <= set(E.queries()) and set(oracle_sql()) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):

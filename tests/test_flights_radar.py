@@ -71,3 +71,45 @@ def test_cross_midnight(spark):  # T7
     both = radar_in_terminal_area(f, stage_radar(pts), RULES.with_(cross_midnight=True)).collect()
     assert sorted(r.dt_radar for r in both) == [T(2024, 1, 1, 23, 55), T(2024, 1, 2, 0, 5)]
     assert {r.id for r in both} == {"2024-01-02TAM1"}
+
+
+def test_window_of_many_years_is_one_row(spark):
+    """An entry dated 1900: the window is met by callsign, no day is listed, and
+    points of all its days and of ordinary windows are found."""
+    rows = [flight(c_time=T(1900, 1, 1), aldt=T(2024, 1, 2, 0, 10)),
+            flight(fltid="TAM2", c_time=T(2024, 1, 1, 23, 50), aldt=T(2024, 1, 2, 0, 10))]
+    f = _filtered(spark, rows)
+    pts = radar_df(spark, [radar("TAM1", 100.0, 250, T(2023, 6, 1, 1)), radar("TAM1", 100.0, 250, T(2023, 6, 1, 2)),
+                           radar("TAM1", 90.0, 250, T(2024, 1, 2, 0, 11)), radar("TAM2", 80.0, 1, T(2024, 1, 1, 23, 55)),
+                           radar("TAM2", 70.0, 1, T(2024, 1, 1, 23, 45))])
+    rules = RULES.with_(cross_midnight=True)
+    for limit in (1_000_000, -1):
+        out = radar_in_terminal_area(f, stage_radar(pts), rules.with_(broadcast_max_rows=limit))
+        assert sorted((r.id, float(r.fl), r.dt_radar) for r in out.collect()) == [
+            ("2024-01-02TAM1", 100.0, T(2023, 6, 1, 1)), ("2024-01-02TAM2", 80.0, T(2024, 1, 1, 23, 55))]
+    joined = out._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count("Generate explode") == 1
+
+
+def test_packed_order_of_time_and_speed(spark):
+    """The packed number sorts like (time, speed) and gives both back, for any
+    64-bit speed and times before 1970."""
+    from pyspark.sql import functions as F
+    from skylane.operators.radar import packed_order, unpacked_order
+    times = [T(1, 1, 1), T(1900, 3, 1), T(1969, 12, 31, 23, 59, 59, 999999), T(1970, 1, 1), T(2024, 5, 6, 7, 8, 9, 10), T(9999, 12, 31)]
+    speeds = [-(1 << 63), -5, 0, 250, (1 << 63) - 1]
+    df = spark.createDataFrame([(t, s) for t in times for s in speeds], "t timestamp_ntz, s bigint")
+    packed = df.withColumn("k", packed_order(F.col("t"), F.col("s")))
+    back = unpacked_order(F.col("k"), df.schema["s"].dataType)
+    rows = packed.select("t", "s", "k", back[0].alias("t2"), back[1].alias("s2")).collect()
+    assert all((r.t, r.s) == (r.t2, r.s2) for r in rows)
+    assert [(r.t, r.s) for r in sorted(rows, key=lambda r: r.k)] == sorted((r.t, r.s) for r in rows)
+
+
+def test_first_point_is_a_hash_aggregate(spark):
+    from skylane.plans.pipeline import build_layers
+    from skylane.sources.fixture import fixture_sources
+    for cross in (False, True):
+        layers = build_layers(fixture_sources(spark, "/root/testdata/sf0.001"), RULES.with_(cross_midnight=cross))
+        plan = layers.plan("radar_in_terminal_area")._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan

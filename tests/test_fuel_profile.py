@@ -112,7 +112,7 @@ def test_sequence_step_spreads_the_largest_flight(spark):
     tma = layers["radar_in_terminal_area"]
     top = tma.groupBy("id").count().orderBy(F.desc("count"), "id").first().id
     seq = lag_in_sequence(tma, ["id"], ["dt_radar", "fl"], time_bin(F.col("dt_radar"), "hour"),
-                          ["dt_radar", "fl"])
+                          ["dt_radar", "fl"], mode="none")  # one plan: the step's own placement
     # the planned hash placement; adaptive execution would merge or locally
     # re-read these tiny partitions
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -137,3 +137,41 @@ def test_duplicate_chart_rows_multiply_like_joins(spark):  # D2, D3, D4 join sem
     assert pts == [1.5, 1.6]
     prof = vertical_profile(tma, lv, ArrivalRules(min_points=1)).collect()
     assert sorted(round(r.fuel_flow, 6) for r in prof) == [1.5, 1.6]
+
+
+def test_many_rows_at_one_instant(spark):  # D4
+    """10,000 points of one instant: one row of flows there, 10,000 output rows
+    only in the profile, and the fuel total without them."""
+    from skylane.operators.consumption import flight_fuel, flight_fuel_of_steps
+    from skylane.operators.profile import instants_of_flights, steps_of_flights
+    lv = _levels(spark, CHART)
+    t0, t1, t2 = (T(2024, 1, 1, 10, m) for m in (0, 1, 2))
+    rows = [("f", t0, 200, 90.0, "X"), ("f", t2, 200, 80.0, "X")]
+    rows += [("f", t1, 200, 80 + k / 1000 * 3, "X") for k in range(10_000)]
+    tma = _tma(spark, rows).cache()
+    rules = ArrivalRules(min_points=10_002)
+    instants = {r.dt_radar: (r.points, len(r.flows)) for r in instants_of_flights(tma, lv, rules).collect()}
+    assert instants[t0] == (1, 1) and instants[t1][0] == 10_000 and 10_000 <= instants[t1][1] < 20_000
+    profile = vertical_profile(tma, lv, rules)
+    assert profile.count() == instants[t1][1] + instants[t2][1]
+    steps = steps_of_flights(tma, lv, rules)
+    assert steps.count() == 2
+    one, other = (f(x).collect()[0].consumption_kg for f, x in ((flight_fuel, profile), (flight_fuel_of_steps, steps)))
+    assert abs(one - other) < 1e-6 * one
+    assert vertical_profile(tma, lv, rules.with_(min_points=10_003)).count() == 0
+
+
+def test_points_are_exchanged_once(spark):  # W3
+    """The profile's plans: no window gathers flows, one exchange moves the rows
+    of points, and the boundary rows are read from the written instants."""
+    from skylane.operators.profile import instants_of_flights, steps_of_flights
+    lv = _levels(spark, CHART)
+    t0 = T(2024, 1, 1, 10, 0)
+    tma = _tma(spark, [("f", t0 + dt.timedelta(minutes=7 * k), 200, 80.0 + k, "X") for k in range(30)])
+    rules = ArrivalRules(min_points=1)
+    points = instants_of_flights(tma, lv, rules, chart_rows=len(CHART))._jdf.queryExecution().executedPlan().toString()
+    assert points.count("Exchange hashpartitioning(id") == 1 and "Window" not in points
+    steps = steps_of_flights(tma, lv, rules, chart_rows=len(CHART))
+    plan = steps._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "LocalTableScan" not in plan and "ExistingRDD" not in plan  # written rows only
+    assert steps.count() == 29
