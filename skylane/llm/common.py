@@ -30,14 +30,18 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop_tables(*tables: DataFrame) -> None:
-    """Remove tables of ``shared_table`` whose last reader has been written, and
-    let Spark's cleaner remove the shuffles of plans that nobody holds any more."""
+    """Remove tables of ``shared_table`` whose last reader has been written."""
     spark = tables[0].sparkSession
     for table in tables:
         path = spark._jvm.org.apache.hadoop.fs.Path(table._shared_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffles of plans that nobody holds any
+    more; else they stay until the driver happens to collect its garbage."""
     gc.collect()
-    spark._jvm.System.gc()
+    spark.sparkContext._jvm.System.gc()
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

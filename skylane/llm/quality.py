@@ -48,7 +48,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skylane.llm.common import broadcast_if_small, drop_tables, join_counted, shared_table
+from skylane.llm.common import broadcast_if_small, drop_tables, forget_shuffles, join_counted, shared_table
 
 ORDER = 4
 BITS = 6
@@ -414,6 +414,7 @@ def train_words(trusted: DataFrame, hot: int = HOT) -> WordModel:
     """The models of all texts of ``trusted``."""
     spelling = train(trusted)
     counted = shared_table(pair_counts(trusted, spelling), "word-pairs")
+    forget_shuffles(trusted.sparkSession)  # the counts are written
     pairs, models = counted.where("u IS NOT NULL"), range(MODELS)
     cut = discounted(pairs, [of_model(m) for m in models])
     contexts = pairs.groupBy(F.col("u").alias("w")).agg(
@@ -535,6 +536,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, mar
     """Per document row: doc_id, text_hash, lang, perplexity, threshold, kept."""
     good = broadcast_if_small(shared_table(trusted_ids(labels), "trusted"), BROADCAST_ROWS)
     model = train_words(docs.select("doc_id", "text").join(good, "doc_id", "left_semi"))
+    forget_shuffles(docs.sparkSession)  # the deltas are written
     read = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "lang", text_half().alias("_half"), "text") \
         .join(good.withColumn("_good", F.lit(True)), "doc_id", "left") \
         .select("doc_id", "text_hash", "lang", F.when(F.col("_good") & F.col("_half").isNotNull(), 1 - F.col("_half"))
