@@ -3,7 +3,7 @@
 ``spark-submit --py-files skylane.zip skylane/__main__.py ...``).
 
 Reads the three sources, builds every layer, writes the tables and the check
-reports under ``--out`` (full rebuild) and optionally exports the feature
+reports, published under ``--out`` (full rebuild), and optionally exports the feature
 table over JDBC.  Session settings (checkpoint folder, shuffle partitions)
 come from the cluster's Spark configuration.
 """
@@ -42,7 +42,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     p.add_argument("--jdbc-table", default="flight_consumption_ml_ready")
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-password-file", help="file with the password (an argument is visible to other users)")
-    p.add_argument("--fail-on-check", action="store_true")
+    p.add_argument("--fail-on-check", action="store_true",
+                   help="publish nothing when a check fails")
+    p.add_argument("--versioned", action="store_true",
+                   help="keep every run's tables, published by a marker file")
     a = p.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName("skylane").getOrCreate()
@@ -57,7 +60,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         password = Path(a.jdbc_password_file).read_text().strip() if a.jdbc_password_file else None
         props = {k: v for k, v in (("user", a.jdbc_user), ("password", password)) if v}
         jdbc = {"url": a.jdbc_url, "table": a.jdbc_table, "properties": props}
-    run_pipeline(sources, rules, a.out, jdbc=jdbc, fail_on_check=a.fail_on_check)
+    run_pipeline(sources, rules, a.out, jdbc=jdbc, fail_on_check=a.fail_on_check,
+                 versioned=a.versioned)
     release_tables(spark)
 
 

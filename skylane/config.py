@@ -54,6 +54,7 @@ class ArrivalRules:
       profile_unit: segment of the per-flight sequence step ("hour"...).
       interval_unit: bin of the point-in-interval join.
       moving_avg_unit: partition bin of the moving average.
+      rows_per_file: target size of the files of a day of radar points.
       window_days: terminal-area windows of at most so many days are matched
         to points by day, longer ones by callsign (with ``cross_midnight``).
     """
@@ -80,6 +81,7 @@ class ArrivalRules:
     profile_unit: str = "hour"
     interval_unit: str = "hour"
     moving_avg_unit: str = "day"
+    rows_per_file: int = 5_000_000
     window_days: int = 3
 
     def with_(self, **kw) -> "ArrivalRules":

@@ -91,6 +91,15 @@ def _failed(check: ColumnCheck) -> Column:
     return F.sum(F.when(bad, 1).otherwise(0))
 
 
+def observable_checks(table: str, checks: Iterable[ColumnCheck] | None = None
+                      ) -> dict[ColumnCheck, Column]:
+    """The table's checks that the tasks writing it can count (all kinds but
+    ``unique``, which needs the values of all tasks together)."""
+    checks = REFERENCE_CHECKS if checks is None else checks
+    return {c: F.coalesce(_failed(c).cast("bigint"), F.lit(0).cast("bigint"))
+            for c in checks if c.table == table and c.kind != "unique"}
+
+
 def run_checks(tables: Mapping[str, DataFrame],
                checks: Iterable[ColumnCheck] = REFERENCE_CHECKS) -> DataFrame:
     """Evaluate column checks on the named tables (one aggregate per table)."""

@@ -32,9 +32,10 @@ from skylane.operators import (
     stage_radar, transit_metrics, vertical_profile,
 )
 from skylane.operators.quality import (
-    REFERENCE_CHECKS, custom_report, non_empty, orphan_keys, run_checks,
+    REFERENCE_CHECKS, custom_report, non_empty, observable_checks, orphan_keys, run_checks,
 )
 from skylane.plans.strategy import FlightBounds, materialize
+from skylane.sources.published import Swap, Versions
 from skylane.sources.readers import Sources
 from skylane.sources.sinks import export_jdbc, write_table
 
@@ -57,15 +58,18 @@ class ArrivalLayers:
     )
 
     def __init__(self, sources: Sources, rules: ArrivalRules, materialize: str = "table",
-                 table_dir: str | None = None):
+                 store: Versions | Swap | None = None, fail_on_check: bool = False):
         self.sources = sources
         self.rules = rules
         self.materialize = materialize
-        self.table_dir = table_dir      # shared layers written here as final tables
-        self.written: set[str] = set()  # layers already stored under table_dir
+        self.store = store              # shared layers are written here as output tables
+        self.fail_on_check = fail_on_check
+        self.results: list[tuple] = []  # (table or None, column, check, failed rows)
+        self.written: dict[str, int | None] = {}  # stored tables and their rows
         self._memo: dict[str, DataFrame] = {}
         self._bounds: FlightBounds | None = None
         self._chart_rows: int | None = None
+        self._day_parts: int | None = None
 
     @property
     def chart_rows(self) -> int:
@@ -95,16 +99,84 @@ class ArrivalLayers:
             df = self.plan(name)
             if name not in self.SHARED:
                 self._memo[name] = df
-            elif self.table_dir and self.materialize == "table" and name in OUTPUTS and not any(
-                    isinstance(f.dataType, DayTimeIntervalType) for f in df.schema.fields):
-                parts, order = OUTPUTS[name]
-                self._memo[name] = materialize(df, "table", name, f"{self.table_dir}/{name}",
-                                               parts, order)
-                self.written.add(name)
+            elif self.store and name in OUTPUTS and not has_interval(df):
+                self._memo[name] = self.write(name, df)
             else:
                 self._memo[name] = materialize(df, self.materialize, name)
         return self._memo[name]
 
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Stage an output table and check it in the same pass, before anything
+        reads it; returns the staged rows."""
+        partition_by, order = OUTPUTS[name]
+        day = DAY_PARTITIONED.get(name)
+        stored = storable(df)
+        if day:
+            stored = stored.withColumn(DAY, F.to_date(day))
+            partition_by = [DAY]
+        checks = observable_checks(name)
+        path = self.store.staged(name)
+        got = write_table(stored, path, partition_by, sort_by=order,
+                          parts=self.day_parts if day else None,
+                          metrics={f"_c{i}": m for i, m in enumerate(checks.values())}
+                          | {"_rows": F.count(F.lit(1))})
+        back = self._read(path, stored.drop(DAY) if day else stored)
+        declared = [c for c in REFERENCE_CHECKS if c.table == name]
+        seen = {c: got[f"_c{i}"] for i, c in enumerate(checks)} if "_rows" in got else {}
+        self.written[name] = got.get("_rows")
+        self._record([(c.table, c.column, c.kind, seen[c]) for c in declared if c in seen])
+        rest = [c for c in declared if c not in seen]  # one aggregate over their columns
+        if rest:
+            self._record([tuple(r)[:4] for r in run_checks({name: back}, rest).collect()])
+        return back
+
+    def _read(self, path: str, like: DataFrame) -> DataFrame:
+        # in the original column order (partition columns come last)
+        return like.sparkSession.read.schema(like.schema).parquet(path).select(*like.columns)
+
+    def _record(self, results: list[tuple]) -> None:
+        self.results += results
+        failed = [r for r in results if r[-1]]
+        if failed and self.fail_on_check:
+            raise DataQualityError(f"{len(failed)} failing check(s): {failed}")
+
+    def check_views(self) -> None:
+        """The column checks of the layers that are not stored."""
+        checks = [c for c in REFERENCE_CHECKS if c.table not in OUTPUTS]
+        self._record([tuple(r)[:4] for r in run_checks(self, checks).collect()])
+
+    def check_keys(self, name: str) -> None:
+        """Every flight key of a stored table is in the flight dimension."""
+        self._record([(None, None, f"{check}_keys_in_dim",
+                       orphan_keys(self[table], self["dim_flight_identifiers"],
+                                   max_broadcast_rows=self.rules.broadcast_max_rows,
+                                   dim_bound=self.bounds.flights).first().failed_rows)
+                      for table, check in KEYED.items() if table == name])
+
+    def check_rows(self, name: str) -> None:
+        """The profile holds rows."""
+        if name == "vertical_profile":
+            n = self.written[name]
+            empty = self[name].isEmpty() if n is None else n == 0
+            self._record([(None, None, f"{name}_non_empty", int(empty))])
+
+    @property
+    def day_parts(self) -> int:
+        """Tasks that write one day of radar points, from the flights of the
+        fullest day.  An estimate: it decides the number of files only."""
+        if self._day_parts is None:
+            peak = self["flights_filtered"].groupBy("flight_date").count().agg(F.max("count")).first()[0]
+            self._day_parts = 1 + (peak or 0) * POINTS_PER_FLIGHT // self.rules.rows_per_file
+        return self._day_parts
+
+    def published(self) -> None:
+        """Put the staged tables in force and read them from their place."""
+        self.store.publish([*self.written, "dq_columns", "dq_custom"])
+        for name in self.written:
+            df = self._memo.get(name)
+            if df is not None and not has_interval(df):
+                self._memo[name] = self._read(self.store.location(name), df)
+
     def register_views(self, names=None, prefix: str = "") -> list[str]:
         """Register layers as temporary views for ad-hoc ``spark.sql`` queries
         (built lazily; nothing runs until a query reads a view)."""
@@ -207,47 +279,78 @@ def storable(df: DataFrame) -> DataFrame:
         for f in df.schema.fields])
 
 
+def has_interval(df: DataFrame) -> bool:
+    return any(isinstance(f.dataType, DayTimeIntervalType) for f in df.schema.fields)
+
+
 # Tables written by run_pipeline: (partition columns, sort columns).
 OUTPUTS = {
     "flights_filtered": (["flight_date"], None),
-    "radar_in_terminal_area": (None, None),
+    "dim_flight_identifiers": (["date"], None),
+    "dim_flight_operational_attributes": (None, None),
+    "fct_flight_transit_metrics": (None, None),
     "fuel_chart_interpolated": (None, None),
+    "radar_in_terminal_area": (None, None),
     "fuel_at_points": (None, None),
     "vertical_profile": (None, None),
     "occupancy": (None, ["dt_valid_from"]),
-    "dim_flight_identifiers": (["date"], None),
-    "dim_flight_operational_attributes": (None, None),
-    "fct_flight_transit_metrics": (None, None),
     "flight_consumption": (["date"], None),
     "ml_features": (["date"], None),
 }
 
+# The largest tables, stored by the day of this instant in a further column.
+DAY = "radar_date"
+DAY_PARTITIONED = {"radar_in_terminal_area": "dt_radar", "fuel_at_points": "dt_radar",
+                   "vertical_profile": "dt_radar"}
+POINTS_PER_FLIGHT = 500
+
+# Tables whose flight keys must be in the dimension, and the check's name.
+KEYED = {"fct_flight_transit_metrics": "transit_metrics", "vertical_profile": "vertical_profile"}
 
-def run_pipeline(sources: Sources, rules: ArrivalRules, out_dir: str,
-                 jdbc: dict | None = None, fail_on_check: bool = False) -> ArrivalLayers:
-    """Build every layer, write it under ``out_dir/<name>`` (full rebuild),
-    write the check results to ``dq_columns`` and ``dq_custom`` and, if
+
+def run_pipeline(sources: Sources, rules: ArrivalRules, out_dir: str, jdbc: dict | None = None,
+                 fail_on_check: bool = False, versioned: bool = False) -> ArrivalLayers:
+    """Build every layer, write and check it aside, then publish all tables
+    together with the check results ``dq_columns`` and ``dq_custom`` and, if
     ``jdbc`` = {url, table, properties} is given, export the features.
 
-    With ``fail_on_check`` a failing check raises ``DataQualityError`` before
-    the export (the check rows are small: one per declared check).
+    Checks are counted by the tasks that write a table; only uniqueness and
+    flight keys read a written column again.  With ``fail_on_check`` the first
+    table with a failing check raises ``DataQualityError`` before its consumers
+    are built: nothing is published or exported, the previous tables stand.
+
+    By default the tables lie in ``out_dir/<name>`` (replaced by renames); with
+    ``versioned`` every run keeps its own folder and one marker file publishes
+    it (``sources.published``: ``read_published``, ``Versions.vacuum``).
     """
-    layers = ArrivalLayers(sources, rules, materialize="table", table_dir=out_dir)
-    for name, (parts, order) in OUTPUTS.items():
-        df = layers[name]  # shared layers are written here once, as the output itself
-        if name not in layers.written:
-            write_table(storable(df), f"{out_dir}/{name}", parts, sort_by=order)
-    columns, custom = quality_report(layers)
-    write_table(columns, f"{out_dir}/dq_columns")
-    write_table(custom, f"{out_dir}/dq_custom")
-    if fail_on_check:
-        spark = layers["flights_filtered"].sparkSession
-        failed = [tuple(r) for r in spark.read.parquet(f"{out_dir}/dq_columns")
-                  .where("NOT passed").collect()]
-        failed += [tuple(r) for r in spark.read.parquet(f"{out_dir}/dq_custom")
-                   .where("NOT passed").collect()]
-        if failed:
-            raise DataQualityError(f"{len(failed)} failing check(s): {failed}")
+    spark = sources.flights.sparkSession
+    store = (Versions if versioned else Swap)(spark, out_dir)
+    store.begin()
+    layers = ArrivalLayers(sources, rules, store=store, fail_on_check=fail_on_check)
+    try:
+        layers.check_views()
+        for name in OUTPUTS:
+            df = layers[name]  # shared layers are written here once, as the output itself
+            if name not in layers.written:
+                back = layers.write(name, df)
+                if not has_interval(df):
+                    layers._memo[name] = back
+            layers.check_keys(name)
+            layers.check_rows(name)
+    finally:  # a failed run leaves its report in its own folder
+        _write_reports(spark, layers)
+    layers.published()
     if jdbc:
         export_jdbc(layers["ml_features"], jdbc["url"], jdbc["table"], jdbc.get("properties"))
     return layers
+
+
+def _write_reports(spark, layers: ArrivalLayers) -> None:
+    """The check results so far (one small row per declared check)."""
+    columns = [(*r, r[3] == 0) for r in layers.results if r[0] is not None]
+    custom = [(r[2], r[3], r[3] == 0) for r in layers.results if r[0] is None]
+    write_table(spark.createDataFrame(columns, "table_name string, column_name string, "
+                                      "check_name string, failed_rows bigint, passed boolean").coalesce(1),
+                layers.store.staged("dq_columns"))
+    write_table(spark.createDataFrame(custom, "check_name string, failed_rows bigint, passed boolean")
+                .coalesce(1), layers.store.staged("dq_custom"))

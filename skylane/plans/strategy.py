@@ -114,9 +114,7 @@ def release_tables(spark: SparkSession) -> int:
     return len(paths)
 
 
-def materialize(df: DataFrame, mode: str = "table", name: str = "layer",
-                path: str | None = None, partition_by: list[str] | None = None,
-                sort_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, mode: str = "table", name: str = "layer") -> DataFrame:
     """Compute ``df`` once for several consumers.
 
     ``table``: write it as Parquet under the shared checkpoint folder and read
@@ -127,19 +125,14 @@ def materialize(df: DataFrame, mode: str = "table", name: str = "layer",
     files instead of recomputing the upstream joins.  ``cache``: keep it in
     executor memory/disk (``MEMORY_AND_DISK``) for one session; lost blocks are
     recomputed from lineage.  ``none``: return ``df`` unchanged.
-
-    With ``path`` (table mode) the table is written there instead — e.g. as a
-    pipeline output, with ``partition_by``/``sort_by`` — so it is written once.
     """
     if mode == "table":
         if any(isinstance(f.dataType, DayTimeIntervalType) for f in df.schema.fields):
             return materialize(df, "checkpoint")
         from skylane.sources.sinks import write_table
-        if path is None:
-            path = new_table_path(df.sparkSession, name)
-        write_table(df, path, partition_by, sort_by=sort_by)
-        # read back in the original column order (partition columns come last)
-        return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+        path = new_table_path(df.sparkSession, name)
+        write_table(df, path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)

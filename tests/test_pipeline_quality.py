@@ -189,3 +189,71 @@ def test_command_line_run(spark):
     want = run_pipeline(src, ArrivalRules(min_points=3),
                         tempfile.mkdtemp(prefix="skylane-out-"))["ml_features"].count()
     assert spark.read.parquet(os.path.join(out, "ml_features")).count() == want > 0
+
+
+def _failing(spark):
+    """Sources whose flights break a check of a written table (a NULL transit)."""
+    s = _sources(spark)
+    bad = flights_df(spark, [flight(fltid="TAM3", transito=None, c_time=T(2024, 1, 1, 12),
+                                    aldt=T(2024, 1, 1, 13))])
+    return Sources(s.flights.unionByName(bad), s.radar, s.chart)
+
+
+def _passing(spark):
+    flights = [flight(c_time=T(2024, 1, 1, 14), aldt=T(2024, 1, 1, 15))]
+    return Sources(flights_df(spark, flights), _sources(spark).radar, _sources(spark).chart)
+
+
+def test_failing_check_leaves_the_published_tables(spark):  # write, audit, publish
+    import pytest
+    from skylane.plans.pipeline import OUTPUTS, DataQualityError
+    from skylane.sources import Versions, read_published
+    rules = ArrivalRules(min_points=1)
+    for versioned in (False, True):
+        out = tempfile.mkdtemp(prefix="skylane-out-")
+        run_pipeline(_passing(spark), rules, out, versioned=versioned)
+        read = (lambda t: read_published(spark, out, t)) if versioned else (
+            lambda t: spark.read.parquet(os.path.join(out, t)))
+        before = {t: sorted(map(str, read(t).collect())) for t in OUTPUTS}
+        with pytest.raises(DataQualityError, match="flights_filtered"):
+            run_pipeline(_failing(spark), rules, out, fail_on_check=True, versioned=versioned)
+        assert {t: sorted(map(str, read(t).collect())) for t in OUTPUTS} == before
+    assert len(Versions(spark, out).all()) == 2 and len(Versions(spark, out).published()) == 1
+
+
+def test_killed_run_leaves_the_published_version(spark, monkeypatch):
+    import pytest
+    from skylane.plans import pipeline
+    from skylane.sources import read_published
+    out = tempfile.mkdtemp(prefix="skylane-out-")
+    rules = ArrivalRules(min_points=1)
+    run_pipeline(_passing(spark), rules, out, versioned=True)
+    n = read_published(spark, out, "ml_features").count()
+    monkeypatch.setattr(pipeline, "ml_features", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_pipeline(_sources(spark), rules, out, versioned=True)
+    assert read_published(spark, out, "ml_features").count() == n == 1
+    assert read_published(spark, out, "dim_flight_identifiers").count() == 1
+
+
+def test_checks_of_the_write_equal_the_report(spark):
+    from skylane.plans.pipeline import quality_report
+    src, rules = fixture_sources(spark, "/root/testdata/sf0.001"), ArrivalRules(min_points=3)
+    out = tempfile.mkdtemp(prefix="skylane-out-")
+    run_pipeline(src, rules, out)
+    for name, want in zip(("dq_columns", "dq_custom"), quality_report(build_layers(src, rules))):
+        got = spark.read.parquet(os.path.join(out, name))
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_large_tables_are_stored_by_day(spark):
+    out = tempfile.mkdtemp(prefix="skylane-out-")
+    layers = run_pipeline(fixture_sources(spark, "/root/testdata/sf0.001"),
+                          ArrivalRules(min_points=3), out)
+    for name in ("radar_in_terminal_area", "fuel_at_points", "vertical_profile"):
+        table = spark.read.parquet(os.path.join(out, name))
+        assert table.where(F.col("radar_date") != F.to_date("dt_radar")).isEmpty()
+        day = table.first().radar_date
+        plan = _plan(table.where(F.col("radar_date") == F.lit(day)))
+        assert "PartitionFilters: [isnotnull(radar_date" in plan
+        assert "radar_date" not in layers[name].columns
