@@ -8,21 +8,20 @@ components are the groups of copies.
    128-bit hash of the whole set.  Documents of equal sets form a class; from
    here on a class is one row, so exact copies cost nothing further.
 2. Forest: each tree sorts the classes by its own ``DEPTH`` values (a range
-   partition, so a crowded region spreads over tasks).  Neighbours in that
-   order with a common prefix of at least ``MIN_PREFIX`` values are candidates,
-   up to ``NEAR`` places away, unless one bit of each MinHash value rules a
-   link out (more than five standard deviations below the threshold; a class
-   carries these bits along as two numbers).
-3. Each class is confirmed against the candidate that most trees name, on the
-   full sets; confirmed links give first components.  Then the candidates
-   across components are confirmed, unless their whole MinHash values rule a
-   link out, in the same way.
-4. Regions with more than ``NEAR`` classes that are not yet one component: there
-   a link may lie further away than any neighbour.  All their classes go
-   through an exact prefix filter (the depth of comparison adapts to the
-   region: neighbours where it is sparse, whole sets where it is crowded), so
-   no place in a crowd is lost, and a crowd of copies, one component already,
-   costs nothing.
+   partition, so a crowded region spreads over tasks).  The next ``NEXT`` rows
+   in that order with a common prefix of at least ``MIN_PREFIX`` values are
+   neighbours, unless one bit of each MinHash value rules a link out (more than
+   five standard deviations below the threshold; a class carries these bits
+   along as two numbers).  Each class is confirmed on the full sets against the
+   smaller and the larger neighbour that most trees name; confirmed links give
+   first components.
+3. Regions (a tree's classes of one prefix) that are not one component yet are
+   opened.  Up to ``NEAR`` classes meet whole, across components, unless their
+   MinHash values rule a link out.  All classes of larger regions go through an
+   exact prefix filter over the shingles that several components hold.  So the
+   depth of comparison adapts to the region, and neither the place in a crowd
+   nor the number of partitions decides what is found; a crowd of copies, one
+   component already, costs nothing.
 
 At the threshold 0.85 a pair shares a prefix in none of the 16 trees with
 probability 8e-6; at 0.9 with 4e-8.
@@ -41,15 +40,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from skylane.llm.common import broadcast_if_small, components, shared_table
 
 TREES, DEPTH = 16, 8
-MIN_PREFIX, NEAR = 4, 8
-#: Members of a star that one task compares, and buckets of shingle counts.
+#: Values that a tree's rows must share to be a region, the next rows that the
+#: first round compares, and the size up to which a region is compared whole.
+MIN_PREFIX, NEXT, NEAR = 4, 2, 8
+#: Members of a star that one task compares.
 STAR = 2000
-BUCKET_BITS = 18
 BROADCAST_ROWS = 1_000_000
 
 _U = np.uint64
@@ -138,9 +138,10 @@ def forest(classes: DataFrame) -> DataFrame:
                 "bits_a", "bits_b")
 
 
-def candidates(trees: DataFrame, threshold: int) -> DataFrame:
-    """(a, b, trees): neighbours in the trees' orders, a < b, with the number of
-    times that a tree brings them together."""
+def neighbours(trees: DataFrame, threshold: int) -> DataFrame:
+    """(a, b, trees): the next rows in the trees' orders, a < b, with the number
+    of times that a tree brings them together.  Ends of range partitions do not
+    meet here; ``region_pairs`` and ``crowded_pairs`` do not depend on them."""
     differing = most_differing(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +155,7 @@ def candidates(trees: DataFrame, threshold: int) -> DataFrame:
             fresh = len(kept) if kept is not None else 0
             rows = np.concatenate([kept, rows]) if fresh else rows
             pairs = []
-            for step in range(1, min(NEAR, len(rows) - 1) + 1):
+            for step in range(1, min(NEXT, len(rows) - 1) + 1):
                 x, y = rows[:-step], rows[step:]
                 near = (x[:, :-4] == y[:, :-4]).all(axis=1)
                 near &= 100 * np.minimum(x[:, -3], y[:, -3]) >= threshold * np.maximum(x[:, -3], y[:, -3])
@@ -162,11 +163,19 @@ def candidates(trees: DataFrame, threshold: int) -> DataFrame:
                 x, y = x[near], y[near]
                 near = np.bitwise_count((x[:, -2:] ^ y[:, -2:]).view(np.uint64)).sum(axis=1, dtype=np.int64) <= differing
                 pairs.append(np.sort(np.column_stack([x[near, -4], y[near, -4]]), axis=1))
-            kept = rows[-NEAR:]
+            kept = rows[-NEXT:]
             found = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
             yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
     ordered = trees.repartitionByRange("tree", "key", "id").sortWithinPartitions("tree", "key", "id")
-    return ordered.mapInArrow(run, "a long, b long").groupBy("a", "b").agg(F.count("*").alias("trees"))
+    return ordered.mapInArrow(run, "a long, b long").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("trees"))
+
+
+def best_pairs(pairs: DataFrame) -> DataFrame:
+    """(a, b): each class with its best smaller and its best larger neighbour,
+    so that a crowd of copies hangs together after one round."""
+    smaller = pairs.groupBy("b").agg(F.max_by("a", F.struct("trees", -F.col("a"))).alias("a"))
+    larger = pairs.groupBy("a").agg(F.max_by("b", F.struct("trees", -F.col("b"))).alias("b"))
+    return smaller.select("a", "b").unionByName(larger.select("a", "b")).distinct()
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, width: int, threshold: int) -> DataFrame:
@@ -228,78 +237,81 @@ def possible(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
         .select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components so far."""
-    labels = broadcast_if_small(labels, BROADCAST_ROWS)
-
-    def of(side: str) -> DataFrame:
-        return labels.select(F.col("id").alias(side), F.col("component").alias(f"c{side}"))
-    named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return named.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-
-def crowded_ids(trees: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id): the classes in regions of more than NEAR classes that are not one
-    component."""
+def open_regions(trees: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(region, id, component, ...) of all classes, and (region, size) of the
+    regions (a tree's rows of one prefix) that are not one component."""
     rows = trees.join(broadcast_if_small(labels, BROADCAST_ROWS), "id", "left").select(
-        "id", F.coalesce("component", "id").alias("component"),
+        "id", "n", "bits_a", "bits_b", F.coalesce("component", "id").alias("component"),
         F.xxhash64("tree", F.expr(f"substring(key, 1, {4 * MIN_PREFIX})")).alias("region"))
-    mixed = shared_table(rows.groupBy("region").agg(
-        F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where((F.col("size") > NEAR) & (F.col("lo") != F.col("hi"))).select("region"), "regions")
-    if mixed.isEmpty():
-        return mixed.select(F.col("region").alias("id"))
-    return shared_table(rows.join(broadcast_if_small(mixed, BROADCAST_ROWS), "region", "left_semi")
-                        .select("id").distinct(), "crowded")
+    mixed = rows.groupBy("region").agg(
+        F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")) \
+        .where(F.col("lo") != F.col("hi")).select("region", "size")
+    return rows, shared_table(mixed, "regions")
+
+
+def region_pairs(rows: DataFrame, mixed: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): the pairs across components in open regions of at most NEAR
+    classes, but those whose sizes or bits rule a link out."""
+    small = broadcast_if_small(mixed.where(F.col("size") <= NEAR).select("region"), BROADCAST_ROWS)
+    members = rows.join(small, "region").groupBy("region").agg(  # at most NEAR
+        F.collect_list(F.struct("id", "component", "n", "bits_a", "bits_b")).alias("members"))
+    differing = most_differing(threshold)
+
+    def linked(x, y):
+        bits = F.bit_count(x["bits_a"].bitwiseXOR(y["bits_a"])) + F.bit_count(x["bits_b"].bitwiseXOR(y["bits_b"]))
+        return ((x["id"] < y["id"]) & (x["component"] != y["component"]) & (bits <= differing)
+                & (100 * F.least(x["n"], y["n"]) >= threshold * F.greatest(x["n"], y["n"])))
+    return members.select("members", F.explode("members").alias("x")) \
+        .select(F.col("x.id").alias("a"), F.explode(F.filter("members", lambda y: linked(F.col("x"), y))).alias("y")) \
+        .select("a", F.col("y.id").alias("b")).distinct()
 
 
 def crowded_pairs(docs: DataFrame, crowd: DataFrame, labels: DataFrame, width: int, threshold: int) -> DataFrame:
     """(a, b): by an exact prefix filter, all pairs of the crowd that may be
     linked across components.
 
-    The shingles are put in one order, those of crowded buckets (of 2**18 by
-    hash, counted over the crowd) last.  Sets of similarity t share one of the
-    first ``n - ceil(t * n) + 1`` shingles of both.  A copy that differs from
-    the others in more than that has only its own shingles there, and meets
-    nobody, however large the crowd."""
+    Only shingles that stand in several components can be common to such a
+    pair, and a set of n shingles has to share at least t * n: sets with fewer
+    of them are out.  The others put theirs in one order, rarest first by exact
+    counts; two linked sets share one of their first ``s - ceil(t * n) + 1``,
+    and at the first common one both still have enough left."""
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text") \
         .join(broadcast_if_small(crowd, BROADCAST_ROWS), "id", "left_semi")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BUCKET_BITS, np.int64)
-        for batch in batches:
-            for text in batch["text"]:
-                np.add.at(total, (shingles(text.as_py(), width) >> _U(64 - BUCKET_BITS)).astype(np.int64), 1)
-        held = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(held), pa.array(total[held])], ["bucket", "n"])
-    counts = texts.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    load = np.zeros(1 << BUCKET_BITS, np.int64)  # at most 2**BUCKET_BITS rows come to the driver
-    load[counts["bucket"].to_numpy()] = counts["n"].to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(load)
-
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, tokens = [], [], []
-            for id_, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist()):
-                items = shingles(text, width)
-                order = np.argsort(shared.value[(items >> _U(64 - BUCKET_BITS)).astype(np.int64)], kind="stable")
-                first = items[order[:len(items) - (threshold * len(items) + 99) // 100 + 1]]
-                tokens.append(first.view(np.int64))
-                ids += [id_] * len(first)
-                sizes += [len(items)] * len(first)
-            yield pa.record_batch([pa.array(np.concatenate(tokens) if tokens else [], pa.int64()), pa.array(ids, pa.int64()),
-                                   pa.array(sizes, pa.int64())], ["token", "id", "n"])
-    rows = texts.mapInArrow(prefixes, "token long, id long, n long") \
-        .join(broadcast_if_small(labels, BROADCAST_ROWS), "id", "left") \
-        .select("token", "id", "n", F.coalesce("component", "id").alias("component"))
+            lo, texts = 0, batch["text"].to_pylist()
+            while lo < len(texts):  # a bounded piece at a time
+                sets, ids = [], []
+                while lo < len(texts) and (not sets or sum(map(len, sets)) < 1 << 18):
+                    sets.append(shingles(texts[lo], width))
+                    ids.append(batch["id"][lo].as_py())
+                    lo += 1
+                sizes = [len(x) for x in sets]
+                whole = [xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) for x in sets]
+                yield pa.record_batch([
+                    pa.array(np.concatenate(sets).view(np.int64)), pa.array(np.repeat(np.array(ids, np.int64), sizes)),
+                    pa.array(np.repeat(np.array(whole, np.int64), sizes)),
+                    pa.array(np.repeat(np.array(sizes, np.int64), sizes))], ["token", "id", "whole", "n"])
+    held = shared_table(texts.mapInArrow(items, "token long, id long, whole long, n long")
+                        .join(broadcast_if_small(labels, BROADCAST_ROWS), "id", "left")
+                        .select("token", "id", "whole", "n", F.coalesce("component", "id").alias("component")), "crowd-items")
+    tokens = held.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
+        F.sum("n").alias("holders"), F.count("*").alias("components"),
+        F.max_by("component", F.struct("n", "component")).alias("main")) \
+        .where("components > 1").select("token", "holders", "main")
+    by_set = Window.partitionBy("id", "whole")
+    needed = F.ceil(F.col("n") * threshold / F.lit(100.0) - 1e-9)
+    rows = held.join(tokens, "token") \
+        .withColumn("s", F.count("*").over(by_set)).where(F.col("s") >= needed) \
+        .withColumn("place", F.row_number().over(by_set.orderBy("holders", "token"))) \
+        .where(F.col("place") <= F.col("s") - needed + 1) \
+        .select("token", "id", "n", "component", "main", (F.col("s") - F.col("place") + 1).alias("left"))
     rows = shared_table(rows, "prefixes")
-    tokens = rows.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
-        F.count("*").alias("components"), F.max_by("component", F.struct("n", "component")).alias("main")) \
-        .where("components > 1").select("token", "main")
-    mixed = shared_table(rows.join(tokens, "token"), "mixed-prefixes")
-    x, y = mixed.where("component <> main").alias("x"), mixed.alias("y")
+    x, y = rows.where("component <> main").alias("x"), rows.alias("y")
     return x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component"))
-                  & (100 * F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n"))) \
+                  & (100 * F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n"))
+                  & ((100 + threshold) * F.least("x.left", "y.left") >= threshold * (F.col("x.n") + F.col("y.n")))) \
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
@@ -312,20 +324,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> Dat
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bits_a").alias("bits_a"),
         F.first("bits_b").alias("bits_b"), F.first("sig").alias("sig")), "classes")
     trees = forest(classes)
-    pairs = shared_table(candidates(trees, threshold), "candidates")
     # one id may stand for several texts, hence for several classes
     same_id = known.join(classes.select("hash_a", "hash_b", "id"), ["hash_a", "hash_b"]) \
         .select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    best = pairs.where("a <> b").groupBy("b").agg(F.max_by("a", F.struct("trees", -F.col("a"))).alias("a"))
-    labels = components(confirmed(docs, best, width, threshold))
-    rest = across(pairs.select("a", "b"), labels)
-    crowd = crowded_ids(trees, labels)
-    if not crowd.isEmpty():  # these meet by the exact filter instead
-        few = broadcast_if_small(crowd, BROADCAST_ROWS)
-        inside = few.select(F.col("id").alias("a")).withColumn("_a", F.lit(True))
-        rest = rest.join(inside, "a", "left").join(inside.select(F.col("a").alias("b"), F.col("_a").alias("_b")), "b", "left") \
-            .where("_a IS NULL OR _b IS NULL").select("a", "b") \
-            .unionByName(crowded_pairs(docs, crowd, labels, width, threshold))
+    near = shared_table(neighbours(trees, threshold), "neighbours")
+    labels = components(confirmed(docs, best_pairs(near), width, threshold))
+    rows, mixed = open_regions(trees, labels)
+    rest = region_pairs(rows, mixed, threshold)
+    large = mixed.where(F.col("size") > NEAR).select("region")
+    if not large.isEmpty():  # these meet by the exact filter
+        crowd = shared_table(rows.join(broadcast_if_small(large, BROADCAST_ROWS), "region", "left_semi")
+                             .select("id").distinct(), "crowded")
+        rest = rest.unionByName(crowded_pairs(docs, crowd, labels, width, threshold)).distinct()
     rest = shared_table(rest, "untried")
     if not rest.isEmpty():
         labels = components(confirmed(docs, possible(rest, classes, threshold), width, threshold), labels)
@@ -337,7 +347,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> Dat
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
     """``docs`` (all its columns) with one document of each group of copies:
-    the one of the smallest id; of rows with that id, one."""
+    the one of the smallest id; of rows with that id, the one of the smallest
+    text (NULL last)."""
     found = near_duplicates(docs, width, threshold)
     gone = found.where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
     gone = broadcast_if_small(shared_table(gone, "copies"), BROADCAST_ROWS)
@@ -345,7 +356,9 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -
     repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     if repeated.isEmpty():
         return left
-    known = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    row = F.struct(*[F.col(f"`{c}`") for c in left.columns])
+    known = left.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min_by(row, F.struct(F.col("text").isNull(), "text")).alias("_row")).select("_row.*")
     return known.unionByName(left.where("doc_id IS NULL"))
 
 

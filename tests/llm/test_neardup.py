@@ -68,6 +68,42 @@ def test_against_brute_force(spark, monkeypatch, near):
     assert sorted(r.n_shingles for r in rows) == sorted(len(shingles(t, 3)) for _, t in docs)
 
 
+@pytest.mark.parametrize("partitions", [1, 211, 700])
+def test_links_do_not_hang_on_the_partitions(spark, partitions):
+    rng = random.Random(5)
+    docs = []
+    for i in range(20):  # pairs at a similarity of about 0.95, and as many single documents
+        w = [f"p{i}x{rng.randrange(10**6)}" for _ in range(200)]
+        docs += [(3 * i, " ".join(w)), (3 * i + 1, " ".join(w[:100] + ["other"] + w[101:])),
+                 (3 * i + 2, " ".join(f"s{rng.randrange(10**6)}" for _ in range(120)))]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        trees = neardup.forest(neardup.signatures(documents(spark, docs), 3).withColumnRenamed("doc_id", "id")
+                               .withColumnRenamed("n_shingles", "n"))
+        singles = documents(spark, []).selectExpr("doc_id AS id", "doc_id AS component")
+        rows, mixed = neardup.open_regions(trees, singles)
+        found = {(r.a, r.b) for r in neardup.region_pairs(rows, mixed, 85).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {(3 * i, 3 * i + 1) for i in range(20)} <= found
+
+
+def test_a_crowd_that_shares_a_passage_meets_by_its_own_shingles(spark):
+    rng = random.Random(8)
+    common = [f"c{i}" for i in range(100)]
+    docs = [(i, " ".join(common + [f"d{i}x{k}" for k in range(30)])) for i in range(300)]
+    docs += [(1000 + i, " ".join(common + [f"d{i}x{k}" for k in range(29)] + ["end"])) for i in range(0, 300, 9)]
+    rng.shuffle(docs)
+    crowd = spark.createDataFrame([(i,) for i, _ in docs], "id long")
+    singles = documents(spark, []).selectExpr("doc_id AS id", "doc_id AS component")
+    pairs = {(r.a, r.b) for r in neardup.crowded_pairs(documents(spark, docs), crowd, singles, 3, 85).collect()}
+    # each copy meets its text, and the common passage alone brings nobody together
+    assert pairs == {(i, 1000 + i) for i in range(0, 300, 9)}
+
+
 def test_drop_keeps_one_of_each_group(spark):
     docs = documents(spark, [(5, "a b c d e f g"), (3, "A b c  d e f g"), (9, "other text here"), (9, "other text here"),
                              (None, "a b c d e f g"), (11, None)])
@@ -76,6 +112,11 @@ def test_drop_keeps_one_of_each_group(spark):
     assert sorted((r.doc_id for r in left.collect()), key=str) == [11, 3, 9, None]
 
 
+def test_drop_keeps_the_smallest_text_of_an_id(spark):
+    docs = documents(spark, [(4, "zz yy xx ww vv uu"), (4, "aa bb cc dd ee ff"), (4, None)])
+    assert [(r.doc_id, r.text) for r in drop_near_duplicates(docs).collect()] == [(4, "aa bb cc dd ee ff")]
+
+
 def test_empty(spark):
     assert near_duplicates(documents(spark, [])).count() == 0
     assert drop_near_duplicates(documents(spark, [])).count() == 0
