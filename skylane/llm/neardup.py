@@ -249,17 +249,22 @@ def open_regions(trees: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFr
     return rows, shared_table(mixed, "regions")
 
 
+def bits_agree(x, y, threshold: int):
+    """Whether the bits of two classes (columns or structs) allow a link."""
+    return F.bit_count(x("bits_a").bitwiseXOR(y("bits_a"))) + F.bit_count(x("bits_b").bitwiseXOR(y("bits_b"))) \
+        <= most_differing(threshold)
+
+
 def region_pairs(rows: DataFrame, mixed: DataFrame, threshold: int) -> DataFrame:
     """(a, b): the pairs across components in open regions of at most NEAR
     classes, but those whose sizes or bits rule a link out."""
     small = broadcast_if_small(mixed.where(F.col("size") <= NEAR).select("region"), BROADCAST_ROWS)
     members = rows.join(small, "region").groupBy("region").agg(  # at most NEAR
         F.collect_list(F.struct("id", "component", "n", "bits_a", "bits_b")).alias("members"))
-    differing = most_differing(threshold)
 
     def linked(x, y):
-        bits = F.bit_count(x["bits_a"].bitwiseXOR(y["bits_a"])) + F.bit_count(x["bits_b"].bitwiseXOR(y["bits_b"]))
-        return ((x["id"] < y["id"]) & (x["component"] != y["component"]) & (bits <= differing)
+        return ((x["id"] < y["id"]) & (x["component"] != y["component"])
+                & bits_agree(x.getField, y.getField, threshold)
                 & (100 * F.least(x["n"], y["n"]) >= threshold * F.greatest(x["n"], y["n"])))
     return members.select("members", F.explode("members").alias("x")) \
         .select(F.col("x.id").alias("a"), F.explode(F.filter("members", lambda y: linked(F.col("x"), y))).alias("y")) \
@@ -267,8 +272,9 @@ def region_pairs(rows: DataFrame, mixed: DataFrame, threshold: int) -> DataFrame
 
 
 def crowded_pairs(docs: DataFrame, crowd: DataFrame, labels: DataFrame, width: int, threshold: int) -> DataFrame:
-    """(a, b): by an exact prefix filter, all pairs of the crowd that may be
-    linked across components.
+    """(a, b): by an exact prefix filter, all pairs of the crowd (id, bits_a,
+    bits_b) that may be linked across components, but those whose bits rule a
+    link out.
 
     Only shingles that stand in several components can be common to such a
     pair, and a set of n shingles has to share at least t * n: sets with fewer
@@ -276,7 +282,7 @@ def crowded_pairs(docs: DataFrame, crowd: DataFrame, labels: DataFrame, width: i
     counts; two linked sets share one of their first ``s - ceil(t * n) + 1``,
     and at the first common one both still have enough left."""
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text") \
-        .join(broadcast_if_small(crowd, BROADCAST_ROWS), "id", "left_semi")
+        .join(broadcast_if_small(crowd.select("id"), BROADCAST_ROWS), "id", "left_semi")
 
     def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -307,11 +313,12 @@ def crowded_pairs(docs: DataFrame, crowd: DataFrame, labels: DataFrame, width: i
         .withColumn("place", F.row_number().over(by_set.orderBy("holders", "token"))) \
         .where(F.col("place") <= F.col("s") - needed + 1) \
         .select("token", "id", "n", "component", "main", (F.col("s") - F.col("place") + 1).alias("left"))
-    rows = shared_table(rows, "prefixes")
+    rows = shared_table(rows.join(broadcast_if_small(crowd, BROADCAST_ROWS), "id"), "prefixes")
     x, y = rows.where("component <> main").alias("x"), rows.alias("y")
     return x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component"))
                   & (100 * F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n"))
-                  & ((100 + threshold) * F.least("x.left", "y.left") >= threshold * (F.col("x.n") + F.col("y.n")))) \
+                  & ((100 + threshold) * F.least("x.left", "y.left") >= threshold * (F.col("x.n") + F.col("y.n")))
+                  & bits_agree(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), threshold)) \
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
@@ -334,7 +341,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> Dat
     large = mixed.where(F.col("size") > NEAR).select("region")
     if not large.isEmpty():  # these meet by the exact filter
         crowd = shared_table(rows.join(broadcast_if_small(large, BROADCAST_ROWS), "region", "left_semi")
-                             .select("id").distinct(), "crowded")
+                             .select("id", "bits_a", "bits_b").distinct(), "crowded")
         rest = rest.unionByName(crowded_pairs(docs, crowd, labels, width, threshold)).distinct()
     rest = shared_table(rest, "untried")
     if not rest.isEmpty():

@@ -97,7 +97,7 @@ def test_a_crowd_that_shares_a_passage_meets_by_its_own_shingles(spark):
     docs = [(i, " ".join(common + [f"d{i}x{k}" for k in range(30)])) for i in range(300)]
     docs += [(1000 + i, " ".join(common + [f"d{i}x{k}" for k in range(29)] + ["end"])) for i in range(0, 300, 9)]
     rng.shuffle(docs)
-    crowd = spark.createDataFrame([(i,) for i, _ in docs], "id long")
+    crowd = neardup.signatures(documents(spark, docs), 3).selectExpr("doc_id AS id", "bits_a", "bits_b")
     singles = documents(spark, []).selectExpr("doc_id AS id", "doc_id AS component")
     pairs = {(r.a, r.b) for r in neardup.crowded_pairs(documents(spark, docs), crowd, singles, 3, 85).collect()}
     # each copy meets its text, and the common passage alone brings nobody together
