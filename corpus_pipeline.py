@@ -1,6 +1,14 @@
 """The corpus pipeline: documents pass through the stages in order; each stage
 works on all rows its predecessor kept, and each result is written as Parquet
-in the shared folder and read again."""
+in the shared folder and read again.
+
+Defined results: a NULL or empty text has no near copies, no repeats and no
+contamination, and packs as its end token; of rows of one id, near
+deduplication keeps that of the smallest text (rows without an id all pass it);
+of equal texts the smallest id stays; texts are read whole, however long;
+further columns are carried to the last stage; an empty table gives no rows.
+Whether a text without words is kept first is the quality classifier's rule.
+"""
 
 from __future__ import annotations
 
