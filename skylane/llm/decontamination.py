@@ -10,14 +10,15 @@ word, so no hash decides a result.
 
 Defined results: NULL or word-free texts have no words and no hits; NULL
 ``doc_id`` is a document of its own kind; each repeated row gets its own
-result row; benchmark rows with a NULL id or no words hold no window; an empty
+result row; very long texts are read whole, in time linear in their words and
+hits; ties cannot occur (sets and sums only); benchmark rows with a NULL id or no words hold no window; an empty
 benchmark hits nothing.  Only the named columns are read, so further columns
 (also ones named like the results) do not matter.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skylane.llm.common import (broadcast_if_small, let, normalised_words, sha256_hex,
                                 shared_table)
@@ -109,8 +110,9 @@ def _verified(source: DataFrame, found: DataFrame, windows: DataFrame, widths: l
                 F.split(normalised_words(F.col("text")), " ").alias("words"))
 
     def starts(at: Column, width: int, n: Column) -> Column:
+        # the windows whose first whole block this is, so no two blocks list one
         size = block_words(width)
-        first = F.greatest(F.lit(0), at["at"] * size + size - width)
+        first = F.greatest(F.lit(0), (at["at"] - 1) * size + 1)
         last = F.least(at["at"] * size, n - width)
         usable = (at["size"] == size) & (first <= last)
         return F.when(usable, F.transform(F.sequence(first, last), lambda s: F.struct(
@@ -119,32 +121,36 @@ def _verified(source: DataFrame, found: DataFrame, windows: DataFrame, widths: l
 
     def candidates(words: Column) -> Column:
         n = F.size(words)
-        all_starts = F.array_distinct(F.flatten(F.flatten(F.transform(
-            F.col("ats"), lambda at: F.array(*[starts(at, w, n) for w in widths])))))
+        all_starts = F.flatten(F.flatten(F.transform(
+            F.col("ats"), lambda at: F.array(*[starts(at, w, n) for w in widths]))))
         return F.transform(all_starts, lambda c: F.struct(
             c["start"].alias("start"), c["width"].alias("width"),
             F.array_join(F.slice(words, c["start"] + 1, c["width"]), " ").alias("gram")))
 
     tried = texts.select("doc_id", "text_hash", F.explode(let(F.col("words"), candidates)).alias("c")) \
         .select("doc_id", "text_hash", "c.start", "c.width", "c.gram")
-    hit = tried.join(broadcast_if_small(windows, broadcast_rows), ["gram", "width"])
-    per_doc = hit.groupBy("doc_id", "text_hash").agg(
-        F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("width")).alias("stop")))).alias("ranges"),
+    hit = shared_table(tried.join(broadcast_if_small(windows, broadcast_rows), ["gram", "width"]).select(
+        "doc_id", "text_hash", "start", (F.col("start") + F.col("width")).alias("stop"), "items"), "window-hits")
+    spans = merged_ranges(hit, ["doc_id", "text_hash"]).groupBy("doc_id", "text_hash").agg(
+        F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"),
+        F.sum(F.col("stop") - F.col("start")).cast("int").alias("n_hit"))
+    items = hit.groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-    return per_doc.select("doc_id", "text_hash", "items", merged_ranges(F.col("ranges")).alias("spans")) \
-        .withColumn("n_hit", F.aggregate("spans", F.lit(0), lambda n, s: n + s["stop"] - s["start"]))
+    return spans.alias("s").join(items.alias("i"), F.col("s.doc_id").eqNullSafe(F.col("i.doc_id"))
+                                 & (F.col("s.text_hash") == F.col("i.text_hash"))) \
+        .select("s.doc_id", "s.text_hash", "items", "spans", "n_hit")
 
 
-def merged_ranges(ranges: Column) -> Column:
-    """Sorted [start, stop) ranges with overlapping and touching ones merged."""
-    def step(done: Column, r: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        return F.when((F.size(done) > 0) & (r["start"] <= last["stop"]),
-                      F.concat(F.slice(done, 1, F.size(done) - 1),
-                               F.array(F.struct(last["start"].alias("start"),
-                                                F.greatest(last["stop"], r["stop"]).alias("stop"))))) \
-            .otherwise(F.concat(done, F.array(r)))
-    return F.aggregate(ranges, F.expr("cast(array() as array<struct<start:int,stop:int>>)"), step)
+def merged_ranges(ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, start, stop): the [start, stop) ranges of each key with
+    overlapping and touching ones merged."""
+    order = Window.partitionBy(*keys).orderBy("start")
+    before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(before.isNull() | (F.col("start") > before), 1).otherwise(0)
+    island = F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return ranges.select(*keys, "start", "stop", opens.alias("_opens")) \
+        .select(*keys, "start", "stop", island.alias("_island")) \
+        .groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("_island")
 
 
 def is_contaminated(n_hit: Column, n_words: Column) -> Column:
@@ -179,10 +185,18 @@ def without_words(text: Column, spans: Column) -> Column:
     pieces = F.regexp_extract_all(text, F.lit(rf"({word}|[^0-9A-Za-z\x{{80}}-\x{{10FFFF}}]+)"), F.lit(1))
 
     def cut(pieces: Column) -> Column:
-        first = F.when(pieces[0].rlike("^" + word), 0).otherwise(1)
-        return F.array_join(F.filter(pieces, lambda p, i: ~(
-            ((i - first) % 2 == 0) & F.exists(spans, lambda s: (s["start"] <= (i - first) / 2)
-                                              & ((i - first) / 2 < s["stop"])))), "")
+        first = F.when(pieces[0].rlike("^" + word), 0).otherwise(1)  # words and what stands between alternate
+
+        def part(i: Column) -> Column:
+            """What precedes span ``i`` and, from within it, all but the words."""
+            span = F.try_element_at(spans, i + 1)
+            start = F.when(i == 0, 0).otherwise(2 * F.try_element_at(spans, F.when(i == 0, 1).otherwise(i))["stop"] - 1 + first)
+            stop = F.coalesce(2 * span["start"] + first, F.size(pieces))
+            inside = F.filter(F.slice(pieces, stop + 1, F.greatest(F.lit(0), 2 * (span["stop"] - span["start"]) - 1)),
+                              lambda p, j: j % 2 == 1)
+            return F.concat(F.array_join(F.slice(pieces, start + 1, stop - start), ""),
+                            F.coalesce(F.array_join(inside, ""), F.lit("")))
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.size(spans)), part), "")
     return let(pieces, cut)
 
 

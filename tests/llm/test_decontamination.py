@@ -85,6 +85,24 @@ def test_modes(spark):
     assert words(cut[4]) == ["and"] * 400
 
 
+def test_many_separate_hits_in_one_text(spark):
+    docs = documents(spark, [(1, "solo x " * 50_000), (2, "x two words " * 20_000)])
+    items = spark.createDataFrame([(6, "solo"), (7, "two words"), (8, "a b c d e f g h i j k l m n")],
+                                  "item_id long, text string")
+    got = {r.doc_id: r for r in contamination(docs, items).collect()}
+    assert (got[1].n_words, got[1].n_hit, len(got[1].spans), got[1]["items"]) == (100_000, 50_000, 50_000, [6])
+    assert (got[2].n_words, got[2].n_hit, len(got[2].spans), got[2]["items"]) == (60_000, 40_000, 20_000, [7])
+    cut = {r.doc_id: r.text for r in decontaminate(docs, items, mode="spans").collect()}
+    assert cut[1] == " x " * 50_000 and cut[2] == "x   " * 20_000
+
+
+def test_spans_cut_words_only(spark):
+    items = spark.createDataFrame([(1, "solo"), (2, "two words")], "item_id long, text string")
+    texts = ["solo", "-solo-", "a, solo; b two--words! c", "two words solo", "(two words) x (solo)", "x"]
+    cut = {r.doc_id: r.text for r in decontaminate(documents(spark, list(enumerate(texts))), items, mode="spans").collect()}
+    assert [cut[i] for i in range(6)] == ["", "--", "a, ; b --! c", "  ", "( ) x ()", "x"]
+
+
 def test_empty_tables(spark):
     docs, bench = documents(spark, [], ), spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert contamination(docs, bench).count() == 0
