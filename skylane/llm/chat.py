@@ -9,8 +9,9 @@ roles and texts are escaped so that the formatted text reads back exactly.
 Defined results: a NULL role or text is empty; turns are ordered by turn (NULL
 first), ties by role and text, and each repeated row is a turn of its own; a
 NULL conversation id is a conversation; a record whose fields fit no mapping
-raises an error, or gets no turns with ``unknown="skip"``; an empty table
-gives no rows.  Only the mapped fields are read; other columns do not matter.
+raises an error, or gets no turns with ``unknown="skip"``; a row of a table of
+turns is a turn even if all its fields are NULL; texts are formatted whole,
+however long; an empty table gives no rows.  Only the mapped fields are read; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -29,14 +30,18 @@ from pyspark.sql.types import ArrayType, DataType, StructType
 @dataclass(frozen=True)
 class Layout:
     """A declared mapping: ``turns`` lists (role, path) for single fields, or
-    one ("*", "list[].role path", "list[].text path") for a list of messages."""
+    one ("*", "list[].role path", "list[].text path") for a list of messages.
+    With ``turn`` each row is one turn, at the place that this column holds,
+    and ("*", "role path", "text path") names its role and text; such a mapping
+    serves tables that have all of its columns."""
 
     name: str
     turns: tuple[tuple[str, ...], ...]
     optional: tuple[str, ...] = ()
+    turn: str | None = None
 
     def fields(self) -> list[str]:
-        return sorted({path for turn in self.turns for path in turn[1:]})
+        return sorted({path for turn in self.turns for path in turn[1:]} | ({self.turn} if self.turn else set()))
 
     def field_sets(self) -> list[list[str]]:
         """Every set of filled fields that this mapping takes."""
@@ -53,6 +58,7 @@ LAYOUTS = (
     Layout("question_answer", (("system", "system"), ("user", "question"), ("assistant", "answer")), ("system",)),
     Layout("instruction", (("system", "system"), ("user", "instruction", "input"), ("assistant", "output")),
            ("system", "input")),
+    Layout("turn_rows", (("*", "role", "text"),), ("turn", "role", "text"), "turn"),
 )
 #: Other names of the roles in message lists.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
@@ -72,9 +78,15 @@ def field_paths(kind: DataType, prefix: str = "") -> list[str]:
     return [prefix]
 
 
+def layouts_for(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> list[Layout]:
+    """The mappings that can serve a table of this schema."""
+    have = set(field_paths(df.schema))
+    return [x for x in layouts if x.turn is None or set(x.fields()) <= have]
+
+
 def layout_of(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
     """The fingerprint of the mapped fields that each record fills."""
-    known = {p for x in layouts for p in x.fields()}
+    known = {p for x in layouts_for(df, layouts) for p in x.fields()}
     held = sorted(p for p in field_paths(df.schema) if p in known)
     top = lambda p: p.split("[")[0].split(".")[0]
     return F.sha2(F.array_join(F.filter(F.array(*[F.when(F.col(f"`{top(p)}`").isNotNull(), F.lit(p)) for p in held])
@@ -84,34 +96,42 @@ def layout_of(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
 
 def canonical_turns(df: DataFrame, conv_id: str, layouts: tuple[Layout, ...] = LAYOUTS,
                     unknown: str = "error") -> DataFrame:
-    """(conv_id, turn, role, text) of records with one conversation a row."""
+    """(conv_id, turn, role, text) of records of any of the layouts."""
     have = set(field_paths(df.schema))
     turns = F.raise_error(F.concat(F.lit("no mapping for the fields of conversation "),
                                    F.coalesce(F.col(f"`{conv_id}`").cast("string"), F.lit("NULL")))) \
         if unknown == "error" else F.lit(None)
-    turns = turns.cast("array<struct<role:string,text:string>>")
-    for layout in layouts:
+    turns = turns.cast(_TURNS)
+    for layout in layouts_for(df, layouts):
         for fields in layout.field_sets():
             if set(fields) <= have:
-                turns = F.when(F.col("_layout") == fingerprint(fields), _turns(layout, fields)).otherwise(turns)
+                turns = F.when(F.col("_layout") == fingerprint(fields), _turns(layout, fields).cast(_TURNS)).otherwise(turns)
     named = df.withColumn("_layout", layout_of(df, layouts)).withColumn("_turns", turns)
-    return named.select(F.col(f"`{conv_id}`").alias("conv_id"), F.posexplode("_turns").alias("turn", "_t")) \
-        .select("conv_id", F.col("turn").cast("long").alias("turn"), "_t.role", "_t.text")
+    return named.select(F.col(f"`{conv_id}`").alias("conv_id"), F.explode("_turns").alias("_t")) \
+        .select("conv_id", "_t.turn", "_t.role", "_t.text")
+
+
+_TURNS = "array<struct<turn:bigint,role:string,text:string>>"
 
 
 def _turns(layout: Layout, fields: list[str]) -> Column:
+    if layout.turn:
+        _, role, text = layout.turns[0]
+        return F.array(F.struct(F.col(f"`{layout.turn}`").alias("turn"), F.col(f"`{role}`").alias("role"),
+                                F.col(f"`{text}`").alias("text")))
     if layout.turns[0][0] == "*":
         _, role, text = layout.turns[0]
         items, role = role.split("[].")
         text = text.split("[].")[1]
         names = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
-        return F.transform(F.col(items), lambda m: F.struct(
-            F.coalesce(names[F.lower(m[role])], m[role]).alias("role"), m[text].alias("text")))
+        return F.transform(F.col(items), lambda m, i: F.struct(
+            i.alias("turn"), F.coalesce(names[F.lower(m[role])], m[role]).alias("role"), m[text].alias("text")))
     out = []
     for role, *paths in layout.turns:
         held = [F.col(f"`{p}`").cast("string") for p in paths if p in fields]
         if held:
-            out.append(F.struct(F.lit(role).alias("role"), F.concat_ws("\n\n", *held).alias("text")))
+            out.append(F.struct(F.lit(len(out)).alias("turn"), F.lit(role).alias("role"),
+                                F.concat_ws("\n\n", *held).alias("text")))
     return F.array(*out)
 
 
@@ -217,7 +237,7 @@ def op4_chat_formatting(spark, sf_dir: str) -> DataFrame:
     turns = turns.unionByName(spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{said}'), "
                                         f"(-7L, 1L, 'assistant', '{said}') AS t(conv_id, turn, role, text)"))
     template = Template()
-    return read_back(template.formatted(turns), template)
+    return read_back(template.formatted(canonical_turns(turns, "conv_id")), template)
 
 
 ORACLE_SQL = r"""

@@ -74,3 +74,19 @@ def test_fingerprints_differ():
 def test_unescaped_undoes(text):
     doubled = text.replace("\\", "\\\\")
     assert unescaped(re.sub("(?<=<)(?=s>)", r"\\", doubled)) == text
+
+
+def test_rows_by_turn(spark):
+    schema = "conv_id long, turn int, role string, text string, input string"
+    rows = [(1, 0, "human", "q", None), (1, 1, "assistant", None, None), (None, 0, None, "x", None),
+            (2, None, None, None, None), (2, None, None, None, None)]
+    df = spark.createDataFrame(rows, schema)
+    got = sorted(((r.conv_id, r.turn, r.role, r.text) for r in canonical_turns(df, "conv_id").collect()), key=str)
+    assert got == sorted((row[:4] for row in rows), key=str)
+    assert canonical_turns(df, "conv_id").schema["turn"].dataType.simpleString() == "bigint"
+    mixed = spark.createDataFrame([(1, 0, "user", "q", "i")], schema)  # no mapping takes these fields together
+    assert canonical_turns(mixed, "conv_id", unknown="skip").count() == 0
+    # a column named like one of a table of turns does not matter where the others are missing
+    other = spark.createDataFrame([(1, "p", "r", "t")], "key long, prompt string, response string, text string")
+    assert [(r.turn, r.role, r.text) for r in canonical_turns(other, "key").collect()] == \
+        [(0, "user", "p"), (1, "assistant", "r")]
