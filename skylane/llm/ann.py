@@ -9,35 +9,39 @@ Nearness is the largest inner product.  Equal vectors are one node.
    among the others, and every node keeps its ``NEIGHBOURS`` nearest.
 3. Search: each query keeps a beam of the nearest nodes found; in each step the
    nearest ones not yet expanded are joined with the graph, whose rows hold the
-   neighbours' vectors, until none is left.  The nearest of the beam are
-   measured again on the original vectors, in double precision.
+   neighbours' vectors, until none is left.  The nearest of the beam, and all
+   whose rounding could put them there, are measured again on the original
+   vectors, in double precision.
 
-In the graph, vectors are rounded to 8 bits a component (with a scale each).
+In the graph, vectors have single precision, so that near copies stay apart.
 
 Defined results: vectors that are NULL, zero, of another length than most, or
 that hold a NULL or non-finite component take no part, nor do rows with a NULL
 id; of rows with one id and several vectors the first in the vectors' order
 counts; ties go to the smaller id; an empty table gives no rows.  Only the id
-and the vector are read.
+and the vector are read.  Components beyond 1e18 count as that in the graph
+only.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from skylane.llm.common import broadcast_if_small, shared_table
+from skylane.llm.common import broadcast_if_small, join_counted, shared_table
 
 NEIGHBOURS = 24
 TREES, LEAF, PER_LEAF = 10, 1024, 12
+#: Planes of one pass that deals a crowded leaf again.
+PLANES = 8
 ROUNDS = 2
-BEAM, EXPANDED, STEPS = 256, 96, 24
-MEASURED = 64
+BEAM, EXPANDED = 256, 96
 SAMPLE = 4096
 SEEDS = 32
 #: Rows of queries' frontier (each under 1 kB at 64 components) to broadcast.
@@ -62,15 +66,13 @@ def distinct_vectors(rows: DataFrame, members: int) -> tuple[DataFrame, DataFram
     (node, id), and the node of every id (node, id)."""
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = _matrix(batch["vec"])
-            scale = np.abs(v).max(axis=1, keepdims=True) / 127 if len(v) else np.zeros((0, 1))
-            codes = np.concatenate([scale.astype("<f4").view(np.uint8), np.rint(v / scale).astype(np.int8).view(np.uint8)],
-                                   axis=1) if len(v) else np.zeros((0, 0), np.uint8)
-            yield pa.record_batch([batch["node"], batch["vec"], pa.array([r.tobytes() for r in codes], pa.binary())],
-                                  ["node", "vec", "code"])
-    nodes = rows.groupBy("vec").agg(F.min("id").alias("node"))
-    nodes = shared_table(nodes.select("node", "vec").mapInArrow(code, "node long, vec array<double>, code binary"), "nodes")
-    of_all = shared_table(rows.join(nodes.select("node", "vec"), "vec").select("node", "id"), "node-ids")
+            codes = np.clip(_matrix(batch["vec"]), -1e18, 1e18).astype("<f4")
+            yield pa.record_batch([batch["node"], batch["vec"], batch["n"], pa.array([r.tobytes() for r in codes], pa.binary())],
+                                  ["node", "vec", "n", "code"])
+    nodes = rows.groupBy("vec").agg(F.min("id").alias("node"), F.count("*").alias("n"))
+    nodes = shared_table(nodes.select("node", "vec", "n").mapInArrow(
+        code, "node long, vec array<double>, n long, code binary"), "nodes")
+    of_all = shared_table(join_counted(rows, nodes.select("node", "vec", "n"), ["vec"], "n").select("node", "id"), "node-ids")
     first = F.row_number().over(Window.partitionBy("node").orderBy("id"))  # limited before the shuffle
     return nodes, of_all.withColumn("_n", first).where(F.col("_n") <= members).select("node", "id"), of_all
 
@@ -82,9 +84,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _decoded(codes: list[bytes]) -> np.ndarray:
-    raw = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1)
-    scale = np.ascontiguousarray(raw[:, :4]).view("<f4")
-    return raw[:, 4:].view(np.int8).astype(np.float32) * scale
+    return np.frombuffer(b"".join(codes), "<f4").reshape(len(codes), -1) if codes else np.zeros((0, 0), np.float32)
 
 
 def _nearest(vectors: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,7 +167,8 @@ def tree_links(nodes: DataFrame, trees: int = TREES, leaf: int = LEAF, per_leaf:
                 yield pa.record_batch([pa.array(np.full(len(v), tree, np.int32)), pa.array(place.astype(np.int64)),
                                        batch["node"], batch["code"]], ["tree", "leaf", "node", "code"])
     dealt = nodes.select("node", "code").mapInArrow(leaves, "tree int, leaf long, node long, code binary")
-    # a crowded leaf is dealt into parts, so that no group outgrows a task
+    dealt = _crowds_dealt(dealt, leaf, vectors.shape[1], seed)
+    # what its planes cannot tell apart is dealt into parts, so that no group outgrows a task
     parts = dealt.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / (2 * leaf)).alias("parts"))
     dealt = dealt.join(broadcast_if_small(shared_table(parts, "leaves"), BROADCAST_ROWS), ["tree", "leaf"]) \
         .withColumn("part", F.pmod(F.xxhash64("node", "tree"), F.col("parts")))
@@ -177,6 +178,45 @@ def tree_links(nodes: DataFrame, trees: int = TREES, leaf: int = LEAF, per_leaf:
     return dealt.groupBy("tree", "leaf", "part").applyInPandas(link, _LINK)
 
 
+def _crowds_dealt(dealt: DataFrame, leaf: int, dim: int, seed: int) -> DataFrame:
+    """``dealt`` (tree, leaf, node, code) with each leaf of more than twice
+    ``leaf`` nodes, as a dense region makes them, dealt again by planes at the
+    medians of its own nodes, until the planes hardly split any more."""
+    done, number = None, 0
+    while True:
+        dealt = shared_table(dealt, f"leaves-{number}")
+        sizes = dealt.groupBy("tree", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > 2 * leaf)
+        sizes = shared_table(sizes, "crowded-leaves")
+        largest = sizes.agg(F.max("n")).first()[0]  # one row
+        if largest is None or number and largest > 0.9 * before:
+            return dealt if done is None else done.unionByName(dealt)
+        before, number = largest, number + 1
+        depth = min(PLANES, math.ceil(math.log2(largest / leaf)))
+        planes = np.random.default_rng((seed, number)).normal(size=(dim, depth)).astype(np.float32)
+
+        def project(batches: Iterator[pa.RecordBatch], planes=planes) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                p = _decoded(batch["code"].to_pylist()) @ planes if batch.num_rows else np.zeros((0, planes.shape[1]))
+                yield pa.record_batch([*batch.columns, *[pa.array(c.astype(np.float32)) for c in p.T]],
+                                      [*batch.schema.names, *[f"p{i}" for i in range(p.shape[1])]])
+        small = broadcast_if_small(sizes.drop("n"), BROADCAST_ROWS)
+        calm = dealt.join(small, ["tree", "leaf"], "left_anti")
+        done = calm if done is None else done.unionByName(calm)
+        crowd = dealt.join(small, ["tree", "leaf"]).select("tree", "leaf", "node", "code").mapInArrow(
+            project, "tree int, leaf long, node long, code binary, " + ", ".join(f"p{i} float" for i in range(depth)))
+        medians = crowd.groupBy("tree", "leaf").agg(
+            *[F.percentile_approx(f"p{i}", 0.5, 1000).alias(f"m{i}") for i in range(depth)])
+        medians = broadcast_if_small(shared_table(medians, "leaf-medians"), BROADCAST_ROWS)
+        # a leaf of n nodes is halved about log2(n / leaf) times
+        halvings = medians.join(sizes, ["tree", "leaf"]).withColumn("d", F.ceil(F.log2(F.col("n") / leaf)))
+        place = F.lit(0)
+        for i in range(depth):
+            place = place + F.when((F.col("d") > i) & (F.col(f"p{i}") > F.col(f"m{i}")), 1 << i).otherwise(0)
+        dealt = crowd.join(broadcast_if_small(shared_table(halvings.drop("n"), "halvings"), BROADCAST_ROWS),
+                           ["tree", "leaf"]).select(
+            "tree", F.xxhash64("leaf", F.lit(number), place).alias("leaf"), "node", "code")
+
+
 def both_ways(links: DataFrame, k: int) -> DataFrame:
     """(node, other): forward links and the ``k`` nearest reverse links."""
     back = best_links(links.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim"), k)
@@ -217,8 +257,9 @@ _BEAM = "query long, code binary, ids array<long>, sims array<float>, done array
 
 
 def greedy_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, beam: int = BEAM,
-                  expanded: int = EXPANDED, steps: int = STEPS) -> DataFrame:
-    """(query, node, sim): the beam of each query (query, code) at the end.
+                  expanded: int = EXPANDED) -> DataFrame:
+    """(query, node, sim): the beam of each query (query, code) at the end,
+    when all of it is expanded (a node that left a beam never comes back).
     The search starts at a few nodes of the whole table and, if the query is a
     node itself, there."""
     seeds = nodes.orderBy(F.xxhash64("node"), "node").limit(SEEDS).select("node", "code").toArrow()
@@ -276,7 +317,7 @@ def greedy_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, beam:
                 order = np.lexsort((found, -near))[:beam]
                 rows.append((query[lo], next(c for c in code[lo:hi] if c is not None), found[order], near[order], was[order]))
             yield _beam_batch(rows)
-    for step in range(steps):
+    for step in count():
         todo = shared_table(beams.mapInArrow(frontier, "query long, qcode binary, node long, bound float"), "frontier")
         if todo.isEmpty():
             break
@@ -312,8 +353,14 @@ def nearest_neighbours(df: DataFrame, id_col: str, vec_col: str, is_query: Colum
     queries = asked.select("node").distinct().join(nodes.select("node", "code"), "node") \
         .select(F.col("node").alias("query"), "code")
     beams = greedy_search(nodes, graph, queries)
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "node"))
-    near = beams.withColumn("_n", rank).where(F.col("_n") <= max(MEASURED, 2 * k)).select("query", "node")
+    ranked = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
+    # similarities of single precision differ from the true ones by less than ``slack`` each
+    norm = nodes.agg(F.max(F.sqrt(inner_product(F.col("vec"), F.col("vec"))))
+                     .alias("norm"), F.max(F.size("vec")).alias("dim")).first()  # one row
+    slack = (norm["dim"] + 2) * 2.0 ** -23 * norm["norm"] ** 2 if norm["dim"] else 0.0
+    last = F.max(F.when(F.col("_n") == k + 1, F.col("sim"))).over(Window.partitionBy("query"))
+    near = beams.withColumn("_n", F.row_number().over(ranked)).withColumn("_last", last) \
+        .where((F.col("_n") <= 2 * k) | (F.col("sim") >= F.col("_last") - 2 * slack)).select("query", "node")
     scored = near.join(nodes.select("node", "vec"), "node") \
         .join(nodes.select(F.col("node").alias("query"), F.col("vec").alias("_q")), "query") \
         .select("query", "node", inner_product(F.col("_q"), F.col("vec")).alias("score"))

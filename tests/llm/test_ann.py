@@ -3,7 +3,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from skylane.llm.ann import nearest_neighbours
+from skylane.llm.ann import _crowds_dealt, nearest_neighbours
 
 
 def brute(rows, k, asked):
@@ -44,3 +44,31 @@ def test_few_vectors(spark):
     rows = [(i * 5, [float(i + 1), 1.0]) for i in range(4)]
     assert run(spark, rows) == {0: [15, 10, 5], 5: [15, 10, 0], 10: [15, 5, 0], 15: [10, 5, 0]}
     assert run(spark, rows[:1]) == {} and run(spark, []) == {}
+
+
+def test_recall_in_a_dense_region(spark):
+    """Scores of near copies differ by far less than an 8-bit code can tell."""
+    rng = np.random.default_rng(2)
+    centre = rng.normal(size=16)
+    vectors = np.concatenate([centre + .02 * np.linalg.norm(centre) * rng.normal(size=(1500, 16)) / 4,
+                              rng.normal(size=(500, 16))])
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(vectors)]
+    got, want = run(spark, rows, step=20), brute(rows, 20, lambda q: q % 20 == 0)
+    assert np.mean([len(set(got[q]) & set(want[q])) / 20 for q in want if q < 1500]) >= 0.95
+    assert np.mean([len(set(got[q]) & set(want[q])) / 20 for q in want]) >= 0.95
+
+
+def test_crowded_leaves_are_dealt_by_nearness(spark):
+    rng = np.random.default_rng(3)
+    vectors = np.concatenate([rng.normal(size=8) + .01 * rng.normal(size=(900, 8)), rng.normal(size=(60, 8))]).astype("<f4")
+    dealt = spark.createDataFrame([(t, i // 900, i, bytearray(v.tobytes())) for t in range(2) for i, v in enumerate(vectors)],
+                                  "tree int, leaf long, node long, code binary")
+    again = _crowds_dealt(dealt, 64, 8, 5).toPandas()
+    assert sorted(zip(again.tree, again.node)) == [(t, i) for t in range(2) for i in range(960)]
+    sizes = again.groupby(["tree", "leaf"]).size()
+    assert sizes.max() <= 160 and set(again[again.node >= 900].leaf) == {1}
+    # a part is tighter than the region
+    spread = lambda ids: vectors[list(ids)].var(axis=0).sum()
+    parts = [spread(g) for _, g in again[again.node < 900].groupby(["tree", "leaf"]).node if len(g) > 20]
+    assert np.mean(parts) < .85 * spread(range(900))
