@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from skylane.config import ArrivalRules
 from skylane.functions.intervals import interval_seconds
 from skylane.operators.occupancy import occupancy_at
-from skylane.plans.strategy import FlightBounds, broadcast_within
+from skylane.plans.skew import bounded_join
+from skylane.plans.strategy import FlightBounds
 
 
 def flight_fuel(profile: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def flight_consumption(filtered: DataFrame, profile: DataFrame, occupancy: DataF
     side's key, so arrivals without fuel get a NULL id unless
     ``rules.keep_flight_id``.  The occupancy is the interval in force at entry.
     """
-    fuel = flight_fuel(profile).withColumnRenamed("id", "_fuel_id")
+    fuel = flight_fuel(profile).withColumn("_fuel_id", F.col("id"))
     k = filtered.select(
         "id", F.col("landing_time").alias("aldt"), F.col("entry_time").alias("c_time"),
         F.col("flight_date").alias("date"), F.hour("entry_time").cast("int").alias("hour"),
@@ -46,8 +47,7 @@ def flight_consumption(filtered: DataFrame, profile: DataFrame, occupancy: DataF
         interval_seconds(F.col("transit_tma")).alias("transit_tma"),
     )
     flights = None if bounds is None else bounds.flights
-    fuel = broadcast_within(fuel, flights, rules.broadcast_max_rows)
-    j = k.join(fuel, k["id"] == fuel["_fuel_id"], "left")
+    j = bounded_join(k, fuel, ["id"], "left", flights, rules.broadcast_max_rows)
     j = occupancy_at(j, occupancy, "c_time", rules, bounds=bounds)
     out_id = F.col("id") if rules.keep_flight_id else F.col("_fuel_id")
     return j.select(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from skylane.config import ArrivalRules
 from skylane.functions.timefns import bin_seconds, epoch_micros, weekday_name
 from skylane.operators.percentile import exact_percentile
+from skylane.plans.skew import bounded_join
 from skylane.plans.strategy import FlightBounds, broadcast_within
 
 FUEL_GROUP = ("adep", "aircraft", "drwy_validado")
@@ -62,8 +63,8 @@ def transit_moving_average(df: DataFrame, rules: ArrivalRules,
 
     untimed = df.where(F.col(time_col).isNull()).withColumn("_pk", F.struct(*partition))
     peers = untimed.groupBy("_pk").agg(F.avg(value).alias(out))
-    peers = broadcast_within(peers, _group_bound(bounds, rules), rules.broadcast_max_rows)
-    without_time = untimed.join(peers, "_pk", "left").drop("_pk")
+    without_time = bounded_join(untimed, peers, ["_pk"], "left", _group_bound(bounds, rules),
+                                rules.broadcast_max_rows).drop("_pk")
     return with_time.unionByName(without_time)
 
 
@@ -94,9 +95,8 @@ def ml_features(consumption: DataFrame, rules: ArrivalRules,
     )
     # the moving average has at most one row per consumption row (= per flight)
     flights = None if bounds is None else bounds.flights
-    p20 = broadcast_within(fuel_percentile(base, rules, bounds), _group_bound(bounds, rules),
-                           rules.broadcast_max_rows)
-    with_p = base.join(p20, list(FUEL_GROUP), "left")
+    with_p = bounded_join(base, fuel_percentile(base, rules, bounds), FUEL_GROUP, "left",
+                          _group_bound(bounds, rules), rules.broadcast_max_rows)
     if rules.row_preserving:
         full = transit_moving_average(with_p, rules, bounds=bounds)
     else:

@@ -8,7 +8,8 @@ from pyspark.sql.types import DataType
 from skylane.config import ArrivalRules
 from skylane.functions.timefns import epoch_micros, epoch_ntz
 from skylane.operators.flights import latest_flight_per_key
-from skylane.plans.strategy import FlightBounds, broadcast_within
+from skylane.plans.skew import bounded_join
+from skylane.plans.strategy import FlightBounds
 
 
 POINT = ("flight_key", "flight_level", "aircraft_type", "c_time", "aldt", "radar_timestamp", "aircraft_speed")
@@ -43,7 +44,8 @@ def radar_in_terminal_area(filtered: DataFrame, stg_radar: DataFrame,
        on (callsign, date) with the time window as a residual — the flights
        side (one row per flight, bounded by ``bounds.flights``; counted when no
        bound is given or flights span midnight) is broadcast when within
-       ``broadcast_max_rows``, so radar is not shuffled for the join;
+       ``broadcast_max_rows``, so radar is not shuffled for the join; beyond
+       it, callsigns with very many points are dealt into parts (``split_join``);
     3. first point per (flight, level): earliest time, ties by lower speed.
        This is a partial-then-final hash aggregate over a packed (time, speed),
        so a flight with very many points never lands whole in one task.
@@ -79,14 +81,15 @@ def radar_in_terminal_area(filtered: DataFrame, stg_radar: DataFrame,
         short = days <= rules.window_days
         side = flights.where(short).withColumn("radar_date", F.explode(F.sequence(
             F.col("c_time").cast("date"), F.col("aldt").cast("date"))))
-        side = broadcast_within(side, flight_bound and flight_bound * rules.window_days, rules.broadcast_max_rows)
-        joined = radar.join(side, ["flight_id", "radar_date"]).where(inside)
+        joined = bounded_join(radar, side, ["flight_id", "radar_date"], "inner",
+                              flight_bound and flight_bound * rules.window_days, rules.broadcast_max_rows).where(inside)
         # a window of many days (a wrong entry date, say) is one row, met by callsign
-        long = broadcast_within(flights.where(~short), flight_bound, rules.broadcast_max_rows)
-        joined = joined.select(*POINT).unionByName(radar.join(long, "flight_id").where(inside).select(*POINT))
+        long = bounded_join(radar, flights.where(~short), ["flight_id"], "inner", flight_bound, rules.broadcast_max_rows)
+        joined = joined.select(*POINT).unionByName(long.where(inside).select(*POINT))
     else:
-        side = broadcast_within(flights.withColumnRenamed("flight_date", "radar_date"), flight_bound, rules.broadcast_max_rows)
-        joined = radar.join(side, ["flight_id", "radar_date"]).where(inside).select(*POINT)
+        side = flights.withColumnRenamed("flight_date", "radar_date")
+        joined = bounded_join(radar, side, ["flight_id", "radar_date"], "inner", flight_bound,
+                              rules.broadcast_max_rows).where(inside).select(*POINT)
     # the flight's columns depend on its key; grouping by them keeps them fixed,
     # and time and speed are one whole number, so the minimum has a fixed width
     # and the hash aggregate can hold it

@@ -11,7 +11,8 @@ Broadcasts happen only behind a proven row bound:
 
 Above a bound the DataFrame is returned unchanged and Spark plans a shuffle
 join (AQE may still switch to a broadcast from runtime sizes, and splits skewed
-partitions).  ``materialize`` cuts lineage with a reliable checkpoint in the
+partitions); the joins of the largest tables go through ``skew.bounded_join``,
+which splits heavy keys itself.  ``materialize`` cuts lineage with a reliable checkpoint in the
 folder the session names in ``spark.checkpoint.dir``.
 """
 
@@ -30,16 +31,19 @@ from skylane.functions.timefns import bin_seconds, seconds_between
 
 def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """``broadcast(df)`` if df has at most ``max_rows`` rows, else ``df``."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return broadcast_within(df, None, max_rows)
+
+
+def fits(df: DataFrame, upper_bound: int | None, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows: by a known upper bound, or
+    counted when there is none."""
+    return (df.limit(max_rows + 1).count() if upper_bound is None else upper_bound) <= max_rows
 
 
 def broadcast_within(df: DataFrame, upper_bound: int | None, max_rows: int) -> DataFrame:
     """Broadcast ``df`` when a known upper bound of its rows is within
     ``max_rows``; count it when no bound is known."""
-    if upper_bound is None:
-        return sized_broadcast(df, max_rows)
-    return F.broadcast(df) if upper_bound <= max_rows else df
+    return F.broadcast(df) if fits(df, upper_bound, max_rows) else df
 
 
 @dataclass(frozen=True)
