@@ -30,9 +30,10 @@ from pyspark.sql import DataFrame, functions as F
 SEQUENCE = 2048
 GROUP_DOCS = 4096
 END_ID = 1
-#: Entries of a worker's memory of chunks and of encoded stems; beyond, it
-#: starts anew.
-CHUNKS_KEPT, STEMS_KEPT = 300_000, 1_200_000
+#: Entries of a worker's memory of encoded stems; beyond, it starts anew.
+STEMS_KEPT = 1_200_000
+#: Marks that are a token run of their own behind a letter.
+MARKS = ".,;:!?"
 #: Characters that a task encodes at once.
 PIECE = 1 << 22
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -40,50 +41,59 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 
 class ChunkEncoder:
-    """Token ids of texts, kept by chunk.
+    """Token ids of texts, kept by stem.
 
     The tokenizer never joins characters across a space, so a text's ids are
-    those of its space-separated chunks in order; a chunk met before is looked
-    up.  A final punctuation mark after a letter is a token run of its own and
-    A-Z is lower-cased by the tokenizer, so such chunks share one entry.  Texts
-    with the opening of a control token, and long chunks, are encoded as they
-    stand.
+    those of its space-separated chunks in order.  A final punctuation mark
+    after a letter is a token run of its own and A-Z is lower-cased by the
+    tokenizer, so a chunk is a lower-case stem and maybe a mark; a stem met
+    before is looked up.  Texts with the opening of a control token, and long
+    stems, are encoded as they stand.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.width = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.known: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {"": b""}
+        self.marks = [self.ids(c) for c in MARKS]
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
 
-    @staticmethod
-    def stems_of(chunk: str) -> list[str]:
-        """The parts of a chunk that are encoded apart, as they are kept."""
-        parts = [chunk[:-1], chunk[-1]] if len(chunk) > 1 and chunk[-1] in ".,;:!?" and chunk[-2].lower().isalpha() else [chunk]
-        return [p.lower() if p.isascii() else p for p in parts]
-
-    def learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """The ids of all ``chunks``; stems not met before are encoded together,
-        a space between them, and told apart by their places."""
-        parts = {c: self.stems_of(c) for c in chunks if c not in self.known}
-        fresh = list(dict.fromkeys(p for ps in parts.values() for p in ps if p and p not in self.stems))
-        found = {}
+    def encoded(self, stems: list[str]) -> list[bytes]:
+        """The ids of each stem; those not met before are encoded together, a
+        space between them, and told apart by their places."""
+        found = list(map(self.stems.get, stems))
+        fresh = [i for i, x in enumerate(found) if x is None]
         if fresh:
-            coded = self.tokenizer.encode(" ".join(fresh), add_special_tokens=False)
-            ids, starts = np.array(coded.ids, self.width), np.array([o[0] for o in coded.offsets], np.int64)
-            ends = np.cumsum([len(p) + 1 for p in fresh])
-            at = np.searchsorted(starts, np.concatenate([[0], ends])).tolist()
-            found = {p: ids[lo:hi].tobytes() for p, lo, hi in zip(fresh, at, at[1:])}
-            self.stems.update((p, x) for p, x in found.items() if len(p) <= 64)
-        stem = lambda p: found[p] if p in found else self.stems[p] if p else b""
-        new = {c: b"".join(map(stem, ps)) for c, ps in parts.items()}
-        out = {c: new[c] if c in new else self.known[c] for c in chunks}
-        self.known.update((c, x) for c, x in new.items() if len(c) <= 64)
-        return out
+            new = [stems[i] for i in fresh]
+            coded = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
+            ids, starts = np.array(coded.ids, self.width).tobytes(), np.array([o[0] for o in coded.offsets], np.int64)
+            ends = np.cumsum([len(p) + 1 for p in new])
+            at = (np.searchsorted(starts, np.concatenate([[0], ends])) * np.dtype(self.width).itemsize).tolist()
+            for i, p, lo, hi in zip(fresh, new, at, at[1:]):
+                found[i] = x = ids[lo:hi]
+                if len(p) <= 64:
+                    self.stems[p] = x
+        return found
+
+    def chunk_ids(self, chunks: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``chunks``, one after the other, and their numbers."""
+        _, offsets, data = chunks.buffers()
+        ends = np.frombuffer(offsets, np.int64)[chunks.offset:chunks.offset + len(chunks) + 1]
+        data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+        mark = np.full(len(chunks), len(MARKS))
+        long = np.flatnonzero(np.diff(ends) > 1)
+        last, before = data[ends[1:][long] - 1], data[ends[1:][long] - 2]
+        for k, c in enumerate(MARKS.encode()):
+            mark[long[(last == c) & (before >= ord("a")) & (before <= ord("z"))]] = k
+        stems = pc.if_else(pa.array(mark < len(MARKS)), pc.utf8_slice_codeunits(chunks, 0, -1), chunks).dictionary_encode()
+        parts = self.encoded(stems.dictionary.to_pylist()) + self.marks + [b""]
+        flat = np.frombuffer(b"".join(parts), self.width)
+        lengths = np.array([len(x) for x in parts], np.int64) // np.dtype(self.width).itemsize
+        part = np.column_stack([np.asarray(stems.indices), mark + (len(parts) - len(MARKS) - 1)]).ravel()
+        return _laid_out(flat, lengths, part)[0], lengths[part].reshape(-1, 2).sum(axis=1)
 
     def text(self, text: str) -> bytes:
         return self.texts([text])[0].tobytes()
@@ -91,26 +101,25 @@ class ChunkEncoder:
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text.  Only the distinct chunks are looked up; their
         ids are laid out by number."""
-        if len(self.known) > CHUNKS_KEPT:
-            self.known.clear()
         if len(self.stems) > STEMS_KEPT:
-            self.stems.clear()
+            self.stems = {"": b""}
         plain = pa.array(["" if "<|" in t else t for t in texts], pa.large_string())
-        chunks = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
+        chunks = pc.split_pattern(pc.ascii_lower(pc.replace_substring(plain, "\n", " ")), " ")
         ends = np.asarray(chunks.offsets) - chunks.offsets[0].as_py()
         coded = chunks.flatten().dictionary_encode()
-        number = np.asarray(coded.indices)
-        found = list(self.learn(coded.dictionary.to_pylist()).values())
-        flat = np.frombuffer(b"".join(found), self.width)
-        lengths = np.array([len(f) for f in found], np.int64) // np.dtype(self.width).itemsize
-        begins = np.cumsum(lengths) - lengths
-        size = lengths[number]
-        done = np.concatenate([[0], np.cumsum(size)])
-        ids = flat[np.repeat(begins[number] - done[:-1], size) + np.arange(done[-1])]
+        ids, done = _laid_out(*self.chunk_ids(coded.dictionary), np.asarray(coded.indices))
         at = done[ends]
         return [np.frombuffer(self.ids(t), self.width) if "<|" in t else ids[lo:hi] for t, lo, hi in zip(texts, at[:-1], at[1:])]
 
 
+def _laid_out(flat: np.ndarray, lengths: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the runs of these ``lengths`` in ``flat``, those of each ``number``,
+    one after the other, and where each begins and the last ends."""
+    size = lengths[number]
+    done = np.concatenate([[0], np.cumsum(size)])
+    return flat[np.repeat((np.cumsum(lengths) - lengths)[number] - done[:-1], size) + np.arange(done[-1])], done
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)

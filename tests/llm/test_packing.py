@@ -45,6 +45,15 @@ def test_chunks_give_the_tokenizers_ids(text):
     assert encoder.text(text) == encoder.ids(text)
 
 
+def test_a_stem_is_encoded_once():
+    """Capitals and final marks make no entries of their own, in one text or
+    in several."""
+    encoder = ChunkEncoder(PATH)
+    texts = ["Stem stem, STEM. stem! été, Été", "Stem? stem; stem: don't"]
+    assert [ids.tobytes() for ids in encoder.texts(texts)] == [encoder.ids(t) for t in texts]
+    assert sorted(encoder.stems) == ["", "don't", "stem", "Été", "été,"]
+
+
 _kept = []
 
 
