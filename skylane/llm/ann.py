@@ -32,6 +32,7 @@ from itertools import count
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skylane.llm.common import broadcast_if_small, join_counted, shared_table
@@ -44,6 +45,8 @@ ROUNDS = 2
 BEAM, EXPANDED = 256, 96
 SAMPLE = 4096
 SEEDS = 32
+#: Neighbours in a row of the graph, and rows that a search step handles at once.
+PER_ROW, AT_ONCE = 8, 1024
 #: Rows of queries' frontier (each under 1 kB at 64 components) to broadcast.
 BROADCAST_ROWS = 150_000
 
@@ -246,10 +249,13 @@ def neighbour_graph(nodes: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS)
     return links
 
 
-def adjacency(nodes: DataFrame, links: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
-    """(node, others, codes): neighbours with their vectors, at most 2 * k."""
+def adjacency(nodes: DataFrame, links: DataFrame, k: int = NEIGHBOURS, per_row: int = PER_ROW) -> DataFrame:
+    """(node, others, codes): neighbours with their vectors, at most 2 * k; at
+    most ``per_row`` a row, so that batches of rows stay small."""
     met = both_ways(links, k).join(nodes.select(F.col("node").alias("other"), "code"), "other")
     rows = met.groupBy("node").agg(F.collect_list(F.struct("other", "code")).alias("o"))
+    first = F.explode(F.sequence(F.lit(1), F.size("o"), F.lit(per_row))).alias("first")
+    rows = rows.select("node", "o", first).select("node", F.slice("o", F.col("first"), F.lit(per_row)).alias("o"))
     return rows.select("node", F.col("o.other").alias("others"), F.col("o.code").alias("codes"))
 
 
@@ -279,44 +285,48 @@ def greedy_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, beam:
     beams = shared_table(queries.select("query", "code").mapInArrow(start, _BEAM), "beam-0")
 
     def frontier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for q, code, ids, sims, done in zip(*(batch[c].to_pylist() for c in ("query", "code", "ids", "sims", "done"))):
-                bound = sims[-1] if len(sims) >= beam else -math.inf
-                todo = [i for i, d in zip(ids, done) if not d][:expanded]  # nearest first
-                out += [(q, code, i, bound) for i in todo]
-            columns = list(zip(*out)) or [()] * 4
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.float32()))],
-                                  ["query", "qcode", "node", "bound"])
+        for batch in few_rows(batches, AT_ONCE // 8):
+            sizes, ids, sims, done = _beam_arrays(batch)
+            row, ends = np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes)
+            open_ = np.flatnonzero(~done)
+            place = np.arange(len(open_)) - np.searchsorted(row[open_], row[open_])
+            todo = open_[place < expanded]  # nearest first
+            bound = np.where(sizes >= beam, sims[ends - 1], -np.inf).astype(np.float32)
+            yield pa.record_batch([batch["query"].take(pa.array(row[todo])), batch["code"].take(pa.array(row[todo])),
+                                   pa.array(ids[todo]), pa.array(bound[row[todo]])], ["query", "qcode", "node", "bound"])
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for q, code, node, bound, others, codes in zip(*(batch[c].to_pylist() for c in (
-                    "query", "qcode", "node", "bound", "others", "codes"))):
-                sims = _decoded(codes) @ _decoded([code])[0]
-                near = np.flatnonzero(sims > bound)
-                # the expanded node leads, marked; the beam knows its similarity
-                rows.append((q, None, [node, *(others[i] for i in near)], [-math.inf, *sims[near].tolist()],
-                             [True] + [False] * len(near)))
-            yield _beam_batch(rows)
+        for batch in few_rows(batches, AT_ONCE):
+            sizes = pc.list_value_length(batch["others"]).to_numpy()
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            asked, codes = _codes(batch["qcode"]), _codes(batch["codes"].flatten())
+            sims = np.einsum("ij,ij->i", codes, asked[row])
+            near = np.flatnonzero(sims > batch["bound"].to_numpy()[row])
+            # the expanded node leads, marked; the beam knows its similarity
+            kept = np.bincount(row[near], minlength=len(sizes))
+            first = np.cumsum(kept + 1) - kept - 1
+            ids, found = np.zeros(len(near) + len(sizes), np.int64), np.full(len(near) + len(sizes), -np.inf, np.float32)
+            done = np.zeros(len(ids), bool)
+            done[first] = True
+            ids[done], ids[~done] = batch["node"].to_numpy(), batch["others"].flatten().to_numpy()[near]
+            found[~done] = sims[near]
+            yield _beam_lists(batch["query"], pa.nulls(len(sizes), pa.binary()), kept + 1, ids, found, done)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, groups in whole_groups(batches, "query"):
-            query, code, ids, sims, done = (table[c].to_pylist() for c in ("query", "code", "ids", "sims", "done"))
-            rows = []
-            for lo, hi in groups:
-                found = np.concatenate([np.array(x, np.int64) for x in ids[lo:hi]])
-                near = np.concatenate([np.array(x, np.float32) for x in sims[lo:hi]])
-                was = np.concatenate([np.array(x, bool) for x in done[lo:hi]])
-                order = np.lexsort((~was, -near, found))  # of one node the known similarity first
-                found, near, was = found[order], near[order], was[order]
-                first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-                was = np.logical_or.reduceat(was, first)
-                found, near = found[first], near[first]
-                order = np.lexsort((found, -near))[:beam]
-                rows.append((query[lo], next(c for c in code[lo:hi] if c is not None), found[order], near[order], was[order]))
-            yield _beam_batch(rows)
+        for table, groups in whole_groups(few_rows(batches, AT_ONCE), "query"):
+            whole = table.to_batches()[0]
+            sizes, found, near, was = _beam_arrays(whole)
+            begins = np.array([lo for lo, _ in groups])
+            group = np.repeat(np.repeat(np.arange(len(groups)), [hi - lo for lo, hi in groups]), sizes)
+            order = np.lexsort((~was, -near, found, group))  # of one node the known similarity first
+            group, found, near, was = group[order], found[order], near[order], was[order]
+            first = np.flatnonzero(np.concatenate(([True], (found[1:] != found[:-1]) | (group[1:] != group[:-1]))))
+            was = np.logical_or.reduceat(was, first)
+            group, found, near = group[first], found[first], near[first]
+            order = np.lexsort((found, -near, group))
+            order = order[np.arange(len(order)) - np.searchsorted(group, group) < beam]  # sorted by group before and after
+            kept = np.bincount(group[order], minlength=len(groups))
+            yield _beam_lists(whole["query"].take(pa.array(begins)), whole["code"].drop_null(), kept, found[order], near[order], was[order])
     for step in count():
         todo = shared_table(beams.mapInArrow(frontier, "query long, qcode binary, node long, bound float"), "frontier")
         if todo.isEmpty():
@@ -333,6 +343,34 @@ def greedy_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, beam:
         .select("query", F.col("x.ids").alias("node"), F.col("x.sims").alias("sim"))
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most so many rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _codes(column: pa.Array) -> np.ndarray:
+    """The vectors of a binary column without NULLs, where they lie."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1]
+    if not len(column):
+        return np.zeros((0, 0), np.float32)
+    return np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].view("<f4").reshape(len(column), -1)
+
+
+def _beam_arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """The lists' lengths, and ids, sims and done of all rows."""
+    return (pc.list_value_length(batch["ids"]).to_numpy(), batch["ids"].flatten().to_numpy(), batch["sims"].flatten().to_numpy(),
+            batch["done"].flatten().to_numpy(zero_copy_only=False))
+
+
+def _beam_lists(query: pa.Array, code: pa.Array, sizes: np.ndarray, ids: np.ndarray, sims: np.ndarray, done: np.ndarray) -> pa.RecordBatch:
+    ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (ids, sims.astype(np.float32), done)]
+    return pa.record_batch([query, code, *lists], ["query", "code", "ids", "sims", "done"])
+
+
 def _beam_batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float32()), pa.list_(pa.bool_()))
     return pa.record_batch([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 5, kinds)],

@@ -3,7 +3,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from skylane.llm.ann import _crowds_dealt, nearest_neighbours
+from skylane.llm.ann import PER_ROW, _crowds_dealt, adjacency, nearest_neighbours
 
 
 def brute(rows, k, asked):
@@ -72,3 +72,15 @@ def test_crowded_leaves_are_dealt_by_nearness(spark):
     spread = lambda ids: vectors[list(ids)].var(axis=0).sum()
     parts = [spread(g) for _, g in again[again.node < 900].groupby(["tree", "leaf"]).node if len(g) > 20]
     assert np.mean(parts) < .85 * spread(range(900))
+
+
+def test_rows_of_the_graph_are_short(spark):
+    """A row holds a few neighbours, so that a batch of rows stays small; all
+    neighbours are there."""
+    nodes = spark.createDataFrame([(i, bytes([i] * 8)) for i in range(60)], "node long, code binary")
+    links = spark.createDataFrame([(0, v, float(v)) for v in range(1, 25)] + [(v, 0, float(v)) for v in range(30, 60)],
+                                  "u long, v long, sim float")
+    rows = adjacency(nodes, links).collect()
+    assert max(len(r.others) for r in rows) <= PER_ROW
+    assert sorted(x for r in rows if r.node == 0 for x in r.others) == [*range(1, 25), *range(36, 60)]
+    assert all(c == bytes([o] * 8) for r in rows for o, c in zip(r.others, r.codes))
