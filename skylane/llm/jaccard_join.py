@@ -120,7 +120,7 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     return sets
 
 
-def text_pieces(texts: pa.Array, size: int = 1 << 22) -> Iterator[pa.Array]:
+def text_pieces(texts: pa.Array, size: int = 1 << 20) -> Iterator[pa.Array]:
     """The texts in turn, about ``size`` bytes at once."""
     import pyarrow.compute as pc
     sums = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))

@@ -88,3 +88,13 @@ def test_empty(spark):
     assert jaccard_components(documents(spark, [])).count() == 0
     rows = jaccard_components(documents(spark, [(1, None), (None, "a b"), (2, "")])).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in rows), key=str) == [(1, 0, 1), (2, 0, 2), (None, 1, None)]
+
+
+def test_texts_are_read_in_small_pieces():
+    """A task hashes about a megabyte of texts at once, whatever the batch."""
+    import pyarrow as pa
+    from skylane.llm.jaccard_join import text_pieces
+    texts = pa.array([None, "x" * 3_000_000, ""] + ["word " * 700] * 1000)
+    found = list(text_pieces(texts))
+    assert [t for piece in found for t in piece.to_pylist()] == texts.to_pylist()
+    assert all(len(piece) == 1 or sum(len(t or "") for t in piece.to_pylist()) <= 1 << 20 for piece in found[1:])
