@@ -13,8 +13,8 @@ predicted once and a context once.  Its bits are then a sum over its distinct
 words and pairs: what spelling each word would take (known where the text is
 read), a difference for each word that the model knows, and a difference for
 each pair that it knows.  Differences of frequent words and pairs (``HOT``) are
-sent to the tasks; the others meet the documents' words and pairs, summed per
-document, in a join.
+sent to the tasks; the others meet the documents' words and pairs, packed by
+ranges of their keys, in groups, and are summed per document.
 
 Every document gets the perplexity per character of its whole text.  A document
 is rejected when its perplexity is above its language's quantile over all
@@ -45,6 +45,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -65,6 +66,9 @@ HOT = 200_000
 COUNTED = 1 << 20
 #: Words that more than this part of the pairs hold are broadcast to them.
 HOT_WORDS = 100_000
+#: About so many of a model's words and pairs meet the documents' in one group;
+#: a task packs about so many of its documents' together.
+MET, PACKED = 1 << 19, 1 << 20
 
 # The models (of either half of the trusted texts, and of all).
 ALL, MODELS = 2, 3
@@ -425,6 +429,7 @@ def train_words(trusted: DataFrame, hot: int = HOT) -> WordModel:
         *[F.count(F.when(of_model(m) > 0, 1)).alias(f"follow{m}") for m in models], F.max("spelled").alias("spelled"),
         F.count("u").alias("as_word")).join(contexts, "w")
     known = known_table = shared_table(known, "words")
+    forget_shuffles(trusted.sparkSession)  # the words are written
     cut_word = discounted(known, [F.col(f"follow{m}") for m in models])
     sums = known.agg(*[F.sum(c).alias(f"{name}{m}") for m in models for name, c in (
         ("n", F.col(f"follow{m}")), ("cut", cut_word[m]), ("tokens", F.col(f"total{m}")))]).first()  # one row
@@ -443,11 +448,15 @@ def train_words(trusted: DataFrame, hot: int = HOT) -> WordModel:
         for m in models], is_hot([F.col(f"total{m}") for m in models]).alias("hot"))
     first = known.select(F.col("w").alias("u"), *[c for m in models for c in (f"total{m}", f"left{m}")], "as_context")
     second = known.select("w", *[f"p{m}" for m in models], "as_word")
-    own = pairs.select("u", "w", "n0", "n1", *[(of_model(m) - cut[m]).alias(f"own{m}") for m in models])
-    both = join_counted(join_counted(own, first, ["u"], "as_context", HOT_WORDS), second, ["w"], "as_word", HOT_WORDS)
-    of_pairs = both.select(pair_key("u", "w").alias("key"), *[
-        F.when(of_model(m) > 0, -log(F.col(f"own{m}") / F.col(f"total{m}") + F.col(f"left{m}") * F.col(f"p{m}"))
-               + log(F.col(f"left{m}")) + log(F.col(f"p{m}"))).cast("float").alias(f"delta{m}")
+    # what a pair needs of its words goes along in single precision, and nothing else
+    both = join_counted(pairs.select("u", "w", "n0", "n1"), first, ["u"], "as_context", HOT_WORDS).select(
+        pair_key("u", "w").alias("key"), "w", "n0", "n1",
+        *[F.try_divide(of_model(m) - cut[m], F.col(f"total{m}")).cast("float").alias(f"share{m}") for m in models],
+        *[F.col(f"left{m}").cast("float").alias(f"left{m}") for m in models])
+    both = join_counted(both, second, ["w"], "as_word", HOT_WORDS)
+    of_pairs = both.select("key", *[
+        F.when(of_model(m) > 0, -log(F.col(f"share{m}").cast("double") + F.col(f"left{m}").cast("double") * F.col(f"p{m}"))
+               + log(F.col(f"left{m}").cast("double")) + log(F.col(f"p{m}"))).cast("float").alias(f"delta{m}")
         for m in models], is_hot([of_model(m) for m in models]).alias("hot"))
     deltas = shared_table(of_words.unionByName(of_pairs), "deltas")
     drop_tables(counted, known_table)
@@ -458,72 +467,146 @@ def train_words(trusted: DataFrame, hot: int = HOT) -> WordModel:
     return WordModel(spelling, unknown, keys[order], values, deltas)
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Whole numbers byte by byte, lowest bytes first, without leading zeros."""
+    width = max(1, -(-int(x.max()).bit_length() // 8))
+    return x.view(np.uint8).reshape(len(x), x.itemsize)[:, :width].T.tobytes()
+
+
+def from_planes(raw: bytes, size: int) -> np.ndarray:
+    """The ``size`` numbers of ``planes``."""
+    out = np.zeros((size, 8), np.uint8)
+    out[:, :len(raw) // size] = np.frombuffer(raw, np.uint8).reshape(-1, size).T
+    return out.view(np.uint64).ravel()
+
+
+def packed(place: np.ndarray, key: np.ndarray, n: np.ndarray, buckets: int) -> Iterator[tuple]:
+    """(bucket, first key, size, steps to the next keys, places, counts) of the
+    keys of each bucket, in order."""
+    key = key.view(np.uint64)
+    order = np.argsort(key)
+    key, place, n = key[order], place[order].astype(np.uint64), n[order].astype(np.uint64)
+    steps = np.diff(key, prepend=key[:1])
+    bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(key)]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if a < b:
+            steps[a] = 0
+            yield int(bucket[a]), int(key[a].view(np.int64)), b - a, planes(steps[a:b]), planes(place[a:b]), planes(n[a:b])
+
+
+def key_bucket(buckets: int) -> Column:
+    """The bucket of ``packed`` of the column ``key``."""
+    return F.shiftright(F.shiftrightunsigned("key", 32) * F.lit(buckets).cast("long"), 32).cast("int")
+
+
 def word_perplexities(docs: DataFrame, model: WordModel) -> DataFrame:
-    """``docs`` (doc_id, text_hash, lang, model, text) with perplexity for text."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.spelling, model.unknown, model.keys, model.deltas))
-
-    def read(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str], WordPiece, np.ndarray]]:
-        """Per piece: its first row, texts, words and the texts' models."""
-        models = batch["model"].to_numpy()
-        at = 0
-        for texts in pieces([t or "" for t in batch["text"].to_pylist()]):
-            yield at, texts, WordPiece(texts, _bits(shared.value[0])), models[at:at + len(texts)]
-            at += len(texts)
-
-    def keyed(piece: WordPiece, models: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(text, key, n, hot, delta) of the words, then the pairs, of each text."""
-        _, _, keys, deltas = shared.value
-        place, word, n = piece.counts(piece.place)
-        yield (place, *_looked_up(piece.hashes[word].view(np.int64), n, keys, deltas, models[place]))
-        place, context, word, n = piece.pairs(piece.place)
-        key = pair_keys(piece.hashes[context], piece.hashes[word]).view(np.int64)
-        yield (place, *_looked_up(key, n, keys, deltas, models[place]))
-
-    def in_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unknown = shared.value[1]
-        for batch in batches:
-            total = np.zeros(batch.num_rows)
-            for at, texts, piece, models in read(batch):
-                each = piece.spelled[piece.ids] + unknown[models[piece.place]]
-                sums = np.bincount(piece.place, each, len(texts))
-                for place, _, n, hot, delta in keyed(piece, models):
-                    sums += np.bincount(place[hot], n[hot] * delta[hot], len(texts))
-                total[at:at + len(texts)] = sums
-            yield batch.drop_columns(["text"]).append_column("bits", pa.array(total)) \
-                .append_column("size", pa.array([len(t or "") for t in batch["text"].to_pylist()], pa.int64()))
-
-    def to_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes = batch["text_hash"].to_numpy(zero_copy_only=False)
-            for at, texts, piece, models in read(batch):
-                for place, key, n, hot, _ in keyed(piece, models):
-                    place, key, n = place[~hot], key[~hot], n[~hot]
-                    yield pa.record_batch([pa.array(hashes[at:at + len(texts)][place]), pa.array(models[place]), pa.array(key),
-                                           pa.array(n.astype(np.int32))], ["text_hash", "model", "key", "n"])
+    """``docs`` (doc_id, text_hash, lang, model, text) with perplexity for text.
+
+    Each task reads its texts once and packs their words and pairs that are not
+    hot, sorted, by ranges of their keys; a range meets the model's rows of it
+    in one group.  The documents of one model are read at a time."""
+    langs = shared_table(docs.select("lang", F.xxhash64("lang").alias("_lang")).distinct(), "langs")
+    scored = []
+    for m in range(MODELS):
+        scored.append(shared_table(_sums_of_model(docs.where(F.col("model") == m), model, m), f"scored-{m}"))
+        forget_shuffles(docs.sparkSession)  # the sums are written
+    every = scored[0]
+    for table in scored[1:]:
+        every = every.unionByName(table)
+    return every.join(broadcast_if_small(langs, BROADCAST_ROWS), "_lang").select(
+        "doc_id", "text_hash", "lang", F.when(F.col("size") > 0, F.pow(F.lit(2.0), F.col("bits") / F.col("size"))).alias("perplexity"))
+
+
+def _sums_of_model(docs: DataFrame, model: WordModel, m: int) -> DataFrame:
+    """(doc_id, text_hash, _lang, size, bits) of ``docs`` by the ``m``-th model."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.spelling, model.unknown[m], model.keys, model.deltas[:, m]))
+    rare = model.table.where(f"NOT hot AND delta{m} IS NOT NULL").select("key", F.col(f"delta{m}").cast("double").alias("delta"))
+    buckets = max(1, -(-rare.count() // MET))
+    doc_columns = ["doc_id", "text_hash", "_lang"]
     kinds = dict(docs.dtypes)
-    scored = shared_table(docs.mapInArrow(
-        in_tasks, f"doc_id {kinds['doc_id']}, text_hash long, lang {kinds['lang']}, model int, bits double, size long"), "scored")
-    rare = model.table.where("NOT hot").drop("hot")
-    delta = F.coalesce(F.when(F.col("model") == 0, F.col("delta0")).when(F.col("model") == 1, F.col("delta1"))
-                       .otherwise(F.col("delta2")), F.lit(0.0))  # the other half alone may know it
-    met = docs.where("text <> ''").mapInArrow(to_join, "text_hash long, model int, key long, n int") \
-        .join(broadcast_if_small(rare, BROADCAST_ROWS), "key") \
-        .groupBy("text_hash", "model").agg(F.sum(F.col("n") * delta.cast("double")).alias("joined"))
-    # copies of a text are read each, and have one sum together
-    copies = scored.groupBy("text_hash", "model").agg(F.count("*").alias("copies"))
-    joined = shared_table(met.join(copies, ["text_hash", "model"]).select(
-        "text_hash", "model", (F.col("joined") / F.col("copies")).alias("joined")), "joined")
-    bits = F.col("bits") + F.coalesce("joined", F.lit(0.0))
-    return scored.join(broadcast_if_small(joined, BROADCAST_ROWS), ["text_hash", "model"], "left").select(
-        "doc_id", "text_hash", "lang", F.when(F.col("size") > 0, F.pow(F.lit(2.0), bits / F.col("size"))).alias("perplexity"))
-
-
-def _looked_up(key: np.ndarray, n: np.ndarray, keys: np.ndarray, deltas: np.ndarray, models: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(key, n, whether it is among ``keys``, its model's delta if so)."""
+    doc_schema = f"doc_id {kinds['doc_id']}, text_hash long, _lang long"
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        spelling, unknown, keys, deltas = shared.value
+        bits, chunk = _bits(spelling), TaskContext.get().partitionId() << 32
+        for batch in batches:
+            texts, at, first, held = [t or "" for t in batch["text"].to_pylist()], 0, 0, []
+            sums = np.zeros(len(texts))
+            for some in pieces(texts):
+                piece = WordPiece(some, bits)
+                sums[at:at + len(some)] = np.bincount(piece.place, piece.spelled[piece.ids] + unknown, len(some))
+                for place, key, n in _keyed(piece):
+                    hot, delta = _looked_up(key, keys, deltas)
+                    sums[at:at + len(some)] += np.bincount(place[hot], n[hot] * delta[hot], len(some))
+                    held.append((place[~hot] + (at - first), key[~hot], n[~hot]))
+                at += len(some)
+                if at == len(texts) or sum(len(h[0]) for h in held) > PACKED:
+                    yield rows(batch.slice(first, at - first), chunk, sums[first:at], texts[first:at], held)
+                    chunk, first, held = chunk + 1, at, []
+
+    def rows(batch: pa.RecordBatch, chunk: int, sums: np.ndarray, texts: list[str], held: list[tuple]) -> pa.RecordBatch:
+        """The packed rows of a chunk of documents, and a row for each of them."""
+        found = list(packed(*(np.concatenate(c) for c in zip(*held)), buckets))
+        bucket, start, size, key, place, n = (list(c) for c in zip(*found)) if found else [[]] * 6
+        none, nothing, docs_ = [None] * len(found), [None] * len(texts), len(texts)
+        columns = [pa.array(bucket + [chunk % buckets] * docs_, pa.int32()), pa.array([chunk] * (len(found) + docs_), pa.int64()),
+                   pa.array(start + nothing, pa.int64()), pa.array(size + nothing, pa.int64()),
+                   *(pa.array(c + nothing, pa.binary()) for c in (key, place, n)),
+                   pa.array(none + list(range(docs_)), pa.int64()), pa.array(none + sums.tolist(), pa.float64()),
+                   pa.array(none + [len(t) for t in texts], pa.int64())]
+        for c in doc_columns:
+            columns.append(pa.concat_arrays([pa.nulls(len(found), batch[c].type), batch[c]]))
+        return pa.record_batch(columns, ["bucket", "chunk", "first", "n_keys", "keys", "places", "counts", "place", "bits", "size", *doc_columns])
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        key, delta = right["key"].to_numpy().view(np.uint64), right["delta"].to_numpy()
+        order = np.argsort(key)
+        key, delta = key[order].view(np.int64).view(np.uint64), delta[order]
+        known = left.filter(pc.is_valid(left["place"])).select(["chunk", "place", "bits", "size", *doc_columns])
+        chunks, places, sums = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        met = left.filter(pc.is_valid(left["keys"])) if len(key) else left.slice(0, 0)
+        for batch in met.to_batches(max_chunksize=16):
+            for chunk, first, size, *raw in zip(*(batch[c].to_pylist() for c in ("chunk", "first", "n_keys", "keys", "places", "counts"))):
+                steps, place, n = (from_planes(r, size) for r in raw)
+                asked = np.uint64(first % (1 << 64)) + np.cumsum(steps, dtype=np.uint64)
+                at = np.minimum(np.searchsorted(key, asked), len(key) - 1)
+                hit = np.flatnonzero(key[at] == asked)
+                place = place[hit].astype(np.int64)
+                total = np.bincount(place, n[hit] * delta[at[hit]])
+                place = np.flatnonzero(np.bincount(place, minlength=1))
+                chunks.append(np.full(len(place), chunk))
+                places.append(place)
+                sums.append(total[place])
+        chunks, places, sums = (np.concatenate(c) for c in (chunks, places, sums))
+        more = pa.table([pa.array(chunks), pa.array(places), pa.array(sums), pa.nulls(len(sums), pa.int64()),
+                         *(pa.nulls(len(sums), known[c].type) for c in doc_columns)], names=known.column_names)
+        return pa.concat_tables([known, more])
+    asked = docs.select("doc_id", "text_hash", F.xxhash64("lang").alias("_lang"), "text").mapInArrow(
+        pack, "bucket int, chunk long, first long, n_keys long, keys binary, places binary, counts binary, place long, "
+              f"bits double, size long, {doc_schema}")
+    model_rows = rare.select(key_bucket(buckets).alias("bucket"), "key", "delta")
+    met = asked.groupBy("bucket").cogroup(model_rows.groupBy("bucket")).applyInArrow(
+        meet, f"chunk long, place long, bits double, size long, {doc_schema}")
+    return met.groupBy("chunk", "place").agg(F.sum("bits").alias("bits"), *[F.max(c).alias(c) for c in ("size", *doc_columns)]) \
+        .select(*doc_columns, "size", "bits")
+
+
+def _keyed(piece: WordPiece) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, key, n) of the words, then the pairs, of each text."""
+    place, word, n = piece.counts(piece.place)
+    yield place, piece.hashes[word].view(np.int64), n
+    place, context, word, n = piece.pairs(piece.place)
+    yield place, pair_keys(piece.hashes[context], piece.hashes[word]).view(np.int64), n
+
+
+def _looked_up(key: np.ndarray, keys: np.ndarray, deltas: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether a key is among ``keys``, its delta if so)."""
     if not len(keys):
-        return key, n, np.zeros(len(key), bool), np.zeros(len(key))
+        return np.zeros(len(key), bool), np.zeros(len(key))
     at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-    return key, n, keys[at] == key, np.nan_to_num(deltas[at, models].astype(np.float64))
+    return keys[at] == key, np.nan_to_num(deltas[at].astype(np.float64))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

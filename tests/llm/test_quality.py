@@ -132,3 +132,36 @@ def test_words_against_brute_force(spark, monkeypatch):
                 assert r.perplexity is None
             else:
                 assert abs(math.log2(r.perplexity) * len(text) - bits(text)) < 1e-2 * len(text)
+
+
+def test_packed_keys_are_short_and_whole():
+    """Keys packed by ranges come back as they were, in at most 10 bytes each."""
+    rng = np.random.default_rng(6)
+    key, place, n = rng.integers(-1 << 63, (1 << 63) - 1, 40_000), rng.integers(0, 900, 40_000), rng.integers(1, 200, 40_000)
+    key[:500] = key[500:1000]
+    found, size = [], 0
+    for _, first, count, *raw in quality.packed(place, key, n, 5):
+        steps, places, counts = (quality.from_planes(r, count) for r in raw)
+        keys = (np.uint64(first % (1 << 64)) + np.cumsum(steps, dtype=np.uint64)).view(np.int64)
+        found += zip(places.tolist(), keys.tolist(), counts.tolist())
+        size += sum(map(len, raw))
+    assert sorted(found) == sorted(zip(place.tolist(), key.tolist(), n.tolist()))
+    assert size <= 10 * len(key)
+
+
+def test_scores_whatever_the_buckets_and_chunks(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(["the", "cat", "sat", "on", "mats", "é1"]) for _ in range(rng.randrange(1, 20))), rng.choice(["en", None]))
+            for i in range(40)] + [(41, None, "en"), (42, "", None), (None, "the cat", "en")]
+    docs = documents(spark, rows, "doc_id long, text string, lang string")
+    model = quality.train_words(docs.where("doc_id < 30").select("doc_id", "text"), 1)
+    asked = docs.selectExpr("doc_id", "xxhash64(text) text_hash", "lang", "int(coalesce(doc_id, 0) % 3) model", "text")
+    whole = {r.doc_id: r for r in quality.word_perplexities(asked, model).collect()}
+    monkeypatch.setattr(quality, "MET", 3)
+    monkeypatch.setattr(quality, "PACKED", 1)
+    parts = quality.word_perplexities(asked, model).collect()
+    assert len(parts) == len(rows) and set(whole) == {r[0] for r in rows}
+    for r in parts:
+        want = whole[r.doc_id]
+        assert (r.text_hash, r.lang) == (want.text_hash, want.lang)
+        assert r.perplexity == want.perplexity or abs(r.perplexity / want.perplexity - 1) < 1e-9
