@@ -215,20 +215,30 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return found.groupBy("cls").agg(F.first("n").alias("n"), F.first("items").alias("items"))  # a row may be repeated
 
 
+def common_items(small: DataFrame, threshold: Threshold) -> DataFrame:
+    """(cls, n, items) of the sets of ``small`` (cls, items whole) that others
+    may be linked with: n items, of which ``items`` stand in several sets."""
+    rows = small.select("cls", F.size("items").cast("long").alias("n"), F.explode("items").alias("token"))
+    several = rows.groupBy("token").agg(F.count("*").alias("size")).where("size > 1").select("token")
+    return rows.join(several, "token").groupBy("cls", "n").agg(F.collect_list("token").alias("items")) \
+        .where(F.size("items") >= threshold.column("least", F.col("n")))  # one set's items
+
+
 def subset_links(small: DataFrame, threshold: Threshold, boundary: int) -> DataFrame:
-    """(a, b): links between the sets of ``small`` (cls, n, items whole), each
-    of a subset's sets with one of the smaller size there."""
+    """(a, b): links between the sets of ``small`` (cls, items whole), each of a
+    subset's sets with one of the smaller size there.  Items of one set alone
+    are in no common subset, so they are among those left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[np.ndarray] = []
-            for cls, items in zip(batch["cls"].to_pylist(), batch["items"].to_pylist()):
+            for cls, n, items in zip(*(batch[c].to_pylist() for c in ("cls", "n", "items"))):
                 x = np.array(items, np.int64).view(np.uint64)
                 mixed = np.stack([x * _U(_BASE) ^ (x >> _U(31)), (x ^ _U(0xD6E8FEB86659FD93)) * _U(0xA0761D6478BD642F)], axis=1)
                 mixed = (mixed ^ (mixed >> _U(29))) * _U(0x9FB21C651E98DF25)
                 left_out = [mixed.sum(axis=0, dtype=np.uint64)[None, :]]  # by number of items left out
                 last = [np.full(1, -1)]
-                for m in threshold.partners(len(x)):
-                    out = len(x) - threshold.overlap(len(x), m)
+                for m in threshold.partners(n):
+                    out = len(x) - threshold.overlap(n, m)
                     if m >= boundary or out < 0:
                         continue
                     while len(left_out) <= out:  # leave out one more, behind the last one
@@ -237,11 +247,11 @@ def subset_links(small: DataFrame, threshold: Threshold, boundary: int) -> DataF
                         left_out.append(left_out[-1][sum_] - mixed[item])
                         last.append(item)
                     sums = left_out[out].view(np.int64)
-                    rows.append(np.column_stack([np.broadcast_to([min(m, len(x)), max(m, len(x)), cls, len(x)], (len(sums), 4)), sums]))
+                    rows.append(np.column_stack([np.broadcast_to([min(m, n), max(m, n), cls, n], (len(sums), 4)), sums]))
             found = np.concatenate(rows) if rows else np.zeros((0, 6), np.int64)
             yield pa.record_batch([pa.array(found[:, k]) for k in range(6)], ["lo", "hi", "cls", "n", "sum_a", "sum_b"])
     keys = ["lo", "hi", "sum_a", "sum_b"]
-    found = small.select("cls", "items").mapInArrow(run, "lo long, hi long, cls long, n long, sum_a long, sum_b long")
+    found = common_items(small, threshold).mapInArrow(run, "lo long, hi long, cls long, n long, sum_a long, sum_b long")
     found = shared_table(found, "subsets")
     stars = found.groupBy(*keys).agg(F.min(F.when(F.col("n") == F.col("lo"), F.col("cls"))).alias("a"), F.count("*").alias("size")) \
         .where("size > 1 AND a IS NOT NULL").drop("size")

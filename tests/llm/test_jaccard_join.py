@@ -98,3 +98,20 @@ def test_texts_are_read_in_small_pieces():
     found = list(text_pieces(texts))
     assert [t for piece in found for t in piece.to_pylist()] == texts.to_pylist()
     assert all(len(piece) == 1 or sum(len(t or "") for t in piece.to_pylist()) <= 1 << 20 for piece in found[1:])
+
+
+def test_items_of_one_set_alone_make_no_subsets(spark, monkeypatch):
+    """Short texts without common shingles are listed under no subset."""
+    docs = [(i, " ".join(f"w{i}x{k}" for k in range(24))) for i in range(60)]
+    docs += [(100, " ".join(["a"] + [f"v{k}" for k in range(24)])), (101, " ".join([f"v{k}" for k in range(24)] + ["b"]))]
+    made, write = {}, jaccard_join.shared_table
+
+    def counted(df, name):
+        table = write(df, name)
+        made[name] = table.count()
+        return table
+    monkeypatch.setattr(jaccard_join, "shared_table", counted)
+    monkeypatch.setattr(jaccard_join, "boundary_of", lambda *a: 40)
+    got = {r.doc_id: r.component_id for r in jaccard_components(documents(spark, docs), 3, 90).collect()}
+    assert got == brute(docs, 3, 90) and got[101] == 100
+    assert 0 < made["subsets"] < 100
