@@ -40,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skylane.llm.common import broadcast_if_small, components, shared_table
 
@@ -50,6 +50,8 @@ TREES, DEPTH = 16, 8
 MIN_PREFIX, NEXT, NEAR = 4, 2, 8
 #: Members of a star that one task compares.
 STAR = 2000
+#: Numbers of 64 odd places of a set in a crowd.
+WORDS = 8
 BROADCAST_ROWS = 1_000_000
 
 _U = np.uint64
@@ -271,16 +273,30 @@ def region_pairs(rows: DataFrame, mixed: DataFrame, threshold: int) -> DataFrame
         .select("a", F.col("y.id").alias("b")).distinct()
 
 
-def crowded_pairs(docs: DataFrame, crowd: DataFrame, labels: DataFrame, width: int, threshold: int) -> DataFrame:
-    """(a, b): by an exact prefix filter, all pairs of the crowd (id, bits_a,
-    bits_b) that may be linked across components, but those whose bits rule a
-    link out.
+def odd_places(token: str) -> dict[str, Column]:
+    """Aggregates over a set's shingles: which of ``64 * WORDS`` places hold an
+    odd number of them.  Sets differ in at least as many shingles as places."""
+    word = F.pmod(F.shiftright(token, 6), F.lit(WORDS))
+    return {f"odd{k}": F.bit_xor(F.when(word == k, F.expr(f"shiftleft(1L, CAST({token} & 63 AS INT))")).otherwise(0))
+            for k in range(WORDS)}
+
+
+def apart(x: str, y: str) -> Column:
+    """The least number of shingles that only one of two sets holds."""
+    out = F.col(f"{x}.alone") + F.col(f"{y}.alone")
+    for k in range(WORDS):
+        out = out + F.bit_count(F.col(f"{x}.odd{k}").bitwiseXOR(F.col(f"{y}.odd{k}")))
+    return out
+
+
+def crowd_prefixes(docs: DataFrame, crowd: DataFrame, labels: DataFrame, width: int, threshold: int) -> DataFrame:
+    """The shingles by which classes of the crowd (id, bits_a, bits_b) may be
+    linked across components: an exact prefix filter.
 
     Only shingles that stand in several components can be common to such a
     pair, and a set of n shingles has to share at least t * n: sets with fewer
     of them are out.  The others put theirs in one order, rarest first by exact
-    counts; two linked sets share one of their first ``s - ceil(t * n) + 1``,
-    and at the first common one both still have enough left."""
+    counts; two linked sets share one of their first ``s - ceil(t * n) + 1``."""
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text") \
         .join(broadcast_if_small(crowd.select("id"), BROADCAST_ROWS), "id", "left_semi")
 
@@ -300,28 +316,68 @@ def crowded_pairs(docs: DataFrame, crowd: DataFrame, labels: DataFrame, width: i
                     pa.array(np.repeat(np.array(whole, np.int64), sizes)),
                     pa.array(np.repeat(np.array(sizes, np.int64), sizes))], ["token", "id", "whole", "n"])
     held = shared_table(texts.mapInArrow(items, "token long, id long, whole long, n long")
+                        .dropDuplicates(["token", "id", "whole"])  # repeated rows of one id
                         .join(broadcast_if_small(labels, BROADCAST_ROWS), "id", "left")
                         .select("token", "id", "whole", "n", F.coalesce("component", "id").alias("component")), "crowd-items")
     tokens = held.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
-        F.sum("n").alias("holders"), F.count("*").alias("components"),
-        F.max_by("component", F.struct("n", "component")).alias("main")) \
-        .where("components > 1").select("token", "holders", "main")
+        F.sum("n").alias("holders"), F.count("*").alias("components")).where("components > 1").select("token", "holders")
     by_set = Window.partitionBy("id", "whole")
     needed = F.ceil(F.col("n") * threshold / F.lit(100.0) - 1e-9)
     rows = held.join(tokens, "token") \
         .withColumn("s", F.count("*").over(by_set)).where(F.col("s") >= needed) \
+        .withColumns({c: x.over(by_set) for c, x in odd_places("token").items()}) \
         .withColumn("place", F.row_number().over(by_set.orderBy("holders", "token"))) \
         .where(F.col("place") <= F.col("s") - needed + 1) \
-        .select("token", "id", "n", "component", "main", (F.col("s") - F.col("place") + 1).alias("left"))
-    rows = shared_table(rows.join(broadcast_if_small(crowd, BROADCAST_ROWS), "id"), "prefixes")
-    x, y = rows.where("component <> main").alias("x"), rows.alias("y")
-    return x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component"))
-                  & (100 * F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n"))
-                  & ((100 + threshold) * F.least("x.left", "y.left") >= threshold * (F.col("x.n") + F.col("y.n")))
-                  & bits_agree(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), threshold)) \
+        .select("token", "id", "n", (F.col("s") - F.col("place") + 1).alias("left"), (F.col("n") - F.col("s")).alias("alone"),
+                (F.sum("holders").over(by_set) / F.col("n")).alias("usual"), *odd_places("token"))
+    return shared_table(rows.join(broadcast_if_small(crowd, BROADCAST_ROWS), "id"), "prefixes")
+
+
+def may_link(threshold: int) -> Column:
+    """Whether sets x and y of different components that share a shingle of
+    their prefixes may be linked: there, both still have enough left.  Shingles
+    that one component alone has, and places odd in one set alone, are in one
+    of the two sets only, and a link allows few of those."""
+    size = F.col("x.n") + F.col("y.n")
+    return ((F.col("x.component") != F.col("y.component"))
+            & (100 * F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n"))
+            & ((100 + threshold) * F.least("x.left", "y.left") >= threshold * size)
+            & ((100 + threshold) * apart("x", "y") <= (100 - threshold) * size)
+            & bits_agree(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), threshold))
+
+
+def of_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(broadcast_if_small(labels, BROADCAST_ROWS), "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def pairs_of(x: DataFrame, y: DataFrame, threshold: int) -> DataFrame:
+    return x.alias("x").join(y.alias("y"), (F.col("x.token") == F.col("y.token")) & may_link(threshold)) \
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
+def usual_pairs(rows: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): of ``crowd_prefixes``, the sets of each shingle with the one there
+    whose shingles most others hold.  Copies of one text are all near that one,
+    so a crowd of them hangs together by a pair each."""
+    rows = of_components(rows, labels)
+    usual = rows.groupBy("token").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "token"]), F.struct("usual", "id")).alias("u"))
+    return pairs_of(usual.select("token", "u.*"), rows, threshold)
+
+
+def crowded_pairs(docs: DataFrame, crowd: DataFrame, labels: DataFrame, width: int, threshold: int,
+                  rows: DataFrame | None = None) -> DataFrame:
+    """(a, b): all pairs of the crowd that may be linked across components, by
+    ``crowd_prefixes`` (``rows``, if made before, of the same or smaller
+    components)."""
+    rows = crowd_prefixes(docs, crowd, labels, width, threshold) if rows is None else rows
+    rows = of_components(rows, labels)
+    main = rows.groupBy("token", "component").agg(F.count("*").alias("size")).groupBy("token").agg(
+        F.count("*").alias("components"), F.max_by("component", F.struct("size", "component")).alias("main")) \
+        .where("components > 1").drop("components")
+    rows = shared_table(rows.join(main, "token"), "mixed-prefixes")
+    return pairs_of(rows.where("component <> main"), rows, threshold)
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
     """Per document row: doc_id, n_shingles, component_id (smallest linked id)
     and kept.  ``threshold`` is the similarity in hundredths."""
@@ -342,7 +398,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> Dat
     if not large.isEmpty():  # these meet by the exact filter
         crowd = shared_table(rows.join(broadcast_if_small(large, BROADCAST_ROWS), "region", "left_semi")
                              .select("id", "bits_a", "bits_b").distinct(), "crowded")
-        rest = rest.unionByName(crowded_pairs(docs, crowd, labels, width, threshold)).distinct()
+        prefixes = crowd_prefixes(docs, crowd, labels, width, threshold)
+        labels = components(confirmed(docs, usual_pairs(prefixes, labels, threshold), width, threshold), labels)
+        rest = rest.unionByName(crowded_pairs(docs, crowd, labels, width, threshold, prefixes)).distinct()
     rest = shared_table(rest, "untried")
     if not rest.isEmpty():
         labels = components(confirmed(docs, possible(rest, classes, threshold), width, threshold), labels)

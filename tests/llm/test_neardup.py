@@ -120,3 +120,24 @@ def test_drop_keeps_the_smallest_text_of_an_id(spark):
 def test_empty(spark):
     assert near_duplicates(documents(spark, [])).count() == 0
     assert drop_near_duplicates(documents(spark, [])).count() == 0
+
+
+def test_a_crowd_of_near_copies_hangs_together_by_few_pairs(spark, monkeypatch):
+    """The pairs read again grow with the crowd, not with its square; a row that
+    stands twice counts once."""
+    rng = random.Random(4)
+    base, docs = [f"c{i}" for i in range(150)], []
+    for i in range(240):
+        w = list(base)
+        for _ in range(rng.randrange(0, 6)):
+            w[rng.randrange(len(w))] = "edit%d" % rng.randrange(10_000)
+        docs += [(i, " ".join(w))] * (2 if i % 10 == 0 else 1)
+    tried, confirm = [], neardup.confirmed
+
+    def counted(docs, pairs, *args):
+        tried.append(pairs.count())
+        return confirm(docs, pairs, *args)
+    monkeypatch.setattr(neardup, "confirmed", counted)
+    got = {r.doc_id: r.component_id for r in near_duplicates(documents(spark, docs), 3, 85).collect()}
+    assert got == brute(docs, 3, 85)
+    assert sum(tried) < 12 * 240, tried
