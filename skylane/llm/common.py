@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skylane.plans.strategy import new_table_path
@@ -120,6 +126,34 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+_kept: dict[str, Any] = {}
+
+
+def kept(key: str, build: Callable[[], Any]) -> Any:
+    """What ``build`` made, kept by this worker until another operator keeps
+    something: workers serve one operator after the other, and the earlier one's
+    tables would stay beside the later one's.  Freed memory goes to the system."""
+    if key not in _kept:
+        if _kept:
+            _kept.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+        _kept[key] = build()
+    return _kept[key]
+
+
+def text_pieces(texts: pa.Array, size: int = 1 << 20) -> Iterator[pa.Array]:
+    """The texts in turn, about ``size`` bytes at once."""
+    sums = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    lo, done = 0, 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(sums, done + size)))
+        yield texts.slice(lo, hi - lo)
+        lo, done = hi, int(sums[hi - 1])
+
+
 def components(links: DataFrame, known: DataFrame | None = None, broadcast_rows: int = 1_000_000) -> DataFrame:
     """(id, component): the smallest id that each end of the links (a, b)
     reaches, with the links behind the components ``known``.

@@ -44,7 +44,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from skylane.llm.common import broadcast_if_small, components, join_counted, shared_table
+from skylane.llm.common import broadcast_if_small, components, join_counted, shared_table, text_pieces
 
 LIGHT = 16
 #: Small sets have fewer items than this at most, and leave at most four out.
@@ -120,17 +120,6 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     return sets
 
 
-def text_pieces(texts: pa.Array, size: int = 1 << 20) -> Iterator[pa.Array]:
-    """The texts in turn, about ``size`` bytes at once."""
-    import pyarrow.compute as pc
-    sums = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-    lo, done = 0, 0
-    while lo < len(texts):
-        hi = max(lo + 1, int(np.searchsorted(sums, done + size)))
-        yield texts.slice(lo, hi - lo)
-        lo, done = hi, int(sums[hi - 1])
-
-
 def lists(arrays: list[np.ndarray]) -> pa.Array:
     values = np.concatenate(arrays) if arrays else np.zeros(0, np.uint64)
     return pa.LargeListArray.from_arrays(np.cumsum([0] + [len(a) for a in arrays]), pa.array(values.view(np.int64))) \

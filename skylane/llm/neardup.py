@@ -42,7 +42,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from skylane.llm.common import broadcast_if_small, components, shared_table
+from skylane.llm.common import broadcast_if_small, components, kept, shared_table
 
 TREES, DEPTH = 16, 8
 #: Values that a tree's rows must share to be a region, the next rows that the
@@ -69,15 +69,12 @@ class _WordHashes(dict):
         return value
 
 
-_words = _WordHashes()
-
-
 def shingles(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct hashes of the text's shingles."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []  # bytes: A-Z and ASCII space only
     if not words:
         return np.zeros(0, _U)
-    h = np.fromiter(map(_words.__getitem__, words), _U, len(words))
+    h = np.fromiter(map(kept("word-hashes", _WordHashes).__getitem__, words), _U, len(words))
     size = min(width, len(h))
     with np.errstate(over="ignore"):
         mixed = np.full(len(h) - size + 1, size, _U)

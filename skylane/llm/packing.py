@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,15 +26,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from skylane.llm.common import kept, text_pieces
+
 SEQUENCE = 2048
 GROUP_DOCS = 4096
 END_ID = 1
 #: Entries of a worker's memory of encoded stems; beyond, it starts anew.
-STEMS_KEPT = 1_200_000
+STEMS_KEPT = 400_000
 #: Marks that are a token run of their own behind a letter.
 MARKS = ".,;:!?"
-#: Characters that a task encodes at once.
-PIECE = 1 << 22
+#: Bytes of text that a task encodes at once.
+PIECE = 1 << 20
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
@@ -120,11 +121,6 @@ def _laid_out(flat: np.ndarray, lengths: np.ndarray, number: np.ndarray) -> tupl
     return flat[np.repeat((np.cumsum(lengths) - lengths)[number] - done[:-1], size) + np.arange(done[-1])], done
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
-
-
 def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, space: int = SEQUENCE,
               with_ids: bool = False) -> DataFrame:
     """``docs`` (doc_id, part, text) as (doc_id, part, wide, n, crcs, ids): the
@@ -132,26 +128,22 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, space:
     and the ids after those (all ids if ``with_ids``), little-endian, 2 bytes
     each (4 if ``wide``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_path)
+        encoder = kept(f"encoder-{tokenizer_path}", lambda: ChunkEncoder(tokenizer_path))
         for batch in batches:
-            texts, lo = [t or "" for t in batch["text"].to_pylist()], 0
-            while lo < len(texts):
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= PIECE):
-                    size += len(texts[hi])
-                    hi += 1
+            lo = 0
+            for texts in text_pieces(batch["text"], PIECE):
                 rows = []
-                for ids in encoder.texts(texts[lo:hi]):
+                for ids in encoder.texts([t or "" for t in texts.to_pylist()]):
                     ids = np.append(ids, np.array([end_id], encoder.width))
                     whole = len(ids) - len(ids) % space
                     crcs = [zlib.crc32(ids[at:at + space].astype("<u4").tobytes()) for at in range(0, whole, space)]
                     rows.append((len(ids), crcs, (ids if with_ids else ids[whole:]).tobytes()))
                 n, crcs, ids = zip(*rows)
                 yield pa.record_batch([
-                    batch["doc_id"].slice(lo, hi - lo).cast(pa.int64()), batch["part"].slice(lo, hi - lo),
+                    batch["doc_id"].slice(lo, len(texts)).cast(pa.int64()), batch["part"].slice(lo, len(texts)),
                     pa.array([encoder.width is np.uint32] * len(n), pa.bool_()), pa.array(n, pa.int64()),
                     pa.array(crcs, pa.list_(pa.int64())), pa.array(ids, pa.binary())], ["doc_id", "part", "wide", "n", "crcs", "ids"])
-                lo = hi
+                lo += len(texts)
     return docs.select("doc_id", "part", "text").mapInArrow(
         run, "doc_id long, part long, wide boolean, n long, crcs array<long>, ids binary")
 

@@ -49,7 +49,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skylane.llm.common import broadcast_if_small, drop_tables, forget_shuffles, join_counted, shared_table
+from skylane.llm.common import broadcast_if_small, drop_tables, forget_shuffles, join_counted, kept, shared_table
 
 ORDER = 4
 BITS = 6
@@ -183,14 +183,8 @@ class LanguageModel:
         return -np.log2(np.maximum(below, 1e-12))
 
 
-_tables: dict[str, np.ndarray] = {}
-
-
 def _bits(model: LanguageModel) -> np.ndarray:
-    if model.key not in _tables:
-        _tables.clear()
-        _tables[model.key] = model.bits()
-    return _tables[model.key]
+    return kept(f"bits-{model.key}", model.bits)
 
 
 def discounts(counts: list[int]) -> tuple[float, float, float]:

@@ -110,3 +110,12 @@ def test_long_texts_send_their_rests_only(spark):
         assert r.doc_tokens == len(want[r.doc_id]) and zlib.crc32(own.tobytes()) == r.ids_crc32
         got[r.doc_id] += r.length
     assert got == {i: len(x) for i, x in want.items()}
+
+
+def test_a_worker_keeps_one_operators_tables():
+    from skylane.llm.common import kept
+    first = kept("a", lambda: np.zeros(3))
+    assert kept("a", lambda: None) is first
+    second = kept("b", lambda: np.ones(3))
+    assert kept("b", lambda: None) is second
+    assert kept("a", lambda: None) is None  # let go when b was kept
