@@ -126,6 +126,13 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def give_back() -> None:
+    """Freed memory of this worker goes to the system."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 _kept: dict[str, Any] = {}
 
 
@@ -137,9 +144,7 @@ def kept(key: str, build: Callable[[], Any]) -> Any:
         if _kept:
             _kept.clear()
             gc.collect()
-            pa.default_memory_pool().release_unused()
-            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-                libc.malloc_trim(0)
+            give_back()
         _kept[key] = build()
     return _kept[key]
 

@@ -35,18 +35,18 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from skylane.llm.common import shared_table
+from skylane.llm.common import give_back, kept, shared_table
 
 MATCH = 100
 LEAD = 32
-#: Positions handled at once, and the largest bitmap (2**28 bits: 32 MB).
-SEGMENT = 1 << 20
+#: Positions handled at once (a dozen arrays of 2 MB), and the largest bitmap
+#: (2**28 bits: 32 MB).
+SEGMENT = 1 << 18
 MAX_BITS = 28
 CARRIED = 50_000
 NO_ID = -(1 << 63)
@@ -55,25 +55,32 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-@lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse modulo 2**64."""
-    up, down = np.full(n, _BASE, np.uint64), np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse modulo 2**64; the tables of
+    the worker's earlier operator go."""
+    n = SEGMENT + 4 * MATCH
+
+    def build() -> tuple[np.ndarray, np.ndarray]:
+        up, down = np.full(n, _BASE, np.uint64), np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        return np.cumprod(up), np.cumprod(down)
+    return kept(f"suffix-powers-{n}", build)
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     """Polynomial hashes of all beginnings."""
-    up, _ = _powers(SEGMENT + 4 * MATCH)
+    up, _ = _powers()
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(data.astype(np.uint64) * up[:len(data)] + up[:len(data)], out=sums[1:])
+    sums[1:] = data
+    sums[1:] += np.uint64(1)
+    sums[1:] *= up[:len(data)]
+    np.cumsum(sums, out=sums)
     return sums
 
 
 def string_hashes(sums: np.ndarray, first, last) -> np.ndarray:
     """A 64-bit hash of the bytes [first, last), from the beginnings' hashes."""
-    _, down = _powers(SEGMENT + 4 * MATCH)
+    _, down = _powers()
     h = (sums[last] - sums[first]) * down[first]
     h ^= h >> np.uint64(32)
     h *= _MIX
@@ -118,12 +125,12 @@ def anchor_runs(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray
         yield at + base, first + base, stop + base, leads[at], whole
 
 
-def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, bytes]:
-    """Bytes and end offsets of a binary column, without NULLs."""
+def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, memoryview]:
+    """Bytes and end offsets of a binary column, without NULLs; nothing is copied."""
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
-    raw = data.to_pybytes()[offsets[0]:offsets[-1]] if data is not None else b""
-    return np.frombuffer(raw, np.uint8), offsets[1:] - offsets[0], raw
+    raw = np.frombuffer(data if data is not None else b"", np.uint8)[offsets[0]:offsets[-1]]
+    return raw, offsets[1:] - offsets[0], memoryview(raw)
 
 
 def _source(docs: DataFrame) -> DataFrame:
@@ -132,17 +139,25 @@ def _source(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
+def _each(batches: Iterator[pa.RecordBatch], of_batch) -> Iterator[pa.RecordBatch]:
+    """What ``of_batch`` makes of each batch; nothing of a batch stays in the
+    worker while it waits for the next one."""
+    for batch in batches:
+        yield from of_batch(batch)
+        del batch
+        give_back()
+
+
 def repeated_leads(source: DataFrame) -> DataFrame:
     """(lead): hashes of leading bytes that more than one anchor has."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, ends, _ = _texts(batch["text"])
-            found = [leads for _, _, _, leads, _ in anchor_runs(data, ends)]
-            leads, counts = np.unique(np.concatenate(found), return_counts=True) if found else (
-                np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            yield pa.record_batch([pa.array(leads.view(np.int64)), pa.array(np.minimum(counts, 2).astype(np.int8))],
-                                  ["lead", "n"])
-    return source.select("text").mapInArrow(run, "lead long, n byte") \
+    def counted(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        data, ends, _ = _texts(batch["text"])
+        found = [leads for _, _, _, leads, _ in anchor_runs(data, ends)]
+        leads, counts = np.unique(np.concatenate(found), return_counts=True) if found else (
+            np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        yield pa.record_batch([pa.array(leads.view(np.int64)), pa.array(np.minimum(counts, 2).astype(np.int8))],
+                              ["lead", "n"])
+    return source.select("text").mapInArrow(lambda batches: _each(batches, counted), "lead long, n byte") \
         .groupBy("lead").agg(F.sum("n").alias("n")).where("n > 1").select("lead")
 
 
@@ -210,19 +225,19 @@ def whole_repeats(source: DataFrame, bitmap: np.ndarray, bits: int) -> DataFrame
     one batch have no lead."""
     shared = source.sparkSession.sparkContext.broadcast(bitmap)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         names = ["lead", "whole", "doc", "version", "start", "stop"]
-        for batch in batches:
-            hits = _Hits(batch, shared.value, bits)
-            new = hits.new
-            yield pa.record_batch([pa.array(c) for c in (
-                hits.lead[new].view(np.int64), hits.whole[new].view(np.int64), hits.doc[new], hits.version[new],
-                hits.start[new], hits.start[new] + (hits.stop - hits.first)[new])], names)
-            repeats = hits.repeats()
-            none = pa.nulls(len(repeats[0]), pa.int64())
-            yield pa.record_batch([pa.array(repeats[0]), none, *(pa.array(c) for c in repeats)], names)
+        hits = _Hits(batch, shared.value, bits)
+        new = hits.new
+        yield pa.record_batch([pa.array(c) for c in (
+            hits.lead[new].view(np.int64), hits.whole[new].view(np.int64), hits.doc[new], hits.version[new],
+            hits.start[new], hits.start[new] + (hits.stop - hits.first)[new])], names)
+        repeats = hits.repeats()
+        none = pa.nulls(len(repeats[0]), pa.int64())
+        yield pa.record_batch([pa.array(repeats[0]), none, *(pa.array(c) for c in repeats)], names)
     # repeats within a batch carry their document's id as lead, to be spread
-    rows = source.mapInArrow(run, "lead long, whole long, doc long, version long, start long, stop long") \
+    rows = source.mapInArrow(lambda batches: _each(batches, found),
+                             "lead long, whole long, doc long, version long, start long, stop long") \
         .repartition("lead")
     by_lead, by_whole = Window.partitionBy("lead"), Window.partitionBy("lead", "whole")
     age = F.struct("doc", "version", "start")
@@ -242,18 +257,18 @@ def anchored_suffixes(source: DataFrame, bitmap: np.ndarray, bits: int) -> DataF
     per batch (the others are known as repeats)."""
     shared = source.sparkSession.sparkContext.broadcast(bitmap)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in _ROW.split(", ")]
-        for batch in batches:
-            hits = _Hits(batch, shared.value, bits)
-            new, raw = hits.new, hits.raw
-            at, first, stop = hits.at[new], hits.first[new], hits.stop[new]
-            yield pa.record_batch([
-                pa.array([int.from_bytes(raw[a:a + 8], "big") - (1 << 63) for a in at.tolist()], pa.int64()),
-                pa.array(hits.lead[new].view(np.int64)), pa.array((at - first).astype(np.int32)),
-                pa.array([raw[f:e] for f, e in zip(first.tolist(), stop.tolist())], pa.binary()),
-                pa.array(hits.doc[new]), pa.array(hits.version[new]), pa.array(hits.start[new])], names)
-    return source.mapInArrow(run, _ROW)
+        hits = _Hits(batch, shared.value, bits)
+        new, raw = hits.new, hits.raw
+        at, first, stop = hits.at[new], hits.first[new], hits.stop[new]
+        yield pa.record_batch([
+            pa.array([int.from_bytes(raw[a:a + 8], "big") - (1 << 63) for a in at.tolist()], pa.int64()),
+            pa.array(hits.lead[new].view(np.int64)), pa.array((at - first).astype(np.int32)),
+            # bytes: Arrow does not let go of the views that it reads
+            pa.array([bytes(raw[f:e]) for f, e in zip(first.tolist(), stop.tolist())], pa.binary()),
+            pa.array(hits.doc[new]), pa.array(hits.version[new]), pa.array(hits.start[new])], names)
+    return source.mapInArrow(lambda batches: _each(batches, found), _ROW)
 
 
 def _bucket(rows: pa.Table) -> Iterator[tuple[int, int, int, int]]:
@@ -382,19 +397,18 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` (all its columns) with the repeated passages cut out of
     ``text``; a character that a cut splits goes as a whole, and ``n_chars``,
     if there, counts anew.  Every document stays."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row = batch["row"]
-            columns = dict(zip((f.name for f in row.type), row.flatten()))
-            cut = [s is not None for s in batch["spans"].to_pylist()]
-            texts = [t if s is None else _kept(t.encode(), s)[0].decode("utf-8", "ignore")
-                     for t, s in zip(columns["text"].to_pylist(), batch["spans"].to_pylist())]
-            columns["text"] = pa.array(texts, pa.string())
-            if "n_chars" in columns:
-                columns["n_chars"] = pa.array([len(t) if c else n for t, c, n in zip(
-                    texts, cut, columns["n_chars"].to_pylist())], columns["n_chars"].type)
-            yield pa.record_batch(list(columns.values()), list(columns))
-    return _with_spans(docs).mapInArrow(run, docs.schema)
+    def cut_out(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        row = batch["row"]
+        columns = dict(zip((f.name for f in row.type), row.flatten()))
+        cut = [s is not None for s in batch["spans"].to_pylist()]
+        texts = [t if s is None else _kept(t.encode(), s)[0].decode("utf-8", "ignore")
+                 for t, s in zip(columns["text"].to_pylist(), batch["spans"].to_pylist())]
+        columns["text"] = pa.array(texts, pa.string())
+        if "n_chars" in columns:
+            columns["n_chars"] = pa.array([len(t) if c else n for t, c, n in zip(
+                texts, cut, columns["n_chars"].to_pylist())], columns["n_chars"].type)
+        yield pa.record_batch(list(columns.values()), list(columns))
+    return _with_spans(docs).mapInArrow(lambda batches: _each(batches, cut_out), docs.schema)
 
 
 def removal_digest(docs: DataFrame) -> DataFrame:

@@ -1,7 +1,11 @@
 import hashlib
 import random
+import tracemalloc
 
-from skylane.llm import suffix_dedup
+import numpy as np
+import pyarrow as pa
+
+from skylane.llm import common, suffix_dedup
 from skylane.llm.suffix_dedup import remove_repeats, removal_digest
 from tests.llm.conftest import documents
 
@@ -67,3 +71,23 @@ def test_remove_repeats_keeps_rows_and_columns(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
     assert got == {1: ("one " + passage, 10), 2: ("zwei", 4), 3: (None, None), 4: ("short", 5)}
     assert remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_a_scan_takes_little_memory(monkeypatch):
+    """A batch's arrays are small pieces, its bytes are not copied, and the
+    tables of the worker's earlier operator go."""
+    monkeypatch.setattr(common, "_kept", {"earlier": bytearray(1 << 20)})
+    rng = np.random.default_rng(4)
+    column = pa.array([rng.integers(97, 123, 1 << 20, dtype=np.uint8).tobytes() for _ in range(4)], pa.binary())
+    tracemalloc.start()
+    data, ends, raw = suffix_dedup._texts(column)
+    assert tracemalloc.get_traced_memory()[1] < 1 << 20
+    assert bytes(raw[:8]) == column[0].as_py()[:8] and len(data) == ends[-1] == 4 << 20
+    found = sum(len(run[0]) for run in suffix_dedup.anchor_runs(data, ends))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found > 100_000 and peak < 40 << 20
+    assert "earlier" not in common._kept
+    for empty in (pa.array([], pa.binary()), pa.array([b"", b""], pa.binary())):
+        data, ends, raw = suffix_dedup._texts(empty)
+        assert not len(data) and not len(raw) and not ends.any()
