@@ -277,8 +277,8 @@ def _bucket(rows: pa.Table) -> Iterator[tuple[int, int, int, int]]:
     by_age = np.lexsort((start, version, doc))
     rows = rows.take(pa.array(by_age))
     doc, version, start = doc[by_age], version[by_age], start[by_age]
-    same = (doc[1:] == doc[:-1]) & (version[1:] == version[:-1]) & (start[1:] == start[:-1])
-    identity = np.concatenate(([0], np.cumsum(~same)))
+    same = (doc[1:] == doc[:-1]) & (version[1:] == version[:-1])
+    document = np.concatenate(([0], np.cumsum(~same)))
     contexts = rows["context"].to_pylist()
     leads = rows["lead"].to_numpy()
     row = 0
@@ -302,9 +302,11 @@ def _bucket(rows: pa.Table) -> Iterator[tuple[int, int, int, int]]:
     order = np.lexsort((whole, leads[owner]))  # stable: the earliest of equal strings comes first
     lead, text = leads[owner][order], whole[order]
     opens = np.concatenate(([True], (lead[1:] != lead[:-1]) | (text[1:] != text[:-1])))
-    earliest = owner[order][np.flatnonzero(opens)[np.cumsum(opens) - 1]]
+    earliest = order[np.flatnonzero(opens)[np.cumsum(opens) - 1]]
+    # repeated rows of a document may be cut into contexts at different places
+    document, position = document[owner], start[owner] + place
     repeat = np.zeros(len(owner), bool)
-    repeat[order] = identity[earliest] != identity[owner[order]]
+    repeat[order] = (document[earliest] != document[order]) | (position[earliest] != position[order])
     owner, place = owner[repeat], place[repeat]
     cut = np.flatnonzero((owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)) + 1 if len(owner) else []
     for lo, hi in zip(np.concatenate(([0], cut)).astype(int).tolist() if len(owner) else [],

@@ -91,3 +91,17 @@ def test_a_scan_takes_little_memory(monkeypatch):
     for empty in (pa.array([], pa.binary()), pa.array([b"", b""], pa.binary())):
         data, ends, raw = suffix_dedup._texts(empty)
         assert not len(data) and not len(raw) and not ends.any()
+
+
+def test_repeated_rows_cut_at_different_places():
+    """A document's second row, whose context a piece's end cuts, repeats nothing."""
+    rng = random.Random(5)
+    text = bytes(rng.randrange(97, 123) for _ in range(168))
+
+    def rows(*placed):
+        doc, start, context = zip(*placed)
+        return pa.table({"lead": [7] * len(doc), "at": [68 - s for s in start], "context": pa.array(context, pa.binary()),
+                         "doc": doc, "version": [1] * len(doc), "start": start})
+    own = [(1, 0, text), (1, 0, text[:129]), (1, 30, text[30:])]
+    assert list(suffix_dedup._bucket(rows(*own))) == []
+    assert list(suffix_dedup._bucket(rows(*own, (2, 30, text[30:])))) == [(2, 1, 30, 168)]
